@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasol.functions import measure, title
+from terrasol.operators import combine
 from terrasol.plans import synth
 from terrasol.sources.tables import table
 
@@ -37,4 +38,29 @@ def title_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("t.communes", "|").alias("communes"))
 
 
-QUERY_NAMES = ["doc_measures", "title_parse"]
+
+def _sql_on(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
+    """Evaluate a synth SELECT over driver tables registered as temp views."""
+    for t in tables:
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.sql(sql)
+
+
+def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql_on(spark, sf_dir, synth.GAZETTEER_NATION, "nation").unionByName(
+        _sql_on(spark, sf_dir, synth.GAZETTEER_REGION, "region"))
+
+
+def combined_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 flagship: metadata ⟕ year links ⟕ measures → communes → gazetteer."""
+    docs = table(spark, sf_dir, "documents")
+    metadata = docs.select(F.expr(synth.PDF_NAME).alias("pdf_name"), F.expr(synth.TITLE).alias("title"),
+                           F.expr(synth.YEAR_URL).alias("year_url"))
+    year_links = docs.select(F.expr(synth.YEAR_URL).alias("year_url"), F.expr(synth.REGION_NAME).alias("region"),
+                             F.expr(synth.YEAR).alias("year")).distinct()
+    measures = doc_measures(spark, sf_dir).select(F.expr(synth.PDF_NAME).alias("pdf_name"),
+                                                  "land_surface_ha", "power_mwc")
+    return combine.combine_projects(metadata, year_links, measures, _gazetteer(spark, sf_dir))
+
+
+QUERY_NAMES = ["doc_measures", "title_parse", "combined_projects"]

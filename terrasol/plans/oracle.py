@@ -114,3 +114,33 @@ def title_parse() -> str:
 SELECT doc_id, project_type, dept, land_surface_ha_title, power_mwc_title,
   len(communes) AS n_communes, array_to_string(communes, '|') AS communes
 FROM {_parsed_titles(f'(SELECT doc_id, {synth.TITLE} AS title FROM documents)', 'title')}"""
+
+
+def combined_projects() -> str:
+    body = f"(SELECT doc_id, {synth.PDF_NAME} AS pdf_name, {synth.TITLE} AS title, {synth.YEAR_URL} AS year_url FROM documents)"
+    return f"""
+WITH _src AS (SELECT doc_id, {synth.MEASURE_BODY} AS pdf_text FROM documents),
+{_section_ctes('_src', 'pdf_text')},
+measures AS (
+  SELECT {synth.PDF_NAME} AS pdf_name,
+    coalesce({_surface('section')}, {_surface('pdf_text')}) AS land_surface_ha,
+    coalesce({_power('section')}, {_power('pdf_text')}) AS power_mwc
+  FROM _s),
+year_links AS (SELECT DISTINCT {synth.YEAR_URL} AS year_url, {synth.REGION_NAME} AS region, {synth.YEAR} AS year FROM documents),
+gaz AS (
+  SELECT {_strip('nom_commune')} AS g_nom,
+         CASE WHEN length(code_departement) < 2 THEN lpad(code_departement, 2, '0') ELSE code_departement END AS g_dept,
+         longitude, latitude
+  FROM ({synth.GAZETTEER_NATION} UNION ALL {synth.GAZETTEER_REGION})),
+parsed AS {_parsed_titles(body, 'title')},
+exploded AS (
+  SELECT p.*, {_strip('c')} AS nom_commune
+  FROM parsed p, unnest(CASE WHEN len(p.communes) = 0 THEN [NULL::varchar] ELSE p.communes END) AS u(c))
+SELECT e.pdf_name, y.year, y.region, e.project_type, e.nom_commune, e.dept,
+  coalesce(e.land_surface_ha_title, m.land_surface_ha) AS land_surface_ha,
+  coalesce(e.power_mwc_title, m.power_mwc) AS power_mwc,
+  g.longitude, g.latitude
+FROM exploded e
+LEFT JOIN year_links y ON e.year_url = y.year_url
+LEFT JOIN measures m ON e.pdf_name = m.pdf_name
+LEFT JOIN gaz g ON e.nom_commune IS NOT DISTINCT FROM g.g_nom AND e.dept IS NOT DISTINCT FROM g.g_dept"""

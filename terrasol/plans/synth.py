@@ -43,3 +43,19 @@ END
 PDF_NAME = "'avis_' || cast(doc_id AS string) || '.pdf'"
 YEAR = "cast(2015 + doc_id % 8 AS string)"
 YEAR_URL = f"'https://www.example.org/' || source || '/' || {YEAR}"
+REGION_NAME = "'Région ' || source"
+
+# Commune gazetteer: nations (some names padded with blanks) plus region rows giving
+# a null-key row and a name repeated in another département.
+GAZETTEER_NATION = """
+SELECT CASE WHEN n_nationkey % 6 = 0 THEN ' ' || n_name || ' ' ELSE n_name END AS nom_commune,
+       cast(n_regionkey AS string) AS code_departement,
+       cast(n_nationkey AS double) * 0.5 + 1.25 AS longitude,
+       45.0 + cast(n_nationkey AS double) * 0.125 AS latitude
+FROM nation"""
+GAZETTEER_REGION = """
+SELECT CASE WHEN r_regionkey = 0 THEN NULL ELSE 'NATION_' || cast(r_regionkey AS string) END AS nom_commune,
+       CASE WHEN r_regionkey = 0 THEN NULL ELSE '1' || cast(r_regionkey AS string) END AS code_departement,
+       cast(r_regionkey AS double) + 100.0 AS longitude,
+       40.0 AS latitude
+FROM region"""
