@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasol.functions import measure, title
-from terrasol.operators import combine
+from terrasol.functions import measure, text as tx, title
+from terrasol.operators import annotate, combine, evaluate, sampling
 from terrasol.plans import synth
 from terrasol.sources.tables import table
 
@@ -63,4 +63,223 @@ def combined_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine.combine_projects(metadata, year_links, measures, _gazetteer(spark, sf_dir))
 
 
-QUERY_NAMES = ["doc_measures", "title_parse", "combined_projects"]
+
+def dept_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gazetteer padding, raw code cleaning, code/commune from a title."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", F.expr(synth.RAW_DEPT).alias("raw_code"))
+    t = cust.withColumn("title", F.expr(synth.DEPT_TITLE))
+    m = title.departement_code_and_commune("title")
+    return t.select("c_custkey", "raw_code", title.gazetteer_dept("raw_code").alias("zfill_code"),
+                    title.clean_departement_code("raw_code").alias("clean_code"),
+                    m["departement_code"].alias("title_code"), m["commune_name"].alias("title_commune"))
+
+
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned text of every document, null texts dropped."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
+    return (docs.select("doc_id", tx.clean_text(F.expr(synth.RAW_TEXT)).alias("pdf_text"))
+                .where(F.col("pdf_text").isNotNull()))
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir, "doc_id", "text", "lang", "n_chars")
+    return table(spark, sf_dir, "labels").join(docs, "doc_id")
+
+
+def dataset_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: labels ⋈ texts → cleaned text, contexts, spans, sorted labels; one row per context."""
+    lab = _labelled(spark, sf_dir).select(
+        F.expr(synth.PDF_NAME).alias("pdf_name"), F.col("text").alias("pdf_text"),
+        F.expr(synth.LAND_TYPE).alias("land_type"), F.expr(synth.CONTEXT).alias("context"))
+    ds = (lab.withColumn("pdf_text", tx.clean_text("pdf_text"))
+             .withColumn("contexts", tx.split_contexts("context"))
+             .withColumn("contexts_locations", tx.context_locations("pdf_text", "contexts"))
+             .withColumn("labels", tx.sorted_labels("land_type"))
+             .where(F.col("pdf_text").isNotNull()))
+    z = F.arrays_zip("contexts", "contexts_locations")
+    return ds.select("pdf_name", F.array_join("labels", "|").alias("labels"),
+                     F.posexplode(z).alias("ctx_pos", "z")).select(
+        "pdf_name", "labels", "ctx_pos", F.col("z.contexts").alias("context"),
+        F.col("z.contexts_locations.start").alias("start"), F.col("z.contexts_locations.length").alias("length"))
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """256-token windows with 10-token overlap, one row per chunk."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
+    return docs.select("doc_id", F.posexplode(tx.chunks("text", 256, 10)).alias("chunk_idx", "toks")).select(
+        "doc_id", "chunk_idx", F.size("toks").alias("n_tokens"), F.array_join("toks", " ").alias("chunk_text"))
+
+
+def chunk_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk scores pooled per (document, label) by mean and max."""
+    ch = chunks(spark, sf_dir)
+    scored = ch.select("doc_id", F.explode(F.array(
+        F.struct(F.lit("a").alias("label"), ((F.length("chunk_text") % 97) / 97.0).alias("score")),
+        F.struct(F.lit("b").alias("label"), (((F.col("n_tokens") * 7 + F.col("chunk_idx")) % 101) / 101.0).alias("score")),
+    )).alias("s")).select("doc_id", "s.*")
+    return scored.groupBy("doc_id", "label").agg(F.round(F.avg("score"), 9).alias("mean_score"),
+                                                 F.max("score").alias("max_score"))
+
+
+def fit_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halve each text until its token count + 1000 fits a 2000-token context."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
+    fb = tx.fit_budget("text", 2000, 1000)
+    return docs.select("doc_id", fb["n_chars"].alias("kept_chars"), fb["n_tokens"].alias("kept_tokens"))
+
+
+def multi_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth columns by substring test of the land_type string."""
+    lab = _labelled(spark, sf_dir).select("doc_id", F.expr(synth.LAND_TYPE).alias("land_type"))
+    return lab.select("doc_id", *evaluate.multi_hot(F.col("land_type")))
+
+
+def isin_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership flag as 0/1."""
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", F.col("p_type").isin("PROMO", "SMALL", "ECONOMY").cast("int").alias("is_artificial"))
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab = _labelled(spark, sf_dir)
+    cols = [F.col("doc_id")]
+    for k in evaluate.LABELS:
+        cols.append(F.expr(synth.TRUTH[k]).cast("int").alias(k))
+        cols.append(F.expr(synth.SCORE[k]).alias(k + "_score"))
+    cols.append(F.expr(synth.PREDICTION_TIME).alias("prediction_time"))
+    return lab.select(*cols)
+
+
+def _round_report(df: DataFrame) -> DataFrame:
+    return df.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")],
+                     F.col("support").cast("long").alias("support"))
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification report at the 0.5 threshold."""
+    pred = _predictions(spark, sf_dir)
+    evaluate.check_score_columns(pred)
+    return _round_report(evaluate.classification_report(pred))
+
+
+def threshold_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best micro-F1 threshold."""
+    out = evaluate.best_threshold(_predictions(spark, sf_dir))
+    return out.select(F.round("threshold", 9).alias("threshold"), F.round("best_f1", 9).alias("best_f1"))
+
+
+def timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total / mean / sample std of prediction times."""
+    t = evaluate.timing_stats(_predictions(spark, sf_dir))
+    return t.select(*[F.round(c, 6).alias(c) for c in t.columns])
+
+
+def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Argmax of each embedding (as logits) against its label."""
+    emb = table(spark, sf_dir, "embeddings").select(
+        "embedding", (F.col("label") % 8).alias("label"))
+    return evaluate.accuracy(emb, "embedding", "label").select(F.round("accuracy", 9).alias("accuracy"))
+
+
+def _annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotation table: every document; labelled ones validated by a user."""
+    docs = _docs(spark, sf_dir, "doc_id", "lang", "n_chars")
+    lab = table(spark, sf_dir, "labels")
+    j = docs.join(lab, "doc_id", "left")
+    truth = {k: F.expr(f"CASE WHEN quality IS NULL THEN NULL ELSE {v} END") for k, v in synth.TRUTH.items()}
+    score = {k: F.expr(synth.SCORE[k].replace("quality", "coalesce(quality, 0)").replace("toxic", "coalesce(toxic, 0)"))
+             for k in evaluate.LABELS}
+    orig = []
+    val = []
+    for k in evaluate.LABELS:
+        orig += [F.lit(k), F.struct(score[k].alias("score"), evaluate.binarise(score[k], 0.5).cast("boolean").alias("pred"))]
+        val += [F.lit(k), truth[k].cast("boolean")]
+    validated = F.col("quality").isNotNull()
+    return j.select(
+        F.expr(synth.PDF_NAME).alias("pdf_name"), "doc_id",
+        validated.alias("is_validated"),
+        F.when(validated, F.expr(synth.VALIDATOR)).alias("validated_by"),
+        F.create_map(*orig).alias("original_predictions"),
+        F.when(validated, F.create_map(*val)).alias("validated_predictions"))
+
+
+def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion and contribution of user_3."""
+    p = annotate.progress(_annotations(spark, sf_dir), user="user_3")
+    return p.select("total_docs", "validated_docs", F.round("overall_completion", 9).alias("overall_completion"),
+                    "user_validated_docs", F.round("user_contribution", 9).alias("user_contribution"))
+
+
+def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated documents per user."""
+    return annotate.leaderboard(_annotations(spark, sf_dir))
+
+
+def human_vs_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report of human validation against the model's predictions."""
+    wide = annotate.human_vs_model(_annotations(spark, sf_dir))
+    return _round_report(evaluate.classification_report(wide))
+
+
+def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated and original prediction summaries."""
+    ann = _annotations(spark, sf_dir)
+    return ann.select("pdf_name", annotate.validated_summary(ann).alias("validated_summary"),
+                      annotate.original_summary(ann).alias("original_summary"))
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select((F.col("user_id") % 40).alias("doc_id"), F.col("user_id"), "ts")
+
+
+def claim_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 batch twin: claim sessions per (document, user), 60-minute expiry."""
+    return annotate.claim_sessions(_claims(spark, sf_dir))
+
+
+def _locks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    last = ev.groupBy("user_id").agg(F.max("ts").alias("locked_at"))
+    ann = _annotations(spark, sf_dir)
+    return ann.join(last, ann.doc_id == last.user_id, "left").select(
+        "pdf_name", "doc_id", "is_validated", F.col("user_id").cast("string").alias("locked_by"), "locked_at")
+
+
+AS_OF_SQL = "TIMESTAMP_NTZ '2024-01-30 23:00:00'"
+
+
+def stale_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """locks older than 30 minutes, and 60-minute expiry of unvalidated ones."""
+    locks = _locks(spark, sf_dir)
+    stale = annotate.stale_locks(locks, F.expr(AS_OF_SQL)).select("pdf_name", F.lit("stale").alias("kind"))
+    released = (annotate.release_expired(locks, F.expr(AS_OF_SQL)).join(locks.select("pdf_name", F.col("locked_by").alias("_b")), "pdf_name")
+                .where(F.col("locked_by").isNull() & F.col("_b").isNotNull()).select("pdf_name", F.lit("expired").alias("kind")))
+    return stale.unionByName(released)
+
+
+def claimable_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next claimable document by seeded hash (top-1 is the feature)."""
+    locks = annotate.release_expired(_locks(spark, sf_dir), F.expr(AS_OF_SQL))
+    return annotate.next_claimable(locks).select("pdf_name")
+
+
+def split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stratified 80/20 split of the labelled documents by quality."""
+    lab = table(spark, sf_dir, "labels")
+    return sampling.stratified_split(lab, "doc_id", "quality", 0.2, "42").select("doc_id", "quality", "split")
+
+
+def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every context occurrence wrapped in <mark> tags (whole texts)."""
+    lab = _labelled(spark, sf_dir).select("doc_id", "text", F.expr(synth.CONTEXT).alias("context"))
+    return lab.select("doc_id", tx.highlight("text", F.split("context", r"\Q[SEP]\E")).alias("highlighted"))
+
+
+QUERY_NAMES = [
+    "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
+    "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
+    "accuracy", "progress", "leaderboard", "human_vs_model", "summaries", "claim_sessions", "stale_claims",
+    "claimable_next", "split_80_20", "highlight",
+]

@@ -144,3 +144,252 @@ FROM exploded e
 LEFT JOIN year_links y ON e.year_url = y.year_url
 LEFT JOIN measures m ON e.pdf_name = m.pdf_name
 LEFT JOIN gaz g ON e.nom_commune IS NOT DISTINCT FROM g.g_nom AND e.dept IS NOT DISTINCT FROM g.g_dept"""
+
+
+def _clean_dept(r: str) -> str:
+    return (f"CASE WHEN length({r}) IN (2, 3) THEN {r} WHEN length({r}) = 5 THEN ("
+            f"CASE WHEN contains({r}, 'A') OR contains({r}, 'B') THEN substr({r}, 1, 2) "
+            f"WHEN try_cast({r} AS BIGINT) IS NULL THEN NULL "
+            f"WHEN try_cast({r} AS BIGINT) > 97000 THEN substr({r}, 1, 3) ELSE substr({r}, 1, 2) END) END")
+
+
+def dept_codes() -> str:
+    pat = _q(T.COMMUNE_CODE)
+    return f"""
+WITH c AS (SELECT c_custkey, c_name, c_mktsegment, {synth.RAW_DEPT} AS raw_code FROM customer),
+t AS (SELECT *, {synth.DEPT_TITLE} AS title FROM c)
+SELECT c_custkey, raw_code,
+  CASE WHEN length(raw_code) < 2 THEN lpad(raw_code, 2, '0') ELSE raw_code END AS zfill_code,
+  {_clean_dept('raw_code')} AS clean_code,
+  CASE WHEN regexp_matches(title, {pat}) THEN {_clean_dept(_strip(f'regexp_extract(title, {pat}, 3)'))} END AS title_code,
+  CASE WHEN regexp_matches(title, {pat}) THEN nullif({_strip(f'regexp_extract(title, {pat}, 2)')}, '') END AS title_commune
+FROM t"""
+
+
+def _clean_text(x: str) -> str:
+    from terrasol.functions.text import IMAGE_PLACEHOLDER
+    return f"regexp_replace(regexp_replace({x}, {_q(IMAGE_PLACEHOLDER)}, '', 'g'), ' {{2,}}', ' ', 'g')"
+
+
+def clean_documents() -> str:
+    return f"""
+SELECT doc_id, pdf_text FROM (SELECT doc_id, {_clean_text(synth.RAW_TEXT)} AS pdf_text FROM documents)
+WHERE pdf_text IS NOT NULL"""
+
+
+_LABELLED = "(SELECT * FROM labels JOIN documents USING (doc_id))"
+
+
+def dataset_build() -> str:
+    return f"""
+WITH lab AS (SELECT {synth.PDF_NAME} AS pdf_name, text AS pdf_text, {synth.LAND_TYPE} AS land_type,
+                    {synth.CONTEXT} AS context FROM {_LABELLED}),
+ds AS (SELECT pdf_name, {_clean_text('pdf_text')} AS pdf_text,
+              string_split({_clean_text('context')}, '[SEP]') AS contexts,
+              list_sort(string_split(land_type, ', ')) AS labels FROM lab WHERE pdf_text IS NOT NULL),
+ex AS (SELECT pdf_name, pdf_text, labels, unnest(generate_series(0, len(contexts) - 1)) AS ctx_pos,
+              unnest(contexts) AS context FROM ds)
+SELECT pdf_name, array_to_string(labels, '|') AS labels, ctx_pos, context,
+       instr(pdf_text, {_strip('context')}) - 1 AS start, length(context) AS length
+FROM ex"""
+
+
+def _tokens(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, {_q(WS + '+')}), lambda t: t <> '')"
+
+
+def chunks() -> str:
+    return f"""
+WITH t AS (SELECT doc_id, {_tokens('text')} AS toks FROM documents),
+s AS (SELECT doc_id, toks, CASE WHEN len(toks) > 0 THEN range(0, len(toks), 246) ELSE [] END AS starts FROM t),
+e AS (SELECT doc_id, toks, unnest(generate_series(0, len(starts) - 1)) AS chunk_idx, unnest(starts) AS st FROM s)
+SELECT doc_id, chunk_idx, len(toks[st + 1 : st + 256]) AS n_tokens, array_to_string(toks[st + 1 : st + 256], ' ') AS chunk_text
+FROM e"""
+
+
+def chunk_pool() -> str:
+    return f"""
+WITH c AS ({chunks()}),
+s AS (SELECT doc_id, 'a' AS label, (length(chunk_text) % 97) / 97.0 AS score FROM c
+      UNION ALL SELECT doc_id, 'b', ((n_tokens * 7 + chunk_idx) % 101) / 101.0 FROM c)
+SELECT doc_id, label, round(avg(score), 9) AS mean_score, max(score) AS max_score FROM s GROUP BY doc_id, label"""
+
+
+def fit_budget() -> str:
+    n = "floor(length(text) / pow(2.0, k))::INTEGER"
+    return f"""
+WITH c AS (SELECT doc_id, list_filter(list_transform(range(0, 41), lambda k: {{'n': {n},
+             'tokens': len({_tokens(f'substring(text, 1, {n})')})}}), lambda s: s.tokens + 1000 <= 2000)[1] AS f
+           FROM documents)
+SELECT doc_id, f.n AS kept_chars, f.tokens AS kept_tokens FROM c"""
+
+
+def multi_hot() -> str:
+    from terrasol.operators.evaluate import LABELS
+    cols = ", ".join(f"CAST(contains(land_type, {_q(v)}) AS INTEGER) AS {k}" for k, v in LABELS.items())
+    return f"SELECT doc_id, {cols} FROM (SELECT doc_id, {synth.LAND_TYPE} AS land_type FROM {_LABELLED})"
+
+
+def isin_flag() -> str:
+    return ("SELECT p_partkey, CASE WHEN p_type IN ('PROMO', 'SMALL', 'ECONOMY') THEN 1 ELSE 0 END AS is_artificial "
+            "FROM part")
+
+
+def _pred_cte() -> str:
+    from terrasol.operators.evaluate import LABELS
+    cols = ", ".join(f"CAST({synth.TRUTH[k]} AS INTEGER) AS {k}, {synth.SCORE[k]} AS {k}_score" for k in LABELS)
+    return f"(SELECT doc_id, {cols}, {synth.PREDICTION_TIME} AS prediction_time FROM {_LABELLED})"
+
+
+def _report_sql(pred: str, threshold: str = "0.5") -> str:
+    from terrasol.operators.evaluate import LABELS
+    p = lambda k: f"CAST(coalesce({k}_score > {threshold}, false) AS INTEGER)"
+    cells = " UNION ALL ".join(f"SELECT {_q(k)} AS label, CAST({k} AS INTEGER) AS y, {p(k)} AS p FROM pr" for k in LABELS)
+    inter = " + ".join(f"CAST({k} AS INTEGER) * {p(k)}" for k in LABELS)
+    nt = " + ".join(f"CAST({k} AS INTEGER)" for k in LABELS)
+    npred = " + ".join(p(k) for k in LABELS)
+    d = lambda a, b: f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
+    return f"""
+WITH pr AS {pred},
+cells AS ({cells}),
+cnt AS (SELECT label, sum(y * p) AS tp, sum((1 - y) * p) AS fp, sum(y * (1 - p)) AS fn FROM cells GROUP BY label),
+pl AS (SELECT label, {d('tp', 'tp + fp')} AS precision, {d('tp', 'tp + fn')} AS recall,
+              {d('2 * tp', '2 * tp + fp + fn')} AS f1, tp + fn AS support FROM cnt),
+mi AS (SELECT sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM cnt),
+rows_ AS (SELECT {inter} AS i, {nt} AS t, {npred} AS np FROM pr),
+allr AS (
+  SELECT label, precision, recall, f1, support FROM pl
+  UNION ALL SELECT 'micro avg', {d('tp', 'tp + fp')}, {d('tp', 'tp + fn')}, {d('2 * tp', '2 * tp + fp + fn')}, tp + fn FROM mi
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM pl
+  UNION ALL SELECT 'weighted avg', {d('sum(precision * support)', 'sum(support)')}, {d('sum(recall * support)', 'sum(support)')},
+                   {d('sum(f1 * support)', 'sum(support)')}, sum(support) FROM pl
+  UNION ALL SELECT 'samples avg', avg({d('i', 'np')}), avg({d('i', 't')}), avg({d('2 * i', 't + np')}), sum(t) FROM rows_)
+SELECT label, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+       CAST(support AS BIGINT) AS support FROM allr"""
+
+
+def report() -> str:
+    return _report_sql(_pred_cte())
+
+
+def threshold_best() -> str:
+    from terrasol.operators.evaluate import LABELS
+    cells = " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS y, {k}_score AS s FROM pr" for k in LABELS)
+    return f"""
+WITH pr AS {_pred_cte()},
+cells AS ({cells}),
+th AS (SELECT i FROM range(20) r(i)),
+sw AS (SELECT i, sum(CASE WHEN coalesce(s > i * 0.05::DOUBLE, false) THEN y ELSE 0 END) AS tp,
+              sum(CASE WHEN coalesce(s > i * 0.05::DOUBLE, false) THEN 1 - y ELSE 0 END) AS fp,
+              sum(y) AS P FROM th, cells GROUP BY i),
+f AS (SELECT i, CASE WHEN 2 * tp + fp + (P - tp) = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + (P - tp)) END AS f1 FROM sw),
+best AS (SELECT i, f1 FROM f WHERE f1 > 0 ORDER BY f1 DESC, i ASC LIMIT 1)
+SELECT round(coalesce((SELECT i * 0.05::DOUBLE FROM best), 0.5), 9) AS threshold,
+       round(coalesce((SELECT f1 FROM best), 0.0), 9) AS best_f1"""
+
+
+def timing() -> str:
+    return f"""SELECT round(sum(prediction_time), 6) AS total, round(avg(prediction_time), 6) AS avg,
+  round(stddev_samp(prediction_time), 6) AS std FROM {_pred_cte()}"""
+
+
+def accuracy() -> str:
+    return """SELECT round(avg(CAST(list_position(embedding, list_max(embedding)) - 1 = label % 8 AS DOUBLE)), 9) AS accuracy
+FROM embeddings"""
+
+
+def _ann_cte() -> str:
+    from terrasol.operators.evaluate import LABELS
+    sc = {k: synth.SCORE[k].replace("quality", "coalesce(quality, 0)").replace("toxic", "coalesce(toxic, 0)")
+          for k in LABELS}
+    cols = ", ".join(
+        f"CASE WHEN quality IS NULL THEN NULL ELSE CAST({synth.TRUTH[k]} AS BOOLEAN) END AS {k}, "
+        f"{sc[k]} AS {k}_score, coalesce({sc[k]} > 0.5, false) AS {k}_pred" for k in LABELS)
+    return f"""(SELECT {synth.PDF_NAME} AS pdf_name, doc_id, quality IS NOT NULL AS is_validated,
+  CASE WHEN quality IS NOT NULL THEN {synth.VALIDATOR} END AS validated_by, {cols}
+  FROM documents LEFT JOIN labels USING (doc_id))"""
+
+
+def progress() -> str:
+    d = lambda a, b: f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
+    return f"""
+WITH a AS (SELECT count(*) AS total_docs, count(*) FILTER (WHERE is_validated) AS validated_docs,
+             count(*) FILTER (WHERE is_validated AND validated_by = 'user_3') AS user_validated_docs FROM {_ann_cte()})
+SELECT total_docs, validated_docs, round({d('validated_docs', 'total_docs')} * 100, 9) AS overall_completion,
+       user_validated_docs, round({d('user_validated_docs', 'validated_docs')} * 100, 9) AS user_contribution FROM a"""
+
+
+def leaderboard() -> str:
+    return f"SELECT validated_by, count(*) AS count FROM {_ann_cte()} WHERE is_validated GROUP BY validated_by"
+
+
+def human_vs_model() -> str:
+    from terrasol.operators.evaluate import LABELS
+    cols = ", ".join(f"CAST(coalesce({k}, false) AS INTEGER) AS {k}, CAST({k}_pred AS DOUBLE) AS {k}_score" for k in LABELS)
+    return _report_sql(f"(SELECT {cols} FROM {_ann_cte()} WHERE is_validated)")
+
+
+def summaries() -> str:
+    from terrasol.operators.evaluate import LABELS
+
+    def summ(flag):
+        keys = "list_filter([" + ", ".join(f"CASE WHEN {flag(k)} THEN {_q(k)} END" for k in LABELS) + "], lambda x: x IS NOT NULL)"
+        return (f"(SELECT CASE WHEN len(ks) > 0 THEN CAST(len(ks) AS VARCHAR) || ' labels: ' || array_to_string(ks, ', ') "
+                f"ELSE 'No labels selected' END FROM (SELECT {keys} AS ks))")
+    return f"""SELECT pdf_name,
+  CASE WHEN NOT is_validated THEN 'Not validated' ELSE {summ(lambda k: k)} END AS validated_summary,
+  {summ(lambda k: k + '_pred')} AS original_summary
+FROM {_ann_cte()}"""
+
+
+def claim_sessions() -> str:
+    return """
+WITH c AS (SELECT user_id % 40 AS doc_id, user_id, ts FROM events),
+g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 60 MINUTE THEN 1 ELSE 0 END AS brk
+      FROM c WINDOW w AS (PARTITION BY doc_id, user_id ORDER BY ts)),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id, user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT doc_id, user_id, min(ts) AS claim_start, max(ts) AS last_refresh, count(*) AS n_events
+FROM s GROUP BY doc_id, user_id, sid"""
+
+
+_AS_OF = "TIMESTAMP '2024-01-30 23:00:00'"
+
+
+def _locks_cte() -> str:
+    return f"""(SELECT a.pdf_name, a.doc_id, a.is_validated, CAST(l.user_id AS VARCHAR) AS locked_by, l.locked_at
+  FROM {_ann_cte()} a LEFT JOIN (SELECT user_id, max(ts) AS locked_at FROM events GROUP BY user_id) l ON a.doc_id = l.user_id)"""
+
+
+def stale_claims() -> str:
+    return f"""
+SELECT pdf_name, 'stale' AS kind FROM {_locks_cte()}
+WHERE locked_by IS NOT NULL AND locked_at <= {_AS_OF} - INTERVAL 30 MINUTE
+UNION ALL
+SELECT pdf_name, 'expired' AS kind FROM {_locks_cte()}
+WHERE locked_by IS NOT NULL AND NOT coalesce(is_validated, false) AND locked_at <= {_AS_OF} - INTERVAL 60 MINUTE"""
+
+
+def claimable_next() -> str:
+    return f"""
+SELECT pdf_name FROM {_locks_cte()}
+WHERE NOT coalesce(is_validated, false)
+  AND (locked_by IS NULL OR (NOT coalesce(is_validated, false) AND locked_at <= {_AS_OF} - INTERVAL 60 MINUTE))
+ORDER BY md5(pdf_name || '42') LIMIT 1"""
+
+
+def split_80_20() -> str:
+    return """
+SELECT doc_id, quality,
+  CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id)
+            <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY quality)) THEN 'test' ELSE 'train' END AS split
+FROM labels"""
+
+
+def highlight() -> str:
+    c = f"(SELECT doc_id, text, string_split({synth.CONTEXT}, '[SEP]') AS cs FROM {_LABELLED})"
+    expr = "text"
+    for i in (1, 2, 3):
+        ci = _strip(f"cs[{i}]")
+        expr = (f"CASE WHEN cs[{i}] IS NULL OR {ci} = '' THEN {expr} ELSE "
+                f"regexp_replace({expr}, '(?i)(\\Q' || {ci} || '\\E)', '<mark>\\1</mark>', 'g') END")
+    return f"SELECT doc_id, {expr} AS highlighted FROM {c}"

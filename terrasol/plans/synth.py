@@ -59,3 +59,58 @@ SELECT CASE WHEN r_regionkey = 0 THEN NULL ELSE 'NATION_' || cast(r_regionkey AS
        cast(r_regionkey AS double) + 100.0 AS longitude,
        40.0 AS latitude
 FROM region"""
+
+# Raw département codes of every length class (customer table).
+RAW_DEPT = """
+CASE c_custkey % 7
+  WHEN 0 THEN cast(c_nationkey AS string)
+  WHEN 1 THEN lpad(cast(c_custkey % 1000 AS string), 3, '0')
+  WHEN 2 THEN '2' || CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'B' END || lpad(cast(c_custkey % 1000 AS string), 3, '0')
+  WHEN 3 THEN cast(97000 + c_custkey % 1000 AS string)
+  WHEN 4 THEN lpad(cast(c_custkey % 97000 AS string), 5, '0')
+  WHEN 5 THEN 'X' || lpad(cast(c_custkey % 10000 AS string), 4, '0')
+  ELSE cast(1000 + c_custkey % 9000 AS string)
+END"""
+DEPT_TITLE = """
+CASE c_custkey % 3
+  WHEN 0 THEN 'Avis sur le projet à Saint-' || c_mktsegment || ' (' || raw_code || ')'
+  WHEN 1 THEN 'Parc sur les communes de ' || c_mktsegment || ' ' || raw_code
+  ELSE 'Rapport ' || c_name || ' ' || raw_code
+END"""
+
+# Raw text with placeholders and blank runs (documents table).
+RAW_TEXT = """
+CASE doc_id % 4
+  WHEN 0 THEN '==> picture [' || cast(doc_id % 10000 AS string) || ' x 34] intentionally omitted <==' || text
+  WHEN 1 THEN text || '    fin   du  texte'
+  WHEN 2 THEN '==> picture [12345 x 34] intentionally omitted <==' || text
+  ELSE text
+END"""
+
+# Labelled dataset inputs (labels ⋈ documents).
+LAND_TYPE = """
+CASE quality * 2 + toxic
+  WHEN 0 THEN 'Surfaces naturelles, Surfaces agricoles'
+  WHEN 1 THEN 'Surfaces artificialisées'
+  WHEN 2 THEN 'Surfaces forestières, Surfaces artificialisées, Surfaces naturelles'
+  ELSE 'Surfaces agricoles'
+END"""
+CONTEXT = """
+substring(text, 1 + doc_id % 50, 40) || '[SEP]' || ' ' || substring(text, 200 + doc_id % 7, 30) ||
+CASE WHEN doc_id % 9 = 0 THEN '[SEP]absent context ' || cast(doc_id AS string) ELSE '' END"""
+
+# Predictions with truth (labels ⋈ documents).
+TRUTH = {
+    "surfaces_artificialisees": "quality",
+    "surfaces_naturelles": "toxic",
+    "surfaces_agricoles": "CASE WHEN lang = 'fr' THEN 1 ELSE 0 END",
+    "surfaces_forestieres": "CASE WHEN lang IN ('de', 'es') AND quality = 0 THEN 1 ELSE 0 END",
+}
+SCORE = {
+    "surfaces_artificialisees": "CASE WHEN doc_id % 11 = 0 THEN NULL ELSE cast((doc_id * 37 + quality * 45) % 100 AS double) / 100 END",
+    "surfaces_naturelles": "cast((doc_id * 53 + toxic * 60) % 100 AS double) / 100",
+    "surfaces_agricoles": "cast((n_chars * 7 + doc_id + CASE WHEN lang = 'fr' THEN 30 ELSE 0 END) % 100 AS double) / 100",
+    "surfaces_forestieres": "CASE WHEN doc_id % 13 = 0 THEN NULL ELSE cast((doc_id * 13) % 100 AS double) / 100 END",
+}
+PREDICTION_TIME = "cast(n_chars % 1000 AS double) / 400 + 0.5"
+VALIDATOR = "'user_' || cast(doc_id % 7 AS string)"
