@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasol.functions import measure, text as tx, title
-from terrasol.operators import annotate, combine, evaluate, sampling
+from terrasol.functions import harvest as hv
+from terrasol.operators import annotate, combine, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources.tables import table
 
@@ -277,9 +278,145 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.select("doc_id", tx.highlight("text", F.split("context", r"\Q[SEP]\E")).alias("highlighted"))
 
 
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every anchor of every page, resolved."""
+    return harvest.extract_links(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "link_pos", "href", "anchor_text", "abs_url", "file_name", "is_pdf", "year")
+
+
+def follow_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link targets, fetched or still to crawl."""
+    pages = table(spark, sf_dir, "pages")
+    links = harvest.extract_links(pages.select("page_id", "url", "html"))
+    return harvest.follow_frontier(links, pages.select("url"))
+
+
+def harvest_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three harvest layouts, each with its relevance rule, unioned."""
+    docs = _docs(spark, sf_dir, "doc_id", "source", "text", "n_chars")
+    base = docs.select("doc_id", F.expr(synth.SOURCE_NO).alias("_src"), F.expr(synth.TITLE).alias("project_name"),
+                       F.expr(synth.PDF_URL).alias("pdf_url"), "source", "text")
+    a = base.where((F.col("_src") == 0) & hv.relevant_folded("project_name")).select(
+        "project_name", "pdf_url", hv.file_name("pdf_url").alias("pdf_filename"),
+        F.substring("text", 1, 80).alias("description"))
+    b = base.where((F.col("_src") == 1) & hv.relevant_regex("project_name")).select(
+        "project_name", "pdf_url", hv.file_name("pdf_url", keep_query=False).alias("pdf_filename"),
+        hv.parse_date(F.expr(synth.SLASH_DATE), "dd/MM/yyyy").alias("publish_date_scraped"),
+        F.expr("'NATION_' || cast(doc_id % 25 AS string)").alias("commune_name_scraped"))
+    c = base.where((F.col("_src") == 2) & hv.relevant_plain("project_name")).select(
+        "project_name", "pdf_url", hv.sanitize_filename(F.concat(F.col("project_name"), F.lit(".pdf"))).alias("pdf_filename"),
+        hv.parse_french_date(F.expr(synth.FRENCH_DATE)).alias("publish_date_scraped"),
+        F.lit("973").alias("departement_code"), hv.first_year(F.expr(synth.FRENCH_DATE)).alias("year_scraped"))
+    return harvest.union_sources(a, b, c)
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    plan = orders.select(F.expr("'https://www.example.org/avis_' || cast(o_orderkey AS string) || '.pdf'").alias("pdf_url"))
+    plan = plan.withColumn("pdf_filename", hv.file_name("pdf_url"))
+    existing = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1).select(
+        F.expr("'avis_' || cast(l_orderkey AS string) || '.pdf'").alias("file_name"),
+        ((F.col("l_partkey") % 4) * 1000).alias("size"))
+    return harvest.download_plan(plan, existing)
+
+
+def download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skip files already present and non-empty."""
+    return _plan(spark, sf_dir).select("pdf_filename", "pdf_url", "action")
+
+
+def download_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the download plan."""
+    return harvest.download_stats(_plan(spark, sf_dir))
+
+
+def relevance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3a-c/F4/F7/F10: relevance and class flags of every title."""
+    docs = _docs(spark, sf_dir, "doc_id", "source", "n_chars")
+    t = docs.select("doc_id", F.expr(synth.TITLE).alias("t"), F.expr(synth.YEAR).alias("y"),
+                    F.expr(synth.PDF_URL).alias("u"))
+    return t.select("doc_id", hv.relevant_folded("t").cast("int").alias("f3a"), hv.relevant_regex("t").cast("int").alias("f3b"),
+                    hv.relevant_plain("t").cast("int").alias("f3c"), hv.is_opinion_title("t").cast("int").alias("f4_avis"),
+                    hv.is_opinion_or_case("t").cast("int").alias("f4_lower"),
+                    hv.year_in_range("y").cast("int").alias("f7_year"), hv.is_pdf("u").cast("int").alias("f10_pdf"))
+
+
+PROFILED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax"]
+
+
+def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: per-column profile of lineitem (exact statistics)."""
+    p = profile.profile(table(spark, sf_dir, "lineitem"), PROFILED)
+    return p.select("column_name", "min", "max", "n_distinct", F.round("avg", 4).alias("avg"),
+                    F.round("std", 4).alias("std"), "count", F.round("null_percentage", 6).alias("null_percentage"))
+
+
+def _parks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = table(spark, sf_dir, "customer")
+    return cust.select("c_custkey", F.expr(synth.PARK_ID).alias("id"),
+                       parks.split_list(F.expr(synth.INSEE_LIST)).alias("insee_com"),
+                       parks.split_list(F.expr(synth.TERRITORY_CODES)).alias("territory_codes"))
+
+
+def commune_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parks per first commune code."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("COM"))
+    return parks.count_by_first_commune(_parks(spark, sf_dir), nation)
+
+
+def crs_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projected CRS chosen from the commune codes."""
+    p = _parks(spark, sf_dir)
+    return p.select("c_custkey", F.size("territory_codes").alias("n_codes"),
+                    parks.territory_crs("territory_codes").alias("srid"))
+
+
+def decimal_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DECIMAL(18,3) projection and global sum."""
+    return parks.decimal_total(table(spark, sf_dir, "part"), "p_retailprice")
+
+
+def tech_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Solar installations per technology (null group kept)."""
+    part = table(spark, sf_dir, "part").select(F.expr(synth.FILIERE).alias("filiere"),
+                                               F.expr(synth.TECHNOLOGIE).alias("technologie"))
+    return parks.count_by(part, "technologie", F.col("filiere") == "Solaire")
+
+
+def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model answers parsed against the fixed schema."""
+    lab = _labelled(spark, sf_dir).select("doc_id", F.expr(synth.ANSWER).alias("answer"),
+                                          F.expr(synth.STOP_REASON).alias("stop_reason"))
+    p = scoring.parse_answers(lab)
+    return p.select("doc_id", "status", *[k + "_score" for k in evaluate.LABELS],
+                    F.when(F.col("contexts").isNotNull(), F.size("contexts")).alias("n_contexts"), "explanation")
+
+
+def upsert_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Import keyed on pdf_name into the annotation table (validation preserved)."""
+    orders = table(spark, sf_dir, "orders")
+    existing = orders.select(
+        F.expr("'avis_' || cast(o_orderkey AS string)").alias("pdf_name"),
+        F.expr("'old ' || o_orderstatus").alias("explanation"),
+        F.lit(None).cast("double").alias("prediction_time"),
+        (F.col("o_orderstatus") == "F").alias("is_validated"),
+        F.expr("CASE WHEN o_orderstatus = 'F' THEN 'user_' || cast(o_custkey % 5 AS string) END").alias("validated_by"))
+    batch = table(spark, sf_dir, "lineitem").select(
+        F.expr("'avis_' || cast(l_orderkey * 2 + l_linenumber % 2 AS string)").alias("pdf_name"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_ord"),
+        F.expr("'new ' || l_returnflag || cast(l_linenumber AS string)").alias("explanation"),
+        F.col("l_quantity").alias("prediction_time"))
+    return annotate.upsert(existing, batch).select("pdf_name", "explanation", "prediction_time", "is_validated",
+                                                   "validated_by", "action")
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
     "accuracy", "progress", "leaderboard", "human_vs_model", "summaries", "claim_sessions", "stale_claims",
-    "claimable_next", "split_80_20", "highlight",
+    "claimable_next", "split_80_20", "highlight", "page_links", "follow_frontier", "harvest_union",
+    "download_plan", "download_stats", "relevance_filter", "profile_table", "commune_counts", "crs_select",
+    "decimal_sum", "tech_counts", "parse_answers", "upsert_import",
 ]

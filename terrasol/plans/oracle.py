@@ -393,3 +393,188 @@ def highlight() -> str:
         expr = (f"CASE WHEN cs[{i}] IS NULL OR {ci} = '' THEN {expr} ELSE "
                 f"regexp_replace({expr}, '(?i)(\\Q' || {ci} || '\\E)', '<mark>\\1</mark>', 'g') END")
     return f"SELECT doc_id, {expr} AS highlighted FROM {c}"
+
+
+def _resolve(b: str, h0: str) -> str:
+    from terrasol.functions import harvest as H
+    h = f"replace({h0}, '&amp;', '&')"
+    scheme = f"regexp_extract({b}, {_q(H.SCHEME)}, 1)"
+    origin = f"({scheme} || '://' || regexp_extract({b}, {_q(H.AUTHORITY)}, 1))"
+    path = f"regexp_extract({b}, {_q(H.PATH)}, 1)"
+    no_frag = f"regexp_extract({b}, '^([^#]*)', 1)"
+    directory = f"coalesce(nullif(regexp_extract({path}, '^(.*/)', 1), ''), '/')"
+    return (f"CASE WHEN regexp_matches({h}, {_q(H.SCHEME)}) THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+            f"WHEN starts_with({h}, '/') THEN {origin} || {h} "
+            f"WHEN {h} = '' THEN {no_frag} "
+            f"WHEN starts_with({h}, '#') THEN {no_frag} || {h} "
+            f"WHEN starts_with({h}, '?') THEN {origin} || {path} || {h} "
+            f"ELSE {origin} || {directory} || {h} END")
+
+
+def _links_cte() -> str:
+    from terrasol.functions import harvest as H
+    a = _q(H.ANCHOR)
+    return f"""(
+  SELECT page_id, link_pos, href, anchor_text, abs_url, regexp_extract(abs_url, '([^/]*)$', 1) AS file_name,
+         ends_with(lower(abs_url), '.pdf') AS is_pdf, nullif(regexp_extract(anchor_text, '([0-9]{{4}})', 1), '') AS year
+  FROM (SELECT page_id, link_pos, href, {_strip("regexp_replace(atext, '<[^>]*>', '', 'g')")} AS anchor_text,
+               {_resolve('url', 'href')} AS abs_url
+        FROM (SELECT page_id, url, unnest(generate_series(0, len(hs) - 1)) AS link_pos, unnest(hs) AS href, unnest(ts) AS atext
+              FROM (SELECT page_id, url, regexp_extract_all(html, {a}, 1) AS hs, regexp_extract_all(html, {a}, 2) AS ts FROM pages))))"""
+
+
+def page_links() -> str:
+    return f"SELECT * FROM {_links_cte()}"
+
+
+def follow_frontier() -> str:
+    return f"""
+SELECT t.abs_url, t.n_refs, coalesce(f.fetched, false) AS fetched
+FROM (SELECT abs_url, count(*) AS n_refs FROM {_links_cte()} GROUP BY abs_url) t
+LEFT JOIN (SELECT DISTINCT url AS abs_url, true AS fetched FROM pages) f ON t.abs_url = f.abs_url"""
+
+
+def _rel_folded(t: str) -> str:
+    return f"(contains(translate(lower({t}), 'ï', 'i'), 'voltaique') OR contains(translate(lower({t}), 'ï', 'i'), 'solaire'))"
+
+
+def _rel_regex(t: str) -> str:
+    return f"regexp_matches({t}, '(?i)volta[iï]que|solaire')"
+
+
+def _rel_plain(t: str) -> str:
+    lt = f"lower({_strip(t)})"
+    return f"(contains({lt}, 'solaire') OR contains({lt}, 'voltaïque') OR contains({lt}, 'voltaique'))"
+
+
+def _french_date(s: str) -> str:
+    from terrasol.functions.harvest import FRENCH_MONTHS
+    t = f"regexp_replace(lower({_strip(s)}), '^1er\\b', '1')"
+    for i, m in enumerate(FRENCH_MONTHS, start=1):
+        t = f"regexp_replace({t}, {_q(chr(92) + 'b' + m + chr(92) + 'b')}, '{i}')"
+    return f"CAST(try_strptime({t}, '%d %m %Y') AS DATE)"
+
+
+def harvest_union() -> str:
+    from terrasol.functions.harvest import UNSAFE_FILENAME_CHARS
+    base = (f"(SELECT doc_id, {synth.SOURCE_NO} AS _src, {synth.TITLE} AS project_name, {synth.PDF_URL} AS pdf_url, "
+            f"source, text FROM documents)")
+    san = f"substring(regexp_replace(regexp_replace(project_name || '.pdf', {_q(UNSAFE_FILENAME_CHARS)}, '_', 'g'), '^[. ]+|[. ]+$', '', 'g'), 1, 150)"
+    return f"""
+SELECT project_name, pdf_url, regexp_extract(pdf_url, '([^/]*)$', 1) AS pdf_filename, substring(text, 1, 80) AS description,
+       NULL::DATE AS publish_date_scraped, NULL::VARCHAR AS commune_name_scraped, NULL::VARCHAR AS departement_code, NULL::VARCHAR AS year_scraped
+FROM {base} WHERE _src = 0 AND {_rel_folded('project_name')}
+UNION ALL
+SELECT project_name, pdf_url, regexp_extract(regexp_extract(pdf_url, '^([^?#]*)', 1), '([^/]*)$', 1), NULL,
+       CAST(try_strptime({synth.SLASH_DATE}, '%d/%m/%Y') AS DATE), 'NATION_' || cast(doc_id % 25 AS string), NULL, NULL
+FROM {base} WHERE _src = 1 AND {_rel_regex('project_name')}
+UNION ALL
+SELECT project_name, pdf_url, {san}, NULL, {_french_date(synth.FRENCH_DATE)}, NULL, '973',
+       nullif(regexp_extract({synth.FRENCH_DATE}, '([0-9]{{4}})', 1), '')
+FROM {base} WHERE _src = 2 AND {_rel_plain('project_name')}"""
+
+
+def _plan_sql() -> str:
+    return """(
+SELECT p.pdf_filename, p.pdf_url, CASE WHEN d.fn IS NOT NULL THEN 'skip' ELSE 'download' END AS action
+FROM (SELECT 'https://www.example.org/avis_' || cast(o_orderkey AS string) || '.pdf' AS pdf_url,
+             'avis_' || cast(o_orderkey AS string) || '.pdf' AS pdf_filename FROM orders) p
+LEFT JOIN (SELECT DISTINCT 'avis_' || cast(l_orderkey AS string) || '.pdf' AS fn FROM lineitem
+           WHERE l_linenumber = 1 AND (l_partkey % 4) * 1000 > 0) d ON p.pdf_filename = d.fn)"""
+
+
+def download_plan() -> str:
+    return f"SELECT * FROM {_plan_sql()}"
+
+
+def download_stats() -> str:
+    return (f"SELECT count(*) AS total, count(*) FILTER (WHERE action = 'skip') AS skipped, "
+            f"count(*) FILTER (WHERE action = 'download') AS to_download FROM {_plan_sql()}")
+
+
+def relevance_filter() -> str:
+    y = synth.YEAR
+    return f"""
+SELECT doc_id, CAST({_rel_folded('t')} AS INTEGER) AS f3a, CAST({_rel_regex('t')} AS INTEGER) AS f3b,
+  CAST({_rel_plain('t')} AS INTEGER) AS f3c, CAST(contains(t, 'Avis') AS INTEGER) AS f4_avis,
+  CAST(contains(lower(t), 'cas par cas') OR contains(lower(t), 'avis') AS INTEGER) AS f4_lower,
+  CAST(regexp_matches(y, '^[0-9]+$') AND try_cast(y AS INTEGER) BETWEEN 2010 AND 2017 AS INTEGER) AS f7_year,
+  CAST(ends_with(lower(u), '.pdf') AS INTEGER) AS f10_pdf
+FROM (SELECT doc_id, {synth.TITLE} AS t, {y} AS y, {synth.PDF_URL} AS u FROM documents)"""
+
+
+def profile_table() -> str:
+    from terrasol.plans.driver import PROFILED
+    parts = []
+    for c in PROFILED:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, min({x}) AS min, max({x}) AS max, count(DISTINCT {x}) AS n_distinct, "
+            f"round(avg({x}), 4) AS avg, round(stddev_samp({x}), 4) AS std, count({x}) AS count, "
+            f"round(100.0::DOUBLE * (count(*) - count({x})) / count(*), 6) AS null_percentage FROM lineitem")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _parks_sql() -> str:
+    return (f"(SELECT c_custkey, {synth.PARK_ID} AS id, string_split({synth.INSEE_LIST}, ', ') AS insee_com, "
+            f"string_split({synth.TERRITORY_CODES}, ', ') AS territory_codes FROM customer)")
+
+
+def commune_counts() -> str:
+    return f"""
+SELECT c.COM, count(DISTINCT p.id) AS num_installations
+FROM {_parks_sql()} p LEFT JOIN (SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS COM FROM nation) c ON p.insee_com[1] = c.COM
+GROUP BY c.COM"""
+
+
+def crs_select() -> str:
+    from terrasol.operators.parks import DEFAULT_CRS, TERRITORY_CRS
+    whens = " ".join(
+        "WHEN list_bool_or(list_transform(territory_codes, lambda s: "
+        + " OR ".join(f"starts_with(s, '{p}')" for p in prefixes) + f")) THEN {srid}"
+        for prefixes, srid in TERRITORY_CRS)
+    return f"SELECT c_custkey, len(territory_codes) AS n_codes, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM {_parks_sql()}"
+
+
+def decimal_sum() -> str:
+    return ("SELECT CAST(sum(CAST(p_retailprice AS DECIMAL(18,3))) AS DECIMAL(38,3)) AS sum_p_retailprice, "
+            "count(CAST(p_retailprice AS DECIMAL(18,3))) AS n FROM part")
+
+
+def tech_counts() -> str:
+    return (f"SELECT technologie, count(*) AS len FROM (SELECT {synth.FILIERE} AS filiere, {synth.TECHNOLOGIE} AS technologie "
+            f"FROM part) WHERE filiere = 'Solaire' GROUP BY technologie")
+
+
+def parse_answers() -> str:
+    from terrasol.operators.evaluate import LABELS
+    scores = ", ".join(
+        f"CASE WHEN status = 'unparsed' THEN 0.0 WHEN status = 'parsed' THEN "
+        f"CAST(json_extract(answer, '$.scores.\"{name}\"') AS DOUBLE) END AS {k}_score"
+        for k, name in LABELS.items())
+    return f"""
+WITH a AS (SELECT doc_id, {synth.ANSWER} AS answer, {synth.STOP_REASON} AS stop_reason FROM {_LABELLED}),
+s AS (SELECT *, CASE WHEN NOT (json_valid(answer) AND json_type(CASE WHEN json_valid(answer) THEN answer ELSE '0' END) = 'OBJECT')
+                     THEN 'unparsed' WHEN stop_reason = 'maxPredictedTokensReached' THEN 'truncated' ELSE 'parsed' END AS status FROM a)
+SELECT doc_id, status, {scores},
+  CASE WHEN status = 'parsed' THEN CAST(json_array_length(answer, '$.contexts') AS INTEGER) END AS n_contexts,
+  CASE WHEN status = 'parsed' THEN json_extract_string(answer, '$.explanation') END AS explanation
+FROM s"""
+
+
+def upsert_import() -> str:
+    return """
+WITH o AS (SELECT 'avis_' || cast(o_orderkey AS string) AS pdf_name, 'old ' || o_orderstatus AS explanation,
+                  NULL::DOUBLE AS prediction_time, o_orderstatus = 'F' AS is_validated,
+                  CASE WHEN o_orderstatus = 'F' THEN 'user_' || cast(o_custkey % 5 AS string) END AS validated_by FROM orders),
+b AS (SELECT 'avis_' || cast(l_orderkey * 2 + l_linenumber % 2 AS string) AS pdf_name, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+             'new ' || l_returnflag || cast(l_linenumber AS string) AS explanation, l_quantity AS prediction_time FROM lineitem),
+n AS (SELECT pdf_name, explanation, prediction_time FROM (SELECT *, row_number() OVER (PARTITION BY pdf_name
+        ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn FROM b) WHERE rn = 1)
+SELECT coalesce(o.pdf_name, n.pdf_name) AS pdf_name,
+  CASE WHEN n.pdf_name IS NOT NULL THEN n.explanation ELSE o.explanation END AS explanation,
+  CASE WHEN n.pdf_name IS NOT NULL THEN n.prediction_time ELSE o.prediction_time END AS prediction_time,
+  o.is_validated, o.validated_by,
+  CASE WHEN o.pdf_name IS NULL THEN 'created' WHEN n.pdf_name IS NULL THEN 'unchanged' ELSE 'updated' END AS action
+FROM o FULL OUTER JOIN n ON o.pdf_name = n.pdf_name"""

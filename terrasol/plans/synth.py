@@ -114,3 +114,41 @@ SCORE = {
 }
 PREDICTION_TIME = "cast(n_chars % 1000 AS double) / 400 + 0.5"
 VALIDATOR = "'user_' || cast(doc_id % 7 AS string)"
+
+# Harvest sources cut from documents by source number (three layouts).
+SOURCE_NO = "cast(substr(source, 4) AS int) % 3"
+PDF_URL = "'https://www.example.org/' || source || '/avis_' || cast(doc_id AS string) || '.pdf'"
+SLASH_DATE = ("lpad(cast(doc_id % 28 + 1 AS string), 2, '0') || '/' || lpad(cast(doc_id % 12 + 1 AS string), 2, '0')"
+              " || '/' || cast(2012 + doc_id % 9 AS string)")
+FRENCH_DATE = """
+CASE WHEN doc_id % 10 = 0 THEN 'date inconnue' ELSE
+  CASE WHEN doc_id % 28 = 0 THEN '1er' ELSE cast(doc_id % 28 + 1 AS string) END || ' ' ||
+  CASE doc_id % 12 WHEN 0 THEN 'janvier' WHEN 1 THEN 'février' WHEN 2 THEN 'mars' WHEN 3 THEN 'avril'
+    WHEN 4 THEN 'mai' WHEN 5 THEN 'juin' WHEN 6 THEN 'juillet' WHEN 7 THEN 'août' WHEN 8 THEN 'septembre'
+    WHEN 9 THEN 'octobre' WHEN 10 THEN 'novembre' ELSE 'décembre' END || ' ' || cast(2012 + doc_id % 9 AS string)
+END"""
+
+# Parks derived from customer rows.
+PARK_ID = "c_custkey % 1000"
+INSEE_LIST = "cast(c_custkey % 30 AS string) || ', ' || cast(c_nationkey AS string)"
+TERRITORY_CODES = """
+CASE c_custkey % 8 WHEN 0 THEN '97105' WHEN 1 THEN '97209' WHEN 2 THEN '97302' WHEN 3 THEN '97411'
+  WHEN 4 THEN '97608' WHEN 5 THEN '29720' WHEN 6 THEN '33063' ELSE '75056' END ||
+CASE WHEN c_custkey % 3 = 0 THEN ', ' || CASE c_custkey % 5 WHEN 0 THEN '97302' WHEN 1 THEN '97411' ELSE '13055' END ELSE '' END"""
+
+# Registry of installations derived from part rows.
+FILIERE = "CASE WHEN p_size % 4 = 0 THEN 'Eolien' ELSE 'Solaire' END"
+TECHNOLOGIE = "CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_type END"
+
+# Model answers derived from labels ⋈ documents.
+ANSWER = """
+CASE doc_id % 5
+  WHEN 0 THEN 'not json ' || cast(doc_id AS string)
+  WHEN 3 THEN '{"scores": {"Surfaces artificialisées": 1}, "contexts": [], "explanation": "partial"}'
+  ELSE '{"scores": {"Surfaces artificialisées": 0.' || cast(doc_id % 10 AS string) ||
+       ', "Surfaces naturelles": 0.' || cast(quality * 5 + 2 AS string) ||
+       ', "Surfaces agricoles": 0.' || cast(toxic * 6 + 1 AS string) ||
+       ', "Surfaces forestières": 0.0' || cast(doc_id % 7 AS string) ||
+       '}, "contexts": ["' || lang || '", "ctx ' || cast(doc_id AS string) || '"], "explanation": "exp ' || cast(doc_id AS string) || '"}'
+END"""
+STOP_REASON = "CASE WHEN doc_id % 5 = 2 THEN 'maxPredictedTokensReached' ELSE 'eosFound' END"
