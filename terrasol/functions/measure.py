@@ -62,6 +62,25 @@ def context_section(text) -> Column:
     different root number (two missing roots compare equal).
     """
     pieces = F.split(col(text), r"(?dm)(?=^#)")
+    heads = _headings(pieces)
+    start = _start(heads)
+    return _section(pieces, heads, start)
+
+
+def with_context_section(df: DataFrame, text_col: str, out: str = "_section") -> DataFrame:
+    """DataFrame form of :func:`context_section` with staged intermediates."""
+    return (df.withColumn("_pieces", F.split(F.col(text_col), r"(?dm)(?=^#)"))
+              .withColumn("_heads", _headings(F.col("_pieces")))
+              .withColumn("_start", _start(F.col("_heads")))
+              .withColumn(out, _section(F.col("_pieces"), F.col("_heads"), F.col("_start")))
+              .drop("_pieces", "_heads", "_start"))
+
+
+def _start(heads: Column) -> Column:
+    return F.get(F.filter(heads, lambda h: h["is_heading"] & h["hit"]), 0)
+
+
+def _headings(pieces: Column) -> Column:
 
     def describe(p, i):
         title = F.regexp_extract(p, rf"(?d)^#+{WS}*(.*)", 1)
@@ -74,13 +93,14 @@ def context_section(text) -> Column:
             i.alias("idx"),
             p.startswith("#").alias("is_heading"),
             F.length(F.regexp_extract(p, r"^(#+)", 1)).alias("level"),
-            F.when(F.regexp_extract(clean, rf"^({DIGIT}+)", 1) != "",
-                   F.regexp_extract(clean, rf"^({DIGIT}+)", 1)).alias("root"),
+            F.nullif(F.regexp_extract(clean, rf"^({DIGIT}+)", 1), F.lit("")).alias("root"),
             hit.alias("hit"),
         )
 
-    heads = F.transform(pieces, describe)
-    start = F.get(F.filter(heads, lambda h: h["is_heading"] & h["hit"]), 0)
+    return F.transform(pieces, describe)
+
+
+def _section(pieces: Column, heads: Column, start: Column) -> Column:
     end = F.coalesce(
         F.get(F.filter(heads, lambda h: h["is_heading"] & (h["idx"] > start["idx"]) & (
             (h["level"] < start["level"])
@@ -92,11 +112,26 @@ def context_section(text) -> Column:
 
 def document_measures(df: DataFrame, text_col: str = "pdf_text", mode: str = "compat") -> DataFrame:
     """Add ``land_surface_ha`` and ``power_mwc`` (X9): section first, whole text when
-    the section is missing or yields no (non-zero) value."""
-    sec = context_section(text_col)
-    return (df.withColumn("_section", sec)
-              .withColumn("land_surface_ha", F.coalesce(max_surface_ha("_section", mode),
-                                                        max_surface_ha(text_col, mode)))
-              .withColumn("power_mwc", F.coalesce(max_power_mwc("_section", mode),
-                                                  max_power_mwc(text_col, mode)))
-              .drop("_section"))
+    the section is missing or yields no (non-zero) value.
+
+    Intermediate results are staged as columns so every regex runs once per row
+    (Catalyst does not collapse projections that would duplicate them)."""
+    staged = with_context_section(df, text_col, "_section")
+    units = ("ha", "m2", "mwc", "kwc", "wc")
+    for src in ("_section", text_col):
+        for u in units:
+            staged = staged.withColumn(f"_{u}_{src}", max_unit(src, u, mode))
+
+    def nz(c):
+        return F.nullif(F.col(c), F.lit(0))
+
+    def surface(src):
+        return F.coalesce(nz(f"_ha_{src}"), F.nullif(F.col(f"_m2_{src}") / 10000, F.lit(0)))
+
+    def power(src):
+        return F.coalesce(nz(f"_mwc_{src}"), F.nullif(F.col(f"_kwc_{src}") / 1000, F.lit(0)),
+                          F.nullif(F.col(f"_wc_{src}") / 1000000, F.lit(0)))
+
+    out = staged.select("*", F.coalesce(surface("_section"), surface(text_col)).alias("land_surface_ha"),
+                        F.coalesce(power("_section"), power(text_col)).alias("power_mwc"))
+    return out.drop("_section", *[f"_{u}_{src}" for src in ("_section", text_col) for u in units])

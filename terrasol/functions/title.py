@@ -8,7 +8,7 @@ functions so a title never leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasol.functions.common import DIGIT, WORD, WS, col, nullif_empty, strip
@@ -64,14 +64,18 @@ def commune_names(before: Column) -> Column:
 def parse_title(c) -> Column:
     """Struct of the five title fields (X16); numbers are doubles (deliberate fix)."""
     raw = col(c)
-    project_type = nullif_empty(F.regexp_extract(raw, TYPE_PATTERN, 0))
-    mwc = nullif_empty(F.regexp_extract(raw, TITLE_MWC, 1))
-    ha = nullif_empty(F.regexp_extract(raw, TITLE_HA, 1))
     t = normalise_title(raw)
-    has_dept = t.rlike(rf"(?d){DEPT_TAIL}")
     split_re = rf"(?sd)^(.*?){DEPT_TAIL}"
+    has_dept = t.rlike(rf"(?d){DEPT_TAIL}")
     before = strip(F.regexp_extract(t, split_re, 1))
     dept = F.translate(F.regexp_extract(t, split_re, 2), "O", "0")
+    return _title_struct(raw, has_dept, before, dept)
+
+
+def _title_struct(raw: Column, has_dept: Column, before: Column, dept: Column) -> Column:
+    project_type = nullif_empty(F.regexp_extract(raw, TYPE_PATTERN, 0))
+    mwc = nullif_empty(F.regexp_extract(raw, TITLE_MWC, 1))
+    ha = nullif_empty(F.regexp_extract(raw, TITLE_HA, 1))
     return F.struct(
         project_type.alias("project_type"),
         F.when(has_dept, commune_names(before)).otherwise(F.array().cast("array<string>")).alias("communes"),
@@ -81,6 +85,20 @@ def parse_title(c) -> Column:
     )
 
 
+def with_parsed_title(df: DataFrame, title_col: str, out: str = "_t") -> DataFrame:
+    """DataFrame form of :func:`parse_title` with staged intermediates, so the
+    normalised title and the text before the département are computed once."""
+    split_re = rf"(?sd)^(.*?){DEPT_TAIL}"
+    staged = (df.withColumn("_raw", F.col(title_col))
+                .withColumn("_norm", normalise_title(F.col("_raw")))
+                .withColumn("_has_dept", F.col("_norm").rlike(rf"(?d){DEPT_TAIL}"))
+                .withColumn("_before", strip(F.regexp_extract(F.col("_norm"), split_re, 1)))
+                .withColumn("_dept", F.translate(F.regexp_extract(F.col("_norm"), split_re, 2), "O", "0"))
+                .withColumn("_last", _last_keyword_end(F.col("_before"))))
+    return (staged.withColumn(out, _title_struct(F.col("_raw"), F.col("_has_dept"), F.col("_before"), F.col("_dept")))
+                  .drop("_raw", "_norm", "_has_dept", "_before", "_dept", "_last"))
+
+
 def gazetteer_dept(code) -> Column:
     """``str(code).zfill(2)``: left-pad to two characters, never truncate."""
     c = col(code).cast("string")

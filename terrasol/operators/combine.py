@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasol.functions.common import strip
-from terrasol.functions.title import gazetteer_dept, parse_title
+from terrasol.functions.title import gazetteer_dept, with_parsed_title
 from terrasol.operators.joins import bounded_broadcast, null_safe_left_join
 
 COMBINED_COLUMNS = ["pdf_name", "year", "region", "project_type", "nom_commune", "dept",
@@ -30,7 +30,7 @@ def combine_projects(metadata: DataFrame, year_links: DataFrame, measures: DataF
     years = bounded_broadcast(year_links.select("year_url", "region", "year"))
     merged = (metadata.join(years, "year_url", "left")
                       .join(measures.select("pdf_name", "land_surface_ha", "power_mwc"), "pdf_name", "left"))
-    parsed = merged.withColumn("_t", parse_title("title"))
+    parsed = with_parsed_title(merged, "title", "_t")
     exploded = (parsed
                 .select("*", F.explode_outer("_t.communes").alias("_commune"))
                 .select("*",

@@ -15,11 +15,12 @@ from terrasol.functions import measure, text as tx, title
 from terrasol.functions import harvest as hv
 from terrasol.operators import annotate, combine, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
-from terrasol.sources.tables import table
+from terrasol.sources.tables import spread, table
 
 
 def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(*cols)
+    docs = table(spark, sf_dir, "documents").select(*cols)
+    return spread(docs) if "text" in cols else docs
 
 
 def doc_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def doc_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def title_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title fields, communes flattened to a joined string for comparison."""
     docs = _docs(spark, sf_dir, "doc_id", "n_chars")
-    parsed = docs.select("doc_id", title.parse_title(F.expr(synth.TITLE)).alias("t"))
+    parsed = title.with_parsed_title(docs.select("doc_id", F.expr(synth.TITLE).alias("title")), "title", "t")
     return parsed.select(
         "doc_id", "t.project_type", "t.dept", "t.land_surface_ha_title", "t.power_mwc_title",
         F.size("t.communes").alias("n_communes"),
@@ -281,14 +282,14 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every anchor of every page, resolved."""
-    return harvest.extract_links(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+    return harvest.extract_links(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).select(
         "page_id", "link_pos", "href", "anchor_text", "abs_url", "file_name", "is_pdf", "year")
 
 
 def follow_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link targets, fetched or still to crawl."""
     pages = table(spark, sf_dir, "pages")
-    links = harvest.extract_links(pages.select("page_id", "url", "html"))
+    links = harvest.extract_links(spread(pages.select("page_id", "url", "html")))
     return harvest.follow_frontier(links, pages.select("url"))
 
 
@@ -348,7 +349,7 @@ PROFILED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: per-column profile of lineitem (exact statistics)."""
-    p = profile.profile(table(spark, sf_dir, "lineitem"), PROFILED)
+    p = profile.profile(spread(table(spark, sf_dir, "lineitem").select(*PROFILED)), PROFILED)
     return p.select("column_name", "min", "max", "n_distinct", F.round("avg", 4).alias("avg"),
                     F.round("std", 4).alias("std"), "count", F.round("null_percentage", 6).alias("null_percentage"))
 

@@ -20,3 +20,18 @@ def register_all(spark: SparkSession, sf_dir: str) -> None:
     """Register every driver table as a temp view (for SQL-expressed plans)."""
     for name in TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row-local work over the cluster.
+
+    A scan yields one partition per file split; a small or unsplittable file
+    (one parquet row group) gives a single task.  When the scan has fewer
+    partitions than the cluster's parallelism we round-robin repartition the
+    *already projected* rows; on large inputs the scan is split finely and this
+    is a no-op (no extra shuffle).
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(target) if n < target else df
