@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from terrasol.functions import measure, text as tx, title
 from terrasol.functions import harvest as hv
-from terrasol.operators import annotate, combine, evaluate, harvest, parks, profile, sampling, scoring
+from terrasol.functions import geo
+from terrasol.operators import annotate, combine, cover, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources.tables import spread, table
 
@@ -413,11 +414,98 @@ def upsert_import(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    "validated_by", "action")
 
 
+
+def _park_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sup = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.expr(synth.PARK_X0).alias("x0"), F.expr(synth.PARK_Y0).alias("y0"),
+        F.expr(synth.PARK_W).alias("w"), F.expr(synth.PARK_H).alias("h"), F.expr(synth.PARK_L).alias("is_l"),
+        F.expr(synth.PARK_MILLESIME).alias("millesime"), F.expr(synth.PARK_SURF).alias("surf_parc"))
+    x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
+    xm, ym = F.col("x0") + F.col("w") / 2, F.col("y0") + F.col("h") / 2
+    l_ring = F.array(geo.point(x0, y0), geo.point(x1, y0), geo.point(x1, ym), geo.point(xm, ym),
+                     geo.point(xm, y1), geo.point(x0, y1), geo.point(x0, y0))
+    ring = F.when(F.col("is_l"), l_ring).otherwise(geo.rectangle_ring(x0, y0, x1, y1))
+    return sup.select("id", "millesime", "surf_parc", F.lit(2154).alias("srid"), F.array(ring).alias("geom"))
+
+
+def _cover_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(
+        F.expr(synth.COVER_ID).alias("id_1"), F.expr(synth.COVER_MILLESIME).alias("millesime_ocs"),
+        F.expr(synth.CODE_US).alias("code_us"), F.expr(synth.COVER_X0).alias("x0"), F.expr(synth.COVER_Y0).alias("y0"),
+        F.expr(synth.COVER_W).alias("w"), F.expr(synth.COVER_H).alias("h"), F.expr(synth.COVER_HOLE).alias("hole"))
+    x0, y0, w, h = F.col("x0"), F.col("y0"), F.col("w"), F.col("h")
+    outer = geo.rectangle_ring(x0, y0, x0 + w, y0 + h)
+    inner = geo.rectangle_ring(x0 + w / 4, y0 + h / 4, x0 + w - w / 4, y0 + h - h / 4)
+    rings = F.when(F.col("hole"), F.array(outer, F.reverse(inner))).otherwise(F.array(outer))
+    return part.select("id_1", "millesime_ocs", "code_us", F.lit(2154).alias("srid"), rings.alias("ocs_geom"))
+
+
+def _link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover.park_cover_link(_park_polygons(spark, sf_dir), _cover_polygons(spark, sf_dir), cell=500.0)
+
+
+def park_cover_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parks ⟕ land-cover polygons on intersection, with the three areas."""
+    link = _link(spark, sf_dir)
+    return link.select("id", "id_1", "millesime", "millesime_ocs", "code_us",
+                       F.round("project_geom_area", 6).alias("project_geom_area"),
+                       F.round("ocs_geom_area", 6).alias("ocs_geom_area"),
+                       F.round("geom_intersection_area", 6).alias("geom_intersection_area"))
+
+
+def vintage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strictly older covers, unique latest vintage per (park, cover id)."""
+    f = cover.latest_vintage(_link(spark, sf_dir))
+    return f.select("id", "id_1", "millesime_ocs", F.round("geom_intersection_area", 6).alias("geom_intersection_area"))
+
+
+def has_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: parks with and without a cover after the vintage filter."""
+    return cover.has_cover_counts(cover.latest_vintage(_link(spark, sf_dir)))
+
+
+def area_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared vs geometric vs intersected areas per park."""
+    a = cover.area_check(cover.latest_vintage(_link(spark, sf_dir)))
+    return a.select("id", "num_lines", "num_unique_ocs_tiles",
+                    *[F.round(c, 6).alias(c) for c in ("surf_parc", "project_geom_area", "geom_intersection_area",
+                                                        "area_error", "area_geom_error")])
+
+
+def usage_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surface by land use with the unmatched residual."""
+    u = cover.usage_shares(cover.latest_vintage(_link(spark, sf_dir)))
+    return u.select("code_us", F.round("surface", 6).alias("surface"), F.round("pct_surface", 6).alias("pct_surface"))
+
+
+def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shoelace area and centroid of every park polygon."""
+    p = _park_polygons(spark, sf_dir)
+    c = geo.centroid("geom")
+    return p.select("id", F.round(geo.polygon_area("geom"), 6).alias("area"),
+                    F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"))
+
+
+def geojson_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON features of covers (coloured by code) and park outlines once."""
+    return cover.geojson_features(cover.latest_vintage(_link(spark, sf_dir)))
+
+
+def crs_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer points (lon/lat) projected to their territory CRS."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr(synth.POINT_LON).alias("lon"), F.expr(synth.POINT_LAT).alias("lat"),
+        parks.territory_crs(parks.split_list(F.expr(synth.TERRITORY_CODES))).alias("srid"))
+    xy = geo.project("lon", "lat", "srid")
+    return cust.select("c_custkey", "srid", F.round(xy["x"], 3).alias("x"), F.round(xy["y"], 3).alias("y"))
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
     "accuracy", "progress", "leaderboard", "human_vs_model", "summaries", "claim_sessions", "stale_claims",
     "claimable_next", "split_80_20", "highlight", "page_links", "follow_frontier", "harvest_union",
     "download_plan", "download_stats", "relevance_filter", "profile_table", "commune_counts", "crs_select",
-    "decimal_sum", "tech_counts", "parse_answers", "upsert_import",
+    "decimal_sum", "tech_counts", "parse_answers", "upsert_import", "park_cover_link", "vintage_latest",
+    "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
 ]

@@ -578,3 +578,139 @@ SELECT coalesce(o.pdf_name, n.pdf_name) AS pdf_name,
   o.is_validated, o.validated_by,
   CASE WHEN o.pdf_name IS NULL THEN 'created' WHEN n.pdf_name IS NULL THEN 'unchanged' ELSE 'updated' END AS action
 FROM o FULL OUTER JOIN n ON o.pdf_name = n.pdf_name"""
+
+
+def _link_sql() -> str:
+    s = synth
+    return f"""(
+WITH pk AS (SELECT s_suppkey AS id, {s.PARK_MILLESIME} AS millesime, {s.PARK_SURF} AS surf_parc, {s.PARK_X0} AS x0,
+                   {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier),
+pieces AS (
+  SELECT id, x0 AS px0, y0 AS py0, x0 + w AS px1, CASE WHEN is_l THEN y0 + h / 2 ELSE y0 + h END AS py1 FROM pk
+  UNION ALL SELECT id, x0, y0 + h / 2, x0 + w / 2, y0 + h FROM pk WHERE is_l),
+cv AS (SELECT p_partkey AS ck, {s.COVER_ID} AS id_1, {s.COVER_MILLESIME} AS millesime_ocs, {s.CODE_US} AS code_us,
+              {s.COVER_X0} AS ox0, {s.COVER_Y0} AS oy0, {s.COVER_W} AS w, {s.COVER_H} AS h, {s.COVER_HOLE} AS hole FROM part),
+cv2 AS (SELECT *, ox0 + w AS ox1, oy0 + h AS oy1, ox0 + w / 4 AS hx0, oy0 + h / 4 AS hy0, ox0 + w - w / 4 AS hx1,
+               oy0 + h - h / 4 AS hy1, w * h - CASE WHEN hole THEN (w / 2) * (h / 2) ELSE 0 END AS ocs_geom_area FROM cv),
+pp AS (
+  SELECT q.id, c.ck,
+    greatest(0, least(q.px1, c.ox1) - greatest(q.px0, c.ox0)) * greatest(0, least(q.py1, c.oy1) - greatest(q.py0, c.oy0))
+    - CASE WHEN c.hole THEN greatest(0, least(q.px1, c.hx1) - greatest(q.px0, c.hx0)) * greatest(0, least(q.py1, c.hy1) - greatest(q.py0, c.hy0)) ELSE 0 END AS a,
+    (q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1)
+      AND NOT (c.hole AND c.hx0 < q.px0 AND q.px1 < c.hx1 AND c.hy0 < q.py0 AND q.py1 < c.hy1) AS hit
+  FROM pieces q JOIN cv2 c ON q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1),
+m AS (SELECT id, ck, sum(a) AS geom_intersection_area FROM pp GROUP BY id, ck HAVING bool_or(hit))
+SELECT pk.id, c.id_1, pk.millesime, c.millesime_ocs, c.code_us, pk.surf_parc,
+  pk.w * pk.h - CASE WHEN pk.is_l THEN (pk.w / 2) * (pk.h / 2) ELSE 0 END AS project_geom_area,
+  c.ocs_geom_area, m.geom_intersection_area
+FROM pk LEFT JOIN m ON pk.id = m.id LEFT JOIN cv2 c ON m.ck = c.ck)"""
+
+
+def park_cover_link() -> str:
+    return f"""SELECT id, id_1, millesime, millesime_ocs, code_us, round(project_geom_area, 6) AS project_geom_area,
+  round(ocs_geom_area, 6) AS ocs_geom_area, round(geom_intersection_area, 6) AS geom_intersection_area FROM {_link_sql()}"""
+
+
+def _latest_sql() -> str:
+    return f"""(SELECT * EXCLUDE (_top, _n_top) FROM (
+  SELECT *, count(CASE WHEN millesime_ocs = _top THEN 1 END) OVER (PARTITION BY id, id_1) AS _n_top
+  FROM (SELECT *, max(millesime_ocs) OVER (PARTITION BY id, id_1) AS _top
+        FROM {_link_sql()} WHERE millesime > millesime_ocs OR id_1 IS NULL))
+ WHERE id_1 IS NULL OR (millesime_ocs = _top AND _n_top = 1))"""
+
+
+def vintage_latest() -> str:
+    return f"SELECT id, id_1, millesime_ocs, round(geom_intersection_area, 6) AS geom_intersection_area FROM {_latest_sql()}"
+
+
+def has_cover() -> str:
+    return f"""SELECT has_ocs, count(*) AS count FROM (SELECT id, count(id_1) > 0 AS has_ocs FROM {_latest_sql()} GROUP BY id)
+GROUP BY has_ocs"""
+
+
+def area_check() -> str:
+    return f"""
+SELECT id, num_lines, num_unique_ocs_tiles, round(surf_parc, 6) AS surf_parc, round(project_geom_area, 6) AS project_geom_area,
+  round(gia, 6) AS geom_intersection_area, round((surf_parc - gia) / surf_parc, 6) AS area_error,
+  round(CASE WHEN project_geom_area = 0 THEN NULL ELSE (project_geom_area - gia) / project_geom_area END, 6) AS area_geom_error
+FROM (SELECT id, max(surf_parc) AS surf_parc, max(project_geom_area) AS project_geom_area, count(*) AS num_lines,
+             count(DISTINCT id_1) + max(CASE WHEN id_1 IS NULL THEN 1 ELSE 0 END) AS num_unique_ocs_tiles,
+             coalesce(sum(geom_intersection_area), 0.0) AS gia FROM {_latest_sql()} GROUP BY id)"""
+
+
+def usage_shares() -> str:
+    from terrasol.operators.cover import CODES_US_MAPPING, NO_MATCH, UNKNOWN_CODE
+    rec = "CASE code_us " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in CODES_US_MAPPING.items()) + " ELSE code_us END"
+    return f"""
+WITH f AS (SELECT id, coalesce(code_us, {_q(UNKNOWN_CODE)}) AS code_us, geom_intersection_area AS a, project_geom_area FROM {_latest_sql()}),
+u AS (SELECT id, code_us, coalesce(sum(a), 0.0) AS surface FROM f GROUP BY id, code_us
+      UNION ALL SELECT id, {_q(NO_MATCH)}, max(project_geom_area) - coalesce(sum(a), 0.0) FROM f GROUP BY id),
+b AS (SELECT code_us, sum(surface) AS surface FROM u GROUP BY code_us)
+SELECT {rec} AS code_us, round(surface, 6) AS surface, round(100 * surface / (SELECT sum(surface) FROM b), 6) AS pct_surface FROM b"""
+
+
+def polygon_area_centroid() -> str:
+    s = synth
+    return f"""
+WITH pk AS (SELECT s_suppkey AS id, {s.PARK_X0} AS x0, {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier)
+SELECT id,
+  round(CASE WHEN is_l THEN w * (h / 2) + (w / 2) * (h / 2) ELSE w * h END, 6) AS area,
+  round(CASE WHEN is_l THEN (w * (h / 2) * (x0 + w / 2) + (w / 2) * (h / 2) * (x0 + w / 4)) / (w * (h / 2) + (w / 2) * (h / 2))
+        ELSE x0 + w / 2 END, 6) AS cx,
+  round(CASE WHEN is_l THEN (w * (h / 2) * (y0 + h / 4) + (w / 2) * (h / 2) * (y0 + 3 * h / 4)) / (w * (h / 2) + (w / 2) * (h / 2))
+        ELSE y0 + h / 2 END, 6) AS cy
+FROM pk"""
+
+
+def crs_project() -> str:
+    import math
+    from terrasol.functions import geo as G
+    from terrasol.operators.parks import DEFAULT_CRS, TERRITORY_CRS
+    e2 = G._e2()
+    e = math.sqrt(e2)
+    p = G.LCC_2154
+    rad = math.pi / 180
+
+    def m(phi):
+        return math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
+
+    def t(phi):
+        return math.tan(math.pi / 4 - phi / 2) / ((1 - e * math.sin(phi)) / (1 + e * math.sin(phi))) ** (e / 2)
+
+    p1, p2, p0 = p["lat1"] * rad, p["lat2"] * rad, p["lat0"] * rad
+    n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1)) - math.log(t(p2)))
+    bf = m(p1) / (n * t(p1) ** n)
+    r0 = G.GRS80_A * bf * t(p0) ** n
+    phi = f"(lat * {rad!r})"
+    es = f"({e!r} * sin({phi}))"
+    r = f"({G.GRS80_A * bf!r} * pow(tan({math.pi / 4!r} - {phi} / 2) / pow((1 - {es}) / (1 + {es}), {e / 2!r}), {n!r}))"
+    theta = f"({n!r} * (lon - {p['lon0']!r}) * {rad!r})"
+    lx = f"({p['fe']!r} + {r} * sin({theta}))"
+    ly = f"({p['fn'] + r0!r} - {r} * cos({theta}))"
+    ep2 = e2 / (1 - e2)
+    e4, e6 = e2 * e2, e2 * e2 * e2
+
+    def utm(code):
+        lon0, fn = G.UTM[code]
+        lam = f"((lon - {lon0!r}) * {rad!r})"
+        nu = f"({G.GRS80_A!r} / sqrt(1 - {e2!r} * sin({phi}) * sin({phi})))"
+        tt = f"(tan({phi}) * tan({phi}))"
+        c = f"({ep2!r} * cos({phi}) * cos({phi}))"
+        a = f"(cos({phi}) * {lam})"
+        mer = (f"({G.GRS80_A!r} * ({1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256!r} * {phi} - {3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024!r} * sin(2 * {phi})"
+               f" + {15 * e4 / 256 + 45 * e6 / 1024!r} * sin(4 * {phi}) - {35 * e6 / 3072!r} * sin(6 * {phi})))")
+        x = (f"({G.UTM_K0!r} * {nu} * ({a} + (1 - {tt} + {c}) * pow({a}, 3) / 6 + (5 - 18 * {tt} + {tt} * {tt} + 72 * {c} - 58 * {ep2!r}) * pow({a}, 5) / 120))")
+        y = (f"({G.UTM_K0!r} * ({mer} + {nu} * tan({phi}) * ({a} * {a} / 2 + (5 - {tt} + 9 * {c} + 4 * {c} * {c}) * pow({a}, 4) / 24"
+             f" + (61 - 58 * {tt} + {tt} * {tt} + 600 * {c} - 330 * {ep2!r}) * pow({a}, 6) / 720)))")
+        return f"({G.UTM_FE!r} + {x})", f"({fn!r} + {y})"
+
+    xs = f"CASE WHEN srid = 2154 THEN {lx} " + " ".join(f"WHEN srid = {c} THEN {utm(c)[0]}" for c in G.UTM) + " END"
+    ys = f"CASE WHEN srid = 2154 THEN {ly} " + " ".join(f"WHEN srid = {c} THEN {utm(c)[1]}" for c in G.UTM) + " END"
+    whens = " ".join(
+        "WHEN list_bool_or(list_transform(codes, lambda s: " + " OR ".join(f"starts_with(s, '{q}')" for q in prefixes)
+        + f")) THEN {srid}" for prefixes, srid in TERRITORY_CRS)
+    return f"""
+WITH c AS (SELECT c_custkey, {synth.POINT_LON} AS lon, {synth.POINT_LAT} AS lat,
+                  string_split({synth.TERRITORY_CODES}, ', ') AS codes FROM customer),
+d AS (SELECT *, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM c)
+SELECT c_custkey, srid, round({xs}, 3) AS x, round({ys}, 3) AS y FROM d"""

@@ -152,3 +152,34 @@ CASE doc_id % 5
        '}, "contexts": ["' || lang || '", "ctx ' || cast(doc_id AS string) || '"], "explanation": "exp ' || cast(doc_id AS string) || '"}'
 END"""
 STOP_REASON = "CASE WHEN doc_id % 5 = 2 THEN 'maxPredictedTokensReached' ELSE 'eosFound' END"
+
+# Park rectangles / L-shapes (supplier) and land-cover rectangles with holes (part), metres in EPSG:2154.
+PARK_X0 = "cast(s_suppkey AS double) * 1000.0 + 100.0 + cast(s_suppkey % 3 AS double) * 50.0"
+PARK_Y0 = "6600000.0 + cast(s_suppkey % 5 AS double) * 40.0"
+PARK_W = "cast(2 * (50 + s_suppkey % 7 * 15) AS double)"
+PARK_H = "cast(2 * (40 + s_suppkey % 5 * 20) AS double)"
+PARK_L = "s_suppkey % 4 = 0"
+PARK_MILLESIME = "cast(2018 + s_suppkey % 5 AS int)"
+PARK_SURF = "cast(2 * (50 + s_suppkey % 7 * 15) AS double) * cast(2 * (40 + s_suppkey % 5 * 20) AS double) + cast(s_suppkey % 3 AS double) * 10.0"
+COVER_X0 = "cast(floor(p_partkey / 20) AS double) * 1000.0 + cast(p_partkey % 20 AS double) * 15.0 + 20.0"
+COVER_Y0 = "6600000.0 + cast(p_partkey % 7 AS double) * 30.0"
+COVER_W = "cast(4 * (15 + p_size) AS double)"
+COVER_H = "cast(4 * (12 + p_partkey % 11 * 5) AS double)"
+COVER_HOLE = "p_partkey % 6 = 0"
+COVER_ID = "'OCS_' || cast(cast(floor(p_partkey / 2) AS bigint) AS string)"
+COVER_MILLESIME = "cast(2015 + cast(floor(p_partkey / 2) AS bigint) % 8 + CASE WHEN p_partkey % 6 = 1 THEN 1 ELSE 0 END AS int)"
+CODE_US = """
+CASE p_partkey % 22
+  WHEN 0 THEN 'US1.1' WHEN 1 THEN 'US1.2' WHEN 2 THEN 'US1.3' WHEN 3 THEN 'US1.4' WHEN 4 THEN 'US1.5'
+  WHEN 5 THEN 'US2' WHEN 6 THEN 'US235' WHEN 7 THEN 'US3' WHEN 8 THEN 'US4.1.1' WHEN 9 THEN 'US4.1.2'
+  WHEN 10 THEN 'US4.1.3' WHEN 11 THEN 'US4.1.4' WHEN 12 THEN 'US4.1.5' WHEN 13 THEN 'US4.2' WHEN 14 THEN 'US4.3'
+  WHEN 15 THEN 'US5' WHEN 16 THEN 'US6.1' WHEN 17 THEN 'US6.2' WHEN 18 THEN 'US6.3' WHEN 19 THEN 'US6.6'
+  WHEN 20 THEN NULL ELSE 'US9.9' END"""
+
+# Points (customer) near the territory of their CRS: lon/lat degrees.
+POINT_LON = """
+CASE c_custkey % 8 WHEN 0 THEN -61.5 WHEN 1 THEN -61.0 WHEN 2 THEN -53.0 WHEN 3 THEN 55.5 WHEN 4 THEN 45.1
+  ELSE 2.0 END + cast(c_custkey % 50 AS double) * 0.01"""
+POINT_LAT = """
+CASE c_custkey % 8 WHEN 0 THEN 16.2 WHEN 1 THEN 14.6 WHEN 2 THEN 4.9 WHEN 3 THEN -21.1 WHEN 4 THEN -12.8
+  ELSE 46.0 END + cast(c_custkey % 40 AS double) * 0.01"""
