@@ -154,3 +154,79 @@ def geojson_polygon(rings) -> Column:
     """GeoJSON geometry string of a polygon."""
     coords = F.transform(col(rings), lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")))
+
+
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType  # noqa: E402
+
+RINGS_TYPE = ArrayType(ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])))
+
+
+def _decode_coordinates(s):
+    import json
+
+    import pandas as pd
+    out = []
+    for txt in s:
+        if txt is None:
+            out.append(None)
+            continue
+        rings = json.loads(txt)
+        out.append([[{"x": float(p[0]), "y": float(p[1])} for p in ring] for ring in rings])
+    return pd.Series(out)
+
+
+# GeoJSON polygon ``coordinates`` text → rings, decoded in Arrow batches (G1).
+rings_from_coordinates = F.pandas_udf(_decode_coordinates, RINGS_TYPE)
+
+
+def decode_wkb_polygons(s):
+    """Little/big-endian WKB Polygon / MultiPolygon (first polygon) → rings (G1)."""
+    import struct as st
+
+    import pandas as pd
+    out = []
+    for b in s:
+        if b is None:
+            out.append(None)
+            continue
+        b = bytes(b)
+        end = "<" if b[0] == 1 else ">"
+        kind = st.unpack(end + "I", b[1:5])[0] & 0xFF
+        off = 5
+        if kind == 6:  # MultiPolygon: skip count and the first polygon header
+            off += 4
+            end = "<" if b[off] == 1 else ">"
+            off += 5
+        n_rings = st.unpack(end + "I", b[off:off + 4])[0]
+        off += 4
+        rings = []
+        for _ in range(n_rings):
+            n = st.unpack(end + "I", b[off:off + 4])[0]
+            off += 4
+            xy = st.unpack(end + "d" * (2 * n), b[off:off + 16 * n])
+            off += 16 * n
+            rings.append([{"x": xy[2 * i], "y": xy[2 * i + 1]} for i in range(n)])
+        out.append(rings)
+    return pd.Series(out)
+
+
+rings_from_wkb = F.pandas_udf(decode_wkb_polygons, RINGS_TYPE)
+
+
+def decode_coordinates_table(df, text_col: str, out_col: str):
+    """Replace a GeoJSON ``coordinates`` text column by decoded rings, table-wise
+    (``mapInPandas``, Arrow batches).  Like geometry read from storage, the
+    decoded column is opaque to the optimizer."""
+    from pyspark.sql.types import StructField as SF, StructType as ST
+
+    fields = [f for f in df.schema.fields if f.name != text_col]
+    schema = ST(fields + [SF(out_col, RINGS_TYPE)])
+    names = [f.name for f in fields]
+
+    def run(batches):
+        for pdf in batches:
+            out = pdf[names].copy()
+            out[out_col] = _decode_coordinates(pdf[text_col]).values
+            yield out
+
+    return df.mapInPandas(run, schema)

@@ -145,29 +145,34 @@ def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) ->
     return pd.DataFrame({"area": area, "intersects": inter})
 
 
-@F.pandas_udf(PAIR_SCHEMA)
-def _pair_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+def _pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     return intersection_area_and_intersects(a, b)
 
 
-# ----------------------------------------------------------------------------- grid join
+# Marked non-deterministic only so Catalyst evaluates it once: otherwise the
+# filter on ``intersects`` and the projection of ``area`` each get a copy.
+_pair_udf = F.pandas_udf(_pair, PAIR_SCHEMA).asNondeterministic()
 
-def _with_cells(df: DataFrame, geom: str, cell: float, coarse_factor: int, max_cells: int) -> DataFrame:
-    bb = geo.bbox(geom)
-    d = df.withColumn("_bb", bb)
 
-    def span(level_size):
-        return ((F.floor(F.col("_bb.maxx") / level_size) - F.floor(F.col("_bb.minx") / level_size) + 1)
-                * (F.floor(F.col("_bb.maxy") / level_size) - F.floor(F.col("_bb.miny") / level_size) + 1))
+# ----------------------------------------------------------------------------- grid join
 
-    return d.withColumn("_level", F.when(span(cell) <= max_cells, F.lit(0)).otherwise(F.lit(1)))
+def _with_cells(df: DataFrame, geom: str, cell: float, max_cells: int, p: str) -> DataFrame:
+    """Flat bounding-box columns ``{p}minx..{p}maxy`` and the level ``{p}level``."""
+    bb = geo.bbox(geom)
+    d = df.withColumn("_bbs", bb).select(
+        *df.columns, *[F.col("_bbs." + k).alias(p + k) for k in ("minx", "miny", "maxx", "maxy")])
+    span = ((F.floor(F.col(p + "maxx") / cell) - F.floor(F.col(p + "minx") / cell) + 1)
+            * (F.floor(F.col(p + "maxy") / cell) - F.floor(F.col(p + "miny") / cell) + 1))
+    return d.withColumn(p + "level", F.when(span <= max_cells, F.lit(0)).otherwise(F.lit(1)))
 
 
-def _explode(df: DataFrame, level: int, size: float) -> DataFrame:
-    xs = F.sequence(F.floor(F.col("_bb.minx") / size).cast("long"), F.floor(F.col("_bb.maxx") / size).cast("long"))
-    ys = F.sequence(F.floor(F.col("_bb.miny") / size).cast("long"), F.floor(F.col("_bb.maxy") / size).cast("long"))
+def _explode(df: DataFrame, p: str, size: float) -> DataFrame:
+    """One row per grid cell (``{p}cx``, ``{p}cy``) covered by the bounding box."""
+    xs = F.sequence(F.floor(F.col(p + "minx") / size).cast("long"), F.floor(F.col(p + "maxx") / size).cast("long"))
+    ys = F.sequence(F.floor(F.col(p + "miny") / size).cast("long"), F.floor(F.col(p + "maxy") / size).cast("long"))
     cells = F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
-    return df.select("*", F.lit(level).alias("_jl"), F.explode(cells).alias("_cell"))
+    return df.select("*", F.inline(F.transform(cells, lambda c: F.struct(c["cx"].alias(p + "cx"),
+                                                                         c["cy"].alias(p + "cy")))))
 
 
 def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom", right_geom: str = "geom",
@@ -176,34 +181,33 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     """``left ⟕ right ON intersects(left_geom, right_geom)`` within the same srid.
 
     Adds ``geom_intersection_area`` (0 for boundary contact); right columns are
-    null for left rows without partner.  ``left_key`` must identify left rows.
+    null for left rows without partner.  ``left_key`` must identify left rows;
+    right column names must not collide with left ones (except ``srid``).
     """
     coarse = cell * coarse_factor
     r_cols = [c for c in right.columns if c != srid]
-    L = _with_cells(left.select(left_key, srid, F.col(left_geom).alias("_ga")), "_ga", cell, coarse_factor, max_cells)
-    R = _with_cells(right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rsrid"),
-                                 F.col(right_geom).alias("_gb")), "_gb", cell, coarse_factor, max_cells)
-    R = R.withColumnRenamed("_bb", "_rbb").withColumnRenamed("_level", "_rlevel")
-    Rr = R.withColumn("_bb", F.col("_rbb"))
-    # level-0 pairs: both fine; level-1 pairs: at least one coarse polygon.
-    l0 = _explode(L.where(F.col("_level") == 0), 0, cell)
-    r0 = _explode(Rr.where(F.col("_rlevel") == 0), 0, cell).drop("_bb")
-    l1_all = _explode(L, 1, coarse)
-    r1_big = _explode(Rr.where(F.col("_rlevel") == 1), 1, coarse).drop("_bb")
-    l1_big = _explode(L.where(F.col("_level") == 1), 1, coarse)
-    r1_small = _explode(Rr.where(F.col("_rlevel") == 0), 1, coarse).drop("_bb")
-
-    def pairs(lx, rx, size):
-        j = lx.join(rx, (lx[srid] == rx["_rsrid"]) & (lx["_cell"] == rx["_cell"]) & (lx["_jl"] == rx["_jl"]))
-        ov = ((F.col("_bb.minx") <= F.col("_rbb.maxx")) & (F.col("_rbb.minx") <= F.col("_bb.maxx"))
-              & (F.col("_bb.miny") <= F.col("_rbb.maxy")) & (F.col("_rbb.miny") <= F.col("_bb.maxy")))
-        ref = ((F.floor(F.greatest("_bb.minx", "_rbb.minx") / size) == lx["_cell.cx"])
-               & (F.floor(F.greatest("_bb.miny", "_rbb.miny") / size) == lx["_cell.cy"]))
-        return j.where(ov & ref).select(lx[left_key], "_ga", "_gb", *["_r_" + c for c in r_cols])
-
-    cand = pairs(l0, r0, cell).unionByName(pairs(l1_all, r1_big, coarse)).unionByName(pairs(l1_big, r1_small, coarse))
+    L = _with_cells(left.select(F.col(left_key).alias("_lk"), F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga")),
+                    "_ga", cell, max_cells, "_l")
+    R = _with_cells(right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rs"),
+                                 F.col(right_geom).alias("_gb")), "_gb", cell, max_cells, "_r")
+
+    def pairs(lx: DataFrame, rx: DataFrame, size: float) -> DataFrame:
+        lx, rx = _explode(lx, "_l", size), _explode(rx, "_r", size)
+        j = lx.join(rx, (F.col("_ls") == F.col("_rs")) & (F.col("_lcx") == F.col("_rcx")) & (F.col("_lcy") == F.col("_rcy")))
+        overlap = ((F.col("_lminx") <= F.col("_rmaxx")) & (F.col("_rminx") <= F.col("_lmaxx"))
+                   & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
+        reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
+                     & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
+        return j.where(overlap & reference).select("_lk", "_ga", "_gb", *["_r_" + c for c in r_cols])
+
+    small_l, big_l = L.where(F.col("_llevel") == 0), L.where(F.col("_llevel") == 1)
+    small_r, big_r = R.where(F.col("_rlevel") == 0), R.where(F.col("_rlevel") == 1)
+    # a pair is handled at the coarser level of its two polygons
+    cand = (pairs(small_l, small_r, cell)
+            .unionByName(pairs(L, big_r, coarse))
+            .unionByName(pairs(big_l, small_r, coarse)))
     exact = cand.withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
-    matched = exact.select(F.col(left_key).alias("_lk"), *[F.col("_r_" + c).alias(c) for c in r_cols],
+    matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"))
     # left outer: every left row, partners when any.
     return left.join(matched, left[left_key] == matched["_lk"], "left").drop("_lk")

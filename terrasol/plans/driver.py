@@ -415,29 +415,54 @@ def upsert_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+RINGS_SCHEMA = "array<array<struct<x: double, y: double>>>"
+
+
+def _ring_json(*pts) -> F.Column:
+    """GeoJSON coordinates text of one closed ring from (x, y) column pairs."""
+    parts = []
+    for i, (x, y) in enumerate(pts):
+        parts += [F.lit(("," if i else "") + "["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]")]
+    return F.concat(F.lit("["), *parts, F.lit("]"))
+
+
+def _rings(*rings) -> F.Column:
+    """GeoJSON polygon coordinates text; decoded by an Arrow UDF like stored geometry."""
+    body = [rings[0]]
+    for r in rings[1:]:
+        body += [F.lit(","), r]
+    return F.concat(F.lit("["), *body, F.lit("]"))
+
+
 def _park_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"), F.expr(synth.PARK_X0).alias("x0"), F.expr(synth.PARK_Y0).alias("y0"),
         F.expr(synth.PARK_W).alias("w"), F.expr(synth.PARK_H).alias("h"), F.expr(synth.PARK_L).alias("is_l"),
-        F.expr(synth.PARK_MILLESIME).alias("millesime"), F.expr(synth.PARK_SURF).alias("surf_parc"))
+        F.expr(synth.PARK_MILLESIME).alias("millesime"), F.expr(synth.PARK_SURF).alias("surf_parc"),
+        F.expr(synth.PARK_SRID).alias("srid"))
     x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     xm, ym = F.col("x0") + F.col("w") / 2, F.col("y0") + F.col("h") / 2
-    l_ring = F.array(geo.point(x0, y0), geo.point(x1, y0), geo.point(x1, ym), geo.point(xm, ym),
-                     geo.point(xm, y1), geo.point(x0, y1), geo.point(x0, y0))
-    ring = F.when(F.col("is_l"), l_ring).otherwise(geo.rectangle_ring(x0, y0, x1, y1))
-    return sup.select("id", "millesime", "surf_parc", F.lit(2154).alias("srid"), F.array(ring).alias("geom"))
+    l_ring = _ring_json((x0, y0), (x1, y0), (x1, ym), (xm, ym), (xm, y1), (x0, y1), (x0, y0))
+    rect = _ring_json((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    text = F.when(F.col("is_l"), _rings(l_ring)).otherwise(_rings(rect))
+    return geo.decode_coordinates_table(sup.select("id", "millesime", "surf_parc", "srid", text.alias("_coords")),
+                                        "_coords", "geom")
 
 
 def _cover_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         F.expr(synth.COVER_ID).alias("id_1"), F.expr(synth.COVER_MILLESIME).alias("millesime_ocs"),
         F.expr(synth.CODE_US).alias("code_us"), F.expr(synth.COVER_X0).alias("x0"), F.expr(synth.COVER_Y0).alias("y0"),
-        F.expr(synth.COVER_W).alias("w"), F.expr(synth.COVER_H).alias("h"), F.expr(synth.COVER_HOLE).alias("hole"))
+        F.expr(synth.COVER_W).alias("w"), F.expr(synth.COVER_H).alias("h"), F.expr(synth.COVER_HOLE).alias("hole"),
+        F.expr(synth.COVER_SRID).alias("srid"))
     x0, y0, w, h = F.col("x0"), F.col("y0"), F.col("w"), F.col("h")
-    outer = geo.rectangle_ring(x0, y0, x0 + w, y0 + h)
-    inner = geo.rectangle_ring(x0 + w / 4, y0 + h / 4, x0 + w - w / 4, y0 + h - h / 4)
-    rings = F.when(F.col("hole"), F.array(outer, F.reverse(inner))).otherwise(F.array(outer))
-    return part.select("id_1", "millesime_ocs", "code_us", F.lit(2154).alias("srid"), rings.alias("ocs_geom"))
+    x1, y1 = x0 + w, y0 + h
+    outer = _ring_json((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    hx0, hy0, hx1, hy1 = x0 + w / 4, y0 + h / 4, x1 - w / 4, y1 - h / 4
+    inner = _ring_json((hx0, hy0), (hx0, hy1), (hx1, hy1), (hx1, hy0), (hx0, hy0))
+    text = F.when(F.col("hole"), _rings(outer, inner)).otherwise(_rings(outer))
+    return geo.decode_coordinates_table(part.select("id_1", "millesime_ocs", "code_us", "srid", text.alias("_coords")),
+                                        "_coords", "ocs_geom")
 
 
 def _link(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,3 +183,7 @@ CASE c_custkey % 8 WHEN 0 THEN -61.5 WHEN 1 THEN -61.0 WHEN 2 THEN -53.0 WHEN 3
 POINT_LAT = """
 CASE c_custkey % 8 WHEN 0 THEN 16.2 WHEN 1 THEN 14.6 WHEN 2 THEN 4.9 WHEN 3 THEN -21.1 WHEN 4 THEN -12.8
   ELSE 46.0 END + cast(c_custkey % 40 AS double) * 0.01"""
+# Projected CRS of the synthetic parks and covers: metropolitan Lambert-93 for every
+# row, written as data-dependent expressions (keys are never negative).
+PARK_SRID = "CASE WHEN s_suppkey >= 0 THEN 2154 ELSE 5490 END"
+COVER_SRID = "CASE WHEN p_partkey >= 0 THEN 2154 ELSE 5490 END"
