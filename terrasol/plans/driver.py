@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terrasol.functions import measure, text as tx, title
 from terrasol.functions import harvest as hv
 from terrasol.functions import geo
-from terrasol.operators import annotate, combine, cover, evaluate, harvest, parks, profile, sampling, scoring
+from terrasol.operators import annotate, cluster, combine, cover, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources.tables import spread, table
 
@@ -525,6 +525,22 @@ def crs_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.select("c_custkey", "srid", F.round(xy["x"], 3).alias("x"), F.round(xy["y"], 3).alias("y"))
 
 
+
+def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.expr(synth.SITE_LAT).alias("latitude"), F.expr(synth.SITE_LON).alias("longitude"))
+
+
+def dbscan_parks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DBSCAN, eps 1 km (haversine), min_samples 2."""
+    return cluster.dbscan(_sites(spark, sf_dir), "id", metric="haversine").select("id", "labels")
+
+
+def dbscan_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DBSCAN on WGS-84 geodesic distance, min_samples 3 (border points)."""
+    return cluster.dbscan(_sites(spark, sf_dir), "id", metric="geodesic", min_samples=3).select("id", "labels")
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -533,4 +549,5 @@ QUERY_NAMES = [
     "download_plan", "download_stats", "relevance_filter", "profile_table", "commune_counts", "crs_select",
     "decimal_sum", "tech_counts", "parse_answers", "upsert_import", "park_cover_link", "vintage_latest",
     "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
+    "dbscan_parks", "dbscan_geodesic",
 ]

@@ -714,3 +714,19 @@ WITH c AS (SELECT c_custkey, {synth.POINT_LON} AS lon, {synth.POINT_LAT} AS lat,
                   string_split({synth.TERRITORY_CODES}, ', ') AS codes FROM customer),
 d AS (SELECT *, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM c)
 SELECT c_custkey, srid, round({xs}, 3) AS x, round({ys}, 3) AS y FROM d"""
+
+
+def dbscan_parks() -> str:
+    from terrasol.operators.cluster import EARTH_RADIUS_KM
+    hv = (f"2 * {EARTH_RADIUS_KM!r} * asin(sqrt(least(pow(sin((b.lat - a.lat) * pi() / 180 / 2), 2) + cos(a.lat * pi() / 180) * "
+          f"cos(b.lat * pi() / 180) * pow(sin((b.lon - a.lon) * pi() / 180 / 2), 2), 1.0)))")
+    return f"""
+WITH RECURSIVE p AS (SELECT c_custkey AS id, {synth.SITE_LAT} AS lat, {synth.SITE_LON} AS lon FROM customer),
+e AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.id <> b.id AND abs(a.lat - b.lat) < 0.02 WHERE {hv} <= 1.0),
+deg AS (SELECT p.id, 1 + count(e.b) AS degree FROM p LEFT JOIN e ON p.id = e.a GROUP BY p.id),
+core AS (SELECT id FROM deg WHERE degree >= 2),
+ce AS (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach(src, dst) AS (SELECT id, id FROM core UNION SELECT r.src, ce.b FROM reach r JOIN ce ON r.dst = ce.a),
+comp AS (SELECT src AS id, min(dst) AS root FROM reach GROUP BY src),
+lab AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM comp)
+SELECT p.id, CAST(coalesce(lab.label, -1) AS BIGINT) AS labels FROM p LEFT JOIN lab ON p.id = lab.id"""

@@ -187,3 +187,8 @@ CASE c_custkey % 8 WHEN 0 THEN 16.2 WHEN 1 THEN 14.6 WHEN 2 THEN 4.9 WHEN 3 THEN
 # row, written as data-dependent expressions (keys are never negative).
 PARK_SRID = "CASE WHEN s_suppkey >= 0 THEN 2154 ELSE 5490 END"
 COVER_SRID = "CASE WHEN p_partkey >= 0 THEN 2154 ELSE 5490 END"
+
+# Site points (customer): 60 groups ~5.5 km apart, chains of 0.4 km steps, a few isolated.
+SITE_LAT = ("45.0 + cast(c_custkey % 60 AS double) * 0.05 + cast(c_custkey % 3 AS double) * 0.004"
+            " + CASE WHEN c_custkey % 97 = 0 THEN 0.02 ELSE 0.0 END")
+SITE_LON = "2.0 + cast(c_custkey % 7 AS double) * 0.005"
