@@ -17,6 +17,7 @@ from terrasol.functions import geo
 from terrasol.operators import annotate, cluster, combine, cover, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources.tables import spread, table
+from terrasol.streaming import claims as claims_stream, ingest
 
 
 def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -541,6 +542,19 @@ def dbscan_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.dbscan(_sites(spark, sf_dir), "id", metric="geodesic", min_samples=3).select("id", "labels")
 
 
+
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents streamed (available-now) → cleaned → measured → upserted by doc_id."""
+    return ingest.ingest_documents(spark, sf_dir, "documents.parquet", body_expr=synth.MEASURE_BODY)
+
+
+def claim_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 streaming: closed claim sessions with a 2-hour watermark."""
+    return claims_stream.run_claims(spark, sf_dir, "events.parquet",
+                                    ["user_id % 40 AS doc_id", "user_id", "ts"]).select(
+        "doc_id", "user_id", "claim_start", "last_refresh", "n_events")
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -549,5 +563,5 @@ QUERY_NAMES = [
     "download_plan", "download_stats", "relevance_filter", "profile_table", "commune_counts", "crs_select",
     "decimal_sum", "tech_counts", "parse_answers", "upsert_import", "park_cover_link", "vintage_latest",
     "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
-    "dbscan_parks", "dbscan_geodesic",
+    "dbscan_parks", "dbscan_geodesic", "incremental_ingest", "claim_sessions_stream",
 ]

@@ -730,3 +730,14 @@ reach(src, dst) AS (SELECT id, id FROM core UNION SELECT r.src, ce.b FROM reach
 comp AS (SELECT src AS id, min(dst) AS root FROM reach GROUP BY src),
 lab AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM comp)
 SELECT p.id, CAST(coalesce(lab.label, -1) AS BIGINT) AS labels FROM p LEFT JOIN lab ON p.id = lab.id"""
+
+
+def incremental_ingest() -> str:
+    body = _clean_text(synth.MEASURE_BODY)
+    return f"""
+WITH _src AS (SELECT doc_id, {body} AS pdf_text FROM documents),
+{_section_ctes('_src', 'pdf_text')}
+SELECT doc_id, length(pdf_text) AS n_chars_clean,
+  coalesce({_surface('section')}, {_surface('pdf_text')}) AS land_surface_ha,
+  coalesce({_power('section')}, {_power('pdf_text')}) AS power_mwc
+FROM _s"""
