@@ -37,3 +37,34 @@ def parse_answers(df: DataFrame, answer: str = "answer", stop_reason: str = "sto
     return (out.withColumn("contexts", F.when(F.col("status") == "parsed", F.col("_p.contexts")))
                .withColumn("explanation", F.when(F.col("status") == "parsed", F.col("_p.explanation")))
                .drop("_p"))
+
+
+# Keyword families of the land-type rules (lower case).
+RULE_KEYWORDS = {
+    "surfaces_naturelles": ("carrière", "gravière", "ferroviaire", "routière", "mine", "znieff", "natura 2000",
+                            "militaire", "déchets", "aéroportuaire"),
+    "surfaces_artificialisees": ("industrielle", "tertiaire", "commerciale", "portuaire", "agro-industrielle",
+                                 "carrière en exploitation"),
+    "surfaces_forestieres": ("résineux", "monospécifiques", "plantations", "landes des landes", "spontanée"),
+    "surfaces_agricoles": ("friche", "en exploitation", "prairie permanente", "cultures intensives",
+                           "arboriculture", "vignes"),
+}
+MAX_CONTEXTS = 3
+
+
+def rule_scores(df, text: str = "pdf_text", hits_for_certainty: int = 2):
+    """Default pluggable scorer (M2): per label, the share of its keywords found in
+    the lower-cased text, capped at 1 after ``hits_for_certainty`` hits; contexts
+    are up to three sentences containing a keyword.  A stand-in for a model
+    server, written as Column code so it runs inside the JVM."""
+    low = F.lower(F.col(text))
+    out = df
+    for key, kws in RULE_KEYWORDS.items():
+        n = sum((F.when(low.contains(k), 1).otherwise(0) for k in kws), F.lit(0))
+        out = out.withColumn(key + "_score", F.least(F.lit(1.0), n / F.lit(float(hits_for_certainty))))
+    alt = "|".join(k for kws in RULE_KEYWORDS.values() for k in kws)
+    sentences = F.split(F.col(text), r"(?<=[.!?])\s+")
+    hits = F.filter(sentences, lambda s: F.lower(s).rlike(alt))
+    return (out.withColumn("contexts", F.slice(hits, 1, MAX_CONTEXTS))
+               .withColumn("explanation", F.concat(F.lit("keyword rules, "), F.size(hits).cast("string"),
+                                                   F.lit(" matching sentences"))))

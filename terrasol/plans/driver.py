@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terrasol.functions import measure, text as tx, title
 from terrasol.functions import harvest as hv
 from terrasol.functions import geo
-from terrasol.operators import annotate, cluster, combine, cover, evaluate, harvest, parks, profile, sampling, scoring
+from terrasol.operators import annotate, cluster, combine, cover, html_blocks, ml, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources.tables import spread, table
 from terrasol.streaming import claims as claims_stream, ingest
@@ -555,6 +555,44 @@ def claim_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "user_id", "claim_start", "last_refresh", "n_events")
 
 
+
+def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2-H8: pages parsed once into elements; paragraphs scoped by their heading."""
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    el = html_blocks.page_elements(pages)
+    return html_blocks.heading_scoped_blocks(el, heading="h1", block="p").select(
+        "page_id", "pos", "section", F.length("block_text").alias("block_chars"), "next_link")
+
+
+
+def arena_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule scorer variants ("models") over every labelled document, one report per model."""
+    lab = _labelled(spark, sf_dir)
+    base = lab.select("doc_id", F.expr(synth.ARENA_TEXT).alias("pdf_text"),
+                      *[F.expr(synth.TRUTH[k]).cast("int").alias(k) for k in evaluate.LABELS])
+    reports = None
+    for model_id, hits in synth.ARENA_MODELS:
+        scored = scoring.rule_scores(base, "pdf_text", hits_for_certainty=hits)
+        r = _round_report(evaluate.classification_report(scored)).withColumn("model_id", F.lit(model_id))
+        reports = r if reports is None else reports.unionByName(r)
+    return reports
+
+
+def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk-level text classifier of document quality."""
+    lab = _labelled(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
+    split = sampling.stratified_split(lab, "doc_id", "label", 0.2, "42")
+    ch = split.select("doc_id", "label", "split", F.explode(tx.chunks("text", 256, 10)).alias("toks"))
+    return ml.text_classifier(ch.withColumn("chunk_text", F.array_join("toks", " ")))
+
+
+def embedding_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on embeddings, stratified 80/20."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    split = sampling.stratified_split(emb, "vec_id", "label", 0.2, "42")
+    return ml.embedding_classifier(split)
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -564,4 +602,5 @@ QUERY_NAMES = [
     "decimal_sum", "tech_counts", "parse_answers", "upsert_import", "park_cover_link", "vintage_latest",
     "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
     "dbscan_parks", "dbscan_geodesic", "incremental_ingest", "claim_sessions_stream",
+    "page_blocks", "arena_report", "text_classifier", "embedding_classifier",
 ]

@@ -741,3 +741,17 @@ SELECT doc_id, length(pdf_text) AS n_chars_clean,
   coalesce({_surface('section')}, {_surface('pdf_text')}) AS land_surface_ha,
   coalesce({_power('section')}, {_power('pdf_text')}) AS power_mwc
 FROM _s"""
+
+
+def arena_report() -> str:
+    from terrasol.operators.evaluate import LABELS
+    from terrasol.operators.scoring import RULE_KEYWORDS
+    parts = []
+    for model_id, hits in synth.ARENA_MODELS:
+        cols = []
+        for k in LABELS:
+            n = " + ".join(f"CASE WHEN contains(lower(pdf_text), {_q(w)}) THEN 1 ELSE 0 END" for w in RULE_KEYWORDS[k])
+            cols.append(f"CAST({synth.TRUTH[k]} AS INTEGER) AS {k}, least(1.0, ({n}) / {float(hits)!r}) AS {k}_score")
+        pred = f"(SELECT doc_id, {', '.join(cols)} FROM (SELECT *, {synth.ARENA_TEXT} AS pdf_text FROM {_LABELLED}))"
+        parts.append(f"SELECT *, {_q(model_id)} AS model_id FROM ({_report_sql(pred)})")
+    return "\nUNION ALL\n".join(parts)

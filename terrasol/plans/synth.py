@@ -192,3 +192,14 @@ COVER_SRID = "CASE WHEN p_partkey >= 0 THEN 2154 ELSE 5490 END"
 SITE_LAT = ("45.0 + cast(c_custkey % 60 AS double) * 0.05 + cast(c_custkey % 3 AS double) * 0.004"
             " + CASE WHEN c_custkey % 97 = 0 THEN 0.02 ELSE 0.0 END")
 SITE_LON = "2.0 + cast(c_custkey % 7 AS double) * 0.005"
+
+# Document text with one land-type rule phrase appended (documents table).
+ARENA_TEXT = """
+text || ' ' || CASE doc_id % 6
+  WHEN 0 THEN 'Le site est une friche industrielle.'
+  WHEN 1 THEN 'La zone est en ZNIEFF et en zone Natura 2000.'
+  WHEN 2 THEN 'Prairie permanente et vignes en exploitation.'
+  WHEN 3 THEN 'Plantations de résineux monospécifiques.'
+  WHEN 4 THEN 'Ancienne carrière et friche ferroviaire.'
+  ELSE 'Aucune indication.' END"""
+ARENA_MODELS = (("rules-1", 1), ("rules-2", 2), ("rules-3", 3))
