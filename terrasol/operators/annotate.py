@@ -7,7 +7,7 @@ predictions (``map<label, struct<score, pred>>``), the human validation
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrasol.operators.evaluate import LABELS, div0
@@ -82,10 +82,11 @@ def progress(ann: DataFrame, user: str | None = None) -> DataFrame:
 def user_contributions(ann: DataFrame) -> DataFrame:
     """Every validator's share of the validated documents (A15, all users at once)."""
     v = ann.where(F.col("is_validated"))
-    total = v.agg(F.count("*").alias("_n"))
     per = v.groupBy("validated_by").agg(F.count("*").alias("n_validated"))
-    return per.crossJoin(F.broadcast(total)).select(
-        "validated_by", "n_validated", (div0(F.col("n_validated"), F.col("_n")) * 100).alias("contribution_pct"))
+    # one row per validator: the grand total is a window over that small aggregate
+    total = F.sum("n_validated").over(Window.partitionBy())
+    return per.select("validated_by", "n_validated",
+                      (div0(F.col("n_validated"), total) * 100).alias("contribution_pct"))
 
 
 def leaderboard(ann: DataFrame) -> DataFrame:

@@ -117,10 +117,10 @@ def usage_shares(link: DataFrame) -> DataFrame:
                        .select("id", F.lit(NO_MATCH).alias("code_us"), "surface")
     per_code = per_code.drop("_pa")
     by_code = per_code.unionByName(residual).groupBy("code_us").agg(F.sum("surface").alias("surface"))
-    total = by_code.agg(F.sum("surface").alias("_total"))      # one row
-    return (by_code.crossJoin(F.broadcast(total))
-                   .select(recode("code_us").alias("code_us"), "surface",
-                           (100 * F.col("surface") / F.col("_total")).alias("pct_surface"))
+    # one row per land-use code (bounded by the code list): grand total as a window
+    total = F.sum("surface").over(Window.partitionBy())
+    return (by_code.select(recode("code_us").alias("code_us"), "surface",
+                           (100 * F.col("surface") / total).alias("pct_surface"))
                    .orderBy(F.col("surface").desc()))
 
 

@@ -111,9 +111,8 @@ def best_threshold(df: DataFrame, labels=LABELS) -> DataFrame:
                  .groupBy(exceeded.alias("b"))
                  .agg(F.sum("y").cast("long").alias("pos"), F.count("*").cast("long").alias("n")))
     spark = df.sparkSession
-    thresholds = spark.range(N_THRESHOLDS).select(F.col("id").cast("int").alias("i"))
-    # 20 candidate rows x at most 21 bins: bounded, broadcast.
-    sweep = (thresholds.crossJoin(F.broadcast(per_bin))
+    # each of the at most 21 bin rows is expanded to the 20 candidate thresholds
+    sweep = (per_bin.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_THRESHOLDS - 1))).alias("i"))
              .groupBy("i").agg(
                  F.sum(F.when(F.col("b") > F.col("i"), F.col("pos")).otherwise(0)).alias("tp"),
                  F.sum(F.when(F.col("b") > F.col("i"), F.col("n") - F.col("pos")).otherwise(0)).alias("fp"),
