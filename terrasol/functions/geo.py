@@ -230,3 +230,42 @@ def decode_coordinates_table(df, text_col: str, out_col: str):
             yield out
 
     return df.mapInPandas(run, schema)
+
+
+def _cross(ax, ay, bx, by, cx, cy):
+    return (bx - ax) * (cy - ay) - (cx - ax) * (by - ay)
+
+
+def triangles_flat(rings) -> Column:
+    """Signed fan triangulation as a flat ``array<double>``, 7 values per
+    triangle: counter-clockwise vertices a, b, c and the sign of its term
+    (fan orientation × ring orientation × shell +1 / hole −1).  The signed sum
+    of the triangles' indicator functions is the polygon's indicator, so
+    area(A ∩ B) = Σ sᵢ sⱼ area(Tᵢ ∩ Tⱼ)."""
+    def per_ring(ring, k):
+        n = F.size(ring) - 1                                   # closing vertex dropped
+        orient = F.signum(ring_signed_area(ring))
+        role = F.when(k == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        a = F.get(ring, 0)
+
+        def tri(i):
+            b, c = F.get(ring, i), F.get(ring, i + 1)
+            s = F.signum(_cross(a["x"], a["y"], b["x"], b["y"], c["x"], c["y"]))
+            fb, fc = F.when(s >= 0, b).otherwise(c), F.when(s >= 0, c).otherwise(b)
+            return F.array(a["x"], a["y"], fb["x"], fb["y"], fc["x"], fc["y"], s * orient * role)
+
+        return F.when(n >= 3, F.flatten(F.transform(F.sequence(F.lit(1), n - 2), tri))) \
+                .otherwise(F.array().cast("array<double>"))
+
+    return F.flatten(F.transform(col(rings), per_ring))
+
+
+def segments_flat(rings) -> Column:
+    """Boundary segments as a flat ``array<double>`` (x1, y1, x2, y2 each)."""
+    def per_ring(ring):
+        n = F.size(ring)
+        return F.when(n >= 2, F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.array(
+            F.get(ring, i)["x"], F.get(ring, i)["y"], F.get(ring, i + 1)["x"], F.get(ring, i + 1)["y"])))) \
+                .otherwise(F.array().cast("array<double>"))
+
+    return F.flatten(F.transform(col(rings), per_ring))

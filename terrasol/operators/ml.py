@@ -23,7 +23,7 @@ def _accuracy(pred: DataFrame, label: str = "label") -> DataFrame:
 
 
 def text_classifier(chunks: DataFrame, text: str = "chunk_text", label: str = "label", split: str = "split",
-                    num_features: int = 1 << 18, max_iter: int = 50) -> DataFrame:
+                    num_features: int = 1 << 16, max_iter: int = 20) -> DataFrame:
     """Train on chunk rows with ``split == 'train'``; one row (n_train, n_test, accuracy)."""
     train = chunks.where(F.col(split) == "train")
     test = chunks.where(F.col(split) == "test")

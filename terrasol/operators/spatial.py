@@ -120,33 +120,72 @@ def _touch(ra, rb) -> bool:
     return bool(hit.any())
 
 
-def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) -> pd.DataFrame:
-    """Exact overlap area and closed intersects flag for aligned pairs of polygons."""
-    n = len(a_rings)
-    ta, sa = zip(*[_triangles(r) for r in a_rings]) if n else ((), ())
-    tb, sb = zip(*[_triangles(r) for r in b_rings]) if n else ((), ())
-    # all triangle pairs of all polygon pairs in one vectorised clip
-    pair_idx, subj, clip, sign = [], [], [], []
+def _touch_flat(sa: np.ndarray, sb: np.ndarray) -> bool:
+    """Closed boundaries meet: any segment of A meets any segment of B."""
+    if len(sa) == 0 or len(sb) == 0:
+        return False
+    A, B = sa.reshape(-1, 2, 2), sb.reshape(-1, 2, 2)
+    p, p2 = A[:, None, 0], A[:, None, 1]
+    q, q2 = B[None, :, 0], B[None, :, 1]
+
+    def orient(a, b, c):
+        return np.sign((b[..., 0] - a[..., 0]) * (c[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (c[..., 0] - a[..., 0]))
+
+    def on_seg(a, b, c):
+        return ((np.minimum(a[..., 0], b[..., 0]) <= c[..., 0]) & (c[..., 0] <= np.maximum(a[..., 0], b[..., 0]))
+                & (np.minimum(a[..., 1], b[..., 1]) <= c[..., 1]) & (c[..., 1] <= np.maximum(a[..., 1], b[..., 1])))
+
+    o1, o2, o3, o4 = orient(p, p2, q), orient(p, p2, q2), orient(q, q2, p), orient(q, q2, p2)
+    hit = (o1 != o2) & (o3 != o4)
+    hit |= (o1 == 0) & on_seg(p, p2, q)
+    hit |= (o2 == 0) & on_seg(p, p2, q2)
+    hit |= (o3 == 0) & on_seg(q, q2, p)
+    hit |= (o4 == 0) & on_seg(q, q2, p2)
+    return bool(hit.any())
+
+
+def overlap_from_triangles(ta: pd.Series, tb: pd.Series, sa: pd.Series, sb: pd.Series) -> pd.DataFrame:
+    """Exact overlap area and closed intersects flag for aligned pairs, from
+    pre-computed signed triangles (7 doubles each) and boundary segments."""
+    n = len(ta)
+    subj, clip, sign, pair_idx = [], [], [], []
     for i in range(n):
-        na, nb = len(ta[i]), len(tb[i])
+        A = np.asarray(ta.iloc[i], dtype=float).reshape(-1, 7)
+        B = np.asarray(tb.iloc[i], dtype=float).reshape(-1, 7)
+        A, B = A[A[:, 6] != 0], B[B[:, 6] != 0]
+        na, nb = len(A), len(B)
         if na == 0 or nb == 0:
             continue
-        origin = ta[i][0, 0]                  # local frame: keeps cross products small and exact
-        subj.append(np.repeat(ta[i] - origin, nb, axis=0))
-        clip.append(np.tile(tb[i] - origin, (na, 1, 1)))
-        sign.append(np.repeat(sa[i], nb) * np.tile(sb[i], na))
+        origin = A[0, :2]                    # local frame: small, exact cross products
+        at = A[:, :6].reshape(-1, 3, 2) - origin
+        bt = B[:, :6].reshape(-1, 3, 2) - origin
+        subj.append(np.repeat(at, nb, axis=0))
+        clip.append(np.tile(bt, (na, 1, 1)))
+        sign.append(np.repeat(A[:, 6], nb) * np.tile(B[:, 6], na))
         pair_idx.append(np.full(na * nb, i))
     area = np.zeros(n)
     if subj:
         areas = _clip_areas(np.concatenate(subj), np.concatenate(clip)) * np.concatenate(sign)
         np.add.at(area, np.concatenate(pair_idx), areas)
     area = np.where(np.abs(area) < 1e-9, 0.0, area)
-    inter = [bool(area[i] > 0) or _touch(a_rings.iloc[i], b_rings.iloc[i]) for i in range(n)]
+    inter = [bool(area[i] > 0) or _touch_flat(np.asarray(sa.iloc[i], dtype=float), np.asarray(sb.iloc[i], dtype=float))
+             for i in range(n)]
     return pd.DataFrame({"area": area, "intersects": inter})
 
 
-def _pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return intersection_area_and_intersects(a, b)
+def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) -> pd.DataFrame:
+    """Same result from ring lists (driver-side helper for tests and small inputs)."""
+    def flat(rings):
+        t, s = _triangles(rings)
+        return np.concatenate([t.reshape(-1, 6), s[:, None]], axis=1).ravel() if len(t) else np.zeros(0)
+    ta = pd.Series([flat(r) for r in a_rings])
+    tb = pd.Series([flat(r) for r in b_rings])
+    return overlap_from_triangles(ta, tb, pd.Series([_segments(r).ravel() for r in a_rings]),
+                                  pd.Series([_segments(r).ravel() for r in b_rings]))
+
+
+def _pair(ta: pd.Series, tb: pd.Series, sa: pd.Series, sb: pd.Series) -> pd.DataFrame:
+    return overlap_from_triangles(ta, tb, sa, sb)
 
 
 # Marked non-deterministic only so Catalyst evaluates it once: otherwise the
@@ -186,10 +225,12 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     """
     coarse = cell * coarse_factor
     r_cols = [c for c in right.columns if c != srid]
-    L = _with_cells(left.select(F.col(left_key).alias("_lk"), F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga")),
-                    "_ga", cell, max_cells, "_l")
+    L = _with_cells(left.select(F.col(left_key).alias("_lk"), F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga"),
+                                geo.triangles_flat(left_geom).alias("_ta"), geo.segments_flat(left_geom).alias("_sa")),
+                    "_ga", cell, max_cells, "_l").drop("_ga")
     R = _with_cells(right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rs"),
-                                 F.col(right_geom).alias("_gb")), "_gb", cell, max_cells, "_r")
+                                 F.col(right_geom).alias("_gb"), geo.triangles_flat(right_geom).alias("_tb"),
+                                 geo.segments_flat(right_geom).alias("_sb")), "_gb", cell, max_cells, "_r").drop("_gb")
 
     def pairs(lx: DataFrame, rx: DataFrame, size: float) -> DataFrame:
         lx, rx = _explode(lx, "_l", size), _explode(rx, "_r", size)
@@ -198,7 +239,7 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
                    & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
         reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
                      & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
-        return j.where(overlap & reference).select("_lk", "_ga", "_gb", *["_r_" + c for c in r_cols])
+        return j.where(overlap & reference).select("_lk", "_ta", "_tb", "_sa", "_sb", *["_r_" + c for c in r_cols])
 
     small_l, big_l = L.where(F.col("_llevel") == 0), L.where(F.col("_llevel") == 1)
     small_r, big_r = R.where(F.col("_rlevel") == 0), R.where(F.col("_rlevel") == 1)
@@ -206,7 +247,7 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     cand = (pairs(small_l, small_r, cell)
             .unionByName(pairs(L, big_r, coarse))
             .unionByName(pairs(big_l, small_r, coarse)))
-    exact = cand.withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
+    exact = cand.withColumn("_x", _pair_udf("_ta", "_tb", "_sa", "_sb")).where(F.col("_x.intersects"))
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"))
     # left outer: every left row, partners when any.

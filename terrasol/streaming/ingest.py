@@ -46,14 +46,17 @@ def upsert_batch(target: str, key: str):
 
 
 def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr: str | None = None,
-                     key: str = "doc_id", max_files_per_trigger: int = 1) -> DataFrame:
+                     key: str = "doc_id", max_files_per_trigger: int = 1, partitions: int | None = None) -> DataFrame:
     """Stream the documents under ``source_dir`` (files matching ``glob``) to a
     measured table, available-now trigger; returns the target table."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
     body = F.expr(body_expr) if body_expr else F.col("text")
-    cleaned = stream.select(key, clean_text(body).alias("pdf_text"))
+    # hash-partition each micro-batch by key: spreads the regex work of a few
+    # large files over the cluster and co-locates the upsert keys
+    n = partitions or spark.sparkContext.defaultParallelism
+    cleaned = stream.select(key, clean_text(body).alias("pdf_text")).repartition(n, key)
     measured = document_measures(cleaned, "pdf_text").select(key, F.length("pdf_text").alias("n_chars_clean"),
                                                              "land_surface_ha", "power_mwc")
     target = work_dir(spark, "ingest-target")
