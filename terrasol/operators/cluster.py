@@ -10,11 +10,11 @@
   distance (haversine Column expression, or geodesic on the WGS-84 ellipsoid
   in an Arrow-batched pandas UDF).
 * Core points (``degree >= min_samples``, self included) are connected by
-  iterative min-label propagation; every iteration is checkpointed to the
+  iterative min-label propagation with pointer jumping; every iteration is checkpointed to the
   shared ``spark.checkpoint.dir`` so lineage stays short and a lost executor
   only recomputes one step.
 * Clusters are numbered 0..k-1 by their smallest core id (the discovery order
-  of a scan by id); border points take the smallest neighbouring cluster;
+  of a scan by id), via a range-partitioned sort and partition offsets; border points take the smallest neighbouring cluster;
   noise is -1.
 """
 
@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
@@ -96,11 +96,16 @@ def _half_offsets(r: int) -> list[tuple[int, int, int]]:
 
 
 def _dense_index(df: DataFrame, col: str, out: str) -> DataFrame:
-    """0-based dense rank of the distinct values of ``col`` (distributed: sort,
-    then ``zipWithIndex`` offsets per partition; no single-task window)."""
-    distinct = df.select(col).distinct().orderBy(col)
-    schema = StructType([StructField(col, distinct.schema[col].dataType), StructField(out, LongType())])
-    return distinct.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1])).toDF(schema)
+    """0-based dense rank of the distinct values of ``col`` without a global
+    window: a range-partitioned sort, a row number inside each partition and
+    per-partition offsets from the (tiny) table of partition sizes."""
+    ranked = (df.select(col).distinct().orderBy(col)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(col))))
+    sizes = ranked.groupBy("_pid").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (ranked.join(F.broadcast(offsets), "_pid")
+                  .select(col, (F.col("_off") + F.col("_rn") - 1).cast("long").alias(out)))
 
 
 def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: str = "longitude",
@@ -152,10 +157,15 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     edges = star.unionByName(cc).checkpoint()
     labels = core_ids.select("id", F.col("id").alias("lab")).checkpoint()
     for _ in range(max_iterations):
+        # propagate the smallest label over edges, then jump: label := label of label
         proposals = edges.join(labels.select(F.col("id").alias("a"), "lab"), "a").select(F.col("b").alias("id"), "lab")
-        new = labels.unionByName(proposals).groupBy("id").agg(F.min("lab").alias("lab")).checkpoint()
-        changed = new.join(labels.withColumnRenamed("lab", "old"), "id").where(F.col("lab") != F.col("old")).count()
-        labels = new
+        m = labels.unionByName(proposals).groupBy("id").agg(F.min("lab").alias("lab"))
+        jumped = m.join(m.select(F.col("id").alias("lab"), F.col("lab").alias("_l2")), "lab", "left") \
+                  .select("id", F.coalesce("_l2", "lab").alias("lab"))
+        new = (jumped.join(labels.withColumnRenamed("lab", "_old"), "id")
+                     .select("id", "lab", (F.col("lab") != F.col("_old")).alias("_chg")).checkpoint())
+        changed = new.where(F.col("_chg")).count()
+        labels = new.select("id", "lab")
         if changed == 0:
             break
     numbers = _dense_index(labels, "lab", "cluster")
