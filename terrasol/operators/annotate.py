@@ -160,3 +160,14 @@ def claim_sessions(events: DataFrame, key: str = "doc_id", user: str = "user_id"
                   .agg(F.min(ts).alias("claim_start"), F.max(ts).alias("last_refresh"),
                        F.count("*").alias("n_events"))
                   .drop("w"))
+
+
+def search(ann: DataFrame, term: str, validated: bool | None = None) -> DataFrame:
+    """Admin facets (F13): optional validation filter and a case-insensitive
+    search in ``pdf_name`` or any context."""
+    t = term.lower()
+    hit = F.lower(F.col("pdf_name")).contains(t) | F.exists(F.col("contexts"), lambda c: F.lower(c).contains(t))
+    out = ann.where(hit)
+    if validated is not None:
+        out = out.where(F.coalesce(F.col("is_validated"), F.lit(False)) == F.lit(validated))
+    return out

@@ -16,6 +16,7 @@ from terrasol.functions import harvest as hv
 from terrasol.functions import geo
 from terrasol.operators import annotate, cluster, combine, cover, html_blocks, ml, evaluate, harvest, parks, profile, sampling, scoring
 from terrasol.plans import synth
+from terrasol.sources import io
 from terrasol.sources.tables import spread, table
 from terrasol.streaming import claims as claims_stream, ingest
 
@@ -593,6 +594,35 @@ def embedding_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.embedding_classifier(split)
 
 
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commune gazetteer written as CSV (header, no index) and read back
+    with an explicit schema: names keep their blanks, codes stay strings."""
+    path = ingest.work_dir(spark, "gazetteer-csv")
+    io.write_csv(_gazetteer(spark, sf_dir), path)
+    return io.read_csv(spark, path, "nom_commune string, code_departement string, longitude double, latitude double")
+
+
+def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name and size of the input files (contents not decoded)."""
+    return io.file_inventory(spark, sf_dir, "*.parquet").select("file_name", "size")
+
+
+def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON value with a default, per event type."""
+    ev = table(spark, sf_dir, "events").select("event_type", "props")
+    k = F.coalesce(F.get_json_object("props", "$.k").try_cast("long"), F.lit(-1))
+    return ev.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("sum_k"), F.max(k).alias("max_k"))
+
+
+def annotation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """validated annotations whose name or a context contains a search term."""
+    lab = _labelled(spark, sf_dir).select(
+        F.expr(synth.PDF_NAME).alias("pdf_name"), F.col("quality").cast("boolean").alias("is_validated"),
+        tx.split_contexts(F.expr(synth.CONTEXT)).alias("contexts"))
+    return annotate.search(lab, "th", validated=True).select("pdf_name")
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -602,5 +632,6 @@ QUERY_NAMES = [
     "decimal_sum", "tech_counts", "parse_answers", "upsert_import", "park_cover_link", "vintage_latest",
     "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
     "dbscan_parks", "dbscan_geodesic", "incremental_ingest", "claim_sessions_stream",
-    "page_blocks", "arena_report", "text_classifier", "embedding_classifier",
+    "page_blocks", "arena_report", "text_classifier", "embedding_classifier", "csv_roundtrip",
+    "file_inventory", "event_props", "annotation_search",
 ]

@@ -755,3 +755,21 @@ def arena_report() -> str:
         pred = f"(SELECT doc_id, {', '.join(cols)} FROM (SELECT *, {synth.ARENA_TEXT} AS pdf_text FROM {_LABELLED}))"
         parts.append(f"SELECT *, {_q(model_id)} AS model_id FROM ({_report_sql(pred)})")
     return "\nUNION ALL\n".join(parts)
+
+
+def csv_roundtrip() -> str:
+    return f"SELECT * FROM ({synth.GAZETTEER_NATION} UNION ALL {synth.GAZETTEER_REGION})"
+
+
+def event_props() -> str:
+    return """SELECT event_type, count(*) AS n, sum(k) AS sum_k, max(k) AS max_k
+FROM (SELECT event_type, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), -1) AS k FROM events)
+GROUP BY event_type"""
+
+
+def annotation_search() -> str:
+    ctx = f"string_split({_clean_text(synth.CONTEXT)}, '[SEP]')"
+    return f"""SELECT pdf_name FROM (SELECT {synth.PDF_NAME} AS pdf_name, CAST(quality AS BOOLEAN) AS is_validated,
+  {ctx} AS contexts FROM {_LABELLED})
+WHERE (contains(lower(pdf_name), 'th') OR list_bool_or(list_transform(contexts, lambda c: contains(lower(c), 'th'))))
+  AND coalesce(is_validated, false)"""
