@@ -20,8 +20,9 @@ ELEMENT_SCHEMA = StructType([
     StructField("page_id", LongType()), StructField("pos", IntegerType()), StructField("tag", StringType()),
     StructField("depth", IntegerType()), StructField("text", StringType()), StructField("href", StringType()),
     StructField("css_class", StringType()), StructField("datetime", StringType()),
+    StructField("parent", IntegerType()),
 ])
-BLOCK_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "a", "li", "td", "tr", "time", "div", "strong", "b"}
+BLOCK_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "a", "li", "td", "tr", "time", "div", "strong", "b", "article"}
 VOID_TAGS = {"br", "img", "meta", "link", "input", "hr", "source", "wbr"}
 SKIP_TAGS = {"script", "style"}
 
@@ -39,7 +40,8 @@ class _Flattener(HTMLParser):
         a = dict(attrs)
         row = None
         if tag in BLOCK_TAGS and not self.skip:
-            row = [len(self.rows), tag, len(self.stack), [], a.get("href"), a.get("class"), a.get("datetime")]
+            parent = next((r[0] for _, r in reversed(self.stack) if r is not None), None)
+            row = [len(self.rows), tag, len(self.stack), [], a.get("href"), a.get("class"), a.get("datetime"), parent]
             self.rows.append(row)
         self.stack.append((tag, row))
 
@@ -72,8 +74,8 @@ def _flatten_batches(batches):
                 p.close()
             except Exception:  # noqa: BLE001 - malformed page: keep what was parsed
                 pass
-            for pos, tag, depth, texts, href, cls, dt in p.rows:
-                out.append((pid, pos, tag, depth, " ".join("".join(texts).split()), href, cls, dt))
+            for pos, tag, depth, texts, href, cls, dt, parent in p.rows:
+                out.append((pid, pos, tag, depth, " ".join("".join(texts).split()), href, cls, dt, parent))
         yield pd.DataFrame(out, columns=[f.name for f in ELEMENT_SCHEMA.fields])
 
 
@@ -93,3 +95,67 @@ def heading_scoped_blocks(elements: DataFrame, heading: str = "h2", block: str =
                     .where(F.col("tag") == block)
                     .select("page_id", "pos", "section", F.col("text").alias("block_text"),
                             F.when(F.col("_nt") == "a", F.col("_nh")).alias("next_link")))
+
+
+def _subtree_text(elements: DataFrame) -> DataFrame:
+    """Own text of each element plus that of its direct children (rows → cells)."""
+    kids = (elements.where(F.col("parent").isNotNull())
+            .groupBy("page_id", F.col("parent").alias("pos"))
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]),
+                              " ").alias("_kids")))
+    return (elements.join(kids, ["page_id", "pos"], "left")
+                    .withColumn("full_text", F.trim(F.concat_ws(" ", "text", "_kids"))).drop("_kids"))
+
+
+def table_row_links(elements: DataFrame, keyword_regex: str = r"(?iu)volta[iï]que|solaire") -> DataFrame:
+    """H5 layout: table rows mentioning a keyword → their PDF links; the project is
+    the row's last cell and the date (dd/mm/yyyy) is read from the link label."""
+    el = _subtree_text(elements)
+    rows = el.where((F.col("tag") == "tr") & F.col("full_text").rlike(keyword_regex)).select(
+        "page_id", F.col("pos").alias("tr_pos"))
+    cells = el.where(F.col("tag") == "td").select("page_id", F.col("parent").alias("tr_pos"),
+                                                   F.col("pos").alias("td_pos"), F.col("text").alias("cell"))
+    last_cell = cells.groupBy("page_id", "tr_pos").agg(F.max_by("cell", "td_pos").alias("project_name"))
+    links = el.where((F.col("tag") == "a") & F.lower("href").endswith(".pdf")).select(
+        "page_id", F.col("parent").alias("td_pos"), "href", F.col("text").alias("label"))
+    link_rows = links.join(cells.select("page_id", "tr_pos", "td_pos"), ["page_id", "td_pos"])
+    return (rows.join(link_rows, ["page_id", "tr_pos"]).join(last_cell, ["page_id", "tr_pos"])
+                .select("page_id", "tr_pos", "project_name", F.col("href").alias("pdf_href"),
+                        F.try_to_date(F.regexp_extract("label", r"([0-9]{2}/[0-9]{2}/[0-9]{4})", 1), "dd/MM/yyyy")
+                        .alias("publish_date")))
+
+
+def dated_paragraphs(elements: DataFrame) -> DataFrame:
+    """H6 layout: paragraphs ``title - d MMMM yyyy`` (leading ``-``/``•`` removed);
+    anything that does not split into exactly two parts is a bad row."""
+    from terrasol.functions import harvest as hv
+    p = elements.where(F.col("tag") == "p").select(
+        "page_id", "pos", F.regexp_replace("text", r"^[\-•\s]+", "").alias("t"))
+    parts = F.split("t", " - ")
+    return p.select("page_id", "pos", (F.size(parts) == 2).alias("ok"),
+                    F.when(F.size(parts) == 2, F.trim(parts[0])).alias("title"),
+                    F.when(F.size(parts) == 2, hv.parse_french_date(parts[1])).alias("publish_date"),
+                    F.when(F.size(parts) == 2, hv.sanitize_filename(F.concat(F.trim(parts[0]), F.lit(".pdf"))))
+                    .alias("pdf_filename"))
+
+
+def offset_page_plan(listing: DataFrame, base_url: str = "base_url", num_docs: str = "num_docs",
+                     step: int = 10) -> DataFrame:
+    """H7: result pages at offsets ``step, 2*step, …`` while below ``num_docs``."""
+    offs = F.when(F.col(num_docs) > step, F.sequence(F.lit(step), F.col(num_docs) - 1, F.lit(step))) \
+            .otherwise(F.array().cast("array<int>"))
+    return listing.select(base_url, F.explode(offs).alias("start")).select(
+        base_url, "start", F.concat(F.col(base_url), F.lit("&start="), F.col("start").cast("string")).alias("page_url"))
+
+
+DOCS_SCHEMA = "struct<d: struct<documents: array<struct<id: string, url: string>>>>"
+
+
+def detail_records(details: DataFrame, title: str = "title", payload: str = "payload") -> DataFrame:
+    """H8: detail records whose title contains ``Avis``; the first document of the
+    JSON list (``d.documents[0]``) and its numeric id."""
+    from terrasol.functions import harvest as hv
+    doc = F.get(F.from_json(F.col(payload), DOCS_SCHEMA)["d"]["documents"], 0)
+    return (details.where(hv.is_opinion_title(F.col(title)))
+                   .select(title, doc["url"].alias("pdf_url"),
+                           F.nullif(F.regexp_extract(doc["id"], r"([0-9]+)", 1), F.lit("")).alias("document_id")))

@@ -49,3 +49,20 @@ def test_html_heading_scoped_blocks(spark):
            html_blocks.heading_scoped_blocks(el).orderBy("pos").collect()]
     assert got == [("Commune A", "Projet solaire 1", "/x.pdf"), ("Commune A", "Projet 2", None),
                    ("Commune B", "Projet 3", None)]
+
+
+def test_table_rows_dated_paragraphs_plan_details(spark):
+    html = ("<table><tr><td>Projet photovoltaïque</td><td><a href='/a.pdf'>Avis du 05/03/2014</a></td><td>Commune X</td></tr>"
+            "<tr><td>Éolien</td><td><a href='/b.pdf'>Avis</a></td><td>Commune Y</td></tr></table>"
+            "<p>• Parc solaire de Z - 1er janvier 2012</p><p>Sans date</p>")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    el = html_blocks.page_elements(pages).cache()
+    rows = [(r.project_name, r.pdf_href, r.publish_date) for r in html_blocks.table_row_links(el).collect()]
+    assert rows == [("Commune X", "/a.pdf", dt.date(2014, 3, 5))]
+    par = sorted((r.ok, r.title, r.publish_date, r.pdf_filename) for r in html_blocks.dated_paragraphs(el).collect())
+    assert par == [(False, None, None, None), (True, "Parc solaire de Z", dt.date(2012, 1, 1), "Parc solaire de Z.pdf")]
+    plan = spark.createDataFrame([("https://x/list?q=1", 35), ("https://y/list?q=1", 5)], "base_url string, num_docs int")
+    assert [r.start for r in html_blocks.offset_page_plan(plan).collect()] == [10, 20, 30]
+    det = spark.createDataFrame([("Avis délibéré", '{"d": {"documents": [{"id": "doc-42", "url": "/f.pdf"}]}}'),
+                                 ("Décision", '{"d": {"documents": []}}')], "title string, payload string")
+    assert [(r.pdf_url, r.document_id) for r in html_blocks.detail_records(det).collect()] == [("/f.pdf", "42")]
