@@ -269,3 +269,80 @@ def segments_flat(rings) -> Column:
                 .otherwise(F.array().cast("array<double>"))
 
     return F.flatten(F.transform(col(rings), per_ring))
+
+
+def _lcc_constants():
+    e2 = _e2()
+    e = math.sqrt(e2)
+    p = LCC_2154
+    rad = math.pi / 180
+
+    def m(phi):
+        return math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
+
+    def t(phi):
+        return math.tan(math.pi / 4 - phi / 2) / ((1 - e * math.sin(phi)) / (1 + e * math.sin(phi))) ** (e / 2)
+
+    p1, p2, p0 = p["lat1"] * rad, p["lat2"] * rad, p["lat0"] * rad
+    n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1)) - math.log(t(p2)))
+    big_f = m(p1) / (n * t(p1) ** n)
+    r0 = GRS80_A * big_f * t(p0) ** n
+    return e, n, big_f, r0
+
+
+def lcc_2154_inverse(x, y, iterations: int = 8) -> Column:
+    """EPSG:2154 metres → struct(lon, lat) degrees (G4 inverse); latitude by
+    fixed-point iteration of the conformal latitude equation."""
+    e, n, big_f, r0 = _lcc_constants()
+    p = LCC_2154
+    dx = col(x) - p["fe"]
+    dy = F.lit(r0) - (col(y) - p["fn"])
+    r = F.signum(F.lit(n)) * F.sqrt(dx * dx + dy * dy)
+    t = F.pow(r / (GRS80_A * big_f), F.lit(1 / n))
+    theta = F.atan2(dx, dy)
+    def step(acc, _i):
+        es = F.lit(e) * F.sin(acc)
+        return F.lit(math.pi / 2) - 2 * F.atan(t * F.pow((1 - es) / (1 + es), F.lit(e / 2)))
+
+    phi = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.lit(math.pi / 2) - 2 * F.atan(t), step)
+    return F.struct((F.degrees(theta / n) + p["lon0"]).alias("lon"), F.degrees(phi).alias("lat"))
+
+
+def utm_inverse(x, y, srid: int) -> Column:
+    """UTM metres → struct(lon, lat) degrees (footpoint-latitude series) (G4 inverse)."""
+    lon0, fn = UTM[srid]
+    e2 = _e2()
+    ep2 = e2 / (1 - e2)
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    mer = (col(y) - fn) / UTM_K0
+    mu = mer / (GRS80_A * (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256))
+    phi1 = (mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * F.sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * F.sin(4 * mu)
+            + (151 * e1 ** 3 / 96) * F.sin(6 * mu) + (1097 * e1 ** 4 / 512) * F.sin(8 * mu))
+    s1, c1, t1 = F.sin(phi1), F.cos(phi1), F.tan(phi1)
+    n1 = F.lit(GRS80_A) / F.sqrt(1 - F.lit(e2) * s1 * s1)
+    r1 = F.lit(GRS80_A * (1 - e2)) / F.pow(1 - F.lit(e2) * s1 * s1, F.lit(1.5))
+    tt, cc = t1 * t1, F.lit(ep2) * c1 * c1
+    d = (col(x) - UTM_FE) / (n1 * UTM_K0)
+    lat = phi1 - (n1 * t1 / r1) * (d * d / 2 - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * ep2) * F.pow(d, 4) / 24
+                                   + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * ep2 - 3 * cc * cc) * F.pow(d, 6) / 720)
+    lon = (d - (1 + 2 * tt + cc) * F.pow(d, 3) / 6
+           + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * ep2 + 24 * tt * tt) * F.pow(d, 5) / 120) / c1
+    return F.struct((F.degrees(lon) + lon0).alias("lon"), F.degrees(lat).alias("lat"))
+
+
+def unproject(x, y, srid) -> Column:
+    """Projected struct → lon/lat for the territory CRS in column ``srid``."""
+    s = col(srid)
+    out = F.when(s == 2154, lcc_2154_inverse(x, y))
+    for code in UTM:
+        out = out.when(s == code, utm_inverse(x, y, code))
+    return out
+
+
+def rings_to_wgs84(rings, srid) -> Column:
+    """Every vertex of a projected polygon back to lon/lat (x = lon, y = lat)."""
+    def vertex(p):
+        ll = unproject(p["x"], p["y"], srid)
+        return F.struct(ll["lon"].alias("x"), ll["lat"].alias("y"))
+    return F.transform(col(rings), lambda ring: F.transform(ring, vertex))

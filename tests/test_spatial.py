@@ -60,3 +60,17 @@ def test_area_and_centroid(spark):
     r = df.select(geo.polygon_area("g").alias("a"), geo.centroid("g").alias("c")).collect()
     assert r[0].a == 64.0 and r[1].a == 108.0
     assert abs(r[1].c.x - 8.0) < 1e-9 and abs(r[1].c.y - 8.0) < 1e-9
+
+
+def test_projection_round_trip(spark):
+    from pyspark.sql import functions as F
+    pts = [(2154, 2.35, 48.85), (2154, -4.5, 43.3), (5490, -61.5, 16.2), (2972, -53.0, 4.9),
+           (2975, 55.5, -21.1), (4471, 45.1, -12.8)]
+    df = spark.createDataFrame(pts, "srid int, lon double, lat double")
+    xy = df.select("srid", "lon", "lat", geo.project("lon", "lat", "srid").alias("p"))
+    back = xy.select("lon", "lat", geo.unproject(F.col("p.x"), F.col("p.y"), "srid").alias("b")).collect()
+    for r in back:
+        assert abs(r.b.lon - r.lon) < 1e-7 and abs(r.b.lat - r.lat) < 1e-7
+    origin = spark.createDataFrame([(3.0, 46.5)], "lon double, lat double").select(
+        geo.lcc_2154("lon", "lat").alias("p")).collect()[0].p
+    assert abs(origin.x - 700000.0) < 1e-6 and abs(origin.y - 6600000.0) < 1e-6   # projection origin
