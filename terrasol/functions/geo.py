@@ -346,3 +346,58 @@ def rings_to_wgs84(rings, srid) -> Column:
         ll = unproject(p["x"], p["y"], srid)
         return F.struct(ll["lon"].alias("x"), ll["lat"].alias("y"))
     return F.transform(col(rings), lambda ring: F.transform(ring, vertex))
+
+
+def _np_unproject(x, y, srid: int):
+    """numpy twin of :func:`unproject` for vertex arrays (used on whole rings)."""
+    import numpy as np
+    e2 = _e2()
+    if srid == 2154:
+        e, n, big_f, r0 = _lcc_constants()
+        p = LCC_2154
+        dx, dy = x - p["fe"], r0 - (y - p["fn"])
+        r = np.sign(n) * np.sqrt(dx * dx + dy * dy)
+        t = (r / (GRS80_A * big_f)) ** (1 / n)
+        phi = math.pi / 2 - 2 * np.arctan(t)
+        for _ in range(8):
+            es = e * np.sin(phi)
+            phi = math.pi / 2 - 2 * np.arctan(t * ((1 - es) / (1 + es)) ** (e / 2))
+        return np.degrees(np.arctan2(dx, dy) / n) + p["lon0"], np.degrees(phi)
+    lon0, fn = UTM[srid]
+    ep2 = e2 / (1 - e2)
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    mu = (y - fn) / UTM_K0 / (GRS80_A * (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256))
+    phi1 = (mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * np.sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * np.sin(4 * mu)
+            + (151 * e1 ** 3 / 96) * np.sin(6 * mu) + (1097 * e1 ** 4 / 512) * np.sin(8 * mu))
+    s1, c1, t1 = np.sin(phi1), np.cos(phi1), np.tan(phi1)
+    n1 = GRS80_A / np.sqrt(1 - e2 * s1 * s1)
+    r1 = GRS80_A * (1 - e2) / (1 - e2 * s1 * s1) ** 1.5
+    tt, cc = t1 * t1, ep2 * c1 * c1
+    d = (x - UTM_FE) / (n1 * UTM_K0)
+    lat = phi1 - (n1 * t1 / r1) * (d * d / 2 - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * ep2) * d ** 4 / 24
+                                   + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * ep2 - 3 * cc * cc) * d ** 6 / 720)
+    lon = (d - (1 + 2 * tt + cc) * d ** 3 / 6 + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * ep2 + 24 * tt * tt) * d ** 5 / 120) / c1
+    return np.degrees(lon) + lon0, np.degrees(lat)
+
+
+def _rings_to_wgs84(rings, srids):
+    import numpy as np
+    import pandas as pd
+    out = []
+    for poly, srid in zip(rings, srids):
+        if poly is None or srid is None or int(srid) not in (2154, *UTM):
+            out.append(None)
+            continue
+        res = []
+        for ring in poly:
+            xs = np.array([p["x"] for p in ring], dtype=float)
+            ys = np.array([p["y"] for p in ring], dtype=float)
+            lon, lat = _np_unproject(xs, ys, int(srid))
+            res.append([{"x": float(a), "y": float(b)} for a, b in zip(lon, lat)])
+        out.append(res)
+    return pd.Series(out)
+
+
+# Whole polygons back to lon/lat in Arrow batches (compact for the planner).
+rings_to_wgs84_udf = F.pandas_udf(_rings_to_wgs84, RINGS_TYPE)

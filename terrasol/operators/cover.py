@@ -129,8 +129,8 @@ def geojson_features(link: DataFrame, to_wgs84: bool = True) -> DataFrame:
     one per cover intersection (colour by code) and each park outline once
     (S12 U7 P7 G8 G4)."""
     if to_wgs84:
-        link = (link.withColumn("ocs_geom", geo.rings_to_wgs84("ocs_geom", "srid"))
-                    .withColumn("geom", geo.rings_to_wgs84("geom", "srid")))
+        link = (link.withColumn("ocs_geom", geo.rings_to_wgs84_udf("ocs_geom", "srid"))
+                    .withColumn("geom", geo.rings_to_wgs84_udf("geom", "srid")))
     covers = link.where(F.col("id_1").isNotNull()).select(
         F.to_json(F.struct(
             F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("ocs_geom"), "type string, coordinates array<array<array<double>>>").alias("geometry"),

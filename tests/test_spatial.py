@@ -74,3 +74,11 @@ def test_projection_round_trip(spark):
     origin = spark.createDataFrame([(3.0, 46.5)], "lon double, lat double").select(
         geo.lcc_2154("lon", "lat").alias("p")).collect()[0].p
     assert abs(origin.x - 700000.0) < 1e-6 and abs(origin.y - 6600000.0) < 1e-6   # projection origin
+
+
+def test_ring_unprojection_matches_columns():
+    import pandas as pd
+    ring = [[{"x": 652301.5648305281, "y": 6861302.725899576}, {"x": 700000.0, "y": 6600000.0}]]
+    out = geo._rings_to_wgs84(pd.Series([ring]), pd.Series([2154]))[0][0]
+    assert abs(out[0]["x"] - 2.35) < 1e-9 and abs(out[0]["y"] - 48.85) < 1e-9
+    assert abs(out[1]["x"] - 3.0) < 1e-9 and abs(out[1]["y"] - 46.5) < 1e-9
