@@ -17,7 +17,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        distinct = F.countDistinct(x) if exact_distinct else F.approx_count_distinct(x)
+        distinct = F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(x)
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), distinct.alias(f"{c}__nd"),
                  F.avg(x).alias(f"{c}__avg"), F.stddev_samp(x).alias(f"{c}__std"),
                  F.count(x).alias(f"{c}__cnt"), F.count("*").alias(f"{c}__rows")]
@@ -33,4 +33,15 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
         if quantiles:
             fields += [F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
         rows.append(F.struct(*fields))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if exact_distinct:
+        # exact distinct counts of all columns in one shuffle: stack (column, value)
+        # pairs, de-duplicate them (map-side first), count per column
+        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                          F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+        nd = (stacked.select("s.*").where(F.col("v").isNotNull()).distinct()
+                     .groupBy("column_name").agg(F.count("*").alias("_nd")))
+        out = (out.join(nd, "column_name", "left")
+                  .withColumn("n_distinct", F.coalesce(F.col("_nd"), F.lit(0)).cast("long")).drop("_nd")
+                  .select(*[c for c in out.columns]))
+    return out
