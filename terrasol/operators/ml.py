@@ -13,6 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import array_to_vector
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,18 +25,25 @@ def _accuracy(pred: DataFrame, label: str = "label") -> DataFrame:
 
 def text_classifier(chunks: DataFrame, text: str = "chunk_text", label: str = "label", split: str = "split",
                     num_features: int = 1 << 16, max_iter: int = 20) -> DataFrame:
-    """Train on chunk rows with ``split == 'train'``; one row (n_train, n_test, accuracy)."""
-    train = chunks.where(F.col(split) == "train")
-    test = chunks.where(F.col(split) == "test")
+    """Train on chunk rows with ``split == 'train'``; one row (n_train, n_test, accuracy).
+    The chunk table is persisted (memory, spilling to disk) for the several
+    passes of IDF and the optimiser, then released."""
+    data = chunks.select(text, F.col(label).cast("double").alias(label), split).persist(StorageLevel.MEMORY_AND_DISK)
+    train = data.where(F.col(split) == "train")
+    test = data.where(F.col(split) == "test")
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"\W+", toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
         IDF(inputCol="_tf", outputCol="_features"),
         LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter, regParam=0.01),
     ])
-    model = pipe.fit(train.withColumn(label, F.col(label).cast("double")))
-    res = _accuracy(model.transform(test), label)
-    return res.select(F.lit(train.count()).alias("n_train"), "n_test", "accuracy")
+    model = pipe.fit(train)
+    n_train = train.count()
+    res = _accuracy(model.transform(test), label).select(F.lit(n_train).alias("n_train"), "n_test", "accuracy")
+    out = res.cache()          # one-row result kept before the training data is released
+    out.count()
+    data.unpersist()
+    return out
 
 
 def embedding_classifier(df: DataFrame, embedding: str = "embedding", label: str = "label", split: str = "split",
