@@ -15,7 +15,8 @@ from terrasol.operators.evaluate import LABELS, div0
 LOCK_TIMEOUT_MINUTES = 60
 CLEANUP_TIMEOUT_MINUTES = 30
 # 60 minutes minus one microsecond: a gap of exactly 60 minutes opens a new claim.
-CLAIM_GAP = "3599999999 microseconds"
+CLAIM_GAP_US = 3_599_999_999
+CLAIM_GAP = f"{CLAIM_GAP_US} microseconds"
 
 PREDICTION_FIELDS = ["pdf_text", "pdf_text_raw", "contexts", "explanation", "prediction_time",
                      "original_predictions"]
@@ -151,15 +152,27 @@ def next_claimable(ann: DataFrame, seed: str = "42", key: str = "pdf_name") -> D
 
 
 def claim_sessions(events: DataFrame, key: str = "doc_id", user: str = "user_id", ts: str = "ts",
-                   gap: str = CLAIM_GAP) -> DataFrame:
+                   gap_us: int = CLAIM_GAP_US, bucket: str = "day") -> DataFrame:
     """Claim life-cycle as sessions per (document, user) (K2 batch twin): a claim
     refreshed within 60 minutes continues, a gap of 60 minutes or more starts a
-    new claim.  ``session_window`` is a sort-based, spillable aggregation."""
-    w = F.session_window(F.col(ts), gap)
-    return (events.groupBy(key, user, w.alias("w"))
-                  .agg(F.min(ts).alias("claim_start"), F.max(ts).alias("last_refresh"),
-                       F.count("*").alias("n_events"))
-                  .drop("w"))
+    new claim.
+
+    Two phases so a (document, user) pair holding a large share of all events is
+    never sessionized by one task: (1) sessions inside each (key, user, time
+    bucket) in parallel; (2) the partial sessions — far fewer rows — are
+    stitched with a dynamic-gap ``session_window`` whose window spans
+    ``[start, last + gap)``, which merges two partial sessions exactly when the
+    event gap across the bucket boundary is below the claim gap."""
+    b = F.date_trunc(bucket, F.col(ts))
+    gap = f"{int(gap_us)} microseconds"
+    part = (events.groupBy(key, user, b.alias("_bucket"), F.session_window(F.col(ts), gap).alias("_w"))
+                  .agg(F.min(ts).alias("_s"), F.max(ts).alias("_l"), F.count("*").alias("_n")))
+    dyn = F.expr(f"make_interval(0, 0, 0, 0, 0, 0, CAST((timestampdiff(MICROSECOND, _s, _l) + {int(gap_us)}) "
+                 f"/ 1000000.0 AS DECIMAL(18, 6)))")
+    return (part.groupBy(key, user, F.session_window(F.col("_s"), dyn).alias("w"))
+                .agg(F.min("_s").alias("claim_start"), F.max("_l").alias("last_refresh"),
+                     F.sum("_n").alias("n_events"))
+                .drop("w"))
 
 
 def search(ann: DataFrame, term: str, validated: bool | None = None) -> DataFrame:

@@ -62,3 +62,14 @@ def test_progress_and_summaries(spark):
     assert s["c"][0] == "Not validated"
     empty = annotate.progress(ann.where("false")).collect()[0]
     assert empty.overall_completion == 0.0 and empty.user_contribution == 0.0
+
+
+def test_claim_sessions_stitched_across_buckets(spark):
+    d = dt.datetime(2024, 1, 1, 23, 30, 0)
+    ev = spark.createDataFrame([
+        (1, 1, d), (1, 1, d + dt.timedelta(minutes=40)), (1, 1, d + dt.timedelta(minutes=80)),   # one claim over midnight
+        (2, 1, d), (2, 1, d + dt.timedelta(minutes=60)),                                          # exactly 60: two claims
+    ], "doc_id long, user_id long, ts timestamp_ntz")
+    got = sorted((r.doc_id, r.n_events, r.claim_start, r.last_refresh) for r in annotate.claim_sessions(ev).collect())
+    assert got == [(1, 3, d, d + dt.timedelta(minutes=80)), (2, 1, d, d), (2, 1, d + dt.timedelta(minutes=60),
+                                                                           d + dt.timedelta(minutes=60))]
