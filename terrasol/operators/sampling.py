@@ -4,7 +4,7 @@ Rows are ordered inside their stratum by a seeded md5 of the key; the test set
 is the first ``ceil(fraction * n)`` rows of each stratum.  Instead of ranking
 the whole stratum (one task per stratum, unbounded under skew), a 16-bit
 prefix of the hash bins every row; per-(stratum, bin) counts are aggregated
-map-side, a cumulative sum over at most 65536 bins per stratum finds the bin
+map-side, a cumulative sum over at most 2^20 bins per stratum finds the bin
 holding the cut, and only rows of that single bin are ranked exactly.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-N_BINS_HEX = 4  # 16-bit prefix → 65536 bins per stratum
+N_BINS_HEX = 5  # 20-bit prefix → about a million bins per stratum
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, fraction: float = 0.2,
