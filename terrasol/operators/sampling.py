@@ -2,7 +2,7 @@
 
 Rows are ordered inside their stratum by a seeded md5 of the key; the test set
 is the first ``ceil(fraction * n)`` rows of each stratum.  Instead of ranking
-the whole stratum (one task per stratum, unbounded under skew), a 16-bit
+the whole stratum (one task per stratum, unbounded under skew), a 20-bit
 prefix of the hash bins every row; per-(stratum, bin) counts are aggregated
 map-side, a cumulative sum over at most 2^20 bins per stratum finds the bin
 holding the cut, and only rows of that single bin are ranked exactly.
