@@ -112,7 +112,7 @@ def _parsed_titles(src: str, t: str) -> str:
 def title_parse() -> str:
     return f"""
 SELECT doc_id, project_type, dept, land_surface_ha_title, power_mwc_title,
-  len(communes) AS n_communes, array_to_string(communes, '|') AS communes
+  CAST(len(communes) AS INTEGER) AS n_communes, array_to_string(communes, '|') AS communes
 FROM {_parsed_titles(f'(SELECT doc_id, {synth.TITLE} AS title FROM documents)', 'title')}"""
 
 
@@ -189,8 +189,8 @@ ds AS (SELECT pdf_name, {_clean_text('pdf_text')} AS pdf_text,
               list_sort(string_split(land_type, ', ')) AS labels FROM lab WHERE pdf_text IS NOT NULL),
 ex AS (SELECT pdf_name, pdf_text, labels, unnest(generate_series(0, len(contexts) - 1)) AS ctx_pos,
               unnest(contexts) AS context FROM ds)
-SELECT pdf_name, array_to_string(labels, '|') AS labels, ctx_pos, context,
-       instr(pdf_text, {_strip('context')}) - 1 AS start, length(context) AS length
+SELECT pdf_name, array_to_string(labels, '|') AS labels, CAST(ctx_pos AS INTEGER) AS ctx_pos, context,
+       CAST(instr(pdf_text, {_strip('context')}) - 1 AS INTEGER) AS start, CAST(length(context) AS INTEGER) AS length
 FROM ex"""
 
 
@@ -203,7 +203,7 @@ def chunks() -> str:
 WITH t AS (SELECT doc_id, {_tokens('text')} AS toks FROM documents),
 s AS (SELECT doc_id, toks, CASE WHEN len(toks) > 0 THEN range(0, len(toks), 246) ELSE [] END AS starts FROM t),
 e AS (SELECT doc_id, toks, unnest(generate_series(0, len(starts) - 1)) AS chunk_idx, unnest(starts) AS st FROM s)
-SELECT doc_id, chunk_idx, len(toks[st + 1 : st + 256]) AS n_tokens, array_to_string(toks[st + 1 : st + 256], ' ') AS chunk_text
+SELECT doc_id, CAST(chunk_idx AS INTEGER) AS chunk_idx, CAST(len(toks[st + 1 : st + 256]) AS INTEGER) AS n_tokens, array_to_string(toks[st + 1 : st + 256], ' ') AS chunk_text
 FROM e"""
 
 
@@ -221,7 +221,7 @@ def fit_budget() -> str:
 WITH c AS (SELECT doc_id, list_filter(list_transform(range(0, 41), lambda k: {{'n': {n},
              'tokens': len({_tokens(f'substring(text, 1, {n})')})}}), lambda s: s.tokens + 1000 <= 2000)[1] AS f
            FROM documents)
-SELECT doc_id, f.n AS kept_chars, f.tokens AS kept_tokens FROM c"""
+SELECT doc_id, f.n AS kept_chars, CAST(f.tokens AS INTEGER) AS kept_tokens FROM c"""
 
 
 def multi_hot() -> str:
@@ -416,7 +416,7 @@ def _links_cte() -> str:
     from terrasol.functions import harvest as H
     a = _q(H.ANCHOR)
     return f"""(
-  SELECT page_id, link_pos, href, anchor_text, abs_url, regexp_extract(abs_url, '([^/]*)$', 1) AS file_name,
+  SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, href, anchor_text, abs_url, regexp_extract(abs_url, '([^/]*)$', 1) AS file_name,
          ends_with(lower(abs_url), '.pdf') AS is_pdf, nullif(regexp_extract(anchor_text, '([0-9]{{4}})', 1), '') AS year
   FROM (SELECT page_id, link_pos, href, {_strip("regexp_replace(atext, '<[^>]*>', '', 'g')")} AS anchor_text,
                {_resolve('url', 'href')} AS abs_url
@@ -534,7 +534,7 @@ def crs_select() -> str:
         "WHEN list_bool_or(list_transform(territory_codes, lambda s: "
         + " OR ".join(f"starts_with(s, '{p}')" for p in prefixes) + f")) THEN {srid}"
         for prefixes, srid in TERRITORY_CRS)
-    return f"SELECT c_custkey, len(territory_codes) AS n_codes, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM {_parks_sql()}"
+    return f"SELECT c_custkey, CAST(len(territory_codes) AS INTEGER) AS n_codes, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM {_parks_sql()}"
 
 
 def decimal_sum() -> str:
@@ -737,7 +737,7 @@ def incremental_ingest() -> str:
     return f"""
 WITH _src AS (SELECT doc_id, {body} AS pdf_text FROM documents),
 {_section_ctes('_src', 'pdf_text')}
-SELECT doc_id, length(pdf_text) AS n_chars_clean,
+SELECT doc_id, CAST(length(pdf_text) AS INTEGER) AS n_chars_clean,
   coalesce({_surface('section')}, {_surface('pdf_text')}) AS land_surface_ha,
   coalesce({_power('section')}, {_power('pdf_text')}) AS power_mwc
 FROM _s"""
@@ -762,7 +762,7 @@ def csv_roundtrip() -> str:
 
 
 def event_props() -> str:
-    return """SELECT event_type, count(*) AS n, sum(k) AS sum_k, max(k) AS max_k
+    return """SELECT event_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k, max(k) AS max_k
 FROM (SELECT event_type, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), -1) AS k FROM events)
 GROUP BY event_type"""
 
