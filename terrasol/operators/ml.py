@@ -28,7 +28,10 @@ def text_classifier(chunks: DataFrame, text: str = "chunk_text", label: str = "l
     """Train on chunk rows with ``split == 'train'``; one row (n_train, n_test, accuracy).
     The chunk table is persisted (memory, spilling to disk) for the several
     passes of IDF and the optimiser, then released."""
-    data = chunks.select(text, F.col(label).cast("double").alias(label), split).persist(StorageLevel.MEMORY_AND_DISK)
+    # one partition per core for the iterative passes (not the SQL shuffle width)
+    n = chunks.sparkSession.sparkContext.defaultParallelism
+    data = (chunks.select(text, F.col(label).cast("double").alias(label), split).repartition(n)
+                  .persist(StorageLevel.MEMORY_AND_DISK))
     train = data.where(F.col(split) == "train")
     test = data.where(F.col(split) == "test")
     pipe = Pipeline(stages=[
@@ -49,7 +52,9 @@ def text_classifier(chunks: DataFrame, text: str = "chunk_text", label: str = "l
 def embedding_classifier(df: DataFrame, embedding: str = "embedding", label: str = "label", split: str = "split",
                          max_iter: int = 100) -> DataFrame:
     """Multinomial logistic regression on embedding vectors (M6)."""
-    vec = df.withColumn("_features", array_to_vector(F.col(embedding))).withColumn(label, F.col(label).cast("double"))
+    n = df.sparkSession.sparkContext.defaultParallelism
+    vec = (df.withColumn("_features", array_to_vector(F.col(embedding))).withColumn(label, F.col(label).cast("double"))
+             .select("_features", label, split).repartition(n))
     train, test = vec.where(F.col(split) == "train"), vec.where(F.col(split) == "test")
     model = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter, regParam=0.001).fit(train)
     res = _accuracy(model.transform(test), label)
