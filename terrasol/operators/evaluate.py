@@ -62,35 +62,45 @@ def label_counts(df: DataFrame, labels=LABELS, threshold=DEFAULT_THRESHOLD) -> D
 
 
 def classification_report(df: DataFrame, labels=LABELS, threshold=DEFAULT_THRESHOLD) -> DataFrame:
-    """Per-label and micro/macro/weighted/samples precision, recall, f1, support."""
-    counts = label_counts(df, labels, threshold)
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    per_label = counts.select(
-        F.col("label"), div0(tp, tp + fp).alias("precision"), div0(tp, tp + fn).alias("recall"),
-        div0(2 * tp, 2 * tp + fp + fn).alias("f1"), (tp + fn).alias("support"))
-    micro = counts.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn")).select(
-        F.lit("micro avg").alias("label"), div0(tp, tp + fp).alias("precision"),
-        div0(tp, tp + fn).alias("recall"), div0(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        (tp + fn).alias("support"))
-    s = F.col("support")
-    macro_weighted = per_label.agg(
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        div0(F.sum(F.col("precision") * s), F.sum(s)).alias("wp"),
-        div0(F.sum(F.col("recall") * s), F.sum(s)).alias("wr"),
-        div0(F.sum(F.col("f1") * s), F.sum(s)).alias("wf"), F.sum(s).alias("support"))
-    macro = macro_weighted.select(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"),
-                                  F.col("mr").alias("recall"), F.col("mf").alias("f1"), "support")
-    weighted = macro_weighted.select(F.lit("weighted avg").alias("label"), F.col("wp").alias("precision"),
-                                     F.col("wr").alias("recall"), F.col("wf").alias("f1"), "support")
-    # samples average: per row |T∩P|, |T|, |P| then mean of the row ratios.
-    inter = reduce(lambda a, b: a + b, [F.col(k).cast("int") * binarise(F.col(k + "_score"), threshold) for k in labels])
-    nt = reduce(lambda a, b: a + b, [F.col(k).cast("int") for k in labels])
-    npred = reduce(lambda a, b: a + b, [binarise(F.col(k + "_score"), threshold) for k in labels])
-    samples = df.select(div0(inter, npred).alias("p"), div0(inter, nt).alias("r"),
-                        div0(2 * inter, nt + npred).alias("f"), nt.alias("t")).agg(
-        F.lit("samples avg").alias("label"), F.avg("p").alias("precision"), F.avg("r").alias("recall"),
-        F.avg("f").alias("f1"), F.sum("t").cast("long").alias("support"))
-    return per_label.unionByName(micro).unionByName(macro).unionByName(weighted).unionByName(samples)
+    """Per-label and micro/macro/weighted/samples precision, recall, f1, support.
+
+    One aggregation over the input computes every count (tp/fp/fn per label and
+    the per-row samples ratios); the eight report rows are then derived from that
+    single row by projection, so the predictions are scanned once."""
+    keys = list(labels)
+    y = {k: F.col(k).cast("int") for k in keys}
+    p = {k: binarise(F.col(k + "_score"), threshold) for k in keys}
+    inter = reduce(lambda a, b: a + b, [y[k] * p[k] for k in keys])
+    nt = reduce(lambda a, b: a + b, [y[k] for k in keys])
+    npred = reduce(lambda a, b: a + b, [p[k] for k in keys])
+    aggs = []
+    for i, k in enumerate(keys):
+        aggs += [F.sum(y[k] * p[k]).cast("long").alias(f"tp{i}"), F.sum((1 - y[k]) * p[k]).cast("long").alias(f"fp{i}"),
+                 F.sum(y[k] * (1 - p[k])).cast("long").alias(f"fn{i}")]
+    aggs += [F.avg(div0(inter, npred)).alias("sp"), F.avg(div0(inter, nt)).alias("sr"),
+             F.avg(div0(2 * inter, nt + npred)).alias("sf"), F.sum(nt).cast("long").alias("st")]
+    one = df.agg(*aggs)
+
+    def prf(tp, fp, fn):
+        return div0(tp, tp + fp), div0(tp, tp + fn), div0(2 * tp, 2 * tp + fp + fn)
+
+    per = [prf(F.col(f"tp{i}"), F.col(f"fp{i}"), F.col(f"fn{i}")) for i in range(len(keys))]
+    sup = [F.col(f"tp{i}") + F.col(f"fn{i}") for i in range(len(keys))]
+    total_sup = reduce(lambda a, b: a + b, sup)
+    tp, fp, fn = (reduce(lambda a, b: a + b, [F.col(f"{c}{i}") for i in range(len(keys))]) for c in ("tp", "fp", "fn"))
+    n = float(len(keys))
+
+    def row(name, pr, rc, f1, support):
+        return F.struct(F.lit(name).alias("label"), pr.alias("precision"), rc.alias("recall"), f1.alias("f1"),
+                        support.cast("long").alias("support"))
+
+    rows = [row(k, *per[i], sup[i]) for i, k in enumerate(keys)]
+    rows.append(row("micro avg", *prf(tp, fp, fn), total_sup))
+    rows.append(row("macro avg", *[reduce(lambda a, b: a + b, [m[j] for m in per]) / n for j in range(3)], total_sup))
+    rows.append(row("weighted avg", *[div0(reduce(lambda a, b: a + b, [m[j] * sup[i] for i, m in enumerate(per)]),
+                                           total_sup) for j in range(3)], total_sup))
+    rows.append(row("samples avg", F.col("sp"), F.col("sr"), F.col("sf"), F.col("st")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def best_threshold(df: DataFrame, labels=LABELS) -> DataFrame:
@@ -119,11 +129,13 @@ def best_threshold(df: DataFrame, labels=LABELS) -> DataFrame:
                  F.sum("pos").alias("P")))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("P") - F.col("tp")
     f1 = sweep.select("i", div0(2 * tp, 2 * tp + fp + fn).alias("f1"))
-    best = f1.where(F.col("f1") > 0).orderBy(F.col("f1").desc(), F.col("i").asc()).limit(1)
-    one = spark.range(1).select(F.lit(1).alias("_k"))
-    return (one.join(F.broadcast(best), F.lit(True), "left")
-               .select(F.coalesce(F.col("i") * F.lit(THRESHOLD_STEP), F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
-                       F.coalesce(F.col("f1"), F.lit(0.0)).alias("best_f1")))
+    # the default row (0.5, F1 0) only wins when no threshold has a positive F1
+    cands = (f1.where(F.col("f1") > 0)
+               .select((F.col("i") * F.lit(THRESHOLD_STEP)).alias("threshold"), F.col("f1").alias("best_f1"), "i")
+               .unionByName(spark.range(1).select(F.lit(DEFAULT_THRESHOLD).alias("threshold"),
+                                                  F.lit(0.0).alias("best_f1"), F.lit(None).cast("int").alias("i"))))
+    return (cands.orderBy(F.col("best_f1").desc(), F.col("i").asc_nulls_last()).limit(1)
+                 .select("threshold", "best_f1"))
 
 
 def timing_stats(df: DataFrame, c: str = "prediction_time") -> DataFrame:

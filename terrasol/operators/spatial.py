@@ -6,8 +6,11 @@ an equi join on grid cells:
 1. each polygon gets its bounding box and a level: level 0 when its box covers
    at most ``max_cells`` fine cells, level 1 (cells ``coarse_factor`` times
    larger) otherwise, so a huge polygon never explodes into millions of rows;
-2. polygons are exploded to the cells their box covers and joined on
-   (srid, level, cell); a pair is processed at the coarser of its two levels;
+2. polygons are exploded to tagged cells and joined once on (srid, tag,
+   cell): tag 0 = two small polygons on fine cells, tag 1 = a big right polygon
+   on coarse cells, tag 2 = a big left and a small right polygon on coarse
+   cells, so every pair is produced by exactly one tag and each input is
+   scanned once;
 3. the closed bounding-box test prunes, and a pair is kept only in its
    *reference cell* (the cell holding the corner (max minx, max miny) of the two
    boxes), so no ``distinct`` shuffle is needed;
@@ -205,13 +208,23 @@ def _with_cells(df: DataFrame, geom: str, cell: float, max_cells: int, p: str) -
     return d.withColumn(p + "level", F.when(span <= max_cells, F.lit(0)).otherwise(F.lit(1)))
 
 
-def _explode(df: DataFrame, p: str, size: float) -> DataFrame:
-    """One row per grid cell (``{p}cx``, ``{p}cy``) covered by the bounding box."""
+def _cells(p: str, size: float) -> F.Column:
+    """Grid cells (cx, cy) of size ``size`` covered by the bounding box ``{p}minx..``."""
     xs = F.sequence(F.floor(F.col(p + "minx") / size).cast("long"), F.floor(F.col(p + "maxx") / size).cast("long"))
     ys = F.sequence(F.floor(F.col(p + "miny") / size).cast("long"), F.floor(F.col(p + "maxy") / size).cast("long"))
-    cells = F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
-    return df.select("*", F.inline(F.transform(cells, lambda c: F.struct(c["cx"].alias(p + "cx"),
-                                                                         c["cy"].alias(p + "cy")))))
+    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+
+
+def _tagged(df: DataFrame, p: str, fine: float, coarse: float, tags) -> DataFrame:
+    """One row per (tag, cell).  ``tags`` lists (tag, level condition, cell size)."""
+    empty = F.array().cast("array<struct<cx:bigint,cy:bigint>>")
+
+    def tagger(tag: int):
+        # one-argument lambda: a second parameter would be bound to the element index
+        return lambda c: F.struct(F.lit(tag).alias(p + "tag"), c["cx"].alias(p + "cx"), c["cy"].alias(p + "cy"))
+
+    parts = [F.transform(F.when(cond, _cells(p, size)).otherwise(empty), tagger(tag)) for tag, cond, size in tags]
+    return df.select("*", F.inline(F.concat(*parts)))
 
 
 def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom", right_geom: str = "geom",
@@ -232,21 +245,20 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
                                  F.col(right_geom).alias("_gb"), geo.triangles_flat(right_geom).alias("_tb"),
                                  geo.segments_flat(right_geom).alias("_sb")), "_gb", cell, max_cells, "_r").drop("_gb")
 
-    def pairs(lx: DataFrame, rx: DataFrame, size: float) -> DataFrame:
-        lx, rx = _explode(lx, "_l", size), _explode(rx, "_r", size)
-        j = lx.join(rx, (F.col("_ls") == F.col("_rs")) & (F.col("_lcx") == F.col("_rcx")) & (F.col("_lcy") == F.col("_rcy")))
-        overlap = ((F.col("_lminx") <= F.col("_rmaxx")) & (F.col("_rminx") <= F.col("_lmaxx"))
-                   & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
-        reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
-                     & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
-        return j.where(overlap & reference).select("_lk", "_ta", "_tb", "_sa", "_sb", *["_r_" + c for c in r_cols])
-
-    small_l, big_l = L.where(F.col("_llevel") == 0), L.where(F.col("_llevel") == 1)
-    small_r, big_r = R.where(F.col("_rlevel") == 0), R.where(F.col("_rlevel") == 1)
-    # a pair is handled at the coarser level of its two polygons
-    cand = (pairs(small_l, small_r, cell)
-            .unionByName(pairs(L, big_r, coarse))
-            .unionByName(pairs(big_l, small_r, coarse)))
+    # Each pair is produced by exactly one tag: 0 = both small (fine cells),
+    # 1 = right polygon big (coarse cells), 2 = left big and right small (coarse).
+    small_l, big_l = F.col("_llevel") == 0, F.col("_llevel") == 1
+    small_r, big_r = F.col("_rlevel") == 0, F.col("_rlevel") == 1
+    lx = _tagged(L, "_l", cell, coarse, [(0, small_l, cell), (1, F.lit(True), coarse), (2, big_l, coarse)])
+    rx = _tagged(R, "_r", cell, coarse, [(0, small_r, cell), (1, big_r, coarse), (2, small_r, coarse)])
+    j = lx.join(rx, (F.col("_ls") == F.col("_rs")) & (F.col("_ltag") == F.col("_rtag"))
+                & (F.col("_lcx") == F.col("_rcx")) & (F.col("_lcy") == F.col("_rcy")))
+    size = F.when(F.col("_ltag") == 0, F.lit(cell)).otherwise(F.lit(coarse))
+    overlap = ((F.col("_lminx") <= F.col("_rmaxx")) & (F.col("_rminx") <= F.col("_lmaxx"))
+               & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
+    reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
+                 & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
+    cand = j.where(overlap & reference).select("_lk", "_ta", "_tb", "_sa", "_sb", *["_r_" + c for c in r_cols])
     exact = cand.withColumn("_x", _pair_udf("_ta", "_tb", "_sa", "_sb")).where(F.col("_x.intersects"))
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"))
