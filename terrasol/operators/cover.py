@@ -109,14 +109,15 @@ def area_check(link: DataFrame) -> DataFrame:
 def usage_shares(link: DataFrame) -> DataFrame:
     """Surface per land use plus the unmatched residual, recoded, with % of total."""
     filled = link.withColumn("code_us", F.coalesce(F.col("code_us"), F.lit(UNKNOWN_CODE)))
-    # one pass over the link: per (park, code) sums carry the park area along
-    per_code = filled.groupBy("id", "code_us").agg(
-        F.coalesce(F.sum("geom_intersection_area"), F.lit(0.0)).alias("surface"),
-        F.max("project_geom_area").alias("_pa"))
-    residual = per_code.groupBy("id").agg((F.max("_pa") - F.sum("surface")).alias("surface")) \
-                       .select("id", F.lit(NO_MATCH).alias("code_us"), "surface")
-    per_code = per_code.drop("_pa")
-    by_code = per_code.unionByName(residual).groupBy("code_us").agg(F.sum("surface").alias("surface"))
+    # one pass over the link: rollup gives the (park, code) sums and, one level
+    # up, the park totals from which the unmatched residual is derived
+    r = filled.rollup("id", "code_us").agg(
+        F.coalesce(F.sum("geom_intersection_area"), F.lit(0.0)).alias("_s"),
+        F.max("project_geom_area").alias("_pa"), F.grouping_id().alias("_g"))
+    parts = r.where(F.col("_g") < 3).select(
+        F.when(F.col("_g") == 0, F.col("code_us")).otherwise(F.lit(NO_MATCH)).alias("code_us"),
+        F.when(F.col("_g") == 0, F.col("_s")).otherwise(F.col("_pa") - F.col("_s")).alias("surface"))
+    by_code = parts.groupBy("code_us").agg(F.sum("surface").alias("surface"))
     # one row per land-use code (bounded by the code list): grand total as a window
     total = F.sum("surface").over(Window.partitionBy())
     return (by_code.select(recode("code_us").alias("code_us"), "surface",
