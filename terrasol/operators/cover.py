@@ -132,14 +132,18 @@ def geojson_features(link: DataFrame, to_wgs84: bool = True) -> DataFrame:
     if to_wgs84:
         link = (link.withColumn("ocs_geom", geo.rings_to_wgs84_udf("ocs_geom", "srid"))
                     .withColumn("geom", geo.rings_to_wgs84_udf("geom", "srid")))
-    covers = link.where(F.col("id_1").isNotNull()).select(
-        F.to_json(F.struct(
-            F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("ocs_geom"), "type string, coordinates array<array<array<double>>>").alias("geometry"),
-            F.struct(F.col("id_1").alias("id"), recode("code_us").alias("label"),
-                     lookup("code_us", CODES_US_COLORS, DEFAULT_COLOR).alias("color")).alias("properties"))).alias("feature"))
-    parks = link.dropDuplicates(["id"]).select(
-        F.to_json(F.struct(
-            F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("geom"), "type string, coordinates array<array<array<double>>>").alias("geometry"),
-            F.struct(F.col("id").cast("string").alias("id"), F.lit("parc").alias("label"),
-                     F.lit("#000000").alias("color")).alias("properties"))).alias("feature"))
-    return covers.unionByName(parks)
+    geometry = "type string, coordinates array<array<array<double>>>"
+    cover_feature = F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("ocs_geom"), geometry).alias("geometry"),
+        F.struct(F.col("id_1").alias("id"), recode("code_us").alias("label"),
+                 lookup("code_us", CODES_US_COLORS, DEFAULT_COLOR).alias("color")).alias("properties")))
+    park_feature = F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("geom"), geometry).alias("geometry"),
+        F.struct(F.col("id").cast("string").alias("id"), F.lit("parc").alias("label"),
+                 F.lit("#000000").alias("color")).alias("properties")))
+    # one pass over the link: every cover row gives a feature, the first row of
+    # each park (window over that park's few rows) also gives its outline
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("id_1").asc_nulls_first())) == 1
+    feats = F.array(F.when(F.col("id_1").isNotNull(), cover_feature), F.when(F.col("_first"), park_feature))
+    return (link.withColumn("_first", first).select(F.explode(feats).alias("feature"))
+                .where(F.col("feature").isNotNull()))
