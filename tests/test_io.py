@@ -32,3 +32,17 @@ def test_wkb_polygon_decode():
     wkb = struct.pack("<BII", 1, 3, 1) + struct.pack("<I", len(ring)) + b"".join(struct.pack("<dd", *p) for p in ring)
     out = geo.decode_wkb_polygons(pd.Series([wkb, None]))
     assert out[0] == [[{"x": x, "y": y} for x, y in ring]] and out[1] is None
+
+
+def test_stream_ingest_upserts_across_batches(spark):
+    import time
+    from terrasol.streaming.ingest import ingest_documents
+    src = work_dir(spark, "ingest-src")
+    first = spark.createDataFrame([(1, "parc de 3 ha"), (2, "parc de 4 ha"), (3, "rien")], "doc_id long, text string")
+    first.coalesce(1).write.parquet(src + "/batch1")
+    time.sleep(1.1)                                  # later modification time → later micro-batch
+    second = spark.createDataFrame([(2, "parc de 9 ha"), (4, "12 MWc")], "doc_id long, text string")
+    second.coalesce(1).write.parquet(src + "/batch2")
+    out = ingest_documents(spark, src + "/*", "*.parquet", key="doc_id", max_files_per_trigger=1)
+    got = {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in out.collect()}
+    assert got == {1: (3.0, None), 2: (9.0, None), 3: (None, None), 4: (None, 12.0)}
