@@ -44,3 +44,15 @@ def test_dbscan_against_brute_force(spark):
 def test_vincenty_known_distance():
     # one degree of latitude at the equator on WGS-84
     assert abs(vincenty_km(np.array([0.0]), np.array([0.0]), np.array([1.0]), np.array([0.0]))[0] - 110.574) < 1e-3
+
+
+def test_dbscan_shared_border_point(spark):
+    # on the equator 0.001 deg of longitude is about 0.111 km
+    lons = [0.0, 0.0005, 0.001, 0.002,            # cluster 0 (ids 0-3)
+            0.019, 0.0195, 0.020, 0.021,          # cluster 1 (ids 4-7)
+            0.0105,                               # border point near both clusters (id 8)
+            1.0]                                  # isolated (id 9)
+    df = spark.createDataFrame([(i, 0.0, x) for i, x in enumerate(lons)], "id long, latitude double, longitude double")
+    got = [r.labels for r in dbscan(df, "id", min_samples=4).orderBy("id").collect()]
+    assert got == [0, 0, 0, 0, 1, 1, 1, 1, 0, -1]
+    assert list(brute_dbscan(np.zeros(len(lons)), np.array(lons), 1.0, 4)) == got
