@@ -43,9 +43,10 @@ def upsert_batch(target: str, key: str, buckets: int = 16):
             return
         try:
             current = spark.read.parquet(target).where(F.col("_bucket").isin(touched))
-            merged = current.join(latest.select(key), key, "left_anti").unionByName(latest)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            merged = latest
+        except Exception:  # noqa: BLE001 - first batch: no table yet, write it directly
+            latest.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+            return
+        merged = current.join(latest.select(key), key, "left_anti").unionByName(latest)
         stage = f"{target}-stage-{batch_id}"
         merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(stage)
         (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
