@@ -623,6 +623,13 @@ def annotation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.search(lab, "th", validated=True).select("pdf_name")
 
 
+
+def user_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every validator's number of documents and share of the validated ones."""
+    c = annotate.user_contributions(_annotations(spark, sf_dir))
+    return c.select("validated_by", "n_validated", F.round("contribution_pct", 9).alias("contribution_pct"))
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -633,5 +640,5 @@ QUERY_NAMES = [
     "has_cover", "area_check", "usage_shares", "polygon_area_centroid", "geojson_export", "crs_project",
     "dbscan_parks", "dbscan_geodesic", "incremental_ingest", "claim_sessions_stream",
     "page_blocks", "arena_report", "text_classifier", "embedding_classifier", "csv_roundtrip",
-    "file_inventory", "event_props", "annotation_search",
+    "file_inventory", "event_props", "annotation_search", "user_contributions",
 ]

@@ -773,3 +773,10 @@ def annotation_search() -> str:
   {ctx} AS contexts FROM {_LABELLED})
 WHERE (contains(lower(pdf_name), 'th') OR list_bool_or(list_transform(contexts, lambda c: contains(lower(c), 'th'))))
   AND coalesce(is_validated, false)"""
+
+
+def user_contributions() -> str:
+    return f"""SELECT validated_by, n_validated,
+  round(CASE WHEN sum(n_validated) OVER () = 0 THEN 0.0 ELSE CAST(n_validated AS DOUBLE) / sum(n_validated) OVER () END * 100, 9)
+    AS contribution_pct
+FROM (SELECT validated_by, count(*) AS n_validated FROM {_ann_cte()} WHERE is_validated GROUP BY validated_by)"""
