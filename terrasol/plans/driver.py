@@ -630,6 +630,17 @@ def user_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("validated_by", "n_validated", F.round("contribution_pct", 9).alias("contribution_pct"))
 
 
+
+def download_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land-cover download links: label → (code, name, year), download predicate."""
+    links = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr(synth.DOWNLOAD_LINK_LABEL).alias("label"), F.expr(synth.DOWNLOAD_LINK_HREF).alias("href"))
+    parsed = title.parse_download_label("label")
+    return links.select("c_custkey", parsed["code"].alias("code"), parsed["name"].alias("name"),
+                        parsed["year"].alias("year"),
+                        hv.is_download_link("href", "https://data.example.org/ocs/").alias("is_download"))
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -641,4 +652,5 @@ QUERY_NAMES = [
     "dbscan_parks", "dbscan_geodesic", "incremental_ingest", "claim_sessions_stream",
     "page_blocks", "arena_report", "text_classifier", "embedding_classifier", "csv_roundtrip",
     "file_inventory", "event_props", "annotation_search", "user_contributions",
+    "download_labels",
 ]

@@ -780,3 +780,14 @@ def user_contributions() -> str:
   round(CASE WHEN sum(n_validated) OVER () = 0 THEN 0.0 ELSE CAST(n_validated AS DOUBLE) / sum(n_validated) OVER () END * 100, 9)
     AS contribution_pct
 FROM (SELECT validated_by, count(*) AS n_validated FROM {_ann_cte()} WHERE is_validated GROUP BY validated_by)"""
+
+
+def download_labels() -> str:
+    pat = _q(T.DOWNLOAD_LABEL)
+    return f"""
+SELECT c_custkey,
+  CASE WHEN regexp_matches(label, {pat}) THEN regexp_extract(label, {pat}, 1) END AS code,
+  CASE WHEN regexp_matches(label, {pat}) THEN {_strip(f"regexp_extract(label, {pat}, 2)")} END AS name,
+  CASE WHEN regexp_matches(label, {pat}) THEN regexp_extract(label, {pat}, 3) END AS year,
+  starts_with(href, 'https://data.example.org/ocs/') AND NOT contains(href, 'DIFF') AS is_download
+FROM (SELECT c_custkey, {synth.DOWNLOAD_LINK_LABEL} AS label, {synth.DOWNLOAD_LINK_HREF} AS href FROM customer)"""

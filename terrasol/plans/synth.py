@@ -203,3 +203,11 @@ text || ' ' || CASE doc_id % 6
   WHEN 4 THEN 'Ancienne carrière et friche ferroviaire.'
   ELSE 'Aucune indication.' END"""
 ARENA_MODELS = (("rules-1", 1), ("rules-2", 2), ("rules-3", 3))
+
+# Land-cover download links (customer): label "Département CODE - NAME - YEAR" and href.
+DOWNLOAD_LINK_LABEL = """
+CASE WHEN c_custkey % 9 = 0 THEN 'Notice ' || c_mktsegment
+  ELSE 'Département ' || CASE WHEN c_custkey % 5 = 0 THEN '2A' ELSE lpad(cast(c_nationkey AS string), 2, '0') END
+       || ' - ' || c_mktsegment || ' - ' || cast(2015 + c_custkey % 8 AS string) END"""
+DOWNLOAD_LINK_HREF = """
+'https://data.example.org/ocs/' || CASE WHEN c_custkey % 4 = 0 THEN 'DIFF_' ELSE '' END || 'OCS_' || cast(c_custkey AS string) || '.7z'"""
