@@ -132,3 +132,12 @@ def year_in_range(c, lo: int = 2010, hi: int = 2017) -> Column:
 def is_pdf(url) -> Column:
     """``.pdf`` suffix, case-insensitive."""
     return F.lower(col(url)).endswith(".pdf")
+
+
+# Listing entries that are index pages, not documents.
+INDEX_PAGE_TITLES = ("Avis publiés",)
+
+
+def keep_document_links(df, title: str = "title", href: str = "href", exclude=INDEX_PAGE_TITLES):
+    """Drop the index-page entry and links without href."""
+    return df.where(F.col(href).isNotNull() & ~F.coalesce(F.col(title).isin(*exclude), F.lit(False)))

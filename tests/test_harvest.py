@@ -66,3 +66,9 @@ def test_table_rows_dated_paragraphs_plan_details(spark):
     det = spark.createDataFrame([("Avis délibéré", '{"d": {"documents": [{"id": "doc-42", "url": "/f.pdf"}]}}'),
                                  ("Décision", '{"d": {"documents": []}}')], "title string, payload string")
     assert [(r.pdf_url, r.document_id) for r in html_blocks.detail_records(det).collect()] == [("/f.pdf", "42")]
+
+
+def test_keep_document_links(spark):
+    df = spark.createDataFrame([("Avis publiés", "/index"), ("Avis X", None), ("Avis Y", "/y.pdf"), (None, "/z")],
+                               "title string, href string")
+    assert sorted(r.href for r in hv.keep_document_links(df).collect()) == ["/y.pdf", "/z"]
