@@ -73,3 +73,21 @@ def test_claim_sessions_stitched_across_buckets(spark):
     got = sorted((r.doc_id, r.n_events, r.claim_start, r.last_refresh) for r in annotate.claim_sessions(ev).collect())
     assert got == [(1, 3, d, d + dt.timedelta(minutes=80)), (2, 1, d, d), (2, 1, d + dt.timedelta(minutes=60),
                                                                            d + dt.timedelta(minutes=60))]
+
+
+def test_two_phase_sessions_equal_single_phase(spark):
+    import random
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 3, 1, 0, 0, 0)
+    rows, t = [], t0
+    for _ in range(600):                          # hot key: one (doc, user) over several days
+        t += dt.timedelta(minutes=rnd.choice([5, 30, 59, 60, 61, 180]), microseconds=rnd.choice([0, 1, -1]))
+        rows.append((1, 1, t))
+    rows += [(2, rnd.randint(1, 3), t0 + dt.timedelta(minutes=rnd.randint(0, 5000))) for _ in range(200)]
+    ev = spark.createDataFrame(rows, "doc_id long, user_id long, ts timestamp_ntz")
+    direct = (ev.groupBy("doc_id", "user_id", F.session_window("ts", annotate.CLAIM_GAP))
+                .agg(F.min("ts").alias("s"), F.max("ts").alias("l"), F.count("*").alias("n")))
+    a = sorted((r.doc_id, r.user_id, r.s, r.l, r.n) for r in direct.collect())
+    b = sorted((r.doc_id, r.user_id, r.claim_start, r.last_refresh, r.n_events)
+               for r in annotate.claim_sessions(ev).collect())
+    assert a == b and len(a) > 50
