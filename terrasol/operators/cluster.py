@@ -6,7 +6,9 @@
   id, never by all pairs (a location holding a third of all rows costs linear
   work).  No pole or antimeridian special case is needed.
 * Candidate pairs only come from *occupied* neighbouring cubes (half of the
-  5x5x5 neighbourhood, each unordered cube pair once), filtered by the exact
+  5x5x5 neighbourhood, each unordered cube pair once); two dense cubes whose
+  point boxes lie entirely within eps are linked directly (no point pairs);
+  the remaining pairs are filtered by the exact
   distance (haversine Column expression, or geodesic on the WGS-84 ellipsoid
   in an Arrow-batched pandas UDF).
 * Core points (``degree >= min_samples``, self included) are connected by
@@ -84,10 +86,13 @@ def geodesic_km(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Seri
 
 
 def _cube_cols(lat: str, lon: str, side_km: float) -> list[Column]:
+    """3-D position on the sphere (km) and the cube it falls in."""
     rad = math.pi / 180
     p, l = F.col(lat) * rad, F.col(lon) * rad
     xyz = (F.cos(p) * F.cos(l), F.cos(p) * F.sin(l), F.sin(p))
-    return [F.floor(c * EARTH_RADIUS_KM / side_km).cast("long").alias(n) for c, n in zip(xyz, ("cx", "cy", "cz"))]
+    pos = [(c * EARTH_RADIUS_KM).alias(n) for c, n in zip(xyz, ("px", "py", "pz"))]
+    cube = [F.floor(c * EARTH_RADIUS_KM / side_km).cast("long").alias(n) for c, n in zip(xyz, ("cx", "cy", "cz"))]
+    return pos + cube
 
 
 def _half_offsets(r: int) -> list[tuple[int, int, int]]:
@@ -117,16 +122,32 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     reach = int(math.ceil(eps_km * MARGIN / side))
     pts = points.select(F.col(id_col).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"),
                         *_cube_cols(lat, lon, side))
-    cubes = pts.groupBy("cx", "cy", "cz").agg(F.count("*").alias("n_cube"), F.min("id").alias("cube_min"))
+    cubes = pts.groupBy("cx", "cy", "cz").agg(
+        F.count("*").alias("n_cube"), F.min("id").alias("cube_min"),
+        *[f(c).alias(f"{n}{c}") for c in ("px", "py", "pz") for f, n in ((F.min, "lo_"), (F.max, "hi_"))])
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
                         for dx, dy, dz in _half_offsets(reach)])
     # occupied neighbouring cube pairs, each unordered pair once (62 fixed offsets per cube)
-    cube_pairs = (cubes.select("cx", "cy", "cz", F.inline(offsets))
+    cube_pairs = (cubes.select("cx", "cy", "cz", "n_cube", "cube_min", "lo_px", "hi_px", "lo_py", "hi_py", "lo_pz",
+                               "hi_pz", F.inline(offsets))
                   .select(F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("cz").alias("az"),
+                          F.col("n_cube").alias("an"), F.col("cube_min").alias("aroot"),
+                          *[F.col(f"{h}_{c}").alias(f"a{h}{c}") for h in ("lo", "hi") for c in ("px", "py", "pz")],
                           (F.col("cx") + F.col("dx")).alias("bx"), (F.col("cy") + F.col("dy")).alias("by"),
                           (F.col("cz") + F.col("dz")).alias("bz"))
-                  .join(cubes.select(F.col("cx").alias("bx"), F.col("cy").alias("by"), F.col("cz").alias("bz")),
+                  .join(cubes.select(F.col("cx").alias("bx"), F.col("cy").alias("by"), F.col("cz").alias("bz"),
+                                     F.col("n_cube").alias("bn"), F.col("cube_min").alias("broot"),
+                                     *[F.col(f"{h}_{c}").alias(f"b{h}{c}") for h in ("lo", "hi")
+                                       for c in ("px", "py", "pz")]),
                         ["bx", "by", "bz"]))
+    # two dense cubes (every point core) whose point boxes lie entirely within eps
+    # are certainly connected: link their star roots, do not enumerate point pairs
+    far = [F.greatest(F.abs(F.col(f"ahi{c}") - F.col(f"blo{c}")), F.abs(F.col(f"bhi{c}") - F.col(f"alo{c}")))
+           for c in ("px", "py", "pz")]
+    max_chord = F.sqrt(far[0] * far[0] + far[1] * far[1] + far[2] * far[2])
+    certain = (F.col("an") >= min_samples) & (F.col("bn") >= min_samples) & (max_chord * MARGIN <= eps_km)
+    root_links = cube_pairs.where(certain).select(F.col("aroot").alias("a"), F.col("broot").alias("b"))
+    cube_pairs = cube_pairs.where(~certain).select("ax", "ay", "az", "bx", "by", "bz")
     a = pts.select(F.col("id").alias("a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"),
                    F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("cz").alias("az"))
     b = pts.select(F.col("id").alias("b"), F.col("lat").alias("blat"), F.col("lon").alias("blon"),
@@ -154,7 +175,8 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     core_ids = core.select("id")
     cc = (cross.join(core_ids.withColumnRenamed("id", "a"), "a", "left_semi")
                .join(core_ids.withColumnRenamed("id", "b"), "b", "left_semi"))
-    edges = star.unionByName(cc).checkpoint()
+    root_links = root_links.unionByName(root_links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = star.unionByName(cc).unionByName(root_links).checkpoint()
     labels = core_ids.select("id", F.col("id").alias("lab")).checkpoint()
     for _ in range(max_iterations):
         # propagate the smallest label over edges, then jump: label := label of label

@@ -56,3 +56,16 @@ def test_dbscan_shared_border_point(spark):
     got = [r.labels for r in dbscan(df, "id", min_samples=4).orderBy("id").collect()]
     assert got == [0, 0, 0, 0, 1, 1, 1, 1, 0, -1]
     assert list(brute_dbscan(np.zeros(len(lons)), np.array(lons), 1.0, 4)) == got
+
+
+def test_dbscan_hot_spots_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    a = np.array([45.0, 2.0]) + rng.normal(0, 0.0003, (600, 2))        # ~30 m spread: one dense cube
+    b = np.array([45.0, 2.005]) + rng.normal(0, 0.0003, (600, 2))      # ~0.4 km away: linked cubes
+    c = np.array([45.1, 2.0]) + rng.normal(0, 0.0003, (50, 2))          # 11 km away: own cluster
+    pts = np.concatenate([a, b, c, [[46.0, 3.0]]])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)],
+                               "id long, latitude double, longitude double")
+    got = [r.labels for r in dbscan(df, "id", min_samples=5).orderBy("id").collect()]
+    assert got == list(brute_dbscan(pts[:, 0], pts[:, 1], 1.0, 5))
+    assert sorted(set(got)) == [-1, 0, 1]
