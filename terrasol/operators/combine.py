@@ -27,7 +27,9 @@ def prepare_gazetteer(communes: DataFrame) -> DataFrame:
 
 def combine_projects(metadata: DataFrame, year_links: DataFrame, measures: DataFrame,
                      communes: DataFrame, full: bool = False) -> DataFrame:
-    years = bounded_broadcast(year_links.select("year_url", "region", "year"))
+    # the year index may itself be derived (a distinct over the harvest): no count
+    # action here, AQE turns the join into a broadcast at run time when it is small
+    years = year_links.select("year_url", "region", "year")
     merged = (metadata.join(years, "year_url", "left")
                       .join(measures.select("pdf_name", "land_surface_ha", "power_mwc"), "pdf_name", "left"))
     parsed = with_parsed_title(merged, "title", "_t")
