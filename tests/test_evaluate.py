@@ -68,3 +68,19 @@ def test_timing_single_row_std_null(spark):
 def test_argmax_accuracy(spark):
     df = spark.createDataFrame([([0.1, 0.9, 0.9], 1), ([2.0, 1.0, 0.0], 1)], "l array<double>, y int")
     assert ev.accuracy(df, "l", "y").collect()[0].accuracy == 0.5
+
+
+def test_threshold_sweep_against_loop(spark):
+    rng = np.random.default_rng(21)
+    truth = rng.integers(0, 2, (60, 4)).tolist()
+    scores = (rng.integers(0, 20, (60, 4)) * 0.05).round(2).tolist()      # many scores exactly on a threshold
+    y = np.array(truth)
+    best, thr = 0.0, 0.5
+    for t in np.arange(0, 1, 0.05):                                        # the original loop
+        p = (np.array(scores) > t).astype(int)
+        tp, fp, fn = (y * p).sum(), ((1 - y) * p).sum(), (y * (1 - p)).sum()
+        f1 = 0.0 if 2 * tp + fp + fn == 0 else 2 * tp / (2 * tp + fp + fn)
+        if f1 > best:
+            best, thr = f1, t
+    r = ev.best_threshold(_df(spark, truth, scores)).collect()[0]
+    assert abs(r.threshold - thr) < 1e-12 and abs(r.best_f1 - best) < 1e-12
