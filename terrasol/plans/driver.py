@@ -319,7 +319,8 @@ def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     plan = orders.select(F.expr("'https://www.example.org/avis_' || cast(o_orderkey AS string) || '.pdf'").alias("pdf_url"))
     plan = plan.withColumn("pdf_filename", hv.file_name("pdf_url"))
-    existing = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1).select(
+    # every line item is a file record; a file is present and non-empty when any record has size > 0
+    existing = table(spark, sf_dir, "lineitem").select(
         F.expr("'avis_' || cast(l_orderkey AS string) || '.pdf'").alias("file_name"),
         ((F.col("l_partkey") % 4) * 1000).alias("size"))
     return harvest.download_plan(plan, existing)

@@ -481,7 +481,7 @@ SELECT p.pdf_filename, p.pdf_url, CASE WHEN d.fn IS NOT NULL THEN 'skip' ELSE 'd
 FROM (SELECT 'https://www.example.org/avis_' || cast(o_orderkey AS string) || '.pdf' AS pdf_url,
              'avis_' || cast(o_orderkey AS string) || '.pdf' AS pdf_filename FROM orders) p
 LEFT JOIN (SELECT DISTINCT 'avis_' || cast(l_orderkey AS string) || '.pdf' AS fn FROM lineitem
-           WHERE l_linenumber = 1 AND (l_partkey % 4) * 1000 > 0) d ON p.pdf_filename = d.fn)"""
+           WHERE (l_partkey % 4) * 1000 > 0) d ON p.pdf_filename = d.fn)"""
 
 
 def download_plan() -> str:
