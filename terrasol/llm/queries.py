@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasol.llm import mixing, packing
+from terrasol.llm import mixing, near_dedup, packing, quality, topk_search
+from terrasol.llm.common import id_crc
 from terrasol.sources.tables import table
 
 
@@ -15,17 +16,36 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best candidates of every vector whose id is divisible by 20."""
+    vectors = topk_search.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to 150% of all words, sources weighing 3, 1, 2, at most twice each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labelled rows outside the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, weights)
+    return scored.select("doc_id", (id_crc() % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), ranks=tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix, op9_pack)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents (five-word shingles, similarity 0.75)."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_topk, op3_mix, op8_quality, op9_pack, op10_near_dedup)}
 ORACLES: dict[str, str] = {}
