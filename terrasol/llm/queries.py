@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasol.llm import mixing, near_dedup, packing, quality, topk_search
+from terrasol.llm import lm_score, mixing, near_dedup, packing, quality, topk_search
 from terrasol.llm.common import id_crc
 from terrasol.sources.tables import table
 
@@ -16,6 +16,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under the model of the training rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_crc() % 7 == 2
+    scored = lm_score.score_texts(docs, ~held_out)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     vectors = topk_search.integer_vectors(table(spark, sf_dir, "embeddings"))
@@ -47,5 +55,5 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_mix, op8_quality, op9_pack, op10_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op8_quality, op9_pack, op10_near_dedup)}
 ORACLES: dict[str, str] = {}
