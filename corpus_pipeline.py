@@ -1,28 +1,77 @@
 """A training corpus from the documents table in five stages.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
-written as Parquet and read again as the next stage's documents.
+written as Parquet and read again as the next stage's documents.  All but the
+last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrasol.llm import mixing, packing
+from terrasol.llm import mixing, near_dedup, packing, quality, secrets
 from terrasol.llm.common import Scratch
 from terrasol.llm.queries import tokenizer_file
 from terrasol.sources.tables import table
 
 
-STAGES: list = []
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights).where(F.col("score") >= 0.5).select(*docs.columns)
 
-#: Hash-trained models, sampling and tokenizers have no SQL form.
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (the smallest id; rows that repeat an id: one of them)."""
+    groups = Scratch(spark, "dedup-stage").save(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "groups")
+    # the ids to drop are few, so the texts need not move
+    out = docs.join(groups.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        once = out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        out = out.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return out.select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark."""
+    clean = secrets.redact(secrets.scan(docs, secrets.train(docs)))
+    return clean.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them (rows that no id, size or source tells apart share their copies)."""
+    key = ["doc_id", "source", "size"]
+    taken = mixing.mix(docs).groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    taken = taken.select(*(F.col(k).alias(f"_{k}") for k in key), "_copies", "_rows")
+    sized = docs.withColumn("_own", mixing.word_count("text"))
+    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_size"))
+    extra = (F.pmod(F.xxhash64("text"), F.col("_rows")) < F.col("_copies") % F.col("_rows")).cast("int")
+    n = (F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_rows") > 1, extra).otherwise(0)).cast("int")
+    return sized.join(taken, match).where(n > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed into sequences of 1024 tokens."""
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), ranks=tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("near-duplicate removal", drop_near_duplicates),
+    ("secret redaction", redact_secrets),
+    ("source mixing", mix_sources),
+    ("sequence packing", pack_sequences),
+]
+
+#: Trained models, sampling and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to ``documents``."""
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
-    for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    for k, (_, stage) in enumerate(STAGES):
+        docs = scratch.save(stage(spark, docs, sf_dir), f"stage{k}")
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasol.session import checkpoint_dir
@@ -48,6 +48,17 @@ def id_crc(col="doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def running(steps: Column, group: int = 512) -> Column:
+    """Sums of all elements before each one; two levels keep a long array's work far below its square."""
+    add = lambda a, x: a + x
+    zero = F.lit(0)
+    starts = F.sequence(zero, F.floor(F.size(steps) / group).cast("int"))
+    groups = F.transform(starts, lambda j: F.aggregate(F.slice(steps, j * group + 1, F.lit(group)), zero, add))
+    offsets = F.transform(starts, lambda j: F.aggregate(F.slice(groups, F.lit(1), j), zero, add))
+    return F.transform(steps, lambda x, i: F.get(offsets, F.floor(i / group).cast("int")) + F.aggregate(
+        F.slice(steps, F.floor(i / group).cast("int") * group + 1, i % group), zero, add))
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8 bytes, nulls as the empty text."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasol.llm import lm_score, mixing, near_dedup, packing, quality, topk_search
+from terrasol.llm import (chat_format, fingerprints, html_extract, lm_score, mixing, near_dedup, packing, quality, secrets,
+                          topk_search)
 from terrasol.llm.common import id_crc
 from terrasol.sources.tables import table
 
@@ -36,6 +37,44 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back from the formatted text."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = F.lit("</s>[INST] ok [/INST]")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"))
+    part = F.array(F.struct(F.lit("text").alias("type"), F.col("text"), *(F.lit(None).alias(c) for c in ("ref", "width", "height", "seconds", "pages"))))
+    done = chat_format.format_conversations(rows.unionByName(more).withColumn("parts", part.cast(chat_format.PARTS)))
+    back = chat_format.read_back(done)
+    under = F.array_join(F.transform(chat_format.masked("turns", "loss_spans"), lambda x: x["text"]), "")
+    back = back.withColumn("_loss", under)
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: the known patterns and what looks random."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *(count(k) for k in secrets.KINDS), F.sha2(secrets.listed("base").cast("binary"), 256).alias("base_sha256"),
+                        secrets.listed("spans").alias("spans"))
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labelled rows outside the held-out third."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,5 +94,5 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op8_quality, op9_pack, op10_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_format, op5_secrets, op6_html_extract, op7_fingerprints, op8_quality, op9_pack, op10_near_dedup)}
 ORACLES: dict[str, str] = {}
