@@ -19,7 +19,8 @@ from terrasol.sources.tables import table
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights).where(F.col("score") >= 0.5).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return quality.score(rows, weights).where(F.col("score") >= 0.5).select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
-    clean = secrets.redact(secrets.scan(docs, secrets.train(docs)))
-    return clean.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    clean = secrets.redact(secrets.scan(rows, secrets.train(docs)))
+    changed = F.size("spans") > 0
+    new = {"text": F.when(changed, F.col("text")).otherwise(F.col("_row.text")),
+           "n_chars": F.when(changed, F.length("text")).otherwise(F.col("_row.n_chars")).cast("long")}
+    return clean.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

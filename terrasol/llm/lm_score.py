@@ -81,11 +81,11 @@ class Grams:
 
     def __init__(self, texts: list[bytes], order: int = ORDER):
         words = WordIds()
-        start, end = words[START], words[END]
+        start, end = words.array([START]), words.array([END])
         lists = [words.array(t.lower().split()) for t in texts]
         self.n = np.array([len(x) for x in lists], np.int64)
         self.first = np.cumsum(self.n + 2) - (self.n + 2)  # of each text's START
-        self.seq = np.concatenate([np.empty(0, np.uint64), *(y for x in lists for y in ([start], x, [end]))]).astype(np.uint64)
+        self.seq = np.concatenate([np.empty(0, np.uint64), *(y for x in lists for y in (start, x, end))])
         self.doc = np.repeat(np.arange(len(texts)), self.n + 2)
         place = np.arange(len(self.seq)) - self.first[self.doc]
         self.key, self.at, self.of = {}, {}, {}
