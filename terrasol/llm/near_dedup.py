@@ -32,6 +32,14 @@ BUCKET_BITS, MANTISSA = 7, 10
 BANDS = 32
 #: Pivots compared in one task, and members by count and by bytes of their sets.
 PIVOTS, MEMBERS, SET_BYTES = 256, 1024, 8 << 20
+#: How far below the threshold an estimate must lie to rule a pair out (six standard errors).
+MARGIN = 0.23
+#: Sets up to this size get registers from independent hash functions.
+SMALL = 32
+_rng = np.random.default_rng(10)
+#: For each try, the bucket that an empty bucket looks into; the salts of the small sets' hash functions.
+TRIES = _rng.integers(0, 1 << BUCKET_BITS, (256, 1 << BUCKET_BITS))
+SALTS = _rng.integers(0, 2**64, 1 << BUCKET_BITS, np.uint64)
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
 
@@ -47,33 +55,77 @@ def shingles(text: bytes, ids: WordIds, words: int = WORDS) -> np.ndarray:
                 x = mix(x * np.uint64(ODD[0]) + w)
             return np.array([x], np.uint64)
         n = len(h) - words + 1
-        total = np.zeros(n, np.uint64)
-        for k in range(words):
-            total += mix(h[k:k + n] + np.uint64(ODD[k % len(ODD)]) * np.uint64(k + 1))
+        total = h[:n] * np.uint64(ODD[0])  # words are 64-bit hashes already: one odd factor per place
+        for k in range(1, words):
+            total += h[k:k + n] * np.uint64(ODD[k % len(ODD)] + 2 * (k // len(ODD)))
         return np.unique(mix(total))
 
 
+def encoded(x: np.ndarray) -> np.ndarray:
+    """Register of a hash whose bits start at the top: leading zeros + 1 and the mantissa bits after the first one."""
+    zeros = 64 - np.frexp(x.astype(np.float64))[1].astype(np.int64).clip(BUCKET_BITS, 64)
+    mantissa = (x << (zeros + 1).clip(0, 63).astype(np.uint64)) >> np.uint64(64 - MANTISSA)
+    return ((zeros + 1) << MANTISSA).astype(np.uint16) | mantissa.astype(np.uint16)
+
+
 def registers(s: np.ndarray) -> np.ndarray:
-    """HyperMinHash registers of a sorted set: leading zeros + 1 and mantissa of each bucket's least hash, empty: 0."""
+    """HyperMinHash registers of a sorted set, one per bucket (the first bits of a hash choose it).
+
+    An empty bucket takes the register of another one, tried in an order that is
+    fixed per bucket, so two registers agree as often as the sets are alike
+    however few elements there are.  No set: all 0.
+    """
     out = np.zeros(1 << BUCKET_BITS, np.uint16)
-    if len(s):
-        bucket = (s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        first = np.flatnonzero(np.diff(bucket, prepend=-1))
-        x = s[first] << np.uint64(BUCKET_BITS)
-        zeros = 64 - np.frexp(x.astype(np.float64))[1].astype(np.int64).clip(BUCKET_BITS, 64)
-        mantissa = (x << (zeros + 1).clip(0, 63).astype(np.uint64)) >> np.uint64(64 - MANTISSA)
-        out[bucket[first]] = ((zeros + 1) << MANTISSA).astype(np.uint16) | mantissa.astype(np.uint16)
+    if not len(s):
+        return out
+    bucket = (s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    own = np.zeros(len(out), np.uint16)
+    own[bucket[first]] = encoded(s[first] << np.uint64(BUCKET_BITS))
+    out[:] = own
+    empty, k = np.flatnonzero(own == 0), 0
+    while len(empty):
+        out[empty] = own[TRIES[k % len(TRIES)][empty]]
+        empty, k = empty[out[empty] == 0], k + 1
+        if k == len(TRIES):  # no try has met a filled bucket: the next one in the ring
+            filled = np.flatnonzero(own)
+            out[empty] = own[filled[np.searchsorted(filled, empty) % len(filled)]]
+            break
     return out
 
 
-def band_keys(reg: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """A 64-bit key per band that has a register; empty bands give none."""
-    rows = reg.reshape(bands, -1).astype(np.uint64)
+def small_registers(s: np.ndarray) -> np.ndarray:
+    """Registers of a small set: each from a hash function of its own instead of a bucket."""
     with np.errstate(over="ignore"):
-        key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(ODD[1])
-        for k in range(rows.shape[1]):
-            key = mix(key * np.uint64(ODD[0]) + rows[:, k])
-    return key[rows.any(axis=1)].view(np.int64)
+        return encoded(mix(s[:, None] ^ SALTS[None, :]).min(axis=0))
+
+
+def sketches(s: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(kind, registers) that a set takes part with.
+
+    Kind 0 serves sets of at most ``SMALL`` elements, kind 1 larger ones.  A set
+    that is large, yet within the threshold of a small one, has both kinds, so
+    every linkable pair has one in common.
+    """
+    out = []
+    if 0 < len(s) <= SMALL * PERCENT[1] // PERCENT[0]:
+        out.append((0, small_registers(s)))
+    if len(s) > SMALL:
+        out.append((1, registers(s)))
+    return out
+
+
+def band_keys(sketch: list[tuple[int, np.ndarray]], bands: int = BANDS) -> np.ndarray:
+    """A 64-bit key per kind and band of registers."""
+    keys = [np.empty(0, np.int64)]
+    for kind, reg in sketch:
+        rows = reg.reshape(bands, -1).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            key = np.arange(1 + kind * bands, 1 + (kind + 1) * bands, dtype=np.uint64) * np.uint64(ODD[1])
+            for k in range(rows.shape[1]):
+                key = mix(key * np.uint64(ODD[0]) + rows[:, k])
+        keys.append(key.view(np.int64))
+    return np.concatenate(keys)
 
 
 def expected_collisions(n, m):
@@ -82,11 +134,10 @@ def expected_collisions(n, m):
     return 0.169919487159739093975315012348 * 2.0 ** (BUCKET_BITS - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Collision-corrected Jaccard estimates of register rows a against b (broadcast), and the registers used."""
-    used = ((a != 0) | (b != 0)).sum(axis=-1)
+def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Collision-corrected Jaccard estimates of register rows a against b (broadcast) of sets of n and m elements."""
     same = ((a == b) & (a != 0)).sum(axis=-1)
-    return (same - expected_collisions(n, m)).clip(0) / np.maximum(used, 1), used
+    return (same - expected_collisions(n, m)).clip(0) / a.shape[-1]
 
 
 def document_features(docs: DataFrame) -> DataFrame:
@@ -100,7 +151,7 @@ def document_features(docs: DataFrame) -> DataFrame:
                 s = shingles(t, ids)
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(band_keys(registers(s)))
+                keys.append(band_keys(sketches(s)))
             ends = np.cumsum([0, *map(len, keys)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists],
@@ -156,10 +207,11 @@ def linked(pivots: pd.DataFrame, members: pd.DataFrame, percent=PERCENT) -> np.n
     reg_p, reg_m = np.stack(view(pivots, "reg", np.uint16)), np.stack(view(members, "reg", np.uint16))
     close = np.zeros((len(n_m), len(n_p)), bool)
     for j in range(len(n_p)):
-        est, used = estimate(reg_m, reg_p[j], n_m, n_p[j])
         fits = percent[1] * np.minimum(n_m, n_p[j]) >= percent[0] * np.maximum(n_m, n_p[j])
-        # five standard errors below the threshold: the full sets decide about everything above
-        close[:, j] = fits & (est >= percent[0] / percent[1] - 5 * np.sqrt(0.1875 / np.maximum(used, 1)))
+        # the estimate only rules out what lies far below the threshold: the full sets decide about the rest
+        # (registers filled from few buckets scatter more, so small sets are all compared in full)
+        est = estimate(reg_m, reg_p[j], n_m, n_p[j])
+        close[:, j] = fits & ((est >= percent[0] / percent[1] - MARGIN) | (np.minimum(n_m, n_p[j]) < 4 << BUCKET_BITS))
     p, m = np.flatnonzero(close.any(axis=0)), np.flatnonzero(close.any(axis=1))
     if not len(p):
         return close
@@ -220,14 +272,15 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     rows = known.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
-    active = scratch.save(rows.join(shared.select("key", "size"), "key").distinct(), "buckets")
-    degree = active.groupBy("id").agg(F.sum("size").alias("degree"))
+    active = scratch.save(rows.join(shared.select("key", "size", "lo"), "key").distinct(), "buckets")
+    # degree: how central a row is; home: rows of one group mostly have the same one
+    degree = active.groupBy("id").agg(F.sum("size").alias("degree"), F.min("lo").alias("home"))
     nodes = scratch.save(degree, "nodes")
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(
         nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sets = scratch.save(document_sets(texts).where("n > 0").distinct(), "sets")
     labels = scratch.save(nodes.select("id", F.col("id").alias("comp")), "labels-0")
-    active = scratch.save(active.join(nodes, "id"), "active-0")
+    active = scratch.save(active.select("key", "id").join(nodes, "id"), "active-0")
     pivots_per_bucket, k = 1, 0
     while True:
         k += 1
@@ -235,14 +288,14 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
         by = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
         open_ = by.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                       F.max_by("comp", F.struct("n", "comp")).alias("main")).where("lo != hi").select("key", "main")
-        now = scratch.save(now.join(open_, "key").select("key", "id", "comp", "main", "size", "degree"), f"now-{k}")
+        now = scratch.save(now.join(open_, "key").select("key", "id", "comp", "main", "degree", "home"), f"now-{k}")
         if now.isEmpty():
             break
         # the main component of a bucket needs no pivot: the others meet all of it
         others = now if k == 1 else now.where("comp != main")
         order = Window.partitionBy("key").orderBy(F.col("degree").desc(), "id")
         chosen = others.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= pivots_per_bucket)
-        chosen = chosen.groupBy("id").agg(F.max_by("key", F.struct("size", "key")).alias("home"))
+        chosen = chosen.select("id", "home").distinct()
         many = chosen.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / PIVOTS).alias("parts"))
         pivots = scratch.save(chosen.join(many, "home").select(
             "id", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("chunk")), f"pivots-{k}")
@@ -268,7 +321,7 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
         if not edges.isEmpty():
             merged = components(edges, scratch, f"merge-{k}").select(F.col("id").alias("comp"), "label")
             labels = scratch.save(labels.join(merged, "comp", "left").select("id", F.coalesce("label", "comp").alias("comp")), f"labels-{k}")
-        active = scratch.save(now.select("key", "id", "size", "degree").join(pivots.select("id"), "id", "left_anti"), f"active-{k}")
+        active = scratch.save(now.select("key", "id", "degree", "home").join(pivots.select("id"), "id", "left_anti"), f"active-{k}")
         for old in ("now", "meet", "active" if k > 1 else "buckets"):
             scratch.drop(old if old == "buckets" else f"{old}-{k - (old == 'active')}")
         pivots_per_bucket *= 8

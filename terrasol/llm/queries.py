@@ -95,4 +95,48 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_format, op5_secrets, op6_html_extract, op7_fingerprints, op8_quality, op9_pack, op10_near_dedup)}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])), 0) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+        SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20""",
+    "op4_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (
+            SELECT *, len(regexp_extract_all(role || ' ' || body,
+                '[<\[]\\*(\|turn\|>|\|text\|>|\|end\|>|\|image\|>|\|audio\|>|\|document\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)')) AS extra
+            FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+               length(coalesce(string_agg(CASE WHEN role = 'assistant' THEN body END, '' ORDER BY turn, role, body), '')) AS loss_chars,
+               sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN body END, '' ORDER BY turn, role, body), '')) AS loss_sha256,
+               CAST(sum(8 + length(role) + 8 + length(body) + 7 + extra) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+            FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+            FROM w),
+        u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
+              FROM u a JOIN u b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p WHERE 100 * c >= 75 * (n - c)),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+        SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m AS component_id, doc_id = m AS kept
+        FROM s JOIN (SELECT x, min(y) AS m FROM r GROUP BY x) g ON g.x = s.doc_id""",
+}

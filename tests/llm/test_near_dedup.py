@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -80,20 +81,38 @@ def test_odd_rows(spark, odd, empty):
     assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
 
 
+def alike(rng, n, true):
+    """Two sets of n elements each with at least the given Jaccard similarity (and as little more as they allow)."""
+    both = max(1, math.ceil(2 * n * true / (1 + true)))
+    rest = max(0, n - both)
+    x = rng.integers(0, 2**64, both + 2 * rest, np.uint64)
+    return np.unique(x[:both + rest]), np.unique(np.concatenate([x[:both], x[both + rest:]]))
+
+
 def test_estimates_follow_the_true_similarity():
     rng = np.random.default_rng(1)
     for true in (0.5, 0.75, 0.9):
         errors = []
-        for _ in range(40):
-            n = 2000
-            both = rng.integers(0, 2**64, int(n * true), np.uint64)
-            rest = rng.integers(0, 2**64, (2, (n - len(both)) // 2), np.uint64)
-            a, b = (np.unique(np.concatenate([both, r])) for r in rest)
-            est, _ = near_dedup.estimate(near_dedup.registers(a), near_dedup.registers(b), np.array(len(a)), np.array(len(b)))
+        for _ in range(60):
+            a, b = alike(rng, 2000, true)
+            est = near_dedup.estimate(near_dedup.registers(a), near_dedup.registers(b), np.array(len(a)), np.array(len(b)))
             errors.append(float(est) - true)
         assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.06
 
 
+def test_bands_find_linkable_pairs_of_every_size_and_few_others():
+    rng = np.random.default_rng(2)
+    keys = lambda s: set(near_dedup.band_keys(near_dedup.sketches(s)).tolist())
+    for n in (4, 8, 16, 24, 30, 33, 36, 40, 43, 60, 150, 1000):
+        met = [bool(keys(a) & keys(b)) for a, b in (alike(rng, n, 0.76) for _ in range(150))]
+        assert sum(met) >= 149, n
+        far = [bool(keys(a) & keys(b)) for a, b in (alike(rng, max(n, 30), 0.06) for _ in range(100))]
+        assert sum(far) <= 5, n
+    small = np.unique(rng.integers(0, 2**64, 32, np.uint64))
+    large = np.concatenate([small, rng.integers(0, 2**64, 10, np.uint64)])
+    assert keys(small) & keys(np.unique(large))  # one on each side of the limit
+
+
 def test_intersections_in_small_slices():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(20)]
