@@ -31,7 +31,7 @@ ORDER = 2
 #: Weight of the shorter context in the smoothed estimate: a constant, and a share of the context's count.
 K, A = 3.0, 6.0
 #: Code points of text in a block.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
 #: Tokens a lane of the traversal takes at a time.
 LANE = 256
 #: Pseudo words (no word holds white space): a text's end, and the state before its first word.

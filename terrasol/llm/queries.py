@@ -98,13 +98,13 @@ QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_for
 ORACLES = {
     "op2_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
         s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-                   CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])), 0) AS BIGINT) AS score
+                   CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
         SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20""",
@@ -126,11 +126,11 @@ ORACLES = {
     "op10_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                          '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+                                                          '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
             FROM documents),
         s AS (
             SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-                   ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+                   ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh
             FROM w),
         u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
         p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
