@@ -48,7 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: no shared folder was named by the cluster.
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine (tests): no shared folder is needed
         configured = tempfile.mkdtemp(prefix="terrasol-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

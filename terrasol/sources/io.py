@@ -72,6 +72,11 @@ def save_table(df: DataFrame, name: str, if_exists: str = "error") -> None:
     df.write.mode(modes[if_exists]).saveAsTable(name)
 
 
+def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows of work whose key has no finished row (J7): a stopped run goes on where it was."""
+    return work.join(done.select(key).distinct(), key, "left_anti")
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*.{pdf,PDF}") -> DataFrame:
     """Name / size / modification time of the files of a folder (S5); contents
     are not decoded (text arrives as a column)."""

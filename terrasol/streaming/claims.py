@@ -35,16 +35,31 @@ def claim_sessions_stream(events: DataFrame, key: str = "doc_id", user: str = "u
 
 
 def run_claims(spark: SparkSession, source_dir: str, glob: str, select_expr: list[str],
-               watermark: str = "2 hours") -> DataFrame:
+               watermark: str = "2 hours", ts: str = "ts", flush: bool = True) -> DataFrame:
     """Run the claim stream over the files once (available-now) into Parquet and
-    return the closed sessions."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
-    events = stream.selectExpr(*select_expr)
-    out = work_dir(spark, "claims-out")
-    q = (claim_sessions_stream(events, watermark=watermark).drop("w")
-         .writeStream.format("parquet").outputMode("append").option("path", out)
-         .option("checkpointLocation", work_dir(spark, "claims-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    return the sessions.
+
+    ``flush`` ends the input: a last event long after all others moves the
+    watermark past every open session, so those are emitted too; the event itself
+    opens a session that no watermark reaches."""
+    given = spark.read.option("pathGlobFilter", glob).parquet(source_dir)
+    tail, out, ckpt = (work_dir(spark, n) for n in ("claims-tail", "claims-out", "claims-ckpt"))
+    given.limit(0).write.parquet(tail)
+
+    def run() -> None:
+        read = lambda path, pattern: spark.readStream.schema(given.schema).option("pathGlobFilter", pattern).parquet(path)
+        events = read(source_dir, glob).unionByName(read(tail, "*.parquet")).selectExpr(*select_expr)
+        q = (claim_sessions_stream(events, watermark=watermark).drop("w")
+             .writeStream.format("parquet").outputMode("append").option("path", out)
+             .option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    if flush:
+        last = given.agg(F.max(ts).alias(ts)).where(F.col(ts).isNotNull())
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in given.schema.fields if f.name != ts]
+        end = last.select((F.col(ts) + F.expr("INTERVAL 3650 DAYS")).cast(given.schema[ts].dataType).alias(ts), *others)
+        end.select(*given.columns).write.mode("append").parquet(tail)
+        run()
     return spark.read.parquet(out)

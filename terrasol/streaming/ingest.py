@@ -27,41 +27,66 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/terrasol-{name}-{uuid.uuid4().hex}"
 
 
-def upsert_batch(target: str, key: str, buckets: int = 16):
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists; any other trouble with the file system raises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def newest(batch: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key: the greatest by the ``order`` columns, ties by all columns."""
+    cols = batch.columns
+    row = F.max_by(F.struct(*cols), F.struct(*order, *cols)).alias("_row")
+    return batch.groupBy(F.col(key).alias("_key")).agg(row).select("_row.*")
+
+
+def upsert_batch(target: str, key: str, buckets: int = 64, order: tuple[str, ...] = ()):
     """foreachBatch body: newest row per key replaces the stored one.
 
     The target is partitioned by a hash bucket of the key; a micro-batch reads
     (partition pruning) and rewrites (dynamic partition overwrite) only the
-    buckets its keys fall into, never the whole table.  The merged buckets are
-    staged in a sibling folder first because a job cannot overwrite what it
-    reads."""
+    buckets its keys fall into, never the whole table.  Rows are range-dealt by
+    (bucket, key), so a bucket is written by as many tasks as its rows need.  The
+    merged buckets are staged in a sibling folder first because a job cannot
+    overwrite what it reads.  A read error fails the batch; the table is created
+    only where its folder does not exist."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        latest = batch.dropDuplicates([key]).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        latest = newest(batch, key, order).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        if not table_exists(spark, target):
+            latest.repartitionByRange("_bucket", key).write.partitionBy("_bucket").parquet(target)
+            return
         touched = [r[0] for r in latest.select("_bucket").distinct().collect()]   # at most `buckets` ints
         if not touched:
             return
-        try:
-            current = spark.read.parquet(target).where(F.col("_bucket").isin(touched))
-        except Exception:  # noqa: BLE001 - first batch: no table yet, write it directly
-            latest.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
-            return
+        current = spark.read.parquet(target).where(F.col("_bucket").isin(touched))
         merged = current.join(latest.select(key), key, "left_anti").unionByName(latest)
         stage = f"{target}-stage-{batch_id}"
-        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+        merged.repartitionByRange("_bucket", key).write.mode("overwrite").partitionBy("_bucket").parquet(stage)
         (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("_bucket").parquet(target))
+        delete_folder(spark, stage)
     return run
 
 
 def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr: str | None = None,
-                     key: str = "doc_id", max_files_per_trigger: int = 1, partitions: int | None = None,
-                     buckets: int = 16) -> DataFrame:
+                     key: str = "doc_id", max_files_per_trigger: int | None = None, partitions: int | None = None,
+                     buckets: int = 64, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Stream the documents under ``source_dir`` (files matching ``glob``) to a
-    measured table, available-now trigger; returns the target table."""
+    measured table, available-now trigger; returns the target table.
+
+    A caller that names ``target`` and ``checkpoint`` resumes: the next call with
+    the same two folders reads only files that arrived since."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source_dir)
     body = F.expr(body_expr) if body_expr else F.col("text")
     # hash-partition each micro-batch by key: spreads the regex work of a few
     # large files over the cluster and co-locates the upsert keys
@@ -69,9 +94,9 @@ def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr:
     cleaned = stream.select(key, clean_text(body).alias("pdf_text")).repartition(n, key)
     measured = document_measures(cleaned, "pdf_text").select(key, F.length("pdf_text").alias("n_chars_clean"),
                                                              "land_surface_ha", "power_mwc")
-    target = work_dir(spark, "ingest-target")
+    target = target or work_dir(spark, "ingest-target")
     q = (measured.writeStream.foreachBatch(upsert_batch(target, key, buckets))
-         .option("checkpointLocation", work_dir(spark, "ingest-ckpt"))
+         .option("checkpointLocation", checkpoint or work_dir(spark, "ingest-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(target).drop("_bucket")

@@ -18,13 +18,15 @@ def test_entry_smoke(spark):
 
 def test_stream_ingest_equals_batch(spark):
     q = E.queries()
-    stream = {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in q["incremental_ingest"](spark, SF).collect()}
-    assert len(stream) == q["doc_measures"](spark, SF).count()
+    batch = {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in q["doc_measures"](spark, SF).collect()}
+    clean = {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in q["incremental_ingest"](spark, SF).collect()}
+    again = {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in q["resumed_ingest"](spark, SF).collect()}
+    assert clean == again and clean.keys() == batch.keys()
+    assert sum(clean[d] != batch[d] for d in batch) < 0.1 * len(batch)   # cleaning may move a section's bounds
 
 
-def test_stream_claims_subset_of_batch(spark):
+def test_stream_claims_equal_batch(spark):
     q = E.queries()
     key = lambda r: (r.doc_id, r.user_id, r.claim_start, r.last_refresh, r.n_events)
-    s = {key(r) for r in q["claim_sessions_stream"](spark, SF).collect()}
-    b = {key(r) for r in q["claim_sessions"](spark, SF).collect()}
-    assert s and s <= b
+    s = sorted(key(r) for r in q["claim_sessions_stream"](spark, SF).collect())
+    assert s and s == sorted(key(r) for r in q["claim_sessions"](spark, SF).collect())

@@ -31,7 +31,49 @@ def test_wkb_polygon_decode():
     ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 0.0)]
     wkb = struct.pack("<BII", 1, 3, 1) + struct.pack("<I", len(ring)) + b"".join(struct.pack("<dd", *p) for p in ring)
     out = geo.decode_wkb_polygons(pd.Series([wkb, None]))
-    assert out[0] == [[{"x": x, "y": y} for x, y in ring]] and out[1] is None
+    assert out[0] == [[[{"x": x, "y": y} for x, y in ring]]] and out[1] is None
+
+
+def test_wkb_multipolygon_round_trip(spark):
+    square = lambda x, y, n: [{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + n, y), (x + n, y + n), (x, y + n), (x, y))]
+    polys = [[[square(0, 0, 9), square(1, 1, 2)], [square(20, 0, 3)], [square(30, 5, 1)]], [[square(1, 2, 3)]], [], None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(polys)], "id int, g array<array<array<struct<x:double,y:double>>>>")
+    back = df.withColumn("b", geo.polygons_from_wkb(geo.wkb_from_polygons("g"))).orderBy("id").collect()
+    assert [r.b for r in back] == [r.g for r in back] and len(back[0].b) == 3
+
+
+def test_wkb_big_endian_with_z():
+    z = struct.pack(">BII", 0, 1003, 1) + struct.pack(">I", 2) + struct.pack(">6d", 1, 2, 9, 3, 4, 9)
+    multi = struct.pack(">BII", 0, 1006, 2) + z + z
+    assert geo.decode_wkb_polygons(pd.Series([multi]))[0] == [[[{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}]]] * 2
+
+
+def test_ingest_read_error_keeps_stored_rows(spark, monkeypatch):
+    import pytest
+    from terrasol.streaming import ingest
+    target = work_dir(spark, "ingest-error")
+    run = ingest.upsert_batch(target, "k", buckets=4, order=("v",))
+    run(spark.createDataFrame([(i, 0) for i in range(20)], "k int, v int"), 0)
+    run(spark.createDataFrame([(3, 1), (3, 5), (3, 2), (40, 1)], "k int, v int"), 1)
+    rows = sorted((r.k, r.v) for r in spark.read.parquet(target).collect())
+    assert rows == sorted([(i, 0) for i in range(20) if i != 3] + [(3, 5), (40, 1)])
+
+    batch = spark.createDataFrame([(1, 9)], "k int, v int")
+    monkeypatch.setattr(type(spark), "read", property(lambda self: (_ for _ in ()).throw(OSError("store is away"))))
+    with pytest.raises(OSError):
+        run(batch, 2)
+    monkeypatch.undo()
+    assert sorted((r.k, r.v) for r in spark.read.parquet(target).collect()) == rows
+
+
+def test_ingest_resumes_with_the_same_folders(spark):
+    from terrasol.streaming.ingest import ingest_documents
+    src, target, ckpt = (work_dir(spark, n) for n in ("resume-src", "resume-target", "resume-ckpt"))
+    spark.createDataFrame([(1, "parc de 3 ha"), (2, "rien")], "doc_id long, text string").coalesce(1).write.parquet(src + "/a")
+    ingest_documents(spark, src + "/*", "*.parquet", target=target, checkpoint=ckpt)
+    spark.createDataFrame([(2, "parc de 5 ha"), (3, "4 MWc")], "doc_id long, text string").coalesce(1).write.parquet(src + "/b")
+    out = ingest_documents(spark, src + "/*", "*.parquet", target=target, checkpoint=ckpt)
+    assert {r.doc_id: (r.land_surface_ha, r.power_mwc) for r in out.collect()} == {1: (3.0, None), 2: (5.0, None), 3: (None, 4.0)}
 
 
 def test_stream_ingest_upserts_across_batches(spark):
