@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -156,119 +157,77 @@ def geojson_polygon(rings) -> Column:
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")))
 
 
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType  # noqa: E402
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType  # noqa: E402
 
 RINGS_TYPE = ArrayType(ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])))
 
 
-def _decode_coordinates(s):
-    import json
-
-    import pandas as pd
-    out = []
-    for txt in s:
-        if txt is None:
-            out.append(None)
-            continue
-        rings = json.loads(txt)
-        out.append([[{"x": float(p[0]), "y": float(p[1])} for p in ring] for ring in rings])
-    return pd.Series(out)
-
-
-# GeoJSON polygon ``coordinates`` text → rings, decoded in Arrow batches (G1).
-rings_from_coordinates = F.pandas_udf(_decode_coordinates, RINGS_TYPE)
+POLYGONS_TYPE = ArrayType(RINGS_TYPE)
 
 
 def decode_wkb_polygons(s):
-    """Little/big-endian WKB Polygon / MultiPolygon (first polygon) → rings (G1)."""
+    """Little/big-endian WKB Polygon / MultiPolygon → every polygon's rings (G1).
+
+    Z and M ordinates (ISO and extended codes) are skipped; another geometry
+    type raises."""
     import struct as st
 
     import pandas as pd
-    out = []
-    for b in s:
-        if b is None:
-            out.append(None)
-            continue
-        b = bytes(b)
-        end = "<" if b[0] == 1 else ">"
-        kind = st.unpack(end + "I", b[1:5])[0] & 0xFF
-        off = 5
-        if kind == 6:  # MultiPolygon: skip count and the first polygon header
-            off += 4
-            end = "<" if b[off] == 1 else ">"
-            off += 5
-        n_rings = st.unpack(end + "I", b[off:off + 4])[0]
+
+    def polygon(b, off):
+        end = "<" if b[off] == 1 else ">"
+        code = st.unpack_from(end + "I", b, off + 1)[0]
+        dims = 2 + (bool(code & 0x80000000) + bool(code & 0x40000000) or {0: 0, 1: 1, 2: 1, 3: 2}[code % 0x10000000 // 1000])
+        kind, off = (code & 0xFFFF) % 1000, off + 5 + 4 * bool(code & 0x20000000)
+        n = st.unpack_from(end + "I", b, off)[0]
         off += 4
+        if kind == 6:
+            parts = []
+            for _ in range(n):
+                part, off = polygon(b, off)
+                parts += part
+            return parts, off
+        if kind != 3:
+            raise ValueError(f"WKB geometry type {kind} is no polygon")
         rings = []
-        for _ in range(n_rings):
-            n = st.unpack(end + "I", b[off:off + 4])[0]
-            off += 4
-            xy = st.unpack(end + "d" * (2 * n), b[off:off + 16 * n])
-            off += 16 * n
-            rings.append([{"x": xy[2 * i], "y": xy[2 * i + 1]} for i in range(n)])
-        out.append(rings)
-    return pd.Series(out)
-
-
-rings_from_wkb = F.pandas_udf(decode_wkb_polygons, RINGS_TYPE)
+        for _ in range(n):
+            k = st.unpack_from(end + "I", b, off)[0]
+            xy = st.unpack_from(f"{end}{dims * k}d", b, off + 4)
+            off += 4 + 8 * dims * k
+            rings.append([{"x": xy[dims * i], "y": xy[dims * i + 1]} for i in range(k)])
+        return [rings], off
 
+    return pd.Series([None if b is None else polygon(bytes(b), 0)[0] for b in s])
 
-def decode_coordinates_table(df, text_col: str, out_col: str):
-    """Replace a GeoJSON ``coordinates`` text column by decoded rings, table-wise
-    (``mapInPandas``, Arrow batches).  Like geometry read from storage, the
-    decoded column is opaque to the optimizer."""
-    from pyspark.sql.types import StructField as SF, StructType as ST
-
-    fields = [f for f in df.schema.fields if f.name != text_col]
-    schema = ST(fields + [SF(out_col, RINGS_TYPE)])
-    names = [f.name for f in fields]
-
-    def run(batches):
-        for pdf in batches:
-            out = pdf[names].copy()
-            out[out_col] = _decode_coordinates(pdf[text_col]).values
-            yield out
-
-    return df.mapInPandas(run, schema)
 
+def encode_wkb_polygons(s):
+    """Polygons (lists of rings) → little-endian WKB: one polygon as Polygon, any other number as MultiPolygon (G1)."""
+    import struct as st
 
-def _cross(ax, ay, bx, by, cx, cy):
-    return (bx - ax) * (cy - ay) - (cx - ax) * (by - ay)
+    import pandas as pd
 
+    def polygon(rings):
+        out = [st.pack("<BII", 1, 3, len(rings))]
+        for ring in rings:
+            out.append(st.pack(f"<I{2 * len(ring)}d", len(ring), *(v for p in ring for v in (p["x"], p["y"]))))
+        return b"".join(out)
 
-def triangles_flat(rings) -> Column:
-    """Signed fan triangulation as a flat ``array<double>``, 7 values per
-    triangle: counter-clockwise vertices a, b, c and the sign of its term
-    (fan orientation × ring orientation × shell +1 / hole −1).  The signed sum
-    of the triangles' indicator functions is the polygon's indicator, so
-    area(A ∩ B) = Σ sᵢ sⱼ area(Tᵢ ∩ Tⱼ)."""
-    def per_ring(ring, k):
-        n = F.size(ring) - 1                                   # closing vertex dropped
-        orient = F.signum(ring_signed_area(ring))
-        role = F.when(k == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        a = F.get(ring, 0)
+    return pd.Series([None if polys is None else polygon(polys[0]) if len(polys) == 1
+                      else st.pack("<BII", 1, 6, len(polys)) + b"".join(polygon(p) for p in polys) for polys in s])
 
-        def tri(i):
-            b, c = F.get(ring, i), F.get(ring, i + 1)
-            s = F.signum(_cross(a["x"], a["y"], b["x"], b["y"], c["x"], c["y"]))
-            fb, fc = F.when(s >= 0, b).otherwise(c), F.when(s >= 0, c).otherwise(b)
-            return F.array(a["x"], a["y"], fb["x"], fb["y"], fc["x"], fc["y"], s * orient * role)
 
-        return F.when(n >= 3, F.flatten(F.transform(F.sequence(F.lit(1), n - 2), tri))) \
-                .otherwise(F.array().cast("array<double>"))
+def _decode_arrow(s: pa.Array) -> pa.Array:
+    point_type = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+    return pa.array(decode_wkb_polygons(s.to_pylist()).tolist(), pa.list_(pa.list_(pa.list_(point_type))))
 
-    return F.flatten(F.transform(col(rings), per_ring))
 
+def _encode_arrow(s: pa.Array) -> pa.Array:
+    return pa.array(encode_wkb_polygons(s.to_pylist()).tolist(), pa.binary())
 
-def segments_flat(rings) -> Column:
-    """Boundary segments as a flat ``array<double>`` (x1, y1, x2, y2 each)."""
-    def per_ring(ring):
-        n = F.size(ring)
-        return F.when(n >= 2, F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.array(
-            F.get(ring, i)["x"], F.get(ring, i)["y"], F.get(ring, i + 1)["x"], F.get(ring, i + 1)["y"])))) \
-                .otherwise(F.array().cast("array<double>"))
 
-    return F.flatten(F.transform(col(rings), per_ring))
+# Arrow lists: nested rings of different lengths do not fit numpy arrays
+polygons_from_wkb = F.arrow_udf(_decode_arrow, POLYGONS_TYPE)
+wkb_from_polygons = F.arrow_udf(_encode_arrow, BinaryType())
 
 
 def _lcc_constants():

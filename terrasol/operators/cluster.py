@@ -47,9 +47,11 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def vincenty_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray,
-                iterations: int = 200) -> np.ndarray:
-    """Ellipsoidal (WGS-84) inverse distance, vectorised (Vincenty 1975)."""
+def vincenty_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """Ellipsoidal (WGS-84) inverse distance, vectorised (Vincenty 1975).
+
+    Pairs of one DBSCAN neighbourhood are close together, where the iteration
+    always converges; pairs that do not converge (near-antipodal) raise."""
     a, f = WGS84_A, WGS84_F
     b = a * (1 - f)
     u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
@@ -58,7 +60,7 @@ def vincenty_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.n
     lam = lon_d.copy()
     su1, cu1, su2, cu2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     sin_s = cos_s = sigma = cos2a = cos2sm = np.zeros_like(lam)
-    for _ in range(iterations):
+    for step in range(1000):
         sl, cl = np.sin(lam), np.cos(lam)
         sin_s = np.sqrt((cu2 * sl) ** 2 + (cu1 * su2 - su1 * cu2 * cl) ** 2)
         cos_s = su1 * su2 + cu1 * cu2 * cl
@@ -71,6 +73,8 @@ def vincenty_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.n
         lam = lon_d + (1 - c) * f * sin_a * (sigma + c * sin_s * (cos2sm + c * cos_s * (-1 + 2 * cos2sm ** 2)))
         if np.all(np.abs(lam - prev) < 1e-12):
             break
+        if step == 999:
+            raise ArithmeticError("geodesic distance of near-antipodal points does not converge")
     u2sq = cos2a * (a * a - b * b) / (b * b)
     big_a = 1 + u2sq / 16384 * (4096 + u2sq * (-768 + u2sq * (320 - 175 * u2sq)))
     big_b = u2sq / 1024 * (256 + u2sq * (-128 + u2sq * (74 - 47 * u2sq)))
@@ -115,9 +119,16 @@ def _dense_index(df: DataFrame, col: str, out: str) -> DataFrame:
 
 def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: str = "longitude",
            eps_km: float = 1.0, min_samples: int = 2, metric: str = "geodesic",
-           label_col: str = "labels", max_iterations: int = 10_000) -> DataFrame:
-    """Add ``label_col`` (cluster 0..k-1, noise -1) to ``points``."""
+           label_col: str = "labels") -> DataFrame:
+    """Add ``label_col`` (cluster 0..k-1, noise -1) to ``points``.
+
+    Rows are clustered, not ids: rows that repeat an id are points of their own.
+    A row number generated once (and checkpointed, so that it survives
+    re-evaluation) tells them apart; clusters are still numbered by id."""
     checkpoint_dir(points.sparkSession)
+    given, id_name = points, id_col
+    points = given.withColumn("_row", F.struct(F.col(id_name).alias("id"), F.monotonically_increasing_id().alias("n"))).checkpoint()
+    id_col = "_row"
     side = eps_km / (math.sqrt(3) * MARGIN * MARGIN)
     reach = int(math.ceil(eps_km * MARGIN / side))
     pts = points.select(F.col(id_col).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"),
@@ -178,7 +189,7 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     root_links = root_links.unionByName(root_links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = star.unionByName(cc).unionByName(root_links).checkpoint()
     labels = core_ids.select("id", F.col("id").alias("lab")).checkpoint()
-    for _ in range(max_iterations):
+    while True:
         # propagate the smallest label over edges, then jump: label := label of label
         proposals = edges.join(labels.select(F.col("id").alias("a"), "lab"), "a").select(F.col("b").alias("id"), "lab")
         m = labels.unionByName(proposals).groupBy("id").agg(F.min("lab").alias("lab"))
@@ -201,4 +212,4 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     border = via_cube.unionByName(via_pair).groupBy("id").agg(F.min("cluster").alias("cluster"))
     assigned = core_lab.unionByName(border)
     return (points.join(assigned.withColumnRenamed("id", id_col), id_col, "left")
-                  .withColumn(label_col, F.coalesce(F.col("cluster"), F.lit(-1)).cast("long")).drop("cluster"))
+                  .withColumn(label_col, F.coalesce(F.col("cluster"), F.lit(-1)).cast("long")).drop("cluster", "_row"))

@@ -68,7 +68,7 @@ def lookup(c, mapping, default):
 def park_cover_link(parks: DataFrame, covers: DataFrame, cell: float = 500.0) -> DataFrame:
     """parks(id, millesime, srid, geom, ...) ⟕ covers(id_1, millesime_ocs, code_us, ocs_geom, srid)
     on intersection; adds project_geom_area, ocs_geom_area, geom_intersection_area (J6 G7)."""
-    link = spatial_left_join(parks, covers, left_geom="geom", right_geom="ocs_geom", left_key="id",
+    link = spatial_left_join(parks, covers, left_geom="geom", right_geom="ocs_geom",
                              srid="srid", cell=cell)
     return (link.withColumn("project_geom_area", geo.polygon_area("geom"))
                 .withColumn("ocs_geom_area", geo.polygon_area("ocs_geom")))
@@ -109,19 +109,19 @@ def area_check(link: DataFrame) -> DataFrame:
 def usage_shares(link: DataFrame) -> DataFrame:
     """Surface per land use plus the unmatched residual, recoded, with % of total."""
     filled = link.withColumn("code_us", F.coalesce(F.col("code_us"), F.lit(UNKNOWN_CODE)))
-    # one pass over the link: rollup gives the (park, code) sums and, one level
-    # up, the park totals from which the unmatched residual is derived
-    r = filled.rollup("id", "code_us").agg(
+    # one pass over the link: two grouping sets, the (park, code) sums and the park
+    # totals from which the unmatched residual is derived
+    r = filled.groupingSets([["id", "code_us"], ["id"]], "id", "code_us").agg(
         F.coalesce(F.sum("geom_intersection_area"), F.lit(0.0)).alias("_s"),
         F.max("project_geom_area").alias("_pa"), F.grouping_id().alias("_g"))
-    parts = r.where(F.col("_g") < 3).select(
+    parts = r.select(
         F.when(F.col("_g") == 0, F.col("code_us")).otherwise(F.lit(NO_MATCH)).alias("code_us"),
         F.when(F.col("_g") == 0, F.col("_s")).otherwise(F.col("_pa") - F.col("_s")).alias("surface"))
     by_code = parts.groupBy("code_us").agg(F.sum("surface").alias("surface"))
-    # one row per land-use code (bounded by the code list): grand total as a window
-    total = F.sum("surface").over(Window.partitionBy())
-    return (by_code.select(recode("code_us").alias("code_us"), "surface",
-                           (100 * F.col("surface") / total).alias("pct_surface"))
+    # codes that pass through unmapped are not bounded: the total is one broadcast row
+    total = by_code.agg(F.sum("surface").alias("_total"))
+    return (by_code.join(F.broadcast(total)).select(recode("code_us").alias("code_us"), "surface",
+                           (100 * F.col("surface") / F.col("_total")).alias("pct_surface"))
                    .orderBy(F.col("surface").desc()))
 
 

@@ -15,7 +15,7 @@ an equi join on grid cells:
    *reference cell* (the cell holding the corner (max minx, max miny) of the two
    boxes), so no ``distinct`` shuffle is needed;
 4. exact area of the intersection and the closed ``intersects`` predicate are
-   computed for the surviving pairs by an Arrow-batched pandas UDF (signed
+   computed for the surviving pairs by an Arrow UDF (signed
    triangle fans + convex clipping, vectorised in numpy);
 5. left rows without any partner are re-attached (left outer semantics).
 """
@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from terrasol.functions import geo
+from terrasol.session import checkpoint_dir
 
 PAIR_SCHEMA = StructType([StructField("area", DoubleType()), StructField("intersects", BooleanType())])
 
@@ -99,30 +101,6 @@ def _segments(rings) -> np.ndarray:
     return np.concatenate(segs) if segs else np.zeros((0, 2, 2))
 
 
-def _touch(ra, rb) -> bool:
-    """Closed boundaries meet (used only when the interior overlap is 0)."""
-    sa, sb = _segments(ra), _segments(rb)
-    if len(sa) == 0 or len(sb) == 0:
-        return False
-    p, p2 = sa[:, None, 0], sa[:, None, 1]
-    q, q2 = sb[None, :, 0], sb[None, :, 1]
-
-    def orient(a, b, c):
-        return np.sign((b[..., 0] - a[..., 0]) * (c[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (c[..., 0] - a[..., 0]))
-
-    def on_seg(a, b, c):
-        return ((np.minimum(a[..., 0], b[..., 0]) <= c[..., 0]) & (c[..., 0] <= np.maximum(a[..., 0], b[..., 0]))
-                & (np.minimum(a[..., 1], b[..., 1]) <= c[..., 1]) & (c[..., 1] <= np.maximum(a[..., 1], b[..., 1])))
-
-    o1, o2, o3, o4 = orient(p, p2, q), orient(p, p2, q2), orient(q, q2, p), orient(q, q2, p2)
-    hit = (o1 != o2) & (o3 != o4)
-    hit |= (o1 == 0) & on_seg(p, p2, q)
-    hit |= (o2 == 0) & on_seg(p, p2, q2)
-    hit |= (o3 == 0) & on_seg(q, q2, p)
-    hit |= (o4 == 0) & on_seg(q, q2, p2)
-    return bool(hit.any())
-
-
 def _touch_flat(sa: np.ndarray, sb: np.ndarray) -> bool:
     """Closed boundaries meet: any segment of A meets any segment of B."""
     if len(sa) == 0 or len(sb) == 0:
@@ -147,53 +125,49 @@ def _touch_flat(sa: np.ndarray, sb: np.ndarray) -> bool:
     return bool(hit.any())
 
 
-def overlap_from_triangles(ta: pd.Series, tb: pd.Series, sa: pd.Series, sb: pd.Series) -> pd.DataFrame:
-    """Exact overlap area and closed intersects flag for aligned pairs, from
-    pre-computed signed triangles (7 doubles each) and boundary segments."""
-    n = len(ta)
-    subj, clip, sign, pair_idx = [], [], [], []
-    for i in range(n):
-        A = np.asarray(ta.iloc[i], dtype=float).reshape(-1, 7)
-        B = np.asarray(tb.iloc[i], dtype=float).reshape(-1, 7)
-        A, B = A[A[:, 6] != 0], B[B[:, 6] != 0]
-        na, nb = len(A), len(B)
-        if na == 0 or nb == 0:
-            continue
-        origin = A[0, :2]                    # local frame: small, exact cross products
-        at = A[:, :6].reshape(-1, 3, 2) - origin
-        bt = B[:, :6].reshape(-1, 3, 2) - origin
-        subj.append(np.repeat(at, nb, axis=0))
-        clip.append(np.tile(bt, (na, 1, 1)))
-        sign.append(np.repeat(A[:, 6], nb) * np.tile(B[:, 6], na))
-        pair_idx.append(np.full(na * nb, i))
-    area = np.zeros(n)
-    if subj:
-        areas = _clip_areas(np.concatenate(subj), np.concatenate(clip)) * np.concatenate(sign)
-        np.add.at(area, np.concatenate(pair_idx), areas)
-    area = np.where(np.abs(area) < 1e-9, 0.0, area)
-    inter = [bool(area[i] > 0) or _touch_flat(np.asarray(sa.iloc[i], dtype=float), np.asarray(sb.iloc[i], dtype=float))
-             for i in range(n)]
-    return pd.DataFrame({"area": area, "intersects": inter})
+#: Triangle pairs clipped at a time: memory of a batch does not grow with the polygons in it.
+SLICE = 100_000
+
+
+def _signed(rings) -> tuple[np.ndarray, np.ndarray]:
+    t, s = _triangles(rings or [])
+    return t, s
+
+
+def _overlap(a, b) -> tuple[float, bool]:
+    """(area of the intersection, closed boundaries or interiors meet) of two polygons."""
+    (ta, ca), (tb, cb) = _signed(a), _signed(b)
+    area = 0.0
+    if len(ta) and len(tb):
+        origin = ta[0, 0]                    # local frame: small, exact cross products
+        ta, tb = ta - origin, tb - origin
+        alo, ahi, blo, bhi = ta.min(axis=1), ta.max(axis=1), tb.min(axis=1), tb.max(axis=1)
+        step = max(1, SLICE // len(tb))
+        for k in range(0, len(ta), step):    # clip only triangle pairs whose boxes overlap
+            near = ((alo[k:k + step, None] <= bhi[None]) & (blo[None] <= ahi[k:k + step, None])).all(axis=2)
+            i, j = np.nonzero(near)
+            for n in range(0, len(i), SLICE):
+                ii, jj = i[n:n + SLICE] + k, j[n:n + SLICE]
+                area += float((_clip_areas(ta[ii], tb[jj]) * ca[ii] * cb[jj]).sum())
+    area = 0.0 if abs(area) < 1e-9 else area
+    return area, area > 0 or _touch_flat(_segments(a or []), _segments(b or []))
 
 
 def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) -> pd.DataFrame:
-    """Same result from ring lists (driver-side helper for tests and small inputs)."""
-    def flat(rings):
-        t, s = _triangles(rings)
-        return np.concatenate([t.reshape(-1, 6), s[:, None]], axis=1).ravel() if len(t) else np.zeros(0)
-    ta = pd.Series([flat(r) for r in a_rings])
-    tb = pd.Series([flat(r) for r in b_rings])
-    return overlap_from_triangles(ta, tb, pd.Series([_segments(r).ravel() for r in a_rings]),
-                                  pd.Series([_segments(r).ravel() for r in b_rings]))
+    """Exact overlap area and closed intersects flag of aligned polygon pairs."""
+    return pd.DataFrame([_overlap(a, b) for a, b in zip(a_rings, b_rings)], columns=["area", "intersects"])
 
 
-def _pair(ta: pd.Series, tb: pd.Series, sa: pd.Series, sb: pd.Series) -> pd.DataFrame:
-    return overlap_from_triangles(ta, tb, sa, sb)
+def _pair(a: pa.Array, b: pa.Array) -> pa.Array:
+    # Arrow lists: nested rings of different lengths do not fit numpy arrays
+    found = [_overlap(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())]
+    return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([bool(f[1]) for f in found], pa.bool_())],
+                                      names=["area", "intersects"])
 
 
 # Marked non-deterministic only so Catalyst evaluates it once: otherwise the
 # filter on ``intersects`` and the projection of ``area`` each get a copy.
-_pair_udf = F.pandas_udf(_pair, PAIR_SCHEMA).asNondeterministic()
+_pair_udf = F.arrow_udf(_pair, PAIR_SCHEMA).asNondeterministic()
 
 
 # ----------------------------------------------------------------------------- grid join
@@ -228,22 +202,25 @@ def _tagged(df: DataFrame, p: str, fine: float, coarse: float, tags) -> DataFram
 
 
 def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom", right_geom: str = "geom",
-                      left_key: str = "id", srid: str = "srid", cell: float = 1000.0,
+                      srid: str = "srid", cell: float = 1000.0,
                       coarse_factor: int = 32, max_cells: int = 64) -> DataFrame:
     """``left ⟕ right ON intersects(left_geom, right_geom)`` within the same srid.
 
     Adds ``geom_intersection_area`` (0 for boundary contact); right columns are
-    null for left rows without partner.  ``left_key`` must identify left rows;
-    right column names must not collide with left ones (except ``srid``).
+    null for left rows without partner.  Left rows are told apart by a row number
+    generated once and checkpointed, so rows that repeat an id (several vintages
+    of a park) keep their own partners; right column names must not collide with
+    left ones (except ``srid``).
     """
+    checkpoint_dir(left.sparkSession)
     coarse = cell * coarse_factor
+    left = left.withColumn("_lk", F.monotonically_increasing_id()).checkpoint()
     r_cols = [c for c in right.columns if c != srid]
-    L = _with_cells(left.select(F.col(left_key).alias("_lk"), F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga"),
-                                geo.triangles_flat(left_geom).alias("_ta"), geo.segments_flat(left_geom).alias("_sa")),
-                    "_ga", cell, max_cells, "_l").drop("_ga")
-    R = _with_cells(right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rs"),
-                                 F.col(right_geom).alias("_gb"), geo.triangles_flat(right_geom).alias("_tb"),
-                                 geo.segments_flat(right_geom).alias("_sb")), "_gb", cell, max_cells, "_r").drop("_gb")
+    right = right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rs"), F.col(right_geom).alias("_gb")) \
+                 .withColumn("_rk", F.monotonically_increasing_id()).checkpoint()
+    # only keys and boxes are exploded into cells and shuffled; geometry is fetched once per surviving pair
+    L = _with_cells(left.select("_lk", F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga")), "_ga", cell, max_cells, "_l").drop("_ga")
+    R = _with_cells(right.select("_rk", "_rs", "_gb"), "_gb", cell, max_cells, "_r").drop("_gb")
 
     # Each pair is produced by exactly one tag: 0 = both small (fine cells),
     # 1 = right polygon big (coarse cells), 2 = left big and right small (coarse).
@@ -258,9 +235,10 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
                & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
     reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
                  & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
-    cand = j.where(overlap & reference).select("_lk", "_ta", "_tb", "_sa", "_sb", *["_r_" + c for c in r_cols])
-    exact = cand.withColumn("_x", _pair_udf("_ta", "_tb", "_sa", "_sb")).where(F.col("_x.intersects"))
+    pairs = j.where(overlap & reference).select("_lk", "_rk")
+    geometry = (pairs.join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk").join(right.drop("_rs"), "_rk"))
+    exact = geometry.withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"))
     # left outer: every left row, partners when any.
-    return left.join(matched, left[left_key] == matched["_lk"], "left").drop("_lk")
+    return left.join(matched, "_lk", "left").drop("_lk")

@@ -50,7 +50,7 @@ def test_spatial_left_join_keeps_unmatched(spark):
                                  "id long, srid int, geom array<array<struct<x:double,y:double>>>")
     right = spark.createDataFrame([("a", 2154, HOLED), ("b", 2154, TOUCH), ("c", 2154, IN_HOLE)],
                                   "cid string, srid int, rgeom array<array<struct<x:double,y:double>>>")
-    out = spatial_left_join(left, right, "geom", "rgeom", "id", cell=3.0, max_cells=4)
+    out = spatial_left_join(left, right, "geom", "rgeom", cell=3.0, max_cells=4)
     got = sorted((r.id, r.cid, round(r.geom_intersection_area or 0, 6)) for r in out.collect())
     assert got == [(1, "a", _grid_area(L_SHAPE, HOLED)), (1, "b", 0.0), (2, None, 0.0), (3, None, 0.0)]
 
@@ -82,3 +82,34 @@ def test_ring_unprojection_matches_columns():
     out = geo._rings_to_wgs84(pd.Series([ring]), pd.Series([2154]))[0][0]
     assert abs(out[0]["x"] - 2.35) < 1e-9 and abs(out[0]["y"] - 48.85) < 1e-9
     assert abs(out[1]["x"] - 3.0) < 1e-9 and abs(out[1]["y"] - 46.5) < 1e-9
+
+
+def test_repeated_park_ids_and_levels_keep_their_partners(spark):
+    """Rows that repeat an id keep their own partners; fine and coarse cells give the same pairs."""
+    import random
+    rng = random.Random(5)
+
+    def rect(big):
+        x, y = rng.uniform(0, 60), rng.uniform(0, 60)
+        w, h = (rng.uniform(1, 5) * (9 if big else 1) for _ in range(2))
+        pts = [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+        return [[{"x": a, "y": b} for a, b in pts]], (x, y, x + w, y + h)
+
+    parks = [(k % 7, 2154 if k % 3 else 5490, 2000 + k, *rect(k % 5 == 0)) for k in range(25)]
+    covers = [(f"c{k}", 2154 if k % 2 else 5490, *rect(k % 6 == 0)) for k in range(30)]
+    want = sorted((p[2], c[0], round(max(0, min(p[4][2], c[3][2]) - max(p[4][0], c[3][0])) * max(0, min(p[4][3], c[3][3]) - max(p[4][1], c[3][1])), 6))
+                  for p in parks for c in covers if p[1] == c[1] and p[4][0] <= c[3][2] and c[3][0] <= p[4][2] and p[4][1] <= c[3][3] and c[3][1] <= p[4][3])
+    left = spark.createDataFrame([p[:4] for p in parks], "id long, srid int, millesime int, geom array<array<struct<x:double,y:double>>>")
+    right = spark.createDataFrame([c[:3] for c in covers], "cid string, srid int, rgeom array<array<struct<x:double,y:double>>>")
+    for cell, most in ((2.0, 4), (2.0, 10_000), (50.0, 64)):
+        out = spatial_left_join(left, right, "geom", "rgeom", cell=cell, max_cells=most).collect()
+        assert sorted((r.millesime, r.cid, round(r.geom_intersection_area, 6)) for r in out if r.cid) == want
+        assert len({r.millesime for r in out}) == 25
+
+
+def test_slices_do_not_change_areas(monkeypatch):
+    from terrasol.operators import spatial
+    pairs = [(L_SHAPE, HOLED), (HOLED, CW_SQUARE), (L_SHAPE, TOUCH)]
+    want = [spatial._overlap(a, b) for a, b in pairs]
+    monkeypatch.setattr(spatial, "SLICE", 1)
+    assert [spatial._overlap(a, b) for a, b in pairs] == want
