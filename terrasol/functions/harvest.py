@@ -17,7 +17,9 @@ from terrasol.functions.text import fold_keywords
 SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
 AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)"
-ANCHOR = r"(?is)<a[ \t\n\r\f][^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+# href in double quotes, in single quotes or bare (groups 1 to 3), then the anchor's content (group 4)
+ANCHOR = (r"(?is)<a[ \t\n\r\f](?:[^>]*?[ \t\n\r\f])?href[ \t\n\r\f]*=[ \t\n\r\f]*"
+          r"(?:\"([^\"]*)\"|'([^']*)'|([^ \t\n\r\f\"'>]+))[^>]*>(.*?)</a>")
 
 # Relevance keywords of the harvesters.
 KEYWORDS_FOLDED = ("voltaique", "solaire")
@@ -31,22 +33,38 @@ UNSAFE_FILENAME_CHARS = r"[\\/*?:\"<>|]"
 MAX_FILENAME = 150
 
 
+def remove_dot_segments(path) -> Column:
+    """A path without ``.`` and ``..`` segments (``..`` at the root is dropped; a last dot segment leaves a slash)."""
+    p = col(path)
+    parts = F.split(p, "/")
+    start = F.array().cast("array<string>")
+    step = lambda acc, x: (F.when(x == ".", acc)
+                           .when((x == "..") & (F.size(acc) > 1), F.slice(acc, F.lit(1), F.size(acc) - 1))
+                           .when(x == "..", acc).otherwise(F.concat(acc, F.array(x))))
+    kept = F.aggregate(parts, start, step)
+    last = F.element_at(parts, -1)
+    clean = F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit("")))
+    return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), clean).otherwise(p)
+
+
 def resolve_url(base, href) -> Column:
     """``urljoin(base, href)`` for absolute, scheme-relative, root-relative,
-    fragment, query and path-relative references (H9).  Dot segments are kept."""
+    fragment, query and path-relative references, dot segments removed (H9)."""
     b, h = col(base), F.replace(col(href), F.lit("&amp;"), F.lit("&"))
     scheme = F.regexp_extract(b, SCHEME, 1)
     origin = F.concat(scheme, F.lit("://"), F.regexp_extract(b, AUTHORITY, 1))
     path = F.regexp_extract(b, PATH, 1)
     no_frag = F.regexp_extract(b, r"^([^#]*)", 1)
+    target_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    suffix = F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
     directory = F.coalesce(nullif_empty(F.regexp_extract(path, r"^(.*/)", 1)), F.lit("/"))
     return (F.when(h.rlike(SCHEME), h)
              .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-             .when(h.startswith("/"), F.concat(origin, h))
+             .when(h.startswith("/"), F.concat(origin, remove_dot_segments(target_path), suffix))
              .when(h == "", no_frag)
              .when(h.startswith("#"), F.concat(no_frag, h))
              .when(h.startswith("?"), F.concat(origin, path, h))
-             .otherwise(F.concat(origin, directory, h)))
+             .otherwise(F.concat(origin, remove_dot_segments(F.concat(directory, target_path)), suffix)))
 
 
 def file_name(url, keep_query: bool = True) -> Column:

@@ -84,10 +84,10 @@ def user_contributions(ann: DataFrame) -> DataFrame:
     """Every validator's share of the validated documents (A15, all users at once)."""
     v = ann.where(F.col("is_validated"))
     per = v.groupBy("validated_by").agg(F.count("*").alias("n_validated"))
-    # one row per validator: the grand total is a window over that small aggregate
-    total = F.sum("n_validated").over(Window.partitionBy())
-    return per.select("validated_by", "n_validated",
-                      (div0(F.col("n_validated"), total) * 100).alias("contribution_pct"))
+    # validators grow with the users: the grand total is one broadcast row
+    total = v.agg(F.count("*").alias("_total"))
+    return per.join(F.broadcast(total)).select(
+        "validated_by", "n_validated", (div0(F.col("n_validated"), F.col("_total")) * 100).alias("contribution_pct"))
 
 
 def leaderboard(ann: DataFrame) -> DataFrame:
@@ -133,6 +133,14 @@ def stale_locks(ann: DataFrame, as_of, minutes: int = CLEANUP_TIMEOUT_MINUTES) -
     return ann.where(F.col("locked_by").isNotNull() & (F.col("locked_at") <= limit))
 
 
+def lock_states(ann: DataFrame, as_of, stale: int = CLEANUP_TIMEOUT_MINUTES, expiry: int = LOCK_TIMEOUT_MINUTES) -> DataFrame:
+    """One row per lock and state that holds at ``as_of``: ``stale`` (F14, cleanup) and ``expired`` (F14, expiry), in one pass."""
+    old = lambda minutes: F.col("locked_by").isNotNull() & (F.col("locked_at") <= _ts(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    kinds = F.array(F.when(old(stale), F.lit("stale")),
+                    F.when(old(expiry) & ~F.coalesce(F.col("is_validated"), F.lit(False)), F.lit("expired")))
+    return ann.select("*", F.explode(F.array_compact(kinds)).alias("kind"))
+
+
 def release_expired(ann: DataFrame, as_of, minutes: int = LOCK_TIMEOUT_MINUTES) -> DataFrame:
     """Clear locks held for ``>= minutes`` on unvalidated documents (F14, expiry)."""
     limit = _ts(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")

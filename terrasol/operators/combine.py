@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrasol.functions.common import strip
 from terrasol.functions.title import gazetteer_dept, with_parsed_title
-from terrasol.operators.joins import bounded_broadcast, null_safe_left_join
+from terrasol.operators.joins import null_safe_left_join
 
 COMBINED_COLUMNS = ["pdf_name", "year", "region", "project_type", "nom_commune", "dept",
                     "land_surface_ha", "power_mwc", "longitude", "latitude"]
@@ -42,7 +42,8 @@ def combine_projects(metadata: DataFrame, year_links: DataFrame, measures: DataF
                         F.col("_t.land_surface_ha_title").alias("land_surface_ha_title"),
                         F.col("_t.power_mwc_title").alias("power_mwc_title"))
                 .drop("_t", "_commune"))
-    gaz = bounded_broadcast(prepare_gazetteer(communes))
+    # no hint: statistics and AQE broadcast the gazetteer when its bytes allow it
+    gaz = prepare_gazetteer(communes)
     joined = null_safe_left_join(exploded, gaz, [("nom_commune", "_g_nom"), ("dept", "_g_dept")])
     out = (joined.drop("_g_nom", "_g_dept")
                  .withColumn("power_mwc", F.coalesce("power_mwc_title", "power_mwc"))

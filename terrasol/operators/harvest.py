@@ -16,8 +16,11 @@ REQUIRED_PLAN_COLUMNS = ("pdf_url", "pdf_filename")
 def extract_links(pages: DataFrame) -> DataFrame:
     """One row per anchor: position, raw href, anchor text, absolute URL,
     file name, pdf flag and first year found in the anchor text (H1 H9 H10 H13 U4)."""
-    hrefs = F.regexp_extract_all("html", F.lit(H.ANCHOR), 1)
-    texts = F.regexp_extract_all("html", F.lit(H.ANCHOR), 2)
+    group = lambda n: F.regexp_extract_all("html", F.lit(H.ANCHOR), n)
+    # one of the three href groups holds the reference, the others are empty
+    join = lambda a, b: F.concat(a, b)
+    hrefs = F.zip_with(F.zip_with(group(1), group(2), join), group(3), join)
+    texts = group(4)
     ex = pages.select("page_id", "url", F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))
                       .alias("link_pos", "a"))
     abs_url = H.resolve_url("url", F.col("a.href"))

@@ -23,6 +23,8 @@ ELEMENT_SCHEMA = StructType([
     StructField("parent", IntegerType()),
 ])
 BLOCK_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "a", "li", "td", "tr", "time", "div", "strong", "b", "article"}
+#: Tag of the row that reports a page the parser gave up on.
+ERROR_TAG = "#error"
 VOID_TAGS = {"br", "img", "meta", "link", "input", "hr", "source", "wbr"}
 SKIP_TAGS = {"script", "style"}
 
@@ -46,12 +48,12 @@ class _Flattener(HTMLParser):
         self.stack.append((tag, row))
 
     def handle_endtag(self, tag):
-        if tag in VOID_TAGS:
-            return
-        while self.stack:
+        if all(t != tag for t, _ in self.stack):
+            return  # an end tag without its element closes nothing
+        while True:
             t, _ = self.stack.pop()
             if t in SKIP_TAGS:
-                self.skip = max(0, self.skip - 1)
+                self.skip -= 1
             if t == tag:
                 break
 
@@ -72,8 +74,8 @@ def _flatten_batches(batches):
             try:
                 p.feed(html or "")
                 p.close()
-            except Exception:  # noqa: BLE001 - malformed page: keep what was parsed
-                pass
+            except (AssertionError, ValueError) as e:  # malformed page: keep what was parsed and say so
+                out.append((pid, -1, ERROR_TAG, 0, str(e), None, None, None, None))
             for pos, tag, depth, texts, href, cls, dt, parent in p.rows:
                 out.append((pid, pos, tag, depth, " ".join("".join(texts).split()), href, cls, dt, parent))
         yield pd.DataFrame(out, columns=[f.name for f in ELEMENT_SCHEMA.fields])
@@ -84,6 +86,46 @@ def page_elements(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(_flatten_batches, ELEMENT_SCHEMA)
 
 
+def bad_pages(elements: DataFrame) -> DataFrame:
+    """Pages that could not be parsed to their end, with the reason."""
+    return elements.where(F.col("tag") == ERROR_TAG).select("page_id", F.col("text").alias("error"))
+
+
+def listing_blocks(elements: DataFrame, css_class: str = "texteencadre") -> DataFrame:
+    """H2 layout: every framed block of a listing with its heading, its whole text and each of its links.
+
+    A block is an element whose class list holds ``css_class``; what stands
+    between it and the next element of its depth or above belongs to it."""
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    framed = F.array_contains(F.split(F.coalesce("css_class", F.lit("")), r"\s+"), css_class)
+    el = (elements.where(F.col("tag") != ERROR_TAG)
+          .withColumn("_open", F.last(F.when(framed, F.struct("pos", "depth")), ignorenulls=True).over(w))
+          .withColumn("_left", (F.col("depth") <= F.col("_open.depth")) & (F.col("pos") > F.col("_open.pos"))))
+    inside = Window.partitionBy("page_id", "_open.pos").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    el = el.where(F.col("_open").isNotNull()).withColumn("_gone", F.max(F.col("_left").cast("int")).over(inside)).where("_gone = 0")
+    heading = F.min_by("text", F.when(F.col("tag").rlike("^h[1-6]$"), F.col("pos")))
+    row = F.struct("pos", "text")
+    blocks = el.groupBy("page_id", F.col("_open.pos").alias("block_pos")).agg(
+        heading.alias("heading"), F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["text"]), lambda t: t != ""), " ").alias("block_text"),
+        F.array_sort(F.collect_list(F.when((F.col("tag") == "a") & F.col("href").isNotNull(), F.struct("pos", "href", "text")))).alias("links"))
+    return blocks.select("page_id", "block_pos", "heading", "block_text", F.posexplode_outer("links").alias("link_pos", "l")).select(
+        "page_id", "block_pos", "heading", "block_text", "link_pos", F.col("l.href").alias("href"), F.col("l.text").alias("label"))
+
+
+def next_page_links(elements: DataFrame, labels=("suivant", "page suivante", ">", "»")) -> DataFrame:
+    """H1: the first link of a page that leads to the next page of its listing."""
+    hit = (F.col("tag") == "a") & F.col("href").isNotNull() & F.lower(F.trim("text")).isin(*labels)
+    return elements.where(hit).groupBy("page_id").agg(F.min_by("href", "pos").alias("next_href"))
+
+
+def card_details(cards: DataFrame, details: DataFrame, link: str = "abs_url", url: str = "url") -> DataFrame:
+    """H4 layout: cards of a listing joined with the first PDF link of the detail page each one leads to."""
+    from terrasol.functions import harvest as hv
+    pdfs = (details.where((F.col("tag") == "a") & hv.is_pdf(F.col("href")))
+            .groupBy(F.col(url).alias(link)).agg(F.min_by("href", "pos").alias("pdf_href"), F.min_by("text", "pos").alias("pdf_label")))
+    return cards.join(pdfs, link, "left")
+
+
 def heading_scoped_blocks(elements: DataFrame, heading: str = "h2", block: str = "p") -> DataFrame:
     """H3 layout: each ``block`` element with the last preceding ``heading`` of its
     page and the href of the element that follows it when that one is a link."""

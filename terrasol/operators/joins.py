@@ -1,25 +1,10 @@
-"""Join helpers: size-checked broadcast and null-safe multi-key joins."""
+"""Join helpers: null-safe multi-key joins."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Reference tables (gazetteers, year indexes, code maps) stay far below this.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of a small dimension table; a
-    larger table is returned unhinted and the join falls back to a shuffle join
-    (AQE may still convert it from runtime statistics and splits skewed keys).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def null_safe_left_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:

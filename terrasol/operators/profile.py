@@ -7,38 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: bool = True,
+def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: bool = False,
             quantiles: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Per numeric column: min, max, distinct count, avg, sample std, count,
-    null %, and optionally approximate q25/q50/q75.  All statistics of all
-    columns are computed by a single ``agg`` (one scan, partial aggregation);
-    the result is exploded to one row per column."""
-    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    """Per column of any type: type, min and max, distinct count, avg, sample std,
+    count, null %, and optionally approximate q25/q50/q75.
+
+    Numeric columns fill ``min, max`` (and avg, std, quantiles), all others
+    ``min_text, max_text``.  All statistics of all columns come from a single
+    ``agg`` (one scan, partial aggregation); distinct counts are approximate like
+    those of ``SUMMARIZE``.  ``exact_distinct`` shuffles the distinct (column,
+    value) pairs instead and is meant for bounded tables."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cols = columns or list(kinds)
+    numeric = {c: isinstance(kinds[c], NumericType) for c in cols}
+    none = {"double": F.lit(None).cast("double"), "string": F.lit(None).cast("string")}
     aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double") if numeric[c] else F.col(f"`{c}`").cast("string")
         distinct = F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(x)
-        aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), distinct.alias(f"{c}__nd"),
-                 F.avg(x).alias(f"{c}__avg"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.count(x).alias(f"{c}__cnt"), F.count("*").alias(f"{c}__rows")]
-        if quantiles:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
+        aggs += [F.min(x).alias(f"{i}__min"), F.max(x).alias(f"{i}__max"), distinct.alias(f"{i}__nd"),
+                 F.count(x).alias(f"{i}__cnt"), F.count("*").alias(f"{i}__rows")]
+        if numeric[c]:
+            aggs += [F.avg(x).alias(f"{i}__avg"), F.stddev_samp(x).alias(f"{i}__std")]
+            if quantiles:
+                aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{i}__q"))
     one = df.agg(*aggs)
     rows = []
-    for c in cols:
-        fields = [F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-                  F.col(f"{c}__nd").alias("n_distinct"), F.col(f"{c}__avg").alias("avg"),
-                  F.col(f"{c}__std").alias("std"), F.col(f"{c}__cnt").alias("count"),
-                  (F.lit(100.0) * (F.col(f"{c}__rows") - F.col(f"{c}__cnt")) / F.col(f"{c}__rows")).alias("null_percentage")]
+    for i, c in enumerate(cols):
+        at = lambda name, kind, i=i, c=c: F.col(f"{i}__{name}") if numeric[c] == (kind == "double") else none[kind]
+        fields = [F.lit(c).alias("column_name"), F.lit(kinds[c].simpleString()).alias("column_type"),
+                  at("min", "double").alias("min"), at("max", "double").alias("max"),
+                  at("min", "string").alias("min_text"), at("max", "string").alias("max_text"),
+                  F.col(f"{i}__nd").alias("n_distinct"), (F.col(f"{i}__avg") if numeric[c] else none["double"]).alias("avg"),
+                  (F.col(f"{i}__std") if numeric[c] else none["double"]).alias("std"), F.col(f"{i}__cnt").alias("count"),
+                  (F.lit(100.0) * (F.col(f"{i}__rows") - F.col(f"{i}__cnt")) / F.col(f"{i}__rows")).alias("null_percentage")]
         if quantiles:
-            fields += [F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+            fields += [(F.col(f"{i}__q")[k] if numeric[c] else none["double"]).alias(n) for k, n in enumerate(("q25", "q50", "q75"))]
         rows.append(F.struct(*fields))
     out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     if exact_distinct:
-        # exact distinct counts of all columns in one shuffle: stack (column, value)
-        # pairs, de-duplicate them (map-side first), count per column
-        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                          F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+        # all columns in one shuffle: stack (column, value) pairs, de-duplicate them
+        # (map-side first), count per column
+        value = lambda c: (F.col(f"`{c}`").cast("double") if numeric[c] else F.col(f"`{c}`")).cast("string")
+        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), value(c).alias("v")) for c in cols])).alias("s"))
         nd = (stacked.select("s.*").where(F.col("v").isNotNull()).distinct()
                      .groupBy("column_name").agg(F.count("*").alias("_nd")))
         out = (out.join(nd, "column_name", "left")

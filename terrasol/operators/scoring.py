@@ -39,32 +39,48 @@ def parse_answers(df: DataFrame, answer: str = "answer", stop_reason: str = "sto
                .drop("_p"))
 
 
-# Keyword families of the land-type rules (lower case).
-RULE_KEYWORDS = {
-    "surfaces_naturelles": ("carrière", "gravière", "ferroviaire", "routière", "mine", "znieff", "natura 2000",
-                            "militaire", "déchets", "aéroportuaire"),
-    "surfaces_artificialisees": ("industrielle", "tertiaire", "commerciale", "portuaire", "agro-industrielle",
-                                 "carrière en exploitation"),
-    "surfaces_forestieres": ("résineux", "monospécifiques", "plantations", "landes des landes", "spontanée"),
-    "surfaces_agricoles": ("friche", "en exploitation", "prairie permanente", "cultures intensives",
-                           "arboriculture", "vignes"),
+# Phrases of the land-type rules (lower case; each word may be plural).
+RULE_PHRASES = {
+    "surfaces_naturelles": ("friche carrière", "friche gravière", "friche ferroviaire", "friche routière", "friche mine", "znieff", "natura 2000",
+                            "friche militaire", "friche activités de gestion de déchets", "friche aéroportuaire"),
+    "surfaces_artificialisees": ("friche industrielle", "friche tertiaire", "friche commerciale", "friche portuaire",
+                                 "friche agro industrielle", "carrière en exploitation"),
+    "surfaces_forestieres": ("résineux", "monospécifique", "plantation", "landes des landes", "spontanée"),
+    "surfaces_agricoles": ("friche", "en exploitation", "prairie permanente", "culture intensive", "arboriculture", "vigne"),
 }
 MAX_CONTEXTS = 3
 
 
+def phrase_pattern(phrase: str) -> str:
+    """A phrase over text whose words stand between two blanks each; a plural s is optional."""
+    return "  ".join(w if w.endswith("s") or w.isdigit() or w in ("en", "de") else w + "s?" for w in phrase.split())
+
+
+def rule_matches(text) -> F.Column:
+    """Phrases found in a text as whole words: leftmost first, of several at one place the longest,
+    so that "friche industrielle" is not also a "friche"."""
+    phrases = sorted((p for ps in RULE_PHRASES.values() for p in ps), key=lambda p: (-len(p.split()), -len(p), p))
+    padded = F.concat(F.lit("  "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "  "), F.lit("  "))
+    return F.regexp_extract_all(padded, F.lit(" (" + "|".join(map(phrase_pattern, phrases)) + ") "), F.lit(1))
+
+
+def rule_hits(matches, key: str) -> F.Column:
+    """How many different phrases of a label are among the matches."""
+    is_phrase = lambda p: lambda m: m.rlike(f"^{phrase_pattern(p)}$")
+    found = [F.exists(matches, is_phrase(p)).cast("int") for p in RULE_PHRASES[key]]
+    return sum(found[1:], found[0])
+
+
 def rule_scores(df, text: str = "pdf_text", hits_for_certainty: int = 2):
-    """Default pluggable scorer (M2): per label, the share of its keywords found in
-    the lower-cased text, capped at 1 after ``hits_for_certainty`` hits; contexts
-    are up to three sentences containing a keyword.  A stand-in for a model
-    server, written as Column code so it runs inside the JVM."""
-    low = F.lower(F.col(text))
-    out = df
-    for key, kws in RULE_KEYWORDS.items():
-        n = sum((F.when(low.contains(k), 1).otherwise(0) for k in kws), F.lit(0))
-        out = out.withColumn(key + "_score", F.least(F.lit(1.0), n / F.lit(float(hits_for_certainty))))
-    alt = "|".join(k for kws in RULE_KEYWORDS.values() for k in kws)
+    """Default pluggable scorer (M2): per label, the number of its phrases found in
+    the text, 1 from ``hits_for_certainty`` phrases on; contexts are up to three
+    sentences with a phrase.  A stand-in for a model server, written as Column
+    code so it runs inside the JVM."""
+    out = df.withColumn("_matches", rule_matches(F.col(text)))
+    for key in RULE_PHRASES:
+        out = out.withColumn(key + "_score", F.least(F.lit(1.0), rule_hits("_matches", key) / F.lit(float(hits_for_certainty))))
     sentences = F.split(F.col(text), r"(?<=[.!?])\s+")
-    hits = F.filter(sentences, lambda s: F.lower(s).rlike(alt))
-    return (out.withColumn("contexts", F.slice(hits, 1, MAX_CONTEXTS))
+    hits = F.filter(sentences, lambda s: F.size(rule_matches(s)) > 0)
+    return (out.drop("_matches").withColumn("contexts", F.slice(hits, 1, MAX_CONTEXTS))
                .withColumn("explanation", F.concat(F.lit("keyword rules, "), F.size(hits).cast("string"),
                                                    F.lit(" matching sentences"))))

@@ -208,10 +208,11 @@ FROM e"""
 
 
 def chunk_pool() -> str:
+    inner = chunks().replace("FROM documents", f"FROM (SELECT doc_id, {synth.ARENA_TEXT} AS text FROM documents)")
+    one = "\nUNION ALL\n".join(f"SELECT doc_id, {_q(k)} AS label, least(1.0, ({_rule_hits(k)}) / 2.0) AS score FROM c" for k in _RULES)
     return f"""
-WITH c AS ({chunks()}),
-s AS (SELECT doc_id, 'a' AS label, (length(chunk_text) % 97) / 97.0 AS score FROM c
-      UNION ALL SELECT doc_id, 'b', ((n_tokens * 7 + chunk_idx) % 101) / 101.0 FROM c)
+WITH c AS (SELECT doc_id, {_rule_matches('chunk_text')} AS _m FROM ({inner})),
+s AS ({one})
 SELECT doc_id, label, round(avg(score), 9) AS mean_score, max(score) AS max_score FROM s GROUP BY doc_id, label"""
 
 
@@ -413,8 +414,7 @@ def _resolve(b: str, h0: str) -> str:
 
 
 def _links_cte() -> str:
-    from terrasol.functions import harvest as H
-    a = _q(H.ANCHOR)
+    a = _q(r'(?is)<a[ \t\n\r\f][^>]*?href="([^"]*)"[^>]*>(.*?)</a>')  # the pages quote every href doubly
     return f"""(
   SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, href, anchor_text, abs_url, regexp_extract(abs_url, '([^/]*)$', 1) AS file_name,
          ends_with(lower(abs_url), '.pdf') AS is_pdf, nullif(regexp_extract(anchor_text, '([0-9]{{4}})', 1), '') AS year
@@ -462,7 +462,7 @@ def harvest_union() -> str:
             f"source, text FROM documents)")
     san = f"substring(regexp_replace(regexp_replace(project_name || '.pdf', {_q(UNSAFE_FILENAME_CHARS)}, '_', 'g'), '^[. ]+|[. ]+$', '', 'g'), 1, 150)"
     return f"""
-SELECT project_name, pdf_url, regexp_extract(pdf_url, '([^/]*)$', 1) AS pdf_filename, substring(text, 1, 80) AS description,
+SELECT project_name, pdf_url, regexp_extract(pdf_url, '([^/]*)$', 1) AS pdf_filename, text AS description,
        NULL::DATE AS publish_date_scraped, NULL::VARCHAR AS commune_name_scraped, NULL::VARCHAR AS departement_code, NULL::VARCHAR AS year_scraped
 FROM {base} WHERE _src = 0 AND {_rel_folded('project_name')}
 UNION ALL
@@ -505,15 +505,17 @@ FROM (SELECT doc_id, {synth.TITLE} AS t, {y} AS y, {synth.PDF_URL} AS u FROM doc
 
 
 def profile_table() -> str:
-    from terrasol.plans.driver import PROFILED
+    numbers = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     parts = []
-    for c in PROFILED:
+    for c in numbers:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, min({x}) AS min, max({x}) AS max, count(DISTINCT {x}) AS n_distinct, "
-            f"round(avg({x}), 4) AS avg, round(stddev_samp({x}), 4) AS std, count({x}) AS count, "
+            f"SELECT '{c}' AS column_name, min({x}) AS min, max({x}) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text, "
+            f"count(DISTINCT {x}) AS n_distinct, round(avg({x}), 4) AS avg, round(stddev_samp({x}), 4) AS std, count({x}) AS count, "
             f"round(100.0::DOUBLE * (count(*) - count({x})) / count(*), 6) AS null_percentage FROM lineitem")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts + [
+        f"SELECT '{c}', NULL, NULL, min(CAST({c} AS VARCHAR)), max(CAST({c} AS VARCHAR)), count(DISTINCT {c}), NULL, NULL, count({c}), "
+        f"round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 6) FROM lineitem" for c in ("l_returnflag", "l_linestatus", "l_shipdate")])
 
 
 def _parks_sql() -> str:
@@ -743,20 +745,84 @@ SELECT doc_id, CAST(length(pdf_text) AS INTEGER) AS n_chars_clean,
 FROM _s"""
 
 
+# The land-type rules, spelled out: a phrase per row, longest first among those that begin alike.
+_RULES = {
+    "surfaces_naturelles": ["friches?  carrières?", "friches?  gravières?", "friches?  ferroviaires?", "friches?  routières?", "friches?  mines?",
+                            "znieffs?", "naturas?  2000", "friches?  militaires?", "friches?  activités  de  gestions?  de  déchets",
+                            "friches?  aéroportuaires?"],
+    "surfaces_artificialisees": ["friches?  industrielles?", "friches?  tertiaires?", "friches?  commerciales?", "friches?  portuaires?",
+                                 "friches?  agros?  industrielles?", "carrières?  en  exploitations?"],
+    "surfaces_forestieres": ["résineuxs?", "monospécifiques?", "plantations?", "landes  des  landes", "spontanées?"],
+    "surfaces_agricoles": ["friches?", "en  exploitations?", "prairies?  permanentes?", "cultures?  intensives?", "arboricultures?", "vignes?"],
+}
+
+
+def _rule_matches(text: str) -> str:
+    every = sorted((p for ps in _RULES.values() for p in ps), key=lambda p: -len(p.split()))
+    return (f"regexp_extract_all('  ' || regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || '  ', "
+            f"{_q(' (' + '|'.join(every) + ') ')}, 1)")
+
+
+def _rule_hits(k: str, m: str = "_m") -> str:
+    return " + ".join(f"CASE WHEN len(list_filter({m}, lambda x: regexp_full_match(x, {_q(p)}))) > 0 THEN 1 ELSE 0 END" for p in _RULES[k])
+
+
 def arena_report() -> str:
     from terrasol.operators.evaluate import LABELS
-    from terrasol.operators.scoring import RULE_KEYWORDS
     parts = []
-    for model_id, hits in synth.ARENA_MODELS:
-        cols = []
-        for k in LABELS:
-            n = " + ".join(f"CASE WHEN contains(lower(pdf_text), {_q(w)}) THEN 1 ELSE 0 END" for w in RULE_KEYWORDS[k])
-            cols.append(f"CAST({synth.TRUTH[k]} AS INTEGER) AS {k}, least(1.0, ({n}) / {float(hits)!r}) AS {k}_score")
-        pred = f"(SELECT doc_id, {', '.join(cols)} FROM (SELECT *, {synth.ARENA_TEXT} AS pdf_text FROM {_LABELLED}))"
+    for model_id, hits in (("rules-1", 1), ("rules-2", 2), ("rules-3", 3)):
+        cols = [f"CAST({synth.TRUTH[k]} AS INTEGER) AS {k}, least(1.0, ({_rule_hits(k)}) / {float(hits)!r}) AS {k}_score" for k in LABELS]
+        pred = (f"(SELECT doc_id, {', '.join(cols)} FROM (SELECT *, {_rule_matches(f'({synth.ARENA_TEXT})')} AS _m FROM {_LABELLED}))")
         parts.append(f"SELECT *, {_q(model_id)} AS model_id FROM ({_report_sql(pred)})")
     return "\nUNION ALL\n".join(parts)
 
 
+def claim_sessions_stream() -> str:
+    return claim_sessions()
+
+
+def file_inventory() -> str:
+    return "SELECT 'documents.parquet' AS file_name, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS text_chars FROM documents"
+
+
+def resumed_ingest() -> str:
+    return incremental_ingest()
+
+
+def resumed_scoring() -> str:
+    cols = ", ".join(f"least(1.0, ({_rule_hits(k)}) / 2.0) AS {k}_score" for k in _RULES)
+    return f"""
+SELECT doc_id, {cols}, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1 ELSE 2 END AS run
+FROM (SELECT doc_id, {_rule_matches(f'({synth.ARENA_TEXT})')} AS _m FROM documents)"""
+
+
+def wkb_round_trip() -> str:
+    s = synth
+    return f"""
+SELECT cell, CAST(count(*) AS INTEGER) AS n_polygons, round(sum(a), 6) AS area FROM (
+  SELECT s_suppkey AS cell, w * h - CASE WHEN is_l THEN (w / 2) * (h / 2) ELSE 0 END AS a
+  FROM (SELECT s_suppkey, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier)
+  UNION ALL
+  SELECT CAST(floor(floor(p_partkey / 2) / 10) AS BIGINT), w * h - CASE WHEN hole THEN (w / 2) * (h / 2) ELSE 0 END
+  FROM (SELECT p_partkey, {s.COVER_W} AS w, {s.COVER_H} AS h, {s.COVER_HOLE} AS hole FROM part))
+GROUP BY cell"""
+
+
+def dot_segments() -> str:
+    # the results of the references, stated for the last two directories of an address
+    return """
+WITH p AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin,
+                  coalesce(nullif(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^(.*/)', 1), ''), '/') AS dir FROM pages),
+d AS (SELECT page_id, origin, dir, CASE WHEN dir = '/' THEN '/' ELSE regexp_replace(dir, '[^/]*/$', '') END AS up FROM p)
+SELECT page_id, 0 AS pos, origin || up || 'z.pdf' AS abs_url FROM d
+UNION ALL SELECT page_id, 1, origin || dir || 'b.pdf' FROM d
+UNION ALL SELECT page_id, 2, origin || '/x/z.pdf?q=../r' FROM d
+UNION ALL SELECT page_id, 3, origin || CASE WHEN len(string_split(dir, '/')) > 5 THEN regexp_replace(dir, '([^/]*/){3}$', '') ELSE '/' END || 'up.pdf' FROM d
+UNION ALL SELECT page_id, 4, origin || dir || 'a/' FROM d
+UNION ALL SELECT page_id, 5, origin || dir || 'plain.pdf' FROM d
+UNION ALL SELECT page_id, 6, origin || '/p/q/' FROM d"""
+
+
 def csv_roundtrip() -> str:
     return f"SELECT * FROM ({synth.GAZETTEER_NATION} UNION ALL {synth.GAZETTEER_REGION})"
 

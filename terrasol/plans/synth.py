@@ -204,6 +204,9 @@ text || ' ' || CASE doc_id % 6
   ELSE 'Aucune indication.' END"""
 ARENA_MODELS = (("rules-1", 1), ("rules-2", 2), ("rules-3", 3))
 
+# References with dot segments (pages).
+DOT_REFERENCES = ("../z.pdf", "./a/../b.pdf", "/x/./y/../z.pdf?q=../r", "../../../up.pdf", "a/b/..", "plain.pdf", "/p/q/.")
+
 # Land-cover download links (customer): label "Département CODE - NAME - YEAR" and href.
 DOWNLOAD_LINK_LABEL = """
 CASE WHEN c_custkey % 9 = 0 THEN 'Notice ' || c_mktsegment

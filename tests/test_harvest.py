@@ -72,3 +72,37 @@ def test_keep_document_links(spark):
     df = spark.createDataFrame([("Avis publiés", "/index"), ("Avis X", None), ("Avis Y", "/y.pdf"), (None, "/z")],
                                "title string, href string")
     assert sorted(r.href for r in hv.keep_document_links(df).collect()) == ["/y.pdf", "/z"]
+
+
+def test_dot_segments_like_urljoin(spark):
+    from urllib.parse import urljoin
+    bases = ["https://h/a/b/c.html", "https://h/a/", "https://h", "https://h/x/y/z/w?q=1#f"]
+    refs = ["../z.pdf", "./a/../b", "/x/./y/../z?q=../r#s", "../../../../up", "a/b/..", "/p/q/.", "plain", "a..b/c.", "..", "."]
+    rows = [(b, h) for b in bases for h in refs]
+    got = spark.createDataFrame(rows, "b string, h string").select("b", "h", hv.resolve_url("b", "h").alias("u")).collect()
+    assert [(r.b, r.h, r.u) for r in got] == [(b, h, urljoin(b, h)) for b, h in rows]
+
+
+def test_anchor_quotes(spark):
+    html = """<a href="/1.pdf">un</a><A class=x HREF='/2.pdf' >d<b>eu</b>x</A><a data-href="/no" href=/3.pdf>trois</a><a name=x>no</a>"""
+    pages = spark.createDataFrame([(1, "https://h/", html)], "page_id long, url string, html string")
+    got = [(r.link_pos, r.abs_url, r.anchor_text) for r in harvest.extract_links(pages).orderBy("link_pos").collect()]
+    assert got == [(0, "https://h/1.pdf", "un"), (1, "https://h/2.pdf", "deux"), (2, "https://h/3.pdf", "trois")]
+
+
+def test_stray_end_tags_and_listing_layouts(spark):
+    listing = ("<h1>Avis</h1><div class='texteencadre main'><h2>Parc A</h2><p>Projet solaire</p><a href='/a.pdf'>Avis A</a><a href='/a2.pdf'>Annexe</a></div>"
+               "<p>entre</p><div class='texteencadre'><h3>Parc B</h3><p>Sans lien</p></div><a href='?p=2'>Suivant</a>")
+    pages = spark.createDataFrame([(1, "<div>un </span>deux <p>trois</p> quatre</div>"), (2, listing)], "page_id long, html string")
+    el = html_blocks.page_elements(pages)
+    text = " ".join(r.text for r in el.where("page_id = 1").orderBy("pos").collect())
+    assert all(w in text for w in ("un", "deux", "trois", "quatre"))
+    got = [(r.heading, r.block_text, r.href, r.label) for r in html_blocks.listing_blocks(el).orderBy("block_pos", "link_pos").collect()]
+    assert got == [("Parc A", "Parc A Projet solaire Avis A Annexe", "/a.pdf", "Avis A"), ("Parc A", "Parc A Projet solaire Avis A Annexe", "/a2.pdf", "Annexe"),
+                   ("Parc B", "Parc B Sans lien", None, None)]
+    assert [r.next_href for r in html_blocks.next_page_links(el).collect()] == ["?p=2"]
+    details = html_blocks.page_elements(spark.createDataFrame([(7, "<a href='/x'>x</a><a href='/d.PDF'>PDF</a>")], "page_id long, html string"))
+    cards = spark.createDataFrame([("A", "https://h/7"), ("B", "https://h/8")], "title string, abs_url string")
+    joined = html_blocks.card_details(cards, details.withColumn("url", F.concat(F.lit("https://h/"), F.col("page_id").cast("string"))))
+    assert sorted((r.title, r.pdf_href) for r in joined.collect()) == [("A", "/d.PDF"), ("B", None)]
+    assert html_blocks.bad_pages(el).collect() == []

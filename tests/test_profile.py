@@ -3,8 +3,16 @@ from terrasol.operators.profile import profile
 
 def test_profile_nulls_distinct_quantiles(spark):
     df = spark.createDataFrame([(1, 2.0), (1, None), (3, 4.0), (None, 4.0)], "a int, b double")
-    got = {r.column_name: r for r in profile(df, quantiles=True).collect()}
+    got = {r.column_name: r for r in profile(df, exact_distinct=True, quantiles=True).collect()}
     a, b = got["a"], got["b"]
     assert (a.min, a.max, a.n_distinct, a["count"], a.null_percentage) == (1.0, 3.0, 2, 3, 25.0)
     assert (b.min, b.max, b.n_distinct, b["count"], b.null_percentage) == (2.0, 4.0, 2, 3, 25.0)
     assert abs(a.avg - 5 / 3) < 1e-12 and b.q50 == 4.0
+
+
+def test_profile_covers_every_type(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("b", dt.date(2020, 1, 2), True), (None, dt.date(2019, 1, 2), None), ("a", None, True)], "t string, d date, f boolean")
+    for exact in (False, True):
+        got = {r.column_name: (r.min, r.min_text, r.max_text, r.n_distinct, r["count"]) for r in profile(df, exact_distinct=exact).collect()}
+        assert got == {"t": (None, "a", "b", 2, 2), "d": (None, "2019-01-02", "2020-01-02", 2, 2), "f": (None, "true", "true", 1, 2)}
