@@ -46,6 +46,7 @@ UNKNOWN_CODE = "Code US inconnu"
 NO_MATCH = "Sans correspondance"
 DEFAULT_COLOR = "#b15928"
 DEFAULT_LABEL = "Inconnu"
+PARK_COLOR = "#f39c12"
 
 
 def _map(d: dict):
@@ -65,11 +66,11 @@ def lookup(c, mapping, default):
     return F.coalesce(_map(mapping)[F.col(c)], F.lit(default))
 
 
-def park_cover_link(parks: DataFrame, covers: DataFrame, cell: float = 500.0) -> DataFrame:
+def park_cover_link(parks: DataFrame, covers: DataFrame, cell: float = 500.0, with_geometry: bool = False) -> DataFrame:
     """parks(id, millesime, srid, geom, ...) ⟕ covers(id_1, millesime_ocs, code_us, ocs_geom, srid)
     on intersection; adds project_geom_area, ocs_geom_area, geom_intersection_area (J6 G7)."""
     link = spatial_left_join(parks, covers, left_geom="geom", right_geom="ocs_geom",
-                             srid="srid", cell=cell)
+                             srid="srid", cell=cell, with_geometry=with_geometry)
     return (link.withColumn("project_geom_area", geo.polygon_area("geom"))
                 .withColumn("ocs_geom_area", geo.polygon_area("ocs_geom")))
 
@@ -126,21 +127,27 @@ def usage_shares(link: DataFrame) -> DataFrame:
 
 
 def geojson_features(link: DataFrame, to_wgs84: bool = True) -> DataFrame:
-    """GeoJSON features in lon/lat (projected geometry re-projected to WGS 84):
-    one per cover intersection (colour by code) and each park outline once
-    (S12 U7 P7 G8 G4)."""
+    """GeoJSON features of a link with intersection geometry, in lon/lat (projected
+    geometry re-projected to WGS 84): one per cover intersection (colour by code,
+    popup with the land use and the shared area) and each park outline once
+    (S12 U7 P7 G6 G8 G4)."""
+    shape, outline = F.col("geom_intersection"), F.col("geom")
     if to_wgs84:
-        link = (link.withColumn("ocs_geom", geo.rings_to_wgs84_udf("ocs_geom", "srid"))
-                    .withColumn("geom", geo.rings_to_wgs84_udf("geom", "srid")))
-    geometry = "type string, coordinates array<array<array<double>>>"
-    cover_feature = F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("ocs_geom"), geometry).alias("geometry"),
-        F.struct(F.col("id_1").alias("id"), recode("code_us").alias("label"),
-                 lookup("code_us", CODES_US_COLORS, DEFAULT_COLOR).alias("color")).alias("properties")))
-    park_feature = F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.from_json(geo.geojson_polygon("geom"), geometry).alias("geometry"),
-        F.struct(F.col("id").cast("string").alias("id"), F.lit("parc").alias("label"),
-                 F.lit("#000000").alias("color")).alias("properties")))
+        shape = F.transform("geom_intersection", lambda p: geo.rings_to_wgs84(p, F.col("srid")))
+        outline = geo.rings_to_wgs84_udf("geom", "srid")
+    rings = lambda poly: F.transform(poly, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    shared = F.concat(F.lit("Surface partagée : "), F.round("geom_intersection_area", 2).cast("string"), F.lit("m^2"))
+
+    def feature(kind, coordinates, popup, color):
+        return F.to_json(F.struct(
+            F.lit("Feature").alias("type"), F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"),
+            F.struct(popup.alias("popup"), color.alias("color")).alias("properties")))
+
+    cover_popup = F.concat(F.col("id_1"), F.lit(" | "), lookup("code_us", CODES_US_MAPPING, DEFAULT_LABEL), F.lit(" - "), shared)
+    park_popup = F.concat_ws("", F.col("id").cast("string"), F.lit(" | Surface totale : "), F.round("surf_parc", 2).cast("string"),
+                             F.lit(" - "), shared)
+    cover_feature = feature("MultiPolygon", F.transform(shape, rings), cover_popup, lookup("code_us", CODES_US_COLORS, DEFAULT_COLOR))
+    park_feature = feature("Polygon", rings(outline), park_popup, F.lit(PARK_COLOR))
     # one pass over the link: every cover row gives a feature, the first row of
     # each park (window over that park's few rows) also gives its outline
     first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("id_1").asc_nulls_first())) == 1

@@ -153,6 +153,74 @@ def _overlap(a, b) -> tuple[float, bool]:
     return area, area > 0 or _touch_flat(_segments(a or []), _segments(b or []))
 
 
+def _edges(rings) -> np.ndarray:
+    """Non-horizontal edges (x, y, x', y') with y < y' of all rings."""
+    e = _segments(rings or []).reshape(-1, 4)
+    e = e[e[:, 1] != e[:, 3]]
+    return np.where((e[:, 1] < e[:, 3])[:, None], e, e[:, [2, 3, 0, 1]])
+
+
+def _crossing_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Heights at which an edge of a crosses an edge of b, in bounded slices."""
+    out, step = [np.empty(0)], max(1, SLICE // max(1, len(b)))
+    for k in range(0, len(a), step):
+        p, r = a[k:k + step, None, :2], a[k:k + step, None, 2:] - a[k:k + step, None, :2]
+        q, s = b[None, :, :2], b[None, :, 2:] - b[None, :, :2]
+        d = r[..., 0] * s[..., 1] - r[..., 1] * s[..., 0]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((q - p)[..., 0] * s[..., 1] - (q - p)[..., 1] * s[..., 0]) / d
+            u = ((q - p)[..., 0] * r[..., 1] - (q - p)[..., 1] * r[..., 0]) / d
+        hit = (d != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        out.append((p[..., 1] + t * r[..., 1])[hit])
+    return np.concatenate(out)
+
+
+def intersection_polygons(a, b) -> list:
+    """The intersection of two polygons as convex polygons that do not overlap.
+
+    Between two neighbouring heights of vertices or crossings no two edges
+    change places, so the inside of each polygon is a row of trapezoids there;
+    those of both polygons are intersected, and trapezoids that continue between
+    the same two edges are joined."""
+    ea, eb = _edges(a), _edges(b)
+    if not len(ea) or not len(eb):
+        return []
+    lo, hi = max(ea[:, 1].min(), eb[:, 1].min()), min(ea[:, 3].max(), eb[:, 3].max())
+    if lo >= hi:
+        return []
+    every = np.concatenate([ea, eb])
+    ys = np.concatenate([every[:, 1], every[:, 3], _crossing_heights(ea, eb)])
+    ys = np.unique(np.concatenate([[lo, hi], ys[(ys > lo) & (ys < hi)]]))
+
+    def at(edge, y):
+        x0, y0, x1, y1 = edge
+        return x0 if y == y0 else x1 if y == y1 else x0 + (y - y0) / (y1 - y0) * (x1 - x0)
+
+    def spans(edges, first, y0, y1):
+        """(left edge, right edge) of each stretch inside one polygon, with their places at mid-height."""
+        own = np.flatnonzero((edges[:, 1] <= y0) & (edges[:, 3] >= y1))
+        x = sorted((at(edges[i], (y0 + y1) / 2), first + int(i)) for i in own)
+        return list(zip(x[::2], x[1::2]))
+
+    done, open_ = [], {}
+    for y0, y1 in zip(ys[:-1], ys[1:]):
+        now = {}
+        for left_a, right_a in spans(ea, 0, y0, y1):
+            for left_b, right_b in spans(eb, len(ea), y0, y1):
+                left, right = max(left_a, left_b), min(right_a, right_b)
+                if left[0] < right[0]:
+                    now[left[1], right[1]] = open_.pop((left[1], right[1]), y0)
+        done += [(key, begin, y0) for key, begin in open_.items()]
+        open_ = now
+    done += [(key, begin, ys[-1]) for key, begin in open_.items()]
+    out = []
+    for (left, right), y0, y1 in done:
+        corners = [(at(every[left], y0), y0), (at(every[right], y0), y0), (at(every[right], y1), y1), (at(every[left], y1), y1)]
+        ring = [c for k, c in enumerate(corners) if c != corners[k - 1]]
+        out.append([[{"x": float(x), "y": float(y)} for x, y in [*ring, ring[0]]]])
+    return out
+
+
 def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) -> pd.DataFrame:
     """Exact overlap area and closed intersects flag of aligned polygon pairs."""
     return pd.DataFrame([_overlap(a, b) for a, b in zip(a_rings, b_rings)], columns=["area", "intersects"])
@@ -170,6 +238,14 @@ def _pair(a: pa.Array, b: pa.Array) -> pa.Array:
 _pair_udf = F.arrow_udf(_pair, PAIR_SCHEMA).asNondeterministic()
 
 
+def _pieces(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([intersection_polygons(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())],
+                    pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))))
+
+
+_pieces_udf = F.arrow_udf(_pieces, geo.POLYGONS_TYPE)
+
+
 # ----------------------------------------------------------------------------- grid join
 
 def _with_cells(df: DataFrame, geom: str, cell: float, max_cells: int, p: str) -> DataFrame:
@@ -203,10 +279,11 @@ def _tagged(df: DataFrame, p: str, fine: float, coarse: float, tags) -> DataFram
 
 def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom", right_geom: str = "geom",
                       srid: str = "srid", cell: float = 1000.0,
-                      coarse_factor: int = 32, max_cells: int = 64) -> DataFrame:
+                      coarse_factor: int = 32, max_cells: int = 64, with_geometry: bool = False) -> DataFrame:
     """``left ⟕ right ON intersects(left_geom, right_geom)`` within the same srid.
 
-    Adds ``geom_intersection_area`` (0 for boundary contact); right columns are
+    Adds ``geom_intersection_area`` (0 for boundary contact) and, on request,
+    ``geom_intersection`` (an array of polygons, G6); right columns are
     null for left rows without partner.  Left rows are told apart by a row number
     generated once and checkpointed, so rows that repeat an id (several vintages
     of a park) keep their own partners; right column names must not collide with
@@ -238,7 +315,8 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     pairs = j.where(overlap & reference).select("_lk", "_rk")
     geometry = (pairs.join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk").join(right.drop("_rs"), "_rk"))
     exact = geometry.withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
+    shape = [_pieces_udf("_ga", "_gb").alias("geom_intersection")] if with_geometry else []
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
-                           F.col("_x.area").alias("geom_intersection_area"))
+                           F.col("_x.area").alias("geom_intersection_area"), *shape)
     # left outer: every left row, partners when any.
     return left.join(matched, "_lk", "left").drop("_lk")

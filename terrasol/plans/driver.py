@@ -447,8 +447,8 @@ def _cover_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("id_1", "millesime_ocs", "code_us", "srid", rings.alias("ocs_geom"))
 
 
-def _link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cover.park_cover_link(_park_polygons(spark, sf_dir), _cover_polygons(spark, sf_dir), cell=500.0)
+def _link(spark: SparkSession, sf_dir: str, with_geometry: bool = False) -> DataFrame:
+    return cover.park_cover_link(_park_polygons(spark, sf_dir), _cover_polygons(spark, sf_dir), cell=500.0, with_geometry=with_geometry)
 
 
 def park_cover_link(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,8 +494,17 @@ def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geojson_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GeoJSON features of covers (coloured by code) and park outlines once."""
-    return cover.geojson_features(cover.latest_vintage(_link(spark, sf_dir)))
+    """GeoJSON features of the shared areas (coloured by code) and of each park once, read back from the JSON text."""
+    feats = cover.geojson_features(cover.latest_vintage(_link(spark, sf_dir, with_geometry=True)), to_wgs84=False)
+    at = lambda path: F.get_json_object("feature", path)
+    point = "array<array<array<double>>>"
+    polygons = F.when(at("$.geometry.type") == "Polygon", F.array(F.from_json(at("$.geometry.coordinates"), point))) \
+                .otherwise(F.from_json(at("$.geometry.coordinates"), f"array<{point}>"))
+    as_rings = F.transform(polygons, lambda poly: F.transform(poly, lambda ring: F.transform(
+        ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))))
+    area = F.aggregate(F.transform(as_rings, geo.polygon_area), F.lit(0.0), lambda a, x: a + x)
+    return feats.select(at("$.geometry.type").alias("kind"), at("$.properties.popup").alias("popup"),
+                        at("$.properties.color").alias("color"), F.round(area, 4).alias("area"))
 
 
 def crs_project(spark: SparkSession, sf_dir: str) -> DataFrame:

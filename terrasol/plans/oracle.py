@@ -651,6 +651,19 @@ b AS (SELECT code_us, sum(surface) AS surface FROM u GROUP BY code_us)
 SELECT {rec} AS code_us, round(surface, 6) AS surface, round(100 * surface / (SELECT sum(surface) FROM b), 6) AS pct_surface FROM b"""
 
 
+def geojson_export() -> str:
+    from terrasol.operators.cover import CODES_US_COLORS, CODES_US_MAPPING
+    case = lambda d, other: "CASE code_us " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in d.items()) + f" ELSE {_q(other)} END"
+    shared = "'Surface partagée : ' || CAST(round(geom_intersection_area, 2) AS VARCHAR) || 'm^2'"
+    return f"""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY id_1 NULLS FIRST) AS _rn FROM {_latest_sql()})
+SELECT 'MultiPolygon' AS kind, id_1 || ' | ' || {case(CODES_US_MAPPING, 'Inconnu')} || ' - ' || {shared} AS popup,
+       {case(CODES_US_COLORS, '#b15928')} AS color, round(geom_intersection_area, 4) AS area FROM l WHERE id_1 IS NOT NULL
+UNION ALL
+SELECT 'Polygon', CAST(id AS VARCHAR) || ' | Surface totale : ' || CAST(round(surf_parc, 2) AS VARCHAR) || ' - ' || coalesce({shared}, ''),
+       '#f39c12', round(project_geom_area, 4) FROM l WHERE _rn = 1"""
+
+
 def polygon_area_centroid() -> str:
     s = synth
     return f"""

@@ -113,3 +113,24 @@ def test_slices_do_not_change_areas(monkeypatch):
     want = [spatial._overlap(a, b) for a, b in pairs]
     monkeypatch.setattr(spatial, "SLICE", 1)
     assert [spatial._overlap(a, b) for a, b in pairs] == want
+
+
+def test_intersection_polygons():
+    from terrasol.operators.spatial import intersection_polygons
+
+    def area(polys):
+        total = 0.0
+        for rings in polys:
+            p = [(q["x"], q["y"]) for q in rings[0]]
+            assert p[0] == p[-1] and len(rings) == 1
+            total += sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(p, p[1:])) / 2
+        return total
+
+    for a, b in ((L_SHAPE, HOLED), (L_SHAPE, CW_SQUARE), (HOLED, CW_SQUARE), (L_SHAPE, TOUCH), (L_SHAPE, FAR), (HOLED, IN_HOLE)):
+        assert abs(area(intersection_polygons(a, b)) - _grid_area(a, b)) < 1e-6
+    ring = lambda *p: [[{"x": float(x), "y": float(y)} for x, y in p]]
+    diamond, square = ring((0, 2), (2, 0), (4, 2), (2, 4), (0, 2)), ring((0, 0), (2, 0), (2, 4), (0, 4), (0, 0))
+    assert abs(area(intersection_polygons(diamond, square)) - 4.0) < 1e-9
+    rect = ring((1, 1), (3, 1), (3, 5), (1, 5), (1, 1))
+    assert intersection_polygons(rect, ring((2, 0), (9, 0), (9, 3), (2, 3), (2, 0))) == [ring((2, 1), (3, 1), (3, 3), (2, 3), (2, 1))]
+    assert intersection_polygons(rect, None) == []
