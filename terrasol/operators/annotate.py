@@ -183,6 +183,11 @@ def claim_sessions(events: DataFrame, key: str = "doc_id", user: str = "user_id"
                 .drop("w"))
 
 
+def validated_between(ann: DataFrame, first, last, at: str = "validated_at") -> DataFrame:
+    """Admin facet (F13): documents validated from ``first`` to before ``last``."""
+    return ann.where(F.coalesce(F.col("is_validated"), F.lit(False)) & (F.col(at) >= _ts(first)) & (F.col(at) < _ts(last)))
+
+
 def search(ann: DataFrame, term: str, validated: bool | None = None) -> DataFrame:
     """Admin facets (F13): optional validation filter and a case-insensitive
     search in ``pdf_name`` or any context."""

@@ -41,6 +41,11 @@ def binarise(score: Column, threshold) -> Column:
     return F.coalesce(score > threshold, F.lit(False)).cast("int")
 
 
+def multi_hot_array(land_types: Column, labels=LABELS) -> list[Column]:
+    """Truth columns from an array of label names by membership (P12, array form)."""
+    return [F.coalesce(F.array_contains(land_types, name), F.lit(False)).cast("int").alias(key) for key, name in labels.items()]
+
+
 def multi_hot(land_type: Column, labels=LABELS) -> list[Column]:
     """Truth columns from a ``land_type`` string by substring test."""
     return [land_type.contains(name).cast("int").alias(key) for key, name in labels.items()]

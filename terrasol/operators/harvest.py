@@ -65,6 +65,16 @@ def download_plan(plan: DataFrame, existing: DataFrame) -> DataFrame:
                 .drop("_done"))
 
 
+def attempt_outcomes(planned: DataFrame, attempts: DataFrame, retries: int = 5) -> DataFrame:
+    """total / skipped / success / failed of a run (A17): a planned download succeeds with any
+    successful attempt among its first ``retries``; without one it has failed."""
+    ok = attempts.where(F.col("attempt") <= retries).groupBy("pdf_filename").agg(F.max(F.col("ok").cast("int")).alias("_ok"))
+    done = planned.join(ok, "pdf_filename", "left").withColumn("_ok", F.coalesce("_ok", F.lit(0)) == 1)
+    todo = F.col("action") == "download"
+    return done.agg(F.count("*").alias("total"), F.count_if(~todo).alias("skipped"),
+                    F.count_if(todo & F.col("_ok")).alias("success"), F.count_if(todo & ~F.col("_ok")).alias("failed"))
+
+
 def download_stats(planned: DataFrame) -> DataFrame:
     """total / skipped / to download."""
     return planned.agg(F.count("*").alias("total"), F.count_if(F.col("action") == "skip").alias("skipped"),

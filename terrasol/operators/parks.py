@@ -53,6 +53,11 @@ def count_by(df: DataFrame, key: str, where: Column | None = None) -> DataFrame:
     return d.groupBy(key).agg(F.count("*").alias("len"))
 
 
+def typed_projection(df: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """The named columns in the given order and types; text that does not fit its type becomes null."""
+    return df.select(*(F.expr(f"try_cast(trim(cast(`{c}` AS string)) AS {kind})").alias(c) for c, kind in schema.items()))
+
+
 def decimal_total(df: DataFrame, c: str, precision: int = 18, scale: int = 3) -> DataFrame:
     """Typed projection to DECIMAL(p,s) then a global sum."""
     x = F.col(c).cast(f"decimal({precision},{scale})")

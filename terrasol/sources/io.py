@@ -63,7 +63,7 @@ def write_runs(df: DataFrame, path: str, partition_cols=("model_id", "run_ts"))
 
 def write_report(df: DataFrame, path: str) -> None:
     """Evaluation report as (valid) JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def save_table(df: DataFrame, name: str, if_exists: str = "error") -> None:
