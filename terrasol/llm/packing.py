@@ -53,7 +53,8 @@ class Encoder:
 
     A single space between two characters that are no white space always begins
     a new pre-token of the byte-level pattern, so such a text is encoded word by
-    word through a memo of bounded size; any other text is encoded whole.  With
+    word through a memo of bounded size; any other text, and one that holds the
+    string of a special token, is encoded whole.  With
     ``ranks`` (the same vocabulary as a rank file) the words go through the
     faster rank encoder, after a check that both give the same ids.
     """
@@ -63,7 +64,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.gaps = re.compile(r"\s\s")
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.gaps = re.compile("|".join([r"\s\s", *special]))
         self.word = lambda w: self._encode([w])[0]
         if ranks:
             import tiktoken

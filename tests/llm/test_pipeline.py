@@ -25,9 +25,10 @@ def test_stages_take_effect(spark, docs, tmp_path):
     good = staged(spark, docs, 1, tmp_path / "a")
     assert good.columns == docs.columns
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    kept = good.join(labels, "doc_id").agg(F.avg("quality")).first()[0]
-    lost = docs.join(good, "doc_id", "left_anti").join(labels, "doc_id").agg(F.avg("quality")).first()[0]
-    assert kept > 0.97 and (lost is None or lost < 0.2)
+    n_good = docs.join(labels.where("quality = 1"), "doc_id").count()
+    n_bad = docs.join(labels.where("quality = 0"), "doc_id").count()
+    assert good.join(labels.where("quality = 1"), "doc_id").count() == n_good  # clean documents stay
+    assert good.join(labels.where("quality = 0"), "doc_id").count() < 0.6 * n_bad
     once = cp.drop_near_duplicates(spark, good, SF)
     groups = {r.doc_id: r.kept for r in __import__("terrasol.llm.near_dedup", fromlist=["x"]).near_duplicates(good).collect()}
     assert sorted(r.doc_id for r in once.collect()) == sorted(d for d, k in groups.items() if k)
