@@ -625,6 +625,58 @@ def scored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("model_id string, run_ts string, n long, mean_score double").json(report_path)
 
 
+def _layout(spark: SparkSession, sf_dir: str, html: str) -> DataFrame:
+    """Elements of the pages that one layout gives, one page per document."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
+    return html_blocks.page_elements(docs.select(F.col("doc_id").alias("page_id"), F.expr(html).alias("html")))
+
+
+def listing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: framed blocks of the listings with heading, text and links."""
+    return html_blocks.listing_blocks(_layout(spark, sf_dir, synth.LISTING_HTML)).drop("block_pos")
+
+
+def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: the link of every listing that leads to its next page."""
+    return html_blocks.next_page_links(_layout(spark, sf_dir, synth.LISTING_HTML))
+
+
+def heading_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: paragraphs under their heading, with the link that follows."""
+    return html_blocks.heading_scoped_blocks(_layout(spark, sf_dir, synth.LISTING_HTML)).drop("pos")
+
+
+def card_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4: cards of a listing joined with the PDF link of the page each one leads to (some pages were not fetched)."""
+    at = lambda c: F.concat(F.lit("https://www.example.org/p/"), F.col(c).cast("string"))
+    cards = table(spark, sf_dir, "documents").select("doc_id", at("doc_id").alias("abs_url"))
+    pages = _layout(spark, sf_dir, synth.DETAIL_HTML).where(F.col("page_id") % 4 != 0).withColumn("url", at("page_id"))
+    return html_blocks.card_details(cards, pages).select("doc_id", "pdf_href", "pdf_label")
+
+
+def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5: PDF links of the table rows that mention a keyword."""
+    return html_blocks.table_row_links(_layout(spark, sf_dir, synth.TABLE_HTML)).drop("tr_pos")
+
+
+def dated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: paragraphs "title - date"; the others are reported as such."""
+    return html_blocks.dated_paragraphs(_layout(spark, sf_dir, synth.DATED_HTML)).drop("pos")
+
+
+def offset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H7: result pages by offset."""
+    listing = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("https://www.example.org/l?q="), F.col("doc_id").cast("string")).alias("base_url"), (F.col("n_chars") % 60).cast("int").alias("num_docs"))
+    return html_blocks.offset_page_plan(listing)
+
+
+def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8: the first document of the detail records of opinions."""
+    return html_blocks.detail_records(table(spark, sf_dir, "documents").select(
+        F.expr(synth.DETAIL_TITLE).alias("title"), F.expr(synth.DETAIL_JSON).alias("payload")))
+
+
 def wkb_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: parks and covers of a cell as (multi)polygons, encoded to WKB and decoded; every part keeps its area."""
     parks_ = _park_polygons(spark, sf_dir).select(F.col("id").alias("cell"), F.col("geom"))
@@ -741,5 +793,6 @@ QUERY_NAMES = [
     "file_inventory", "event_props", "annotation_search", "user_contributions",
     "download_labels", "resumed_ingest", "resumed_scoring", "wkb_round_trip", "dot_segments",
     "typed_projection", "multi_hot_array", "labelled_texts", "validated_facet", "attempt_outcomes", "layers_round_trip",
-    "scored_runs",
+    "scored_runs", "listing_blocks", "next_pages", "heading_blocks", "card_details", "table_rows", "dated_paragraphs", "offset_pages",
+    "detail_records",
 ]

@@ -869,6 +869,57 @@ SELECT m.model_id, 'run' || CAST(doc_id % 3 AS VARCHAR) AS run_ts, count(*) AS n
 FROM {_pred_cte()}, (VALUES ('rules-1'), ('rules-2'), ('rules-3')) m(model_id) GROUP BY ALL"""
 
 
+def listing_blocks() -> str:
+    t = f"regexp_replace(({synth.TITLE}), ' +', ' ', 'g')"
+    return f"""
+WITH d AS (SELECT doc_id, {t} AS t, CAST(doc_id AS VARCHAR) AS k FROM documents),
+b AS (SELECT *, t || ' Projet ' || k || ' Avis' || CASE WHEN doc_id % 3 = 0 THEN ' Annexe' ELSE '' END AS txt FROM d)
+SELECT doc_id AS page_id, t AS heading, txt AS block_text, 0 AS link_pos, '/avis/' || k || '.pdf' AS href, 'Avis' AS label FROM b
+UNION ALL SELECT doc_id, t, txt, 1, '/annexe/' || k || '.pdf', 'Annexe' FROM b WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'Bloc ' || CAST(doc_id % 10 AS VARCHAR), 'Bloc ' || CAST(doc_id % 10 AS VARCHAR), NULL, NULL, NULL FROM b"""
+
+
+def next_pages() -> str:
+    return "SELECT doc_id AS page_id, '?page=' || CAST(doc_id + 1 AS VARCHAR) AS next_href FROM documents"
+
+
+def heading_blocks() -> str:
+    t = f"regexp_replace(({synth.TITLE}), ' +', ' ', 'g')"
+    return f"""
+SELECT doc_id AS page_id, {t} AS section, 'Projet ' || CAST(doc_id AS VARCHAR) AS block_text, '/avis/' || CAST(doc_id AS VARCHAR) || '.pdf' AS next_link FROM documents
+UNION ALL SELECT doc_id, {t}, 'entre', NULL FROM documents"""
+
+
+def card_details() -> str:
+    return """SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN '/d/' || CAST(doc_id AS VARCHAR) || '.PDF' END AS pdf_href,
+  CASE WHEN doc_id % 4 <> 0 THEN 'Avis ' || CAST(doc_id AS VARCHAR) END AS pdf_label FROM documents"""
+
+
+def table_rows() -> str:
+    return f"""SELECT doc_id AS page_id, 'Commune ' || CAST(doc_id % 25 AS VARCHAR) AS project_name, '/t/' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_href,
+  CAST(strptime({synth.SLASH_DATE}, '%d/%m/%Y') AS DATE) AS publish_date FROM documents"""
+
+
+def dated_paragraphs() -> str:
+    return f"""
+SELECT doc_id AS page_id, true AS ok, 'Parc solaire ' || CAST(doc_id AS VARCHAR) AS title, {_french_date(synth.FRENCH_DATE)} AS publish_date,
+       'Parc solaire ' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_filename FROM documents
+UNION ALL SELECT doc_id, false, NULL, NULL, NULL FROM documents"""
+
+
+def offset_pages() -> str:
+    return """
+WITH d AS (SELECT 'https://www.example.org/l?q=' || CAST(doc_id AS VARCHAR) AS base_url, n_chars % 60 AS n FROM documents),
+e AS (SELECT base_url, CAST(unnest(range(10, n, 10)) AS INTEGER) AS start FROM d)
+SELECT base_url, start, base_url || '&start=' || CAST(start AS VARCHAR) AS page_url FROM e"""
+
+
+def detail_records() -> str:
+    return """
+SELECT 'Avis ' || CAST(doc_id AS VARCHAR) AS title, CASE WHEN doc_id % 5 <> 0 THEN '/f/' || CAST(doc_id AS VARCHAR) || '.pdf' END AS pdf_url,
+       CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS document_id FROM documents WHERE doc_id % 2 = 0"""
+
+
 def dot_segments() -> str:
     # the results of the references, stated for the last two directories of an address
     return """

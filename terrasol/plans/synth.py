@@ -204,6 +204,25 @@ text || ' ' || CASE doc_id % 6
   ELSE 'Aucune indication.' END"""
 ARENA_MODELS = (("rules-1", 1), ("rules-2", 2), ("rules-3", 3))
 
+# Pages of the harvested layouts, one per document: framed listing blocks, a result table,
+# dated paragraphs, a detail page and a detail record.
+LISTING_HTML = f"""
+'<html><body><h1>Avis</h1><div class="main texteencadre"><h2>' || ({TITLE}) || '</h2><p>Projet ' || cast(doc_id AS string)
+|| '</p><a href="/avis/' || cast(doc_id AS string) || '.pdf">Avis</a>'
+|| CASE WHEN doc_id % 3 = 0 THEN '<a href=' || chr(39) || '/annexe/' || cast(doc_id AS string) || '.pdf' || chr(39) || '>Annexe</a>' ELSE '' END
+|| '</div></span><p>entre</p><div class="texteencadre"><h3>Bloc ' || cast(doc_id % 10 AS string)
+|| '</h3></div><a href="?page=' || cast(doc_id + 1 AS string) || '">Suivant</a></body></html>'"""
+TABLE_HTML = f"""
+'<table><tr><td>Projet photovoltaïque ' || cast(doc_id AS string) || '</td><td><a href="/t/' || cast(doc_id AS string) || '.pdf">Avis du '
+|| {SLASH_DATE} || '</a></td><td>Commune ' || cast(doc_id % 25 AS string) || '</td></tr>'
+|| '<tr><td>Eolien</td><td><a href="/e.pdf">Avis</a></td><td>Commune X</td></tr></table>'"""
+DATED_HTML = f"""
+'<p>• Parc solaire ' || cast(doc_id AS string) || ' - ' || ({FRENCH_DATE}) || '</p><p>Sans date ' || cast(doc_id AS string) || '</p>'"""
+DETAIL_HTML = "'<a href=\"/aide\">Aide</a><p><a href=\"/d/' || cast(doc_id AS string) || '.PDF\">Avis ' || cast(doc_id AS string) || '</a></p>'"
+DETAIL_TITLE = "CASE WHEN doc_id % 2 = 0 THEN 'Avis ' ELSE 'Décision ' END || cast(doc_id AS string)"
+DETAIL_JSON = """
+'{"d": {"documents": [' || CASE WHEN doc_id % 5 = 0 THEN '' ELSE '{"id": "doc-' || cast(doc_id AS string) || '", "url": "/f/' || cast(doc_id AS string) || '.pdf"}' END || ']}}'"""
+
 # References with dot segments (pages).
 DOT_REFERENCES = ("../z.pdf", "./a/../b.pdf", "/x/./y/../z.pdf?q=../r", "../../../up.pdf", "a/b/..", "plain.pdf", "/p/q/.")
 
