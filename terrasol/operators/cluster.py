@@ -7,8 +7,9 @@
   work).  No pole or antimeridian special case is needed.
 * Candidate pairs only come from *occupied* neighbouring cubes (half of the
   5x5x5 neighbourhood, each unordered cube pair once); two dense cubes whose
-  point boxes lie entirely within eps are linked directly (no point pairs);
-  the remaining pairs are filtered by the exact
+  point boxes lie entirely within eps are linked directly, and two that are
+  partly within eps by one pair of distinct places (no point pairs);
+  pairs with a sparse cube are filtered by the exact
   distance (haversine Column expression, or geodesic on the WGS-84 ellipsoid
   in an Arrow-batched pandas UDF).
 * Core points (``degree >= min_samples``, self included) are connected by
@@ -158,7 +159,17 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     max_chord = F.sqrt(far[0] * far[0] + far[1] * far[1] + far[2] * far[2])
     certain = (F.col("an") >= min_samples) & (F.col("bn") >= min_samples) & (max_chord * MARGIN <= eps_km)
     root_links = cube_pairs.where(certain).select(F.col("aroot").alias("a"), F.col("broot").alias("b"))
-    cube_pairs = cube_pairs.where(~certain).select("ax", "ay", "az", "bx", "by", "bz")
+    open_pairs = cube_pairs.where(~certain)
+    # two dense cubes that are partly within eps: one pair of places within eps links their
+    # roots (every point of both is core), so places are compared, not points, and no pair is kept
+    dense = (F.col("an") >= min_samples) & (F.col("bn") >= min_samples)
+    places = pts.select("cx", "cy", "cz", "lat", "lon").distinct()
+    pa = places.select(F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("cz").alias("az"), F.col("lat").alias("alat"), F.col("lon").alias("alon"))
+    pb = places.select(F.col("cx").alias("bx"), F.col("cy").alias("by"), F.col("cz").alias("bz"), F.col("lat").alias("blat"), F.col("lon").alias("blon"))
+    witness = (open_pairs.where(dense).select("ax", "ay", "az", "bx", "by", "bz", "aroot", "broot")
+               .join(pa, ["ax", "ay", "az"]).join(pb, ["bx", "by", "bz"]))
+    # the others have fewer than min_samples points on one side
+    cube_pairs = open_pairs.where(~dense).select("ax", "ay", "az", "bx", "by", "bz")
     a = pts.select(F.col("id").alias("a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"),
                    F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("cz").alias("az"))
     b = pts.select(F.col("id").alias("b"), F.col("lat").alias("blat"), F.col("lon").alias("blon"),
@@ -170,6 +181,8 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
         dist = geodesic_km("alat", "alon", "blat", "blon")
     else:
         raise ValueError(metric)
+    near = witness.withColumn("d", dist).where(F.col("d") <= eps_km).select(F.col("aroot").alias("a"), F.col("broot").alias("b")).distinct()
+    root_links = root_links.unionByName(near)
     cross = cand.select("a", "b", dist.alias("d")).where(F.col("d") <= eps_km).select("a", "b")
     cross = cross.unionByName(cross.select(F.col("b").alias("a"), F.col("a").alias("b")))
     cross = cross.checkpoint()            # shared folder; reused three times below

@@ -717,19 +717,24 @@ def arena_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_report(evaluate.classification_report(scored, by=("model_id",)), "model_id")
 
 
+def _measured(result: DataFrame) -> DataFrame:
+    """Sizes of the split and whether an accuracy was measured (its value is the model's, not SQL's)."""
+    return result.select(F.col("n_train").cast("long").alias("n_train"), "n_test", F.col("accuracy").between(0.0, 1.0).alias("measured"))
+
+
 def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunk-level text classifier of document quality."""
     lab = _labelled(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
     split = sampling.stratified_split(lab, "doc_id", "label", 0.2, "42")
     ch = split.select("doc_id", "label", "split", F.explode(tx.chunks("text", 256, 10)).alias("toks"))
-    return ml.text_classifier(ch.withColumn("chunk_text", F.array_join("toks", " ")))
+    return _measured(ml.text_classifier(ch.withColumn("chunk_text", F.array_join("toks", " "))))
 
 
 def embedding_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on embeddings, stratified 80/20."""
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     split = sampling.stratified_split(emb, "vec_id", "label", 0.2, "42")
-    return ml.embedding_classifier(split)
+    return _measured(ml.embedding_classifier(split))
 
 
 

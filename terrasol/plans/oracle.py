@@ -920,6 +920,22 @@ SELECT 'Avis ' || CAST(doc_id AS VARCHAR) AS title, CASE WHEN doc_id % 5 <> 0 TH
        CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS document_id FROM documents WHERE doc_id % 2 = 0"""
 
 
+def text_classifier() -> str:
+    return f"""
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test, true AS measured
+FROM ({chunks()}) c JOIN (
+  SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id)
+                           <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY quality)) THEN 'test' ELSE 'train' END AS split
+  FROM {_LABELLED}) s ON c.doc_id = s.doc_id"""
+
+
+def embedding_classifier() -> str:
+    return """
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test, true AS measured
+FROM (SELECT CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || '42'), vec_id)
+                       <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END AS split FROM embeddings)"""
+
+
 def dot_segments() -> str:
     # the results of the references, stated for the last two directories of an address
     return """
