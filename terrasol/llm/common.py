@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -20,29 +22,30 @@ class Scratch:
     """Tables written once under the shared checkpoint folder.
 
     Writing cuts the lineage: a table survives lost executors and is never
-    computed twice.  ``drop`` deletes a table that later steps do not read.
+    computed twice.  ``drop`` deletes a table that later steps do not read; what
+    a result still reads is deleted when Python ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        atexit.register(self._end)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _end(self) -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            self.drop("")
+
     def drop(self, name: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ascii_lower(col):
-    """Lower-case A-Z and nothing else."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def id_crc(col="doc_id"):
     """crc32 of the id's decimal text (null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))

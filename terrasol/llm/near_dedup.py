@@ -325,6 +325,8 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
         for old in ("now", "meet", "active" if k > 1 else "buckets"):
             scratch.drop(old if old == "buckets" else f"{old}-{k - (old == 'active')}")
         pivots_per_bucket *= 8
+    for old in ("sets", "nodes", f"now-{k}", f"active-{k - 1}"):  # the result reads features, classes and labels alone
+        scratch.drop(old)
     rep = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
     out = feats.select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
