@@ -95,8 +95,10 @@ def has_cover_counts(link: DataFrame) -> DataFrame:
 
 
 def area_check(link: DataFrame) -> DataFrame:
-    """Per park: declared and geometric area against the summed intersections."""
-    g = link.groupBy("id").agg(
+    """Per park: declared and geometric area against the summed intersections, and the
+    lists of its commune codes (where the link has them) and cover areas (A6 A7)."""
+    lists = [F.array_sort(F.collect_list(c)).alias(f"{c}_list") for c in ("insee_com", "ocs_geom_area") if c in link.columns]
+    g = link.groupBy("id").agg(*lists,
         F.max("surf_parc").alias("surf_parc"), F.max("project_geom_area").alias("project_geom_area"),
         F.count("*").alias("num_lines"),
         (F.countDistinct("id_1") + F.max(F.col("id_1").isNull().cast("int"))).alias("num_unique_ocs_tiles"),

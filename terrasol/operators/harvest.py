@@ -48,6 +48,11 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return u.select(*sorted(u.columns))
 
 
+def to_metadata(harvested: DataFrame) -> DataFrame:
+    """Harvest rows under the column names of the project metadata, so that they feed ``combine_projects`` (Q13)."""
+    return harvested.withColumnsRenamed({"project_name": "title", "pdf_filename": "pdf_name"})
+
+
 def check_plan_columns(df: DataFrame, required=REQUIRED_PLAN_COLUMNS) -> None:
     """Schema contract."""
     missing = [c for c in required if c not in df.columns]

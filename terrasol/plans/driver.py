@@ -311,6 +311,19 @@ def harvest_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harvest.union_sources(a, b, c)
 
 
+def harvest_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Harvested rows, renamed to project metadata, through the combined project table."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select(F.expr(synth.SOURCE_NO).alias("_src"), F.expr(synth.TITLE).alias("project_name"),
+                        F.expr(synth.PDF_URL).alias("pdf_url"), F.expr(synth.YEAR_URL).alias("year_url"))
+    found = found.where((F.col("_src") == 0) & hv.relevant_folded("project_name")).select(
+        "project_name", "pdf_url", hv.file_name("pdf_url").alias("pdf_filename"), "year_url")
+    year_links = docs.select(F.expr(synth.YEAR_URL).alias("year_url"), F.expr(synth.REGION_NAME).alias("region"),
+                             F.expr(synth.YEAR).alias("year")).distinct()
+    measures = doc_measures(spark, sf_dir).select(F.expr(synth.PDF_NAME).alias("pdf_name"), "land_surface_ha", "power_mwc")
+    return combine.combine_projects(harvest.to_metadata(found), year_links, measures, _gazetteer(spark, sf_dir))
+
+
 def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     plan = orders.select(F.expr("'https://www.example.org/avis_' || cast(o_orderkey AS string) || '.pdf'").alias("pdf_url"))
@@ -429,7 +442,7 @@ def _park_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     l_ring = _ring((x0, y0), (x1, y0), (x1, ym), (xm, ym), (xm, y1), (x0, y1), (x0, y0))
     rect = _ring((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
     rings = F.when(F.col("is_l"), F.array(l_ring)).otherwise(F.array(rect))
-    return sup.select("id", "millesime", "surf_parc", "srid", rings.alias("geom"))
+    return sup.select("id", "millesime", "surf_parc", "srid", (F.col("id") % 30).cast("string").alias("insee_com"), rings.alias("geom"))
 
 
 def _cover_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,7 +487,9 @@ def has_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 def area_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared vs geometric vs intersected areas per park."""
     a = cover.area_check(cover.latest_vintage(_link(spark, sf_dir)))
-    return a.select("id", "num_lines", "num_unique_ocs_tiles",
+    areas = F.aggregate("ocs_geom_area_list", F.lit(0.0), lambda acc, x: acc + x)
+    return a.select("id", "num_lines", "num_unique_ocs_tiles", F.array_join("insee_com_list", ",").alias("insee_com_list"),
+                    F.size("ocs_geom_area_list").alias("n_ocs_areas"), F.round(areas, 6).alias("ocs_areas"),
                     *[F.round(c, 6).alias(c) for c in ("surf_parc", "project_geom_area", "geom_intersection_area",
                                                         "area_error", "area_geom_error")])
 
@@ -799,5 +814,5 @@ QUERY_NAMES = [
     "download_labels", "resumed_ingest", "resumed_scoring", "wkb_round_trip", "dot_segments",
     "typed_projection", "multi_hot_array", "labelled_texts", "validated_facet", "attempt_outcomes", "layers_round_trip",
     "scored_runs", "listing_blocks", "next_pages", "heading_blocks", "card_details", "table_rows", "dated_paragraphs", "offset_pages",
-    "detail_records",
+    "detail_records", "harvest_projects",
 ]

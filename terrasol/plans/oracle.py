@@ -116,8 +116,12 @@ SELECT doc_id, project_type, dept, land_surface_ha_title, power_mwc_title,
 FROM {_parsed_titles(f'(SELECT doc_id, {synth.TITLE} AS title FROM documents)', 'title')}"""
 
 
-def combined_projects() -> str:
-    body = f"(SELECT doc_id, {synth.PDF_NAME} AS pdf_name, {synth.TITLE} AS title, {synth.YEAR_URL} AS year_url FROM documents)"
+def harvest_projects() -> str:
+    return combined_projects(f"WHERE {synth.SOURCE_NO} = 0 AND {_rel_folded(f'({synth.TITLE})')}")
+
+
+def combined_projects(where: str = "") -> str:
+    body = f"(SELECT doc_id, {synth.PDF_NAME} AS pdf_name, {synth.TITLE} AS title, {synth.YEAR_URL} AS year_url FROM documents {where})"
     return f"""
 WITH _src AS (SELECT doc_id, {synth.MEASURE_BODY} AS pdf_text FROM documents),
 {_section_ctes('_src', 'pdf_text')},
@@ -632,10 +636,12 @@ GROUP BY has_ocs"""
 
 def area_check() -> str:
     return f"""
-SELECT id, num_lines, num_unique_ocs_tiles, round(surf_parc, 6) AS surf_parc, round(project_geom_area, 6) AS project_geom_area,
+SELECT id, num_lines, num_unique_ocs_tiles, il AS insee_com_list, CAST(na AS INTEGER) AS n_ocs_areas, round(sa, 6) AS ocs_areas, round(surf_parc, 6) AS surf_parc, round(project_geom_area, 6) AS project_geom_area,
   round(gia, 6) AS geom_intersection_area, round((surf_parc - gia) / surf_parc, 6) AS area_error,
   round(CASE WHEN project_geom_area = 0 THEN NULL ELSE (project_geom_area - gia) / project_geom_area END, 6) AS area_geom_error
 FROM (SELECT id, max(surf_parc) AS surf_parc, max(project_geom_area) AS project_geom_area, count(*) AS num_lines,
+             array_to_string(list_transform(range(count(*)), lambda i: CAST(id % 30 AS VARCHAR)), ',') AS il,
+             count(ocs_geom_area) AS na, coalesce(sum(ocs_geom_area), 0.0) AS sa,
              count(DISTINCT id_1) + max(CASE WHEN id_1 IS NULL THEN 1 ELSE 0 END) AS num_unique_ocs_tiles,
              coalesce(sum(geom_intersection_area), 0.0) AS gia FROM {_latest_sql()} GROUP BY id)"""
 
