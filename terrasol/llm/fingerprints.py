@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import mix, text_bytes, utf8
+from terrasol.llm.common import batches, mix, text_bytes
 
 #: Least hashes of word runs kept in a fingerprint.
 SKETCH = 128
 #: Code points of text in one task.
 PART_CHARS = 8_000_000
+#: Most parts (their bounds are all that the driver holds).
+MAX_PARTS = 100_000
 LOWEST = -(2**63)
 
 
@@ -133,24 +135,26 @@ def merkle_trees(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, schema)
 
 
-def with_next(docs: DataFrame, part_chars: int = PART_CHARS):
-    """Rows dealt into parts by ascending doc_id, each part with the row that follows it: ``part, guest, ids, blob``.
+def with_next(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """Rows dealt into parts by ascending doc_id, sorted, each part followed by the row after it: ``part, guest, _k, doc_id, text``.
 
-    Bounds are approximate quantiles of the ids (one number per part, whatever
-    the table holds); the first row of a part goes to the part before it as well,
-    the very first row to the last part.  Null ids come first, ties go by text.
+    Bounds are approximate quantiles of the ids, at most ``MAX_PARTS`` numbers
+    whatever the table holds; the first row of a part goes to the part before it
+    as well (as a guest), the very first row to the last part.  Null ids come
+    first, ties go by text.  A part is read as a stream, so it may be of any size.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_k"), "doc_id", "text")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_k"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce("text", F.lit("")).alias("text"))
     n, chars = text_bytes(docs)
-    parts = max(1, min(n, -(-chars // part_chars)))
+    parts = max(1, min(n, -(-chars // part_chars), MAX_PARTS))
     quantiles = [k / parts for k in range(1, parts)]
-    bounds = np.unique(np.array(rows.agg(F.percentile_approx("_k", quantiles, 10_000).alias("b")).first().b or [], np.int64)) if quantiles else np.empty(0, np.int64)
+    bounds = rows.agg(F.percentile_approx("_k", quantiles, min(100 * parts, 1_000_000)).alias("b")).first().b if quantiles else None
+    bounds = np.unique(np.array(bounds or [], np.int64))
 
     def first_ids(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             k = b.column("_k").to_numpy(zero_copy_only=False)
-            part = np.searchsorted(bounds, k, "left")
-            own, at = np.unique(part, return_inverse=True)
+            own, at = np.unique(np.searchsorted(bounds, k, "left"), return_inverse=True)
             low = np.full(len(own), np.iinfo(np.int64).max)
             np.minimum.at(low, at, k)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(low)], names=["part", "low"])
@@ -158,26 +162,21 @@ def with_next(docs: DataFrame, part_chars: int = PART_CHARS):
     firsts = rows.select("_k").mapInArrow(first_ids, "part long, low long").groupBy("part").agg(F.min("low").alias("low")).collect()
     firsts = sorted((r.part, r.low) for r in firsts)
     before = {low: firsts[i - 1][0] for i, (_, low) in enumerate(firsts)}
+    lows = np.array(sorted(before), np.int64)
 
-    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-        z = zstandard.ZstdCompressor(level=3)
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             k = b.column("_k").to_numpy(zero_copy_only=False)
-            ids, texts = b.column("doc_id").to_pylist(), utf8(b, "text")
             part = np.searchsorted(bounds, k, "left")
-            groups = [(int(p), False, np.flatnonzero(part == p).tolist()) for p in np.unique(part)]
-            for i in np.flatnonzero(np.isin(k, list(before))).tolist():
-                groups.append((before[int(k[i])], True, [i]))
-            out = []
-            for p, guest, at in groups:
-                own = [texts[i] for i in at]
-                out.append((p, guest, [ids[i] for i in at], z.compress(np.array([len(t) for t in own], "<u4").tobytes() + b"".join(own))))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.binary()))],
-                                             names=["part", "guest", "ids", "blob"])
+            guests = np.flatnonzero(np.isin(k, lows))
+            take = np.concatenate([np.arange(len(k)), guests])
+            to = np.concatenate([part, [before[int(x)] for x in k[guests]]]).astype(np.int64)
+            own = b.take(pa.array(take))
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(np.arange(len(take)) >= len(k)), *own.columns],
+                                             names=["part", "guest", "_k", "doc_id", "text"])
 
-    return rows.mapInArrow(pack, "part int, guest boolean, ids array<long>, blob binary")
+    dealt = rows.mapInArrow(deal, "part long, guest boolean, _k long, doc_id long, text string")
+    return dealt.repartition("part").sortWithinPartitions("part", "guest", "_k", "text")
 
 
 def fingerprint_edits(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
@@ -190,30 +189,31 @@ def fingerprint_edits(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFram
     """
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
+    names = [x.split()[0] for x in schema.split(", ")]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import zstandard
-        rows: dict[bool, list] = {False: [], True: []}
-        for guest, ids, blob in zip(pdf["guest"], pdf["ids"], pdf["blob"]):
-            raw = zstandard.ZstdDecompressor().decompress(blob)
-            ends = 4 * len(ids) + np.cumsum(np.frombuffer(raw, "<u4", len(ids)), dtype=np.int64)
-            for i, lo, hi in zip(ids, [4 * len(ids), *ends[:-1].tolist()], ends.tolist()):
-                rows[bool(guest)].append((LOWEST if i is None or i != i else int(i), raw[lo:hi], i))
-        own = sorted(rows[False], key=lambda r: r[:2])
-        follow = min(rows[True], key=lambda r: r[:2])
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher()
-        prints = [fingerprint(t, sketch) for _, t, _ in own]
-        out = []
-        for k, (_, raw, doc) in enumerate(own):
-            after = own[k + 1][1] if k + 1 < len(own) else follow[1]
-            near = prints[k + 1] if k + 1 < len(own) else fingerprint(after, sketch)
-            text = raw.decode()
-            cut = len(text) // 4
-            edited = (text[:len(text) - cut] + after[:4 * cut].decode(errors="ignore")[:cut]).encode() if cut else raw
-            own_edit = fingerprint(edited, sketch)
-            out.append((None if doc is None or doc != doc else int(doc), len(text), hashlib.sha256(edited).hexdigest(), prints[k], own_edit,
-                        likeness(prints[k], own_edit), likeness(prints[k], near)))
-        got = pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-        return got.assign(doc_id=got["doc_id"].astype("Int64"))
-
-    return with_next(docs, part_chars).groupBy("part").applyInPandas(run, schema)
+        last = None  # (part, guest, doc_id, text, fingerprint) of the row before
+
+        def result(row, text: str, mark: str) -> tuple:
+            """Of a row, by the text and the fingerprint of the row after it."""
+            cut = len(row[3]) // 4
+            edited = (row[3][:len(row[3]) - cut] + text[:cut]).encode()
+            own = fingerprint(edited, sketch) if cut else row[4]
+            return row[2], len(row[3]), hashlib.sha256(edited).hexdigest(), row[4], own, likeness(row[4], own), likeness(row[4], mark)
+
+        for b in batches(it, 1000):
+            out = []
+            for part, guest, doc, text in zip(*(b.column(c).to_pylist() for c in ("part", "guest", "doc_id", "text"))):
+                follows = last is not None and last[0] == part and not last[1]
+                if guest and not follows:
+                    continue  # one guest ends a part
+                mark = fingerprint(text.encode(), sketch)
+                if follows:
+                    out.append(result(last, text, mark))
+                last = (part, guest, doc, text, mark)
+            cols = list(zip(*out)) or [()] * len(names)
+            types = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+    return with_next(docs, part_chars).mapInArrow(run, schema)

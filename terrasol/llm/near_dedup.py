@@ -38,7 +38,7 @@ MARGIN = 0.23
 SMALL = 32
 _rng = np.random.default_rng(10)
 #: For each try, the bucket that an empty bucket looks into; the salts of the small sets' hash functions.
-TRIES = _rng.integers(0, 1 << BUCKET_BITS, (256, 1 << BUCKET_BITS))
+TRIES = _rng.integers(0, 1 << BUCKET_BITS, (256, 1 << BUCKET_BITS), np.uint8)
 SALTS = _rng.integers(0, 2**64, 1 << BUCKET_BITS, np.uint64)
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 

@@ -19,7 +19,7 @@ from terrasol.llm.common import running
 
 # The patterns of the known kinds, in the order that breaks ties.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-KINDS = {"assign": (ASSIGN, 0), "access": (r"AKIA[A-Z0-9]{16,}", 20), "hex": (r"[0-9a-f]{24,}", 24)}
+KINDS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 #: Cheap tests that every text with a match passes.
 HINT = {"assign": r"(?i:pass|secret|token|key)[a-zA-Z]*[\"']?\x20*[:=]", "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 ASSIGN_LEAST = 6
@@ -48,7 +48,7 @@ def located(df: DataFrame, name: str, pattern: str, hint: str | None, rank: int,
 
 def base_spans(df: DataFrame) -> DataFrame:
     """Add ``assign, access, hex`` span arrays; an assignment counts with a value of six characters or more."""
-    for rank, (kind, (pattern, _)) in enumerate(KINDS.items()):
+    for rank, (kind, pattern) in enumerate(KINDS.items()):
         df = located(df, kind, pattern, HINT[kind], rank, kind)
     value = lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 2)) >= ASSIGN_LEAST
     return df.withColumn("assign", F.filter("assign", value))
