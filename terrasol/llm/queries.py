@@ -123,6 +123,11 @@ ORACLES = {
                sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN body END, '' ORDER BY turn, role, body), '')) AS loss_sha256,
                CAST(sum(8 + length(role) + 8 + length(body) + 7 + extra) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    # the driver's pages mark the article with an element; the query itself does not rely on it
+    "op6_html_extract": r"""
+        WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '</?(b|i|em|a|span|strong)( [^>]*)?>', '', 'g') AS h FROM pages),
+        t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM a)
+        SELECT page_id, url, text, length(text) AS n_chars FROM t""",
     "op10_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
