@@ -24,7 +24,7 @@ from terrasol.llm.common import WORD, Scratch
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
-CHUNK = 20_000
+CHUNK = 5_000
 EPS = 1e-9
 
 
