@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
     nodes = scratch.save(degree, "nodes")
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(
         nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = scratch.save(document_sets(texts).where("n > 0").distinct(), "sets")
+    sets = scratch.save(document_sets(texts).where("n > 0"), "sets")
     labels = scratch.save(nodes.select("id", F.col("id").alias("comp")), "labels-0")
     active = scratch.save(active.select("key", "id").join(nodes, "id"), "active-0")
     pivots_per_bucket, k = 1, 0
