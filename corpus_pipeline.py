@@ -26,8 +26,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (the smallest id; rows that repeat an id: one of them)."""
     groups = Scratch(spark, "dedup-stage").save(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "groups")
-    # the ids to drop are few, so the texts need not move
-    out = docs.join(groups.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+    # the ids to drop grow with the documents, so the join is a shuffle at every size
+    drop = groups.where(~F.col("kept")).select("doc_id").distinct().hint("merge")
+    out = docs.join(drop, "doc_id", "left_anti")
     repeated = groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not repeated.isEmpty():
         once = out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
