@@ -31,6 +31,7 @@ QUOTE_MARKS = r"[«»\"“”]"
 LEADING_ARTICLE = r"(?iu)^(de |d'|d’|le |la |les )"
 DEPT_TAIL = r"\(?([0-9][0-9ABO]|[0-9]{3})\)?$"
 
+# Patterns of the project type, the power and the surface in a title.
 TYPE_PATTERN = rf"(?iu){WORD}*voltaï?que{WORD}*"
 TITLE_MWC = rf"(?iu)({DIGIT}+(?:[.,]{DIGIT}+)?){WS}*MWc?"
 TITLE_HA = rf"(?iu)({DIGIT}+(?:[.,]{DIGIT}+)?){WS}*(?:ha|hectares?)"

@@ -14,6 +14,7 @@ from terrasol.functions.common import strip
 from terrasol.functions.title import gazetteer_dept, with_parsed_title
 from terrasol.operators.joins import null_safe_left_join
 
+# The columns of the output, in order.
 COMBINED_COLUMNS = ["pdf_name", "year", "region", "project_type", "nom_commune", "dept",
                     "land_surface_ha", "power_mwc", "longitude", "latitude"]
 

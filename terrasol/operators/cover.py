@@ -75,12 +75,12 @@ def park_cover_link(parks: DataFrame, covers: DataFrame, cell: float = 500.0, wi
                 .withColumn("ocs_geom_area", geo.polygon_area("ocs_geom")))
 
 
-def latest_vintage(link: DataFrame) -> DataFrame:
-    """Covers strictly older than the park, then per (park, cover id) the unique
-    latest vintage (average-rank semantics: a tie at the top keeps none);
+def latest_vintage(link: DataFrame, partition_cols: tuple[str, ...] = ("id", "id_1")) -> DataFrame:
+    """Covers strictly older than the park, then per (park, cover id), or the given
+    columns (for instance with the park's own vintage), the unique latest vintage (average-rank semantics: a tie at the top keeps none);
     unmatched parks are kept (F8 W1)."""
     f = link.where((F.col("millesime") > F.col("millesime_ocs")) | F.col("id_1").isNull())
-    w = Window.partitionBy("id", "id_1")
+    w = Window.partitionBy(*partition_cols)
     top = F.max("millesime_ocs").over(w)
     n_top = F.count(F.when(F.col("millesime_ocs") == top, 1)).over(w)
     return (f.withColumn("_top", top).withColumn("_n_top", n_top)

@@ -134,3 +134,12 @@ def test_intersection_polygons():
     rect = ring((1, 1), (3, 1), (3, 5), (1, 5), (1, 1))
     assert intersection_polygons(rect, ring((2, 0), (9, 0), (9, 3), (2, 3), (2, 0))) == [ring((2, 1), (3, 1), (3, 3), (2, 3), (2, 1))]
     assert intersection_polygons(rect, None) == []
+
+
+def test_latest_vintage_by_given_columns(spark):
+    from terrasol.operators.cover import latest_vintage
+    rows = [(1, 2020, "c", 2015), (1, 2020, "c", 2018), (1, 2019, "c", 2015), (1, 2019, "c", 2018), (2, 2020, None, None)]
+    link = spark.createDataFrame(rows, "id long, millesime int, id_1 string, millesime_ocs int")
+    key = lambda df: sorted((r.id, r.millesime, r.millesime_ocs or 0) for r in df.collect())
+    assert key(latest_vintage(link)) == [(2, 2020, 0)]   # two rows share the latest vintage: none is kept
+    assert key(latest_vintage(link, ("id", "millesime", "id_1"))) == [(1, 2019, 2018), (1, 2020, 2018), (2, 2020, 0)]
