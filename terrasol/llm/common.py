@@ -70,7 +70,7 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
 class WordIds(dict):
     """Memo word -> 64-bit hash; holds at most ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         import xxhash
         self._hash, self._limit = xxhash.xxh3_64_intdigest, limit

@@ -59,7 +59,7 @@ class Encoder:
     faster rank encoder, after a check that both give the same ids.
     """
 
-    def __init__(self, path: str, ranks: str | None = None, limit: int = 400_000):
+    def __init__(self, path: str, ranks: str | None = None, limit: int = 250_000):
         import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

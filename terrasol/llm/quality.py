@@ -31,7 +31,7 @@ TOKEN = r"\w+|[^\w\s]+"
 class Features:
     """Hashed n-gram indices of a text."""
 
-    def __init__(self, bits: int = BITS, limit: int = 200_000):
+    def __init__(self, bits: int = BITS, limit: int = 120_000):
         import xxhash
         self.hash, self.mask, self.limit = xxhash.xxh3_64_intdigest, np.uint64((1 << bits) - 1), limit
         self.find = re.compile(TOKEN).findall
