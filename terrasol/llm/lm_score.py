@@ -5,7 +5,7 @@ that has no arc for the next word takes its failure arc to the state of its
 suffix and pays the arc's weight.  One left-to-right traversal carries the state
 and adds up log10 probabilities.
 
-    P(w | h) = (c(h w) + B(h) * P(w | suffix of h)) / (c(h) + B(h)),   B(h) = K + A * c(h)
+    P(w | h) = (c(h w) + B(h) * P(w | suffix of h)) / (c(h) + B(h)),   B(h) = K + A * c(h)^E
     P(w)     = (c(w) + 1) / (N + V + 1)
 
 The whole model never meets in one place.  Documents are dealt into blocks.  A
@@ -30,6 +30,8 @@ from terrasol.llm.common import Scratch, WordIds, mix, text_bytes, utf8
 ORDER = 2
 #: Weight of the shorter context in the smoothed estimate: a constant, and a share of the context's count.
 K, A = 3.0, 6.0
+#: The same with an exponent below 1, so that the share falls as a context is seen more often (fitted on training rows of sf0.1).
+FALLING = (3.0, 6.0, 0.8)
 #: Code points of text in a block.
 BLOCK_CHARS = 10_000_000
 #: Tokens a lane of the traversal takes at a time.
@@ -97,7 +99,7 @@ class Grams:
                 fits = np.flatnonzero(place >= k - 1)  # n-grams lie within one text
                 key, at, of = np.unique(gram[fits], return_index=True, return_inverse=True)
                 self.key[k], self.at[k] = key, fits[at]
-                self.of[k] = np.full(len(self.seq), -1, np.int64)
+                self.of[k] = np.full(len(self.seq), -1, np.int32)
                 self.of[k][fits] = of
 
 
@@ -113,7 +115,7 @@ def requests(pdf: pd.DataFrame, buckets: int, order: int) -> pd.DataFrame:
         for b in range(buckets):
             lo, hi = ends[b], ends[b + 1]
             if lo < hi:
-                rows.append((b, int(pdf["block"].iloc[0]), k, g.key[k][lo:hi].tobytes(), shrink(count[lo:hi])))
+                rows.append((b, int(pdf["block"].iloc[0]), k, squeeze(g.key[k][lo:hi]), shrink(count[lo:hi])))
     return pd.DataFrame(rows, columns=["bucket", "block", "k", "keys", "counts"])
 
 
@@ -123,13 +125,34 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def shrink(x: np.ndarray) -> bytes:
-    """Counts as bytes of the narrowest type, the type's width first."""
+    """Counts as compressed bytes of the narrowest type, the type's width first."""
+    import zstandard
     kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if len(x) == 0 or x.max() <= np.iinfo(t).max)
-    return kind[2:].encode() + x.astype(kind).tobytes()
+    return kind[2:].encode() + zstandard.ZstdCompressor(level=3).compress(x.astype(kind).tobytes())
 
 
 def widen(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, f"<u{x[:1].decode()}", offset=1).astype(np.int64)
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x[1:]), f"<u{x[:1].decode()}").astype(np.int64)
+
+
+def squeeze(keys: np.ndarray) -> bytes:
+    """Sorted keys as compressed gaps, byte by byte of their places (the high bytes of a gap are mostly 0)."""
+    import zstandard
+    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return zstandard.ZstdCompressor(level=1).compress(gaps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def expand(x: bytes) -> np.ndarray:
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def mass(c: np.ndarray, weights: tuple[float, ...]) -> np.ndarray:
+    """Weight B(h) of the shorter context, for contexts seen c times; without an exponent it is linear."""
+    k, a, e = (*weights, 1.0)[:3]
+    return k + a * c ** e
 
 
 def answers(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +160,7 @@ def answers(pdf: pd.DataFrame) -> pd.DataFrame:
     import xxhash
     rows = []
     for k, part in pdf.groupby("k", sort=True):
-        keys = [np.frombuffer(x, np.uint64) for x in part["keys"]]
+        keys = [expand(x) for x in part["keys"]]
         key, of = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(of, np.concatenate([widen(x) for x in part["counts"]]), minlength=len(key)).astype(np.int64)
         ends = np.cumsum([len(x) for x in keys])
@@ -152,7 +175,7 @@ def answers(pdf: pd.DataFrame) -> pd.DataFrame:
 class Automaton:
     """States are the known contexts of a block; arcs are its known n-grams; failure arcs lead to the suffix."""
 
-    def __init__(self, g: Grams, count: dict[int, np.ndarray], tokens: int, types: int, order: int = ORDER, weights: tuple[float, float] = (K, A)):
+    def __init__(self, g: Grams, count: dict[int, np.ndarray], tokens: int, types: int, order: int = ORDER, weights: tuple[float, ...] = (K, A)):
         self.order, self.key, self.known = order, g.key, {k: c > 0 for k, c in count.items()}
         self.arc, self.back, self.fail = {}, {}, {}
         p = (count[1] + 1) / (tokens + types + 1)
@@ -162,11 +185,11 @@ class Automaton:
             if k > 1:
                 lower = g.of[k - 1][g.at[k]]
                 context = count[k - 1][g.of[k - 1][g.at[k] - 1]]
-                b = weights[0] + weights[1] * context
+                b = mass(context, weights)
                 p = (count[k] + b * p[lower]) / (context + b)
                 self.arc[k], self.fail[k] = np.log10(p), lower
             if k < order:
-                b = weights[0] + weights[1] * count[k]
+                b = mass(count[k], weights)
                 self.back[k] = np.log10(b / (count[k] + b))
 
     def find(self, k: int, key: np.ndarray) -> np.ndarray:
@@ -232,7 +255,7 @@ class Automaton:
         return out
 
 
-def score_block(pdf: pd.DataFrame, told: pd.DataFrame, tokens: int, types: int, order: int = ORDER, weights: tuple[float, float] = (K, A)) -> pd.DataFrame:
+def score_block(pdf: pd.DataFrame, told: pd.DataFrame, tokens: int, types: int, order: int = ORDER, weights: tuple[float, ...] = (K, A)) -> pd.DataFrame:
     ids, train, texts = unpack(pdf)
     g = Grams(texts, order)
     count = {}
@@ -243,13 +266,18 @@ def score_block(pdf: pd.DataFrame, told: pd.DataFrame, tokens: int, types: int,
     real[g.first] = False
     c, doc = count[1][g.of[1][real]], g.doc[real]
     base = np.bincount(doc, np.log10((c + 1) / (tokens + types + 1)), minlength=len(ids))
+    # every bigram of the block has an arc here, so its scores need no traversal
+    pairs = Automaton(g, count, tokens, types, 2).arc[2][g.of[2][real]] if order > 1 else np.full(len(doc), np.nan)
     return pd.DataFrame({
         "doc_id": pd.array(ids, "Int64"), "train": train, "n_tokens": g.n + 1, "n_known": np.bincount(doc, c > 0, minlength=len(ids)).astype(np.int64),
-        "train_tokens": tokens, "base_score": base, "score": Automaton(g, count, tokens, types, order, weights).scores(g)})
+        "train_tokens": tokens, "base_score": base, "bigram_score": np.bincount(doc, pairs, minlength=len(ids)), "score": Automaton(g, count, tokens, types, order, weights).scores(g)})
+
 
+def score_texts(docs: DataFrame, train: Column, order: int = ORDER, weights: tuple[float, ...] = (K, A), block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, bigram_score, score`` for every row of docs.
 
-def score_texts(docs: DataFrame, train: Column, order: int = ORDER, weights: tuple[float, float] = (K, A), block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` for every row of docs.
+    ``score`` has the given order and weights (K, A and, if not 1, the exponent E),
+    ``bigram_score`` order 2 with the linear weight (NaN for order 1).
 
     The model learns from the rows where ``train`` holds.  Null and empty texts
     consist of the end token; rows without an id and repeated rows are scored (and
@@ -267,6 +295,6 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, weights: tup
         answers, "block int, bucket int, k int, counts binary, tokens long, types long"), "totals")
     r = told.where("block = -1").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = r.n or 0, r.v or 0
-    schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, bigram_score double, score double"
     return packed.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInPandas(
         lambda a, b: score_block(a, b, tokens, types, order, weights), schema)

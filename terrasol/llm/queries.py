@@ -18,11 +18,12 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log10 probabilities of all documents under the model of the training rows."""
+    """Log10 probabilities of all documents under the trigram model of the training rows (``score``: its bigrams, linear weight)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_crc() % 7 == 2
-    scored = lm_score.score_texts(docs, ~held_out)
-    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scored = lm_score.score_texts(docs, ~held_out, order=3, weights=lm_score.FALLING)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         F.col("bigram_score").alias("score"), F.col("score").alias("trigram_score"))
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,3 +80,31 @@ def test_empty_and_untrained(spark, empty, odd):
     assert lm_score.score_texts(empty, F.lit(True)).collect() == []
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     same(lm_score.score_texts(odd, F.lit(False)).collect(), reference(rows, lambda d: False))
+
+
+def test_query_scores_trigrams_with_a_falling_weight(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    count, seqs = Counter(), {}
+    for doc, text in rows:
+        seq = seqs[doc] = [" ", *words(text), "\n"]
+        if not held(doc):
+            count.update(tuple(seq[i:i + k]) for k in (1, 2, 3) for i in range(len(seq) - k + 1))
+    single = [g for g in count if len(g) == 1 and g != (" ",)]
+    n = sum(count[g] for g in single) + len(single) + 1
+
+    def p(h, w):
+        if not h:
+            return (count[(w,)] + 1) / n
+        b = 3 + 6 * count[h] ** 0.8
+        return (count[h + (w,)] + b * p(h[1:], w)) / (count[h] + b)
+
+    for r in op1_lm_score(spark, SF).collect():
+        seq = seqs[r.doc_id]
+        want = sum(math.log10(p(tuple(seq[max(0, i - 2):i]), seq[i])) for i in range(1, len(seq)))
+        assert math.isclose(r.trigram_score, want, rel_tol=1e-9)
+
+
+def test_weight_of_the_shorter_context_falls():
+    share = lambda c: lm_score.mass(c, lm_score.FALLING) / (c + lm_score.mass(c, lm_score.FALLING))
+    assert share(10) > share(1000) > share(100_000) and share(10.0 ** 9) < 0.1
