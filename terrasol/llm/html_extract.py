@@ -25,8 +25,11 @@ from terrasol.llm.common import batches
 #: Bound of the labelled pages that are counted.
 MAX_LABELLED = 5000
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|title|select|button|object|canvas|math)\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>"
+    # only raw text reaches to the page's end when its end tag is missing; the other elements are then plain tags
+    r"|<(script|style|iframe|textarea|title)\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
+    r"|<(?:noscript|template|svg|object|canvas|math)\b[^>]*/>|<(noscript|template|svg|object|canvas|math)\b[^>]*>.*?</\2\s*>"
+    r"|<(?:select|button)\b[^>]*/>|<(select|button)\b[^>]*>(?:(?!<\3\b).)*?</\3\s*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -43,87 +46,155 @@ NOISE_WORD = frozenset(
 NOISE_NAME = frozenset(("header", "site-header", "page-header", "top-header", "topbar"))
 #: Most a run of noise words costs (none of them is part of the text, so a region may reach across an advert).
 NOISE_COST = -4.0
+#: Words that a form or a noise word's element must hold to count as the page's wrapper where no page word stands in a paragraph.
+LOOSE_WORDS = 20
 #: Counts every weight starts from, (inside, outside) an article; labelled pages add to them.
 PRIOR = {"p": (6, 1), "noise": (1, 60), "link": (1, 8), "li": (4, 2), "h": (3, 1), "div": (2, 1), "td": (2, 1), "body": (2, 1.5), "other": (2, 1)}
 
 
-def noise_kind(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element holds something other than the article's text (inside: it stands in an article)."""
-    if name in NOISE_TAG and not (name == "header" and inside):
-        return True
+def noise_kind(name: str, attributes: str, inside: bool) -> str:
+    """Whether an element holds something other than the article's text (inside: it stands in an article).
+
+    "hard": it does; "soft": a form, or a word of its class or id says so, which
+    wrappers of a whole page have too (``lifted`` decides); "": no.
+    """
+    if name in NOISE_TAG and name != "form" and not (name == "header" and inside):
+        return "hard"
+    kind = "soft" if name == "form" else ""
     if not attributes or name in ("html", "body", *CONTENT):
-        return False
+        return kind
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
             names = value.split()
             if NOISE_NAME.intersection(names) or NOISE_WORD.intersection(re.split(r"[^a-z]+", value)):
-                return True
+                kind = "soft"
+        elif key == "role" and value in ("form", "search"):
+            kind = "soft"
         elif key == "role" and value in NOISE_ROLE or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "hard"
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return "hard"
+    return kind
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """(kind, feature, text, in article): kind "text", "break" (block tag) or "tag" (inline tag).
-
-    Open elements are kept on a stack; an end tag closes up to its element and is
-    ignored when no such element is open, so unclosed and stray tags do no harm.
-    """
-    stack: list[tuple[str, bool]] = []
-    noise = article = link = 0
-    block = "body"
-
-    def unwanted() -> str:
-        return "inner noise" if article else "noise"
+def group(name: str) -> str:
+    return "h" if name in HEADING else "td" if name in ("td", "th") else name if name in ("p", "li", "div") else "other"
 
-    def words(raw: str):
-        if not raw:
-            return None
-        inside = bool(article) and not noise
-        header = any(n == "header" for n, _ in stack)
-        hidden = noise or header and block != "h"
-        return "text", unwanted() if hidden else "link" if link and block in ("li", "div", "td", "body", "other") else block, html.unescape(raw), inside and not hidden
 
-    def group(name: str) -> str:
-        return "h" if name in HEADING else "td" if name in ("td", "th") else name if name in ("p", "li", "div") else "other"
+def follow(page: str) -> Iterator[tuple[str, str, list, tuple | None, str]]:
+    """(text before the tag, tag, elements it closes, element it opens, block after it); the tag is "" for comments and at the end.
 
-    at = 0
+    An element is (name, noise kind, place).  Open elements are kept on a stack;
+    an end tag closes up to its element and is ignored when no such element is
+    open, so unclosed and stray tags do no harm.
+    """
+    stack: list[tuple[str, str, int]] = []
+    article = at = 0
+    block = "body"
     for m in TOKEN.finditer(page):
-        if m.start() > at and (w := words(page[at:m.start()])):
-            yield w
-        at = m.end()
-        name = (m[3] or "").lower()
-        if not name:
-            continue
-        if m[2]:
+        raw, at = page[at:m.start()], m.end()
+        name = (m[5] or "").lower()
+        popped, pushed = [], None
+        if name and m[4]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if depth is not None:
-                for n, bad in stack[depth:]:
-                    noise -= bad
-                    article -= n in CONTENT
-                    link -= n == "a"
+                popped = stack[depth:]
                 del stack[depth:]
-        elif name not in VOID and not m[4].endswith("/"):
-            bad = noise_kind(name, m[4], bool(article))
-            if name in INLINE and name != "a" and not bad:
-                pass  # formatting: no element of its own
-            else:
+        elif name and name not in VOID and not m[6].endswith("/"):
+            kind = noise_kind(name, m[6], bool(article))
+            if name not in INLINE or name == "a" or kind:  # formatting is no element of its own
                 if name == "p" and stack and stack[-1][0] == "p":
-                    stack.pop()
-                stack.append((name, bad))
-                noise += bad
+                    popped = [stack.pop()]
+                pushed = (name, kind, m.start())
+                stack.append(pushed)
                 article += name in CONTENT
-                link += name == "a"
+        article -= sum(n in CONTENT for n, _, _ in popped)
+        if name and name not in INLINE:
+            block = next((group(n) for n, _, _ in reversed(stack) if n != "a"), "body")
+        yield raw, name, popped, pushed, block
+    yield page[at:], "", [], None, block
+
+
+def lifted(events: list[tuple]) -> set[int]:
+    """Places of the soft noise elements that wrap the article: their mark does not count.
+
+    While no article or main element is free of noise, an element that holds one
+    and at least half of the paragraph words is lifted, and so is an element with
+    most of the paragraph words, three times those free of noise.  Outer elements
+    come first; words in hard noise do not count.
+    """
+    # of each marked element: hard, place, parent, [paragraph words, other words, article elements] of its own
+    marks: list[tuple[bool, int, int, list[int]]] = []
+    free, path, link, block = [0, 0, 0], [], 0, "body"
+    for raw, _, popped, pushed, after in events:
+        own = marks[path[-1]][3] if path else free
+        if block == "p":
+            own[0] += len(raw.split())
+        elif block in ("div", "td", "body", "other") and not link:
+            own[1] += len(raw.split())
+        for n, kind, _ in popped:
+            link -= n == "a"
+            if kind:
+                path.pop()
+        if pushed:
+            link += pushed[0] == "a"
+            if pushed[1]:
+                marks.append((pushed[1] == "hard", pushed[2], path[-1] if path else -1, [0, 0, 0]))
+                path.append(len(marks) - 1)
+            elif pushed[0] in CONTENT:
+                own = marks[path[-1]][3] if path else free
+                own[2] += 1
+        block = after
+    if all(hard for hard, *_ in marks):
+        return set()
+    inside = [list(own) for *_, own in marks]
+    total = list(free)
+    for k in range(len(marks) - 1, -1, -1):
+        if not marks[k][0]:
+            up = inside[marks[k][2]] if marks[k][2] >= 0 else total
+            up[:] = [x + y for x, y in zip(up, inside[k])]
+    unit = 0 if total[0] else 1
+    out: dict[int, int] = {}
+    for k, (hard, at, parent, own) in enumerate(marks):
+        if hard or free[2] or parent >= 0 and parent not in out:
+            continue
+        n = inside[k][unit]
+        holds = inside[k][2] and 2 * n >= total[unit]
+        most = 2 * n > total[unit] and n >= 3 * free[unit] and (unit == 0 or n >= LOOSE_WORDS)
+        if holds or most:
+            out[k] = at
+            free = [x + y for x, y in zip(free, own)]
+    return set(out.values())
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+    """(kind, feature, text, in article): kind "text", "break" (block tag) or "tag" (inline tag)."""
+    events = list(follow(page))
+    free = lifted(events)
+    noise = article = link = header = 0
+    block = "body"
+
+    def unwanted() -> str:
+        return "inner noise" if article else "noise"
+
+    for raw, name, popped, pushed, after in events:
+        if raw:
+            hidden = noise or header and block != "h"
+            feature = unwanted() if hidden else "link" if link and block in ("li", "div", "td", "body", "other") else block
+            yield "text", feature, html.unescape(raw), bool(article) and not hidden
+        if not name:
+            continue
+        for sign, (n, kind, place) in [(-1, e) for e in popped] + ([(1, pushed)] if pushed else []):
+            noise += sign * (kind != "" and place not in free)
+            article += sign * (n in CONTENT)
+            link += sign * (n == "a")
+            header += sign * (n == "header")
+        block = after
         if name in INLINE:
             yield "tag", name, "", bool(article) and not noise
         else:
-            block = next((group(n) for n, _ in reversed(stack) if n != "a"), "body")
             yield "break", unwanted() if noise else name, "", bool(article) and not noise
-    if at < len(page) and (w := words(page[at:])):
-        yield w
 
 
 def count_labels(page: str) -> Counter:

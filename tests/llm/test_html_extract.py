@@ -58,3 +58,29 @@ def test_best_region_equals_all_pairs():
         s = [rng.choice((-3, -1, -0.5, 0, 1, 2)) for _ in range(rng.randrange(0, 9))]
         lo, hi = hx.best_region(s)
         assert sum(s[lo:hi]) == max([0, *(sum(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1))])
+
+
+def test_noise_words_and_forms_around_the_article_do_not_hide_it(spark):
+    w = hx.learn(spark.read.parquet(f"{SF}/pages.parquet"))
+    for wrapper in ("div class='layout has-sidebar'", "div id='search-results-page'", "section class='post with-comments'", "form method=post action='x.aspx'"):
+        for tag in ("article", "main", "div"):
+            name = wrapper.split()[0]
+            page = (PAGE % (tag, tag)).replace("<body>", f"<body><{wrapper}>").replace("</body>", f"</{name}></body>")
+            assert hx.main_text(page, w) == WANT, (wrapper, tag)
+    both = "<form><div class='layout has-sidebar'><p>%s</p><div class=sidebar><p>Side stuff</p></div></div></form>" % ("long words " * 20)
+    assert hx.main_text(both, w) == ("long words " * 20).strip()
+    assert hx.main_text("<form><label>Name</label><input><label>Mail</label></form>", w) == ""
+
+
+def test_comments_in_article_elements_stay_noise(spark):
+    w = hx.learn(spark.read.parquet(f"{SF}/pages.parquet"))
+    page = "<div class='page with-sidebar'><article><p>%s</p></article><div id=comments>%s</div></div>"
+    assert hx.main_text(page % ("the text " * 9, "<article class=comment><p>I disagree a lot</p></article>" * 2), w) == ("the text " * 9).strip()
+
+
+def test_unclosed_elements_do_not_swallow_the_page(spark):
+    w = hx.learn(spark.read.parquet(f"{SF}/pages.parquet"))
+    for tag in ("button", "select", "svg", "noscript", "object", "canvas", "template", "math"):
+        assert hx.main_text(f"<div><{tag}><p>the words of a text</p></div>", w) == "the words of a text", tag
+    assert hx.main_text("<button>one<p>the words of a text</p><button>two</button>", w).endswith("the words of a text")
+    assert hx.main_text("<p class=ad>Buy<p>the words of a text</p>", w) == "the words of a text"
