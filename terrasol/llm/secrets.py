@@ -3,7 +3,8 @@
 Two first-order Markov models over the characters of keys and tokens are trained
 from labelled samples: random strings (values the patterns found, and digests in
 several alphabets) and ordinary words and identifiers.  A long run of key
-characters is a secret where the log-likelihood ratio of the two models is high.
+characters is a secret where the log-likelihood ratio of the two models is high;
+in a run that is ordinary as a whole, its best-scoring stretches are.
 Everything is Column code.
 """
 
@@ -27,6 +28,9 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Log-likelihood ratio from which a run counts as random: odds of 10,000 to 1.
 THRESHOLD = math.log(10_000)
+#: Characters a stretch inside a run has at least; separators that it is widened to.
+LEAST = 12
+SEPARATORS = "/_=-"
 #: Bound of the documents that training samples are taken from.
 MAX_DOCS = 2000
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
@@ -84,19 +88,62 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> list[float]:
     return out
 
 
-def ratio(s: Column, table: Column) -> Column:
-    """Log-likelihood ratio of a string of alphabet characters."""
+def steps(s: Column, table: Column) -> Column:
+    """Log-likelihood ratios of the character pairs of a string of alphabet characters."""
     code = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    return F.aggregate(F.sequence(F.lit(1), F.length(s) - 1), F.lit(0.0),
-                       lambda acc, i: acc + F.get(table, F.get(code, i - 1) * len(ALPHABET) + F.get(code, i)))
+    pairs = lambda c: F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.get(table, F.get(c, i - 1) * len(ALPHABET) + F.get(c, i)))
+    return F.get(F.transform(F.array(code), pairs), F.lit(0))  # the codes are made once, not for every pair
+
+
+def stretches(s: Column, ratios: Column, threshold: float) -> Column:
+    """Array of (lo, hi): the best-scoring stretches of a string, each widened to the separators around it.
+
+    A running sum of the pairs' ratios starts anew where it falls to 0 or by the
+    threshold below its highest value; a stretch ends at that value and counts if
+    it reaches the threshold.
+    """
+    bounds = "array<struct<lo:int,hi:int>>"
+    start = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("lo"), F.lit(0).alias("hi"),
+                     F.array().cast(bounds).alias("out"))
+
+    def closed(acc):
+        done = (acc["best"] >= threshold) & (acc["hi"] - acc["lo"] >= LEAST)
+        found = F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi"))
+        return F.when(done, F.concat(acc["out"], F.array(found))).otherwise(acc["out"])
+
+    def step(acc, x):  # x belongs to the characters at and at + 1
+        at, total = (acc["at"] + 1).alias("at"), acc["sum"] + x
+        anew = (total <= 0) | (total < acc["best"] - threshold)
+        return F.when(anew, F.struct(at, F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), at.alias("lo"), at.alias("hi"), closed(acc).alias("out"))).otherwise(
+            F.struct(at, total.alias("sum"), F.greatest(total, acc["best"]).alias("best"), acc["lo"].alias("lo"),
+                     F.when(total > acc["best"], acc["at"] + 2).otherwise(acc["hi"]).alias("hi"), acc["out"].alias("out")))
+
+    found = F.aggregate(ratios, start, step, closed)
+    plain = F.translate(s, SEPARATORS, SEPARATORS[0] * len(SEPARATORS))
+    before = lambda k: F.length(F.substring_index(F.substring(plain, F.lit(1), k), SEPARATORS[0], -1))
+    after = lambda k: F.length(F.substring_index(F.substring(plain, k + 1, F.length(s)), SEPARATORS[0], 1))
+    return F.array_distinct(F.transform(found, lambda x: F.struct((x["lo"] - before(x["lo"])).alias("lo"), (x["hi"] + after(x["hi"])).alias("hi"))))
+
+
+def uncovered(run: Column, base: Column) -> Column:
+    """Array of (start, end): the parts of a run that no base span covers."""
+    met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    start = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    part = lambda lo, hi: F.array(F.struct(lo.alias("start"), hi.alias("end")))
+    return F.aggregate(
+        met, start,
+        lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(
+            b["start"] > acc["at"], F.concat(acc["out"], part(acc["at"], b["start"]))).otherwise(acc["out"]).alias("out")),
+        lambda acc: F.when(acc["at"] < run["end"], F.concat(acc["out"], part(acc["at"], run["end"]))).otherwise(acc["out"]))
 
 
 def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """All columns of docs and ``base`` and ``spans``: arrays of (start, rank, end, kind), by start, then kind.
 
-    ``base`` holds the pattern matches; ``spans`` adds runs of 20 characters or
-    more that look random and touch no base span (kind ``markov``).  Offsets are
-    code points, the end exclusive.  Null text is the empty text (no spans).
+    ``base`` holds the pattern matches; ``spans`` adds what looks random in runs of
+    20 characters or more (kind ``markov``): the whole run, or its part outside the
+    base spans, or else the stretches in it that do.  Offsets are code points, the
+    end exclusive.  Null text is the empty text (no spans).
     """
     own = [c for c in docs.columns if c not in ("base", "spans")]
     df = docs.select(F.struct(*own).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
@@ -104,9 +151,16 @@ def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> D
     bare = lambda a: F.transform(a, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]).cast(SPAN))
     df = df.withColumn("base", F.array_sort(F.concat(*(bare(k) for k in KINDS))))
     model = F.from_json(F.lit(json.dumps(table)), "array<double>")
-    added = F.filter("runs", lambda s: (ratio(s["hit"], model) >= threshold) & ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    df = df.withColumn("spans", F.array_sort(F.concat("base", bare(added))))
+    parts = F.flatten(F.transform("runs", lambda r: F.transform(uncovered(r, F.col("base")), lambda p: F.struct(
+        p["start"].alias("start"), F.substring(r["hit"], p["start"] - r["start"] + 1, p["end"] - p["start"]).alias("hit")))))
+    df = df.withColumn("_parts", F.transform(F.filter(parts, lambda p: F.length(p["hit"]) >= LEAST), lambda p: F.struct(
+        p["start"].alias("start"), p["hit"].alias("hit"), steps(p["hit"], model).alias("steps"))))
+    total = lambda p: F.aggregate(p["steps"], F.lit(0.0), lambda acc, x: acc + x)
+    whole = lambda p: F.array(F.struct(F.lit(0).alias("lo"), F.length(p["hit"]).alias("hi")))
+    found = F.transform("_parts", lambda p: F.transform(
+        F.when(total(p) >= threshold, whole(p)).otherwise(stretches(p["hit"], p["steps"], threshold)),
+        lambda x: F.struct((p["start"] + x["lo"]).alias("start"), F.lit(len(KINDS)).alias("rank"), (p["start"] + x["hi"]).alias("end"), F.lit("markov").alias("kind")).cast(SPAN)))
+    df = df.withColumn("spans", F.array_sort(F.concat("base", F.flatten(found))))
     return df.select("_row.*", "base", "spans")
 
 

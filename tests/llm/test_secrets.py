@@ -63,3 +63,25 @@ def test_redaction(spark, odd, empty):
     assert got == {1: 'é <secret>", <secret> end', 2: "clean", 3: None}
     assert secrets.scan(empty, secrets.train(empty)).collect() == []
     assert len(secrets.scan(odd, secrets.train(odd)).collect()) == odd.count()
+
+
+def test_random_keys_inside_longer_runs(spark, docs):
+    rng = random.Random(4)
+    table = secrets.train(docs)
+    vocabulary = sorted({w.lower() for r in docs.limit(60).collect() for w in re.findall("[A-Za-z]{4,}", r.text or "")})
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    rows = [(n, sep.join(rng.sample(vocabulary, n)) + sep, key(20)) for n in (4, 10, 20) for sep in "/_-" for _ in range(20)]
+    texts = [f"see {p}{k} end" for _, p, k in rows] + [f"see {p}{k}/{p}{key(20)}/the-end end" for _, p, k in rows]
+    # a run that touches a base span: what follows the digest is scored by itself
+    texts += [f"see {'0123456789abcdef' * 2}_{k} end" for _, _, k in rows]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(secrets.scan(df, table)).collect()}
+    hidden = [rows[i % len(rows)][2] not in got[i] for i in range(len(texts))]
+    for at in range(0, len(texts), len(rows)):
+        assert sum(hidden[at:at + len(rows)]) >= 0.95 * len(rows)
+    # both keys of a run, and the words of the path stay
+    second = [got[i].count("<secret>") >= 2 and rows[i % len(rows)][1][:4] in got[i] for i in range(len(rows), 2 * len(rows))]
+    assert sum(second) >= 0.9 * len(rows)
+    plain = spark.createDataFrame([(i, f"see {sep.join(rng.sample(vocabulary, 12))} end") for i, sep in enumerate("/_-" * 40)], "doc_id long, text string")
+    assert sum(bool(r.spans) for r in secrets.scan(plain, table).collect()) <= 6
