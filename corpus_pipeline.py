@@ -24,15 +24,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (the smallest id; rows that repeat an id: one of them)."""
-    groups = Scratch(spark, "dedup-stage").save(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "groups")
+    """One document of each near-duplicate group (the smallest id; rows that repeat an id and a text: one of them)."""
+    # rows are told apart by id and text, as one id may stand on different texts
+    groups = near_dedup.judged(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "kept",
+                                            F.coalesce("digest", F.col("text_hash").cast("string").cast("binary")).alias("_same"))
+    groups = Scratch(spark, "dedup-stage").save(groups, "groups")
+    rows = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
     # the ids to drop grow with the documents, so the join is a shuffle at every size
-    drop = groups.where(~F.col("kept")).select("doc_id").distinct().hint("merge")
-    out = docs.join(drop, "doc_id", "left_anti")
-    repeated = groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    drop = groups.where(~F.col("kept")).select("_id", "_hash").distinct().hint("merge")
+    out = rows.join(drop, ["_id", "_hash"], "left_anti")
+    known = groups.where("kept and _id is not null")
+    repeated = known.groupBy("_id", "_same").count().where("count > 1").select("_id", "_same")
     if not repeated.isEmpty():
-        once = out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        out = out.join(repeated, "doc_id", "left_anti").unionByName(once)
+        repeated = known.join(repeated, ["_id", "_same"], "left_semi").select("_id", "_hash", "_same").distinct()
+        once = out.join(repeated, ["_id", "_hash"]).dropDuplicates(["_id", "_same"]).select(*out.columns)
+        out = out.join(repeated, ["_id", "_hash"], "left_anti").unionByName(once)
     return out.select(*docs.columns)
 
 

@@ -140,38 +140,49 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return (same - expected_collisions(n, m)).clip(0) / a.shape[-1]
 
 
+def digest_of(s: np.ndarray) -> bytes:
+    import hashlib
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def node_of(digest: bytes) -> int:
+    """Number of a set in the graph of links."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def document_features(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, digest, keys``; a text without words has a null digest."""
+    """``doc_id, text_hash, n_shingles, digest, node, keys``; a text without words has a null digest and node."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
         ids = WordIds()
         for b in batches(it):
             n, digest, keys = [], [], []
             for t in utf8(b, "text"):
                 s = shingles(t, ids)
                 n.append(len(s))
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                digest.append(digest_of(s) if len(s) else None)
                 keys.append(band_keys(sketches(s)))
             ends = np.cumsum([0, *map(len, keys)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists],
-                                             names=["doc_id", "n_shingles", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                                              pa.array([d and node_of(d) for d in digest], pa.int64()), lists],
+                                             names=["doc_id", "text_hash", "n_shingles", "digest", "node", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, node long, keys array<long>")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """``id, n, reg, elements``: registers and the full sorted set as bytes."""
+    """``id, n, reg, elements``: node, size, registers and the full sorted set as bytes."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for b in batches(it, 500):
             sets = [shingles(t, ids) for t in utf8(b, "text")]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([node_of(digest_of(s)) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["id", "n", "reg", "elements"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, n long, reg binary, elements binary")
+    return docs.select("text").mapInArrow(run, "id long, n long, reg binary, elements binary")
 
 
 def intersections(pivots: list[np.ndarray], members: list[np.ndarray], most: int = 2_000_000) -> np.ndarray:
@@ -262,22 +273,29 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
 
     A text without words is linked with nothing; a row without an id is its own
     group (null component, kept); rows that repeat a doc_id are judged each by its
-    own text.  An empty table gives an empty result.
+    own text: of a group, the rows of one set with the smallest id are kept.  An
+    empty table gives an empty result.
     """
+    return judged(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, percent=PERCENT) -> DataFrame:
+    """``near_duplicates`` with the columns ``text_hash`` and ``digest`` (of the set; null without words)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
     feats = scratch.save(document_features(docs), "features")
     known = feats.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = scratch.save(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    rows = known.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
+    classes = scratch.save(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("node").alias("node")), "classes")
+    # the nodes are the sets: one doc_id may stand on rows with different texts
+    reps = classes.select(F.col("rep").alias("doc_id"), "digest")
+    rows = known.join(reps, ["doc_id", "digest"], "left_semi").select(F.col("node").alias("id"), F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
     active = scratch.save(rows.join(shared.select("key", "size", "lo"), "key").distinct(), "buckets")
     # degree: how central a row is; home: rows of one group mostly have the same one
     degree = active.groupBy("id").agg(F.sum("size").alias("degree"), F.min("lo").alias("home"))
     nodes = scratch.save(degree, "nodes")
-    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(
-        nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    linkable = classes.join(nodes.select(F.col("id").alias("node")), "node", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(linkable, "doc_id", "left_semi")
     sets = scratch.save(document_sets(texts).where("n > 0"), "sets")
     labels = scratch.save(nodes.select("id", F.col("id").alias("comp")), "labels-0")
     active = scratch.save(active.select("key", "id").join(nodes, "id"), "active-0")
@@ -327,8 +345,12 @@ def near_duplicates(docs: DataFrame, percent=PERCENT) -> DataFrame:
         pivots_per_bucket *= 8
     for old in ("sets", "nodes", f"now-{k}", f"active-{k - 1}"):  # the result reads features, classes and labels alone
         scratch.drop(old)
-    rep = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
-    out = feats.select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
+    # a component is named by its smallest doc_id; should several of its sets have that id, the one with the least node is kept
+    sets_of = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("digest", "rep", "node", F.coalesce("comp", "node").alias("comp"))
+    least = sets_of.groupBy("comp").agg(F.min(F.struct("rep", "node")).alias("least"))
+    rep = sets_of.join(least, "comp").select("digest", F.col("least.rep").alias("comp"), (F.col("node") == F.col("least.node")).alias("first"))
+    out = feats.select("doc_id", "text_hash", "n_shingles", "digest").join(rep, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    kept = (component == F.col("doc_id")) & F.coalesce("first", F.lit(True))
+    return out.select("doc_id", "text_hash", "n_shingles", "digest", component.alias("component_id"),
+                      F.when(F.col("doc_id").isNull(), F.lit(True)).otherwise(kept).alias("kept"))

@@ -126,3 +126,17 @@ def test_shingles_of_short_texts():
     assert len(near_dedup.shingles(b"a b c d", ids)) == 1 == len(near_dedup.shingles(b"a b c d e", ids))
     assert near_dedup.shingles(b"a B", ids) == near_dedup.shingles(b"A  b", ids)
     assert near_dedup.shingles(b"a b", ids) != near_dedup.shingles(b"b a", ids)
+
+
+A = "the quick brown fox jumps over the lazy dog and runs away from the big bad wolf at "
+B = "some other words that have nothing in common with what stands in any of the remaining rows"
+
+
+def test_one_id_on_different_texts(spark):
+    rows = [(3, A + "night"), (7, A + "noon"), (7, B), (8, B + " here"), (5, "x y"), (5, "z"), (4, A + "x"), (1, ""), (1, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect())
+    assert got == sorted([(3, 15, 3, True), (7, 15, 3, False), (7, 13, 7, True), (8, 14, 7, False), (5, 1, 5, True), (5, 1, 5, True),
+                          (4, 15, 3, False), (1, 0, 1, True), (1, 0, 1, True)])
+    same = spark.createDataFrame([(7, A + "night"), (7, A + "noon")], "doc_id long, text string")
+    assert sorted((r.component_id, r.kept) for r in near_dedup.near_duplicates(same).collect()) == [(7, False), (7, True)]

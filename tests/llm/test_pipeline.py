@@ -60,3 +60,11 @@ def test_each_stage_takes_odd_and_empty_tables(spark, odd, empty, k):
         assert len(rows) == odd.count() and sum("<secret>" in (r.text or "") for r in rows) == 1
     if k == 3:
         assert {r.doc_id for r in rows} <= {r.doc_id for r in odd.collect()}
+
+
+def test_dedup_stage_keeps_different_texts_of_one_id(spark):
+    a, b = "the quick brown fox jumps over the lazy dog and runs away from the big bad wolf at ", "words that stand nowhere else in this table at all"
+    rows = [(3, a + "night"), (7, a + "noon"), (7, b), (7, b), (7, b.upper()), (5, "x y"), (5, "z"), (5, "z"), (None, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text.lower()) for r in cp.drop_near_duplicates(spark, df, SF).collect()]
+    assert sorted(got, key=str) == sorted([(3, a + "night"), (7, b), (5, "x y"), (5, "z"), (None, b)], key=str)
