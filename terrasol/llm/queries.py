@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasol.llm import (chat_format, fingerprints, html_extract, lm_score, mixing, near_dedup, packing, quality, secrets,
-                          topk_search)
+from terrasol.llm import (chat_format, collocations, fingerprints, html_extract, lm_score, mixing, near_dedup, packing,
+                          periodic_runs, quality, secrets, sharding, topk_search)
 from terrasol.llm.common import id_crc
 from terrasol.sources.tables import table
 
@@ -95,7 +95,25 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_format, op5_secrets, op6_html_extract, op7_fingerprints, op8_quality, op9_pack, op10_near_dedup)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, every tenth of which is made periodic first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(docs, periodic_runs.repeated).drop("n_words", "runs")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words of each language in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of a tree of 2 regions, and in 9 when a rack gets one more."""
+    tree = sharding.even_tree(8)
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, sharding.grown(tree, "region0", "rack0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_format, op5_secrets, op6_html_extract, op7_fingerprints, op8_quality, op9_pack,
+                                   op10_near_dedup, op11_periodic_runs, op12_collocations, op13_sharding)}
 ORACLES = {
     "op2_topk": """
         WITH v AS (
@@ -129,6 +147,28 @@ ORACLES = {
         WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '</?(b|i|em|a|span|strong)( [^>]*)?>', '', 'g') AS h FROM pages),
         t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM a)
         SELECT page_id, url, text, length(text) AS n_chars FROM t""",
+    "op12_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: ws[i:i + m - 1])) AS ws FROM w, range(1, 4) t(m)),
+        f AS (SELECT lang, ws, array_to_string(ws, ' ') AS phrase, count(*) AS f FROM g GROUP BY lang, ws),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(ws) = 1 GROUP BY lang),
+        c AS (SELECT lang, ws, phrase, f AS a FROM f WHERE len(ws) > 1 AND f >= 10),
+        k AS (SELECT c.*, unnest(range(1, len(ws))) AS k FROM c),
+        s AS (
+            SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
+                   CAST((1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM k JOIN f x ON x.lang = k.lang AND x.ws = k.ws[1:k.k] JOIN f y ON y.lang = k.lang AND y.ws = k.ws[k.k + 1:]),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (
+            SELECT lang, phrase, max(a) AS around
+            FROM (SELECT lang, a, array_to_string(unnest([ws[1:2], ws[2:3]]), ' ') AS phrase FROM c WHERE len(ws) = 3) GROUP BY lang, phrase),
+        d AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE around IS NULL OR 100 * around < 50 * a),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",
     "op10_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
