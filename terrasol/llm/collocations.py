@@ -21,13 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import Scratch, utf8
+from terrasol.llm.common import Scratch, released, utf8
 
 ORDER, LEAST, SHARE, TOP = 3, 10, 50, 2000
-#: Windows that a task combines before it hands them on, and rows of an Arrow batch.
-CHUNK, ROWS = 4_000_000, 50_000
-#: A word's head is hot from this share of a sample of about so many documents; hot heads are split over ``SALTS``.
-#: This only decides which task counts what, never a count.
+#: Windows that a task combines before it hands them on, and windows of an Arrow batch.
+CHUNK, ROWS = 4_000_000, 100_000
+#: Words and heads (all words of a window but the last) are hot from a 1/``HOT_SHARE`` of the windows of a sample of
+#: about ``HOT_DOCS`` documents; they are split over ``SALTS`` parts.  This only decides which task counts what, never a count.
 HOT_SHARE, HOT_DOCS, SALTS = 500, 2000, 64
 #: Lists of one language are cut in this many parts before the last one.
 PARTS = 32
@@ -76,32 +76,59 @@ def counted_windows(windows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
     return windows[:, at], n
 
 
+def spread_salts(windows: np.ndarray, names: list[bytes], lang: str, hot: frozenset[str]) -> np.ndarray:
+    """Per window the part of its first word's group: 0, or of a hot word by its second word, of a hot head by its last one."""
+    import xxhash
+    salt = np.zeros(windows.shape[1], np.int64)
+    part = lambda i: 1 + xxhash.xxh3_64_intdigest(names[i]) % SALTS
+    tag = b" " + lang.encode()
+    first = [i for i in np.unique(windows[0]).tolist() if (names[i] + tag).decode() in hot]
+    for i in first:
+        at = np.flatnonzero(windows[0] == i)
+        if len(windows) > 2:
+            second, where = np.unique(windows[1, at], return_inverse=True)
+            salt[at] = np.array([part(j) for j in second.tolist()])[where]
+        else:
+            second, where = np.empty(0, np.int64), None
+        heads = second.tolist() if len(windows) > 2 else [None]
+        for k, j in enumerate(heads):
+            if len(windows) == 2 or (names[i] + b" " + names[j] + tag).decode() in hot:
+                own = at if where is None else at[where == k]
+                last, back = np.unique(windows[-1, own], return_inverse=True)
+                salt[own] += (SALTS + 1) * np.array([part(m) for m in last.tolist()])[back]
+    return salt
+
+
 def window_counts(docs: DataFrame, order: int = ORDER, hot: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
-    """``head, last, salt, c``: windows counted within chunks of a task's texts.
+    """``first, salt, rest``: windows counted within chunks of a task's texts.
 
-    ``head`` holds all words but the last one (empty past the end) and the language,
-    joined by spaces; ``salt`` is not 0 for the windows of the ``hot`` heads.
+    ``first`` holds the first word and the language, parted by a space; ``rest`` has a
+    line per distinct window: its other words (empty past the end) and its count.  A
+    hot word has several rows by ``salt``; from ``SALTS`` + 1 on a salt is that of a hot head.
     """
-    hot_heads = frozenset(hot or ())
+    split = frozenset(hot or ())
 
     def rows(acc: dict[str, list[np.ndarray]], words: Words) -> Iterator[pa.RecordBatch]:
         names = list(words)
         names[0] = b""
-        names = pa.array(names, pa.binary()).cast(pa.string())
+        strings = pa.array(names, pa.binary()).cast(pa.string())
         for lang, parts in acc.items():
             windows, n = counted_windows(padded_windows(np.concatenate(parts), order), len(words))
-            for i in range(0, len(n), ROWS):
-                w = [names.take(pa.array(x[i:i + ROWS])) for x in windows]
-                head = pc.binary_join_element_wise(*w[:-1], pa.scalar(lang), pa.scalar(" "))
-                salt = np.zeros(len(head), np.int32)
-                if hot_heads:
-                    is_hot = pc.is_in(head, pa.array(sorted(hot_heads), pa.string())).to_numpy(zero_copy_only=False)
-                    if is_hot.any():
-                        import xxhash
-                        at = np.flatnonzero(is_hot)
-                        salt[at] = [1 + xxhash.xxh3_64_intdigest(x) % SALTS for x in w[-1].take(pa.array(at)).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([head, w[-1], pa.array(salt), pa.array(n[i:i + ROWS], pa.int64())],
-                                                 names=["head", "last", "salt", "c"])
+            salt = spread_salts(windows, names, lang, split) if split else np.zeros(len(n), np.int64)
+            if salt.any():
+                by = np.lexsort((salt, windows[0]))
+                windows, n, salt = windows[:, by], n[by], salt[by]
+            starts = np.flatnonzero(np.diff(windows[0], prepend=-1) | np.diff(salt, prepend=-1))
+            ends = np.append(starts[1:], len(n))
+            k = 0
+            while k < len(starts):  # whole groups, about ROWS windows at a time
+                m = max(k + 1, int(np.searchsorted(ends, starts[k] + ROWS, "right")))
+                lo, hi = starts[k], ends[m - 1]
+                lines = pc.binary_join_element_wise(*(strings.take(pa.array(x[lo:hi])) for x in windows[1:]), pa.array(n[lo:hi]).cast(pa.string()), " ")
+                groups = pa.ListArray.from_arrays(pa.array(np.append(starts[k:m], hi) - lo, pa.int32()), lines)
+                first = pc.binary_join_element_wise(strings.take(pa.array(windows[0, starts[k:m]])), pa.scalar(lang), " ")
+                yield pa.RecordBatch.from_arrays([first, pa.array(salt[starts[k:m]], pa.int32()), pc.binary_join(groups, "\n")], names=["first", "salt", "rest"])
+                k = m
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, acc, size = Words(), {}, 0
@@ -115,16 +142,29 @@ def window_counts(docs: DataFrame, order: int = ORDER, hot: list[str] | None = N
                     words, acc, size = Words(), {}, 0
         yield from rows(acc, words)
 
-    return docs.select("lang", "text").mapInArrow(run, "head string, last string, salt int, c long")
+    return docs.select("lang", "text").mapInArrow(released(run), "first string, salt int, rest string")
+
+
+def opened(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``first, salt, w2 .. wN, c``: one row per window again."""
+    entry = F.split("line", " ")
+    words = [F.get(entry, k - 2).alias(f"w{k}") for k in range(2, order + 1)]
+    lines = counts.select("first", "salt", F.explode(F.split("rest", "\n")).alias("line"))
+    return lines.select("first", "salt", *words, F.get(entry, order - 1).cast("long").alias("c"))
 
 
 def hot_heads(docs: DataFrame, order: int = ORDER, sample: int = HOT_DOCS) -> list[str]:
-    """Heads of windows that hold over a ``HOT_SHARE``-th of a sample's words (at most ``HOT_SHARE`` of them)."""
+    """First words and heads, each with its language, that hold over a ``HOT_SHARE``-th of a sample's windows.
+
+    At most ``order`` times ``HOT_SHARE`` of them, whatever the sample holds.
+    """
     n = docs.count()
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, sample / max(1, n)) * (1 << 30))
-    heads = window_counts(docs.where(draw), order).groupBy("head").agg(F.sum("c").alias("c"))
-    total = heads.agg(F.sum("c")).first()[0] or 0
-    return [r["head"] for r in heads.where(F.col("c") * HOT_SHARE >= max(total, HOT_SHARE * LEAST)).select("head").collect()]
+    some = opened(window_counts(docs.where(draw), order), order)
+    head = F.concat_ws(" ", F.substring_index("first", " ", 1), *(f"w{k}" for k in range(2, order)), F.expr("substring(first, length(substring_index(first, ' ', 1)) + 2)"))
+    both = some.select(F.explode(F.array_distinct(F.array(F.col("first"), head))).alias("head"), "c").groupBy("head").agg(F.sum("c").alias("c"))
+    total = some.agg(F.sum("c")).first()[0] or 0
+    return [r["head"] for r in both.where(F.col("c") * HOT_SHARE >= max(total, HOT_SHARE * LEAST)).select("head").collect()]
 
 
 def phrase_counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:
@@ -136,23 +176,25 @@ def phrase_counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> Da
     if order not in (2, 3):
         raise ValueError("order is 2 or 3")
     texts = docs.select("lang", "text")
-    counts = window_counts(texts, order, hot_heads(texts, order)).repartition("head", "salt")
-    whole = counts.groupBy("head", "salt", "last").agg(F.sum("c").alias("c"))
+    counts = window_counts(texts, order, hot_heads(texts, order)).repartition("first", "salt")
+    *inner, last = [f"w{k}" for k in range(2, order + 1)]
+    head = ["first", "salt", *inner]
+    whole = opened(counts, order).groupBy(*head, last).agg(F.sum("c").alias("c"))
     # a window below the threshold gives up its last word; a frequent one leaves a mark on its head
-    frequent = (F.col("c") >= least) & (F.col("last") != "")
-    row = lambda last, c, mark: F.struct(last.alias("last"), c.alias("c"), F.lit(mark).alias("mark"))
+    frequent = (F.col("c") >= least) & (F.col(last) != "")
+    row = lambda w, c, mark: F.struct(w.alias(last), c.alias("c"), F.lit(mark).alias("mark"))
     none = F.lit("")
-    kept = whole.select("head", "salt", F.inline(
-        F.when(frequent, F.array(row(F.col("last"), F.col("c"), 1), row(none, F.lit(0).cast("long"), 1)))
+    kept = whole.select(*head, F.inline(
+        F.when(frequent, F.array(row(F.col(last), F.col("c"), 1), row(none, F.lit(0).cast("long"), 1)))
         .otherwise(F.array(row(none, F.col("c"), 0)))))
-    kept = kept.groupBy("head", "salt", "last").agg(F.sum("c").alias("c"), F.max("mark").alias("mark"))
-    # a head below the threshold gives up its last word as well (a salted head is frequent)
-    rare = (F.col("mark") == 0) & (F.col("salt") == 0) & (F.col("c") < least)
-    part = F.split("head", " ", order)  # the language stands last and may hold spaces
-    w = [F.get(part, k) for k in range(order - 1)]
+    kept = kept.groupBy(*head, last).agg(F.sum("c").alias("c"), F.max("mark").alias("mark"))
+    # a head below the threshold gives up its last word as well (that of a salted head is in several rows: it is frequent)
+    rare = (F.col("mark") == 0) & (F.col("salt") <= SALTS) & (F.col("c") < least) if inner else F.lit(False)
+    part = F.split("first", " ", 2)  # the language stands last and may hold spaces
+    w = [F.get(part, 0), *map(F.col, inner)]
     w[-1] = F.when(rare, "").otherwise(w[-1])
     names = [f"w{k + 1}" for k in range(order)]
-    kept = kept.select(F.get(part, order - 1).alias("lang"), *(x.alias(n) for x, n in zip(w, names)), F.col("last").alias(names[-1]), "c")
+    kept = kept.select(F.get(part, 1).alias("lang"), *(x.alias(n) for x, n in zip(w, names)), F.col(last).alias(names[-1]), "c")
     kept = kept.groupBy("lang", *names).agg(F.sum("c").alias("c"))
     rolled = kept.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
     whole_phrases = F.lit(False)

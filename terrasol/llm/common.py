@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -51,6 +52,45 @@ def id_crc(col="doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def bitmap(keys: DataFrame, *cols: str, bits: int = 24) -> DataFrame:
+    """``_slot, _bits``: which hashes of the key columns occur, as 2^``bits`` bits in at most 2^(``bits`` - 6) rows.
+
+    Its size is bounded whatever the keys hold, so it may be broadcast.
+    """
+    h = F.pmod(F.xxhash64(*cols), F.lit(1 << bits))
+    slots = keys.select(F.shiftright(h, 6).alias("_slot"), (h % 64).cast("int").alias("_bit"))
+    return slots.groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+
+
+def marked(rows: DataFrame, found: DataFrame, *cols: str, bits: int = 24) -> DataFrame:
+    """All rows with ``_maybe``: False if the key columns are certainly not among those of a ``bitmap``.
+
+    An exact join afterwards has to move only the rows that may have a partner.
+    """
+    h = F.pmod(F.xxhash64(*cols), F.lit(1 << bits))
+    out = rows.withColumn("_slot", F.shiftright(h, 6)).withColumn("_bit", (h % 64).cast("int")).join(F.broadcast(found), "_slot", "left")
+    return out.withColumn("_maybe", F.coalesce(F.expr("shiftrightunsigned(_bits, _bit) & 1L"), F.lit(0)) == 1).drop("_slot", "_bit", "_bits")
+
+
+def release() -> None:
+    """Give memory that an ended iterator held back to the system: Python workers wait for their next task with what they keep."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(run):
+    """The function of an Arrow iterator, releasing memory when the iterator ends."""
+    @functools.wraps(run)
+    def wrapped(it):
+        yield from run(it)
+        release()
+    return wrapped
+
+
 def running(steps: Column, group: int = 512) -> Column:
     """Sums of all elements before each one; two levels keep a long array's work far below its square."""
     add = lambda a, x: a + x
