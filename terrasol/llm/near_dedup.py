@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import Scratch, WordIds, batches, mix, utf8
+from terrasol.llm.common import Scratch, WordIds, batches, bitmap, marked, mix, released, utf8
 
 WORDS = 5
 #: Links: ``PERCENT[1] * intersection >= PERCENT[0] * union``.
@@ -168,7 +168,7 @@ def document_features(docs: DataFrame) -> DataFrame:
                                              names=["doc_id", "text_hash", "n_shingles", "digest", "node", "keys"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, node long, keys array<long>")
+    return rows.mapInArrow(released(run), "doc_id long, text_hash long, n_shingles long, digest binary, node long, keys array<long>")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["id", "n", "reg", "elements"])
 
-    return docs.select("text").mapInArrow(run, "id long, n long, reg binary, elements binary")
+    return docs.select("text").mapInArrow(released(run), "id long, n long, reg binary, elements binary")
 
 
 def intersections(pivots: list[np.ndarray], members: list[np.ndarray], most: int = 2_000_000) -> np.ndarray:
@@ -285,17 +285,21 @@ def judged(docs: DataFrame, percent=PERCENT) -> DataFrame:
     scratch = Scratch(spark, "near-dedup")
     feats = scratch.save(document_features(docs), "features")
     known = feats.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = scratch.save(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("node").alias("node")), "classes")
-    # the nodes are the sets: one doc_id may stand on rows with different texts
-    reps = classes.select(F.col("rep").alias("doc_id"), "digest")
-    rows = known.join(reps, ["doc_id", "digest"], "left_semi").select(F.col("node").alias("id"), F.explode("keys").alias("key"))
+    # the nodes are the sets: one doc_id may stand on rows with different texts, and a set on many rows
+    classes = scratch.save(known.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("node").alias("node"),
+                                                       F.first("keys").alias("keys")), "classes")
+    rows = classes.select(F.col("node").alias("id"), F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
     active = scratch.save(rows.join(shared.select("key", "size", "lo"), "key").distinct(), "buckets")
     # degree: how central a row is; home: rows of one group mostly have the same one
     degree = active.groupBy("id").agg(F.sum("size").alias("degree"), F.min("lo").alias("home"))
     nodes = scratch.save(degree, "nodes")
-    linkable = classes.join(nodes.select(F.col("id").alias("node")), "node", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(linkable, "doc_id", "left_semi")
+    linkable = classes.join(nodes.select(F.col("id").alias("node")), "node", "left_semi").select("rep.doc_id", "rep.text_hash")
+    linkable = scratch.save(linkable, "linkable")
+    # only texts that may be linkable are moved, repeated rows of them once
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).where(F.col("doc_id").isNotNull())
+    texts = marked(texts, bitmap(linkable, "doc_id", "text_hash"), "doc_id", "text_hash").where("_maybe")
+    texts = texts.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text")).join(linkable.hint("merge"), ["doc_id", "text_hash"], "left_semi")
     sets = scratch.save(document_sets(texts).where("n > 0"), "sets")
     labels = scratch.save(nodes.select("id", F.col("id").alias("comp")), "labels-0")
     active = scratch.save(active.select("key", "id").join(nodes, "id"), "active-0")
@@ -343,10 +347,11 @@ def judged(docs: DataFrame, percent=PERCENT) -> DataFrame:
         for old in ("now", "meet", "active" if k > 1 else "buckets"):
             scratch.drop(old if old == "buckets" else f"{old}-{k - (old == 'active')}")
         pivots_per_bucket *= 8
-    for old in ("sets", "nodes", f"now-{k}", f"active-{k - 1}"):  # the result reads features, classes and labels alone
+    for old in ("sets", "nodes", "linkable", f"now-{k}", f"active-{k - 1}"):  # the result reads features, classes and labels alone
         scratch.drop(old)
     # a component is named by its smallest doc_id; should several of its sets have that id, the one with the least node is kept
-    sets_of = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("digest", "rep", "node", F.coalesce("comp", "node").alias("comp"))
+    sets_of = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
+        "digest", F.col("rep.doc_id").alias("rep"), "node", F.coalesce("comp", "node").alias("comp"))
     least = sets_of.groupBy("comp").agg(F.min(F.struct("rep", "node")).alias("least"))
     rep = sets_of.join(least, "comp").select("digest", F.col("least.rep").alias("comp"), (F.col("node") == F.col("least.node")).alias("first"))
     out = feats.select("doc_id", "text_hash", "n_shingles", "digest").join(rep, "digest", "left")
