@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import batches, id_crc, mix
+from terrasol.llm.common import id_crc, mix, release
 
 BITS = 18
 #: Bound of the training sample (labelled rows) and the shards it is dealt over.
@@ -71,7 +71,8 @@ def ftrl(texts: list[str], labels: list[int], bits: int = BITS, epochs: int = EP
     rows = []
     for t in texts:
         idx, n = np.unique(features(t), return_counts=True)
-        rows.append((np.append(idx, 1 << bits), np.append(n * (SCALE / max(1, n.sum())), 1.0)))
+        # kept small: a shard holds a bounded number of rows, but long texts have many features
+        rows.append((np.append(idx, 1 << bits).astype(np.int32), np.append(n * (SCALE / max(1, n.sum())), 1.0).astype(np.float32)))
     z, s = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
 
     def weights(i):
@@ -107,6 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, bits:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(text=pdf["text"].fillna("")).sort_values(["_draw", "doc_id", "text"])
         w = ftrl(pdf["text"].tolist(), pdf["_y"].tolist(), bits)
+        release()
         return pd.DataFrame({"n": [len(pdf)], "w": [w.astype(np.float32).tobytes()]})
 
     # at most SHARDS weight vectors of fixed size
@@ -116,21 +118,27 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, bits:
     return sum(n * np.frombuffer(w, np.float32).astype(float) for n, w in got) / sum(n for n, _ in got)
 
 
-def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """All columns of docs and ``score`` (0 to 1).  Null and empty texts get the bias alone."""
-    name = "score"
-    docs = docs.drop(name)  # a score column of docs is replaced
-    schema = docs.withColumn(name, F.lit(0.0)).schema
+def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, text: Column | str = "text") -> DataFrame:
+    """All columns of docs and ``score`` (0 to 1), replacing a column of that name.
+
+    Null and empty texts get the bias alone; rows that repeat one another get one
+    score; an empty table stays empty.  Only the texts travel to Python.
+    """
     weights = weights.astype(np.float32)
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         features, w, bias = Features(bits), weights[:-1], float(weights[-1])
-        for b in batches(it):
+        for column in it:
             out = []
-            for t in b.column("text").to_pylist():
-                idx = features(t or "")
-                z = bias + (float(w[idx].sum(dtype=np.float64)) * SCALE / len(idx) if len(idx) else 0.0)
-                out.append(1 / (1 + np.exp(-min(max(z, -35.0), 35.0))))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, name])
-
-    return docs.mapInArrow(run, schema)
+            for i in range(0, len(column), 1000):  # few texts at a time as Python strings
+                for t in column.slice(i, 1000).to_pylist():
+                    idx = features(t or "")
+                    z = bias + (float(w[idx].sum(dtype=np.float64)) * SCALE / len(idx) if len(idx) else 0.0)
+                    out.append(1 / (1 + np.exp(-min(max(z, -35.0), 35.0))))
+            yield pa.array(out, pa.float64())
+
+    def ending(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from run(it)
+        release()
+
+    return docs.withColumn("score", F.arrow_udf(ending, "double")(text))
