@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import Scratch, batches
+from terrasol.llm.common import Scratch, batches, released
 
 CAPACITY = 1024
 END_ID = 2
@@ -124,7 +124,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
             names = [n for n in types if with_ids or n != "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(rows[n], types[n]) for n in names], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run), schema)
 
 
 def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:

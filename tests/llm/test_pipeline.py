@@ -17,7 +17,7 @@ def staged(spark, docs, upto, tmp):
 
 def test_registered_and_in_order():
     q = E.queries()
-    assert q["pipeline"] is cp.run and len([n for n in q if re.match(r"op\d+_", n)]) == 10
+    assert q["pipeline"] is cp.run and len([n for n in q if re.match(r"op\d+_", n)]) == 13
     assert [s.__name__ for _, s in cp.STAGES] == ["keep_quality", "drop_near_duplicates", "redact_secrets", "mix_sources", "pack_sequences"]
 
 
@@ -68,3 +68,25 @@ def test_dedup_stage_keeps_different_texts_of_one_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text.lower()) for r in cp.drop_near_duplicates(spark, df, SF).collect()]
     assert sorted(got, key=str) == sorted([(3, a + "night"), (7, b), (5, "x y"), (5, "z"), (None, b)], key=str)
+
+
+CLASHES = ("_id", "_hash", "_own", "_copy", "_copies", "_rows", "_row", "_key", "_n", "_maybe", "_stays", "_doc_id", "_source", "_size", "score", "kept")
+
+
+def test_stages_leave_columns_with_their_own_names_alone(spark, docs):
+    more = docs.orderBy("doc_id").limit(60)
+    more = more.select("*", *(F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHES))
+    for _, stage in cp.STAGES[:4]:
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHES)
+
+
+def test_rows_without_id_share_their_copies_exactly(spark):
+    from terrasol.llm import mixing
+    rows = [(None, "a", "one two three")] * 40 + [(k, "b", "w " * (k % 9 + 1)) for k in range(60)] + [(None, None, f"x{k} y z") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    want = {tuple(r)[:3]: r.copies for r in mixing.mix(df).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies")).collect()}
+    got = cp.mix_sources(spark, df, SF).groupBy("doc_id", "source", mixing.word_count("text").alias("size")).count().collect()
+    assert {(r.doc_id, r.source, r.size): r["count"] for r in got} == {k: v for k, v in want.items() if v}
