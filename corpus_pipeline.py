@@ -7,43 +7,58 @@ last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrasol.llm import mixing, near_dedup, packing, quality, secrets
-from terrasol.llm.common import Scratch
+from terrasol.llm.common import Scratch, bitmap, marked
 from terrasol.llm.queries import tokenizer_file
 from terrasol.sources.tables import table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts (score 0.5 or more).
+
+    Every row is judged by its own text; null and empty texts get the score of the
+    model's bias; repeated rows stay or go together; an empty table stays empty.
+    """
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    return quality.score(rows, weights).where(F.col("score") >= 0.5).select("_row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    return quality.score(rows, weights, text=F.col("_row.text")).where(F.col("score") >= 0.5).select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (the smallest id; rows that repeat an id and a text: one of them)."""
+    """One document of each near-duplicate group (the smallest id).
+
+    Rows that repeat an id and a set of shingles: one of them stays, the one with the
+    least hash of its text.  Rows without an id or without words are linked with
+    nothing and stay; an empty table stays empty.
+    """
     # rows are told apart by id and text, as one id may stand on different texts
     groups = near_dedup.judged(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "kept",
                                             F.coalesce("digest", F.col("text_hash").cast("string").cast("binary")).alias("_same"))
-    groups = Scratch(spark, "dedup-stage").save(groups, "groups")
-    rows = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
-    # the ids to drop grow with the documents, so the join is a shuffle at every size
-    drop = groups.where(~F.col("kept")).select("_id", "_hash").distinct().hint("merge")
-    out = rows.join(drop, ["_id", "_hash"], "left_anti")
-    known = groups.where("kept and _id is not null")
-    repeated = known.groupBy("_id", "_same").count().where("count > 1").select("_id", "_same")
-    if not repeated.isEmpty():
-        repeated = known.join(repeated, ["_id", "_same"], "left_semi").select("_id", "_hash", "_same").distinct()
-        once = out.join(repeated, ["_id", "_hash"]).dropDuplicates(["_id", "_same"]).select(*out.columns)
-        out = out.join(repeated, ["_id", "_hash"], "left_anti").unionByName(once)
-    return out.select(*docs.columns)
+    scratch = Scratch(spark, "dedup-stage")
+    groups = scratch.save(groups, "groups")
+    known = groups.where("kept and _id is not null").select("_id", "_same", "_hash")
+    twice = scratch.save(known.groupBy("_id", "_same").agg(F.count(F.lit(1)).alias("_n"), F.min("_hash").alias("_first")).where("_n > 1"), "twice")
+    # only rows that may go, or that may stand more than once, are moved
+    drop = groups.where(~F.col("kept")).select("_id", "_hash").distinct()
+    again = known.join(twice.hint("merge"), ["_id", "_same"]).select("_id", "_hash", (F.col("_hash") == F.col("_first")).alias("_stays")).distinct()
+    fate = scratch.save(drop.withColumn("_stays", F.lit(False)).unionByName(again), "fate")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    rows = marked(rows, bitmap(fate, "_id", "_hash"), "_id", "_hash")
+    met = rows.where("_maybe").join(fate.hint("merge"), ["_id", "_hash"], "left")
+    once = met.where("_stays").groupBy("_id", "_hash").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    parts = rows.where("not _maybe"), met.where("_stays is null"), once
+    return parts[0].select("_row.*").unionByName(parts[1].select("_row.*")).unionByName(parts[2].select("_row.*"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mark."""
+    """All documents, secrets in their texts replaced by a mark (``n_chars`` follows the new text).
+
+    Null and empty texts stay as they are; repeated rows stay and change alike; an
+    empty table stays empty.
+    """
     rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
     clean = secrets.redact(secrets.scan(rows, secrets.train(docs)))
     changed = F.size("spans") > 0
@@ -53,19 +68,41 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (rows that no id, size or source tells apart share their copies)."""
-    key = ["doc_id", "source", "size"]
-    taken = mixing.mix(docs).groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    taken = taken.select(*(F.col(k).alias(f"_{k}") for k in key), "_copies", "_rows")
-    sized = docs.withColumn("_own", mixing.word_count("text"))
-    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_size"))
-    extra = (F.pmod(F.xxhash64("text"), F.col("_rows")) < F.col("_copies") % F.col("_rows")).cast("int")
-    n = (F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_rows") > 1, extra).otherwise(0)).cast("int")
-    return sized.join(taken, match).where(n > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)
+    """Documents as often as the mix takes them.
+
+    Rows that no id, source or size tells apart share their copies: each takes the
+    whole part, and the rest goes to the first of them by text.  Null texts have no
+    words and are not taken; an empty table stays empty.
+    """
+    taken = mixing.mix(docs.select("doc_id", "source", "text")).groupBy("doc_id", "source", "size").agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    taken = taken.select(F.struct("doc_id", "source", "size").alias("_key"), "_copies", "_rows")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), mixing.word_count("text").alias("_size"))
+    rows = rows.select("_row", F.struct(F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").alias("source"), F.col("_size").alias("size")).alias("_key"))
+    joined = rows.join(taken, "_key")  # nulls inside the key are equal
+    whole = F.floor(F.col("_copies") / F.col("_rows")).cast("int")
+    alone = joined.where("_rows = 1 or _copies % _rows = 0").select("_row", whole.alias("_n"))
+    # the rest of a group's copies goes to exactly so many of its rows, ranked in salted parts
+    shared = joined.where("_rows > 1 and _copies % _rows > 0").withColumn("_draw", F.xxhash64(F.to_json("_row")))
+    shared = Scratch(spark, "mix-stage").save(shared, "shared")
+    shared = shared.withColumns({"_file": F.xxhash64(F.col("_metadata.file_path")), "_at": F.col("_metadata.row_index")})
+    parts = shared.groupBy("_key", "_file").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.sum("_n").over(Window.partitionBy("_key").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("_key", "_file", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    rank = F.row_number().over(Window.partitionBy("_key", "_file").orderBy("_draw", "_at"))
+    shared = shared.withColumn("_rank", rank).join(parts, ["_key", "_file"])
+    extra = (F.col("_ahead") + F.col("_rank") <= F.col("_copies") % F.col("_rows")).cast("int")
+    shared = shared.select("_row", (whole + extra).alias("_n"))
+    taken = alone.unionByName(shared).where("_n > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences of 1024 tokens."""
+    """Pieces of the documents, packed into sequences of 1024 tokens.
+
+    Null and empty texts are one piece (the end id); repeated rows are packed each by
+    itself; an empty table gives no sequence.
+    """
     return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), ranks=tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
