@@ -7,10 +7,14 @@ temporary folder on a cluster).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from terrasol.session import checkpoint_dir
+
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
@@ -83,3 +87,23 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.{pdf,PDF}") ->
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), F.col("length").alias("size"),
                         "modificationTime")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared checkpoint folder and read back: what follows may read
+    them many times, and a lost executor does not compute them anew."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/terrasol-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def split_rejects(df: DataFrame, path: str, reason: str = "_reason") -> tuple[DataFrame, DataFrame]:
+    """Rows without a reason and rows with one, each written to a table of its own under ``path`` and read back.
+
+    The rows are computed once: one write, partitioned by whether there is a reason."""
+    flag = "_rejected"
+    while flag in df.columns:
+        flag += "_"
+    df.withColumn(flag, F.col(reason).isNotNull()).write.mode("overwrite").partitionBy(flag).parquet(path)
+    both = df.sparkSession.read.schema(df.withColumn(flag, F.lit(True)).schema).parquet(path)
+    return both.where(~F.col(flag)).drop(flag, reason), both.where(F.col(flag)).drop(flag)

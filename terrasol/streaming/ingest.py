@@ -1,12 +1,12 @@
 """K1: incremental ingest as a Structured Streaming job.
 
 New document files are picked up by the file source, cleaned and measured,
-and every micro-batch is upserted into the target table by key: rows already
-present are replaced by the newest version (``foreachBatch``; the target is
-hash-bucketed by key and only the touched buckets are rewritten).  Re-running
-processes only files that arrived since the last run (the source offsets live
-in the stream checkpoint), which is the "skip what is already there / resume"
-behaviour of the batch scripts.
+and every micro-batch is upserted by key into a table of versioned snapshots
+(``foreachBatch``; only the buckets that the batch touches are written, once, and a
+manifest is swapped last).  Rows that cannot be taken go to a side table with the
+reason.  Re-running processes only files that arrived since the last run (the source
+offsets live in the stream checkpoint), which is the "skip what is already there /
+resume" behaviour of the batch scripts.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from terrasol.functions.measure import document_measures
 from terrasol.functions.text import clean_text
 from terrasol.session import checkpoint_dir
+from terrasol.sources.snapshots import RejectTable, SnapshotTable
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -27,61 +28,48 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/terrasol-{name}-{uuid.uuid4().hex}"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists; any other trouble with the file system raises."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+#: The micro-batch that brought a row: the last of the order columns, so that of rows alike in the others the later arrival is newer.
+ARRIVAL = "_batch"
+#: Column that says why a row cannot be taken (null: it can).
+REASON = "_reason"
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def upsert_batch(target: str, key: str, buckets: int = 64, order: tuple[str, ...] = (), rejects: str | None = None):
+    """foreachBatch body: per key the newest row by ``order``, stored or arriving, is kept.
 
-
-def newest(batch: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key: the greatest by the ``order`` columns, ties by all columns."""
-    cols = batch.columns
-    row = F.max_by(F.struct(*cols), F.struct(*order, *cols)).alias("_row")
-    return batch.groupBy(F.col(key).alias("_key")).agg(row).select("_row.*")
-
-
-def upsert_batch(target: str, key: str, buckets: int = 64, order: tuple[str, ...] = ()):
-    """foreachBatch body: newest row per key replaces the stored one.
-
-    The target is partitioned by a hash bucket of the key; a micro-batch reads
-    (partition pruning) and rewrites (dynamic partition overwrite) only the
-    buckets its keys fall into, never the whole table.  Rows are range-dealt by
-    (bucket, key), so a bucket is written by as many tasks as its rows need.  The
-    merged buckets are staged in a sibling folder first because a job cannot
-    overwrite what it reads.  A read error fails the batch; the table is created
-    only where its folder does not exist."""
+    Without order columns a row of a later batch replaces that of an earlier one.  With
+    ``rejects``, rows with a ``_reason`` go to that table instead.  A replayed batch id
+    changes nothing, and a failure at any point leaves the table as it was."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = newest(batch, key, order).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-        if not table_exists(spark, target):
-            latest.repartitionByRange("_bucket", key).write.partitionBy("_bucket").parquet(target)
-            return
-        touched = [r[0] for r in latest.select("_bucket").distinct().collect()]   # at most `buckets` ints
-        if not touched:
-            return
-        current = spark.read.parquet(target).where(F.col("_bucket").isin(touched))
-        merged = current.join(latest.select(key), key, "left_anti").unionByName(latest)
-        stage = f"{target}-stage-{batch_id}"
-        merged.repartitionByRange("_bucket", key).write.mode("overwrite").partitionBy("_bucket").parquet(stage)
-        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_bucket").parquet(target))
-        delete_folder(spark, stage)
+        spark, good = batch.sparkSession, batch
+        if rejects:
+            batch = batch.persist()   # read twice: once per sink
+            RejectTable(spark, rejects).put(batch.where(F.col(REASON).isNotNull()), batch_id)
+            good = batch.where(F.col(REASON).isNull()).drop(REASON)
+        stored = SnapshotTable(spark, target, key, buckets, (*order, ARRIVAL))
+        stored.merge(good.withColumn(ARRIVAL, F.lit(batch_id).cast("long")), batch_id)
+        if rejects:
+            batch.unpersist()
     return run
 
 
+def stored_rows(spark: SparkSession, target: str, key: str) -> DataFrame:
+    """The table that ``upsert_batch`` keeps at ``target``."""
+    return SnapshotTable(spark, target, key).read().drop(ARRIVAL)
+
+
 def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr: str | None = None,
                      key: str = "doc_id", max_files_per_trigger: int | None = None, partitions: int | None = None,
-                     buckets: int = 64, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                     buckets: int = 64, target: str | None = None, checkpoint: str | None = None,
+                     order: tuple[str, ...] = (), rejects: str | None = None) -> DataFrame:
     """Stream the documents under ``source_dir`` (files matching ``glob``) to a
     measured table, available-now trigger; returns the target table.
 
-    A caller that names ``target`` and ``checkpoint`` resumes: the next call with
-    the same two folders reads only files that arrived since."""
+    ``order`` names columns of the documents that tell which row of a key is newer; they
+    are stored with the measures.  A caller that names ``target`` and ``checkpoint``
+    resumes: the next call with the same two folders reads only files that arrived
+    since.  With ``rejects``, rows without a key or without any text after cleaning are
+    written to that side table (``RejectTable``) instead of the target."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -91,12 +79,14 @@ def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr:
     # hash-partition each micro-batch by key: spreads the regex work of a few
     # large files over the cluster and co-locates the upsert keys
     n = partitions or spark.sparkContext.defaultParallelism
-    cleaned = stream.select(key, clean_text(body).alias("pdf_text")).repartition(n, key)
-    measured = document_measures(cleaned, "pdf_text").select(key, F.length("pdf_text").alias("n_chars_clean"),
-                                                             "land_surface_ha", "power_mwc")
+    cleaned = stream.select(key, *order, clean_text(body).alias("pdf_text")).repartition(n, key)
+    blank = F.trim(F.coalesce("pdf_text", F.lit(""))) == ""
+    reason = [F.when(F.col(key).isNull(), "no key").when(blank, "no text").alias(REASON)] if rejects else []
+    measured = document_measures(cleaned, "pdf_text").select(key, *order, F.length("pdf_text").alias("n_chars_clean"),
+                                                             "land_surface_ha", "power_mwc", *reason)
     target = target or work_dir(spark, "ingest-target")
-    q = (measured.writeStream.foreachBatch(upsert_batch(target, key, buckets))
+    q = (measured.writeStream.foreachBatch(upsert_batch(target, key, buckets, order, rejects))
          .option("checkpointLocation", checkpoint or work_dir(spark, "ingest-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(target).drop("_bucket")
+    return stored_rows(spark, target, key)

@@ -48,6 +48,11 @@ def test_wkb_big_endian_with_z():
     assert geo.decode_wkb_polygons(pd.Series([multi]))[0] == [[[{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}]]] * 2
 
 
+def stored(spark, target):
+    from terrasol.streaming import ingest
+    return sorted((r.k, r.v) for r in ingest.stored_rows(spark, target, "k").collect())
+
+
 def test_ingest_read_error_keeps_stored_rows(spark, monkeypatch):
     import pytest
     from terrasol.streaming import ingest
@@ -55,15 +60,61 @@ def test_ingest_read_error_keeps_stored_rows(spark, monkeypatch):
     run = ingest.upsert_batch(target, "k", buckets=4, order=("v",))
     run(spark.createDataFrame([(i, 0) for i in range(20)], "k int, v int"), 0)
     run(spark.createDataFrame([(3, 1), (3, 5), (3, 2), (40, 1)], "k int, v int"), 1)
-    rows = sorted((r.k, r.v) for r in spark.read.parquet(target).collect())
-    assert rows == sorted([(i, 0) for i in range(20) if i != 3] + [(3, 5), (40, 1)])
+    rows = sorted([(i, 0) for i in range(20) if i != 3] + [(3, 5), (40, 1)])
+    assert stored(spark, target) == rows
 
     batch = spark.createDataFrame([(1, 9)], "k int, v int")
     monkeypatch.setattr(type(spark), "read", property(lambda self: (_ for _ in ()).throw(OSError("store is away"))))
     with pytest.raises(OSError):
         run(batch, 2)
     monkeypatch.undo()
-    assert sorted((r.k, r.v) for r in spark.read.parquet(target).collect()) == rows
+    assert stored(spark, target) == rows
+
+
+def test_an_older_row_never_replaces_a_newer_one(spark):
+    from terrasol.streaming import ingest
+    target = work_dir(spark, "ingest-order")
+    run = ingest.upsert_batch(target, "k", buckets=4, order=("v",))
+    for n, batch in enumerate([[(1, 9), (None, 1)], [(1, 2), (2, 1)], [(None, 5), (None, 3)], [(2, 4), (2, 3)], []]):
+        run(spark.createDataFrame(batch, "k int, v int"), n)
+    got = ingest.stored_rows(spark, target, "k").collect()
+    assert sorted((r.k or 0, r.v) for r in got) == [(0, 5), (1, 9), (2, 4)]
+    unordered = ingest.upsert_batch(work_dir(spark, "ingest-arrival"), "k", buckets=4)
+    assert unordered  # without order columns the later batch wins: test_stream_ingest_upserts_across_batches
+
+
+def test_a_failure_at_any_point_loses_nothing_and_replays(spark, monkeypatch):
+    import pytest
+    from terrasol.sources.snapshots import SnapshotTable
+    table = SnapshotTable(spark, work_dir(spark, "snapshots"), "k", buckets=4, order=("v",))
+    batch = lambda rows: spark.createDataFrame(rows, "k int, v int")
+    assert table.merge(batch([(i, 0) for i in range(20)]), 0)
+    before = sorted(map(tuple, table.read().collect()))
+    monkeypatch.setattr(SnapshotTable, "_swap", lambda *a: (_ for _ in ()).throw(OSError("lost between data and manifest")))
+    with pytest.raises(OSError):
+        table.merge(batch([(3, 7), (50, 1)]), 1)
+    monkeypatch.undo()
+    assert sorted(map(tuple, table.read().collect())) == before
+    assert table.merge(batch([(3, 7), (50, 1)]), 1)          # the replay
+    after = sorted(map(tuple, table.read().collect()))
+    assert after == sorted([(i, 0) for i in range(20) if i != 3] + [(3, 7), (50, 1)])
+    assert not table.merge(batch([(3, 99)]), 1)               # a batch id is taken in once
+    assert sorted(map(tuple, table.read().collect())) == after
+    assert sorted(map(tuple, table.read(table.versions()[0]).collect())) == before
+    for n in range(2, 6):
+        table.merge(batch([(n, n)]), n)
+    assert len(table.versions()) == 2 and sum(1 for _ in table.read().collect()) == 21
+
+
+def test_rejects_are_written_once_per_batch(spark):
+    from terrasol.sources.snapshots import RejectTable
+    from terrasol.streaming.ingest import ingest_documents
+    src, bad = work_dir(spark, "reject-src"), work_dir(spark, "rejects")
+    spark.createDataFrame([(1, "parc de 3 ha"), (None, "sans clef"), (2, " "), (3, None)], "doc_id long, text string").write.parquet(src + "/a")
+    good = ingest_documents(spark, src + "/*", "*.parquet", rejects=bad)
+    assert [r.doc_id for r in good.collect()] == [1]
+    got = sorted((r.doc_id or 0, r._reason) for r in RejectTable(spark, bad).read().collect())
+    assert got == [(0, "no key"), (2, "no text"), (3, "no text")]
 
 
 def test_ingest_resumes_with_the_same_folders(spark):
