@@ -8,7 +8,7 @@
 * Candidate pairs only come from *occupied* neighbouring cubes (half of the
   5x5x5 neighbourhood, each unordered cube pair once); two dense cubes whose
   point boxes lie entirely within eps are linked directly, and two that are
-  partly within eps by one pair of distinct places (no point pairs);
+  partly within eps by one witness, found by halving both (no pairs of places);
   pairs with a sparse cube are filtered by the exact
   distance (haversine Column expression, or geodesic on the WGS-84 ellipsoid
   in an Arrow-batched pandas UDF).
@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from terrasol.operators.closest import witness_links
 from terrasol.session import checkpoint_dir
+from terrasol.sources.io import staged
 
 EARTH_RADIUS_KM = 6371.0088
 # geodesic/spherical distance ratio stays within 0.6 %: 1 % margin everywhere.
@@ -161,13 +163,11 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     root_links = cube_pairs.where(certain).select(F.col("aroot").alias("a"), F.col("broot").alias("b"))
     open_pairs = cube_pairs.where(~certain)
     # two dense cubes that are partly within eps: one pair of places within eps links their
-    # roots (every point of both is core), so places are compared, not points, and no pair is kept
+    # roots (every point of both is core); it is found by halving the cubes, not by pairing places
     dense = (F.col("an") >= min_samples) & (F.col("bn") >= min_samples)
-    places = pts.select("cx", "cy", "cz", "lat", "lon").distinct()
-    pa = places.select(F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("cz").alias("az"), F.col("lat").alias("alat"), F.col("lon").alias("alon"))
-    pb = places.select(F.col("cx").alias("bx"), F.col("cy").alias("by"), F.col("cz").alias("bz"), F.col("lat").alias("blat"), F.col("lon").alias("blon"))
-    witness = (open_pairs.where(dense).select("ax", "ay", "az", "bx", "by", "bz", "aroot", "broot")
-               .join(pa, ["ax", "ay", "az"]).join(pb, ["bx", "by", "bz"]))
+    cube = lambda p: F.struct(*(F.col(f"{p}{c}").alias(c) for c in ("x", "y", "z")))
+    places = pts.select(F.struct(*(F.col(f"c{c}").alias(c) for c in ("x", "y", "z"))).alias("c"), "lat", "lon").distinct()
+    partly = open_pairs.where(dense).select(F.col("aroot").alias("a"), F.col("broot").alias("b"), cube("a").alias("ca"), cube("b").alias("cb"))
     # the others have fewer than min_samples points on one side
     cube_pairs = open_pairs.where(~dense).select("ax", "ay", "az", "bx", "by", "bz")
     a = pts.select(F.col("id").alias("a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"),
@@ -181,7 +181,7 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
         dist = geodesic_km("alat", "alon", "blat", "blon")
     else:
         raise ValueError(metric)
-    near = witness.withColumn("d", dist).where(F.col("d") <= eps_km).select(F.col("aroot").alias("a"), F.col("broot").alias("b")).distinct()
+    near = witness_links(partly, places, eps_km, metric, haversine_km if metric == "haversine" else geodesic_km)
     root_links = root_links.unionByName(near)
     cross = cand.select("a", "b", dist.alias("d")).where(F.col("d") <= eps_km).select("a", "b")
     cross = cross.unionByName(cross.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -226,3 +226,14 @@ def dbscan(points: DataFrame, id_col: str = "id", lat: str = "latitude", lon: st
     assigned = core_lab.unionByName(border)
     return (points.join(assigned.withColumnRenamed("id", id_col), id_col, "left")
                   .withColumn(label_col, F.coalesce(F.col("cluster"), F.lit(-1)).cast("long")).drop("cluster", "_row"))
+
+
+def cluster_polygons(polygons: DataFrame, id_col: str = "id", geom: str = "geom", srid: str = "srid", **options) -> DataFrame:
+    """The input with ``centroid`` (struct lon, lat in degrees) and ``labels`` (M1): polygons in their projected CRS,
+    their area centroids back to degrees, and clusters of those within eps."""
+    from terrasol.functions import geo
+    # written once: the projection formulas refer to the centroid many times over
+    metres = staged(polygons.withColumn("_c", geo.centroid(geom)), "centroids")
+    degrees = metres.withColumn("centroid", geo.unproject(F.col("_c.x"), F.col("_c.y"), srid)).drop("_c")
+    placed = staged(degrees, "centroids").withColumns({"_lat": F.col("centroid.lat"), "_lon": F.col("centroid.lon")})
+    return dbscan(placed, id_col, "_lat", "_lon", **options).drop("_lat", "_lon")

@@ -84,3 +84,12 @@ def download_stats(planned: DataFrame) -> DataFrame:
     """total / skipped / to download."""
     return planned.agg(F.count("*").alias("total"), F.count_if(F.col("action") == "skip").alias("skipped"),
                        F.count_if(F.col("action") == "download").alias("to_download"))
+
+
+def in_year_order(rows: DataFrame, year: str = "year") -> DataFrame:
+    """Rows by ascending year, with their place from 1 (O7); years are few, so one task numbers them.
+
+    A null year comes last; rows are expected one per year."""
+    from pyspark.sql import Window
+    order = F.col(year).asc_nulls_last()
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(order)).cast("long")).orderBy(order).select("place", *rows.columns)

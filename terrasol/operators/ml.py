@@ -59,3 +59,21 @@ def embedding_classifier(df: DataFrame, embedding: str = "embedding", label: str
     model = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter, regParam=0.001).fit(train)
     res = _accuracy(model.transform(test), label)
     return res.select(F.lit(train.count()).alias("n_train"), "n_test", "accuracy")
+
+
+def linear_weights(train: DataFrame, text: str, label: str, num_features: int = 1 << 14, max_iter: int = 10):
+    """One label's text classifier as plain numbers: the weight of each hashed term with its IDF, and the intercept.
+
+    The pipeline of :func:`text_classifier`; ``num_features`` numbers reach the driver, for
+    :class:`terrasol.operators.scorers.LinearScorer`."""
+    pipe = Pipeline(stages=[
+        RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"\W+", toLowercase=True),
+        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
+        IDF(inputCol="_tf", outputCol="_features"),
+        LogisticRegression(featuresCol="_features", labelCol="_y", maxIter=max_iter, regParam=0.01),
+    ])
+    data = train.select(text, F.col(label).cast("double").alias("_y")).persist(StorageLevel.MEMORY_AND_DISK)
+    model = pipe.fit(data)
+    data.unpersist()
+    idf, regression = model.stages[2], model.stages[3]
+    return idf.idf.toArray() * regression.coefficients.toArray(), float(regression.intercept)

@@ -16,7 +16,9 @@ an equi join on grid cells:
    boxes), so no ``distinct`` shuffle is needed;
 4. exact area of the intersection and the closed ``intersects`` predicate are
    computed for the surviving pairs by an Arrow UDF (signed
-   triangle fans + convex clipping, vectorised in numpy);
+   triangle fans + convex clipping, vectorised in numpy); a pair with many vertices
+   is cut into horizontal strips first, so a country-sized polygon is many tasks and
+   each holds a strip's edges only (a sweep over their heights);
 5. left rows without any partner are re-attached (left outer semantics).
 """
 
@@ -101,11 +103,32 @@ def _segments(rings) -> np.ndarray:
     return np.concatenate(segs) if segs else np.zeros((0, 2, 2))
 
 
+#: Triangle or segment pairs looked at together: memory of a batch does not grow with the polygons in it.
+SLICE = 100_000
+
+
 def _touch_flat(sa: np.ndarray, sb: np.ndarray) -> bool:
-    """Closed boundaries meet: any segment of A meets any segment of B."""
-    if len(sa) == 0 or len(sb) == 0:
-        return False
+    """Closed boundaries meet: any segment of A meets any segment of B (a slice of A's against all of B's at a time)."""
     A, B = sa.reshape(-1, 2, 2), sb.reshape(-1, 2, 2)
+    if not len(A) or not len(B):
+        return False
+    # only what lies in the common box, lowest first: a slice meets a short stretch of B
+    box = np.maximum(A.min(axis=(0, 1)), B.min(axis=(0, 1))), np.minimum(A.max(axis=(0, 1)), B.max(axis=(0, 1)))
+    A, B = (s[((s.max(axis=1) >= box[0]) & (s.min(axis=1) <= box[1])).all(axis=1)] for s in (A, B))
+    A, B = (s[np.argsort(s[:, :, 1].min(axis=1), kind="stable")] for s in (A, B))
+    low, high = B[:, :, 1].min(axis=1), B[:, :, 1].max(axis=1)
+    k = 0
+    while k < len(A):
+        part = A[k:k + max(1, SLICE // max(1, len(B)))]
+        near = B[:np.searchsorted(low, part[:, :, 1].max(), "right")]
+        near = near[high[:len(near)] >= part[:, :, 1].min()]
+        if len(near) and _meet(part, near):
+            return True
+        k += len(part)
+    return False
+
+
+def _meet(A: np.ndarray, B: np.ndarray) -> bool:
     p, p2 = A[:, None, 0], A[:, None, 1]
     q, q2 = B[None, :, 0], B[None, :, 1]
 
@@ -125,10 +148,6 @@ def _touch_flat(sa: np.ndarray, sb: np.ndarray) -> bool:
     return bool(hit.any())
 
 
-#: Triangle pairs clipped at a time: memory of a batch does not grow with the polygons in it.
-SLICE = 100_000
-
-
 def _signed(rings) -> tuple[np.ndarray, np.ndarray]:
     t, s = _triangles(rings or [])
     return t, s
@@ -221,6 +240,96 @@ def intersection_polygons(a, b) -> list:
     return out
 
 
+#: Pairs with more vertices than this are cut into strips of about so many edges, each a row of its own.
+HEAVY, STRIP = 4096, 1024
+
+
+def strip_overlap(ea: np.ndarray, eb: np.ndarray, lo: float, hi: float) -> tuple[float, bool]:
+    """(area of the intersection between two heights, boundaries meet there) of two polygons given by the edges
+    (x, y, x', y') that reach into the strip.
+
+    A sweep over the heights of vertices and crossings: between two of them the edges of
+    both polygons keep their order, so the intersection is a row of trapezoids."""
+    touch = _touch_flat(ea, eb)
+    if not len(ea) or not len(eb) or not hi > lo:
+        return 0.0, touch
+    origin = np.array([ea[0, 0], lo] * 2)
+
+    def upward(e):
+        e = e[e[:, 1] != e[:, 3]] - origin
+        return np.where((e[:, 1] < e[:, 3])[:, None], e, e[:, [2, 3, 0, 1]])
+
+    a, b = upward(ea), upward(eb)
+    top = hi - lo
+    ys = np.concatenate([a[:, 1], a[:, 3], b[:, 1], b[:, 3], _crossing_heights(a, b)])
+    ys = np.unique(np.concatenate([[0.0, top], ys[(ys > 0) & (ys < top)]]))
+
+    def at(e, y):
+        return e[:, 0] + (y - e[:, 1]) / (e[:, 3] - e[:, 1]) * (e[:, 2] - e[:, 0])
+
+    def spans(edges, y0, y1):
+        own = edges[(edges[:, 1] <= y0) & (edges[:, 3] >= y1)]
+        x0, x1 = at(own, y0), at(own, y1)
+        order = np.argsort(x0 + x1, kind="stable")
+        return np.stack([x0[order], x1[order]], axis=1).reshape(-1, 2, 2).tolist()   # [span][left, right][at y0, at y1]
+
+    area = 0.0
+    for y0, y1 in zip(ys[:-1], ys[1:]):
+        sa, sb, i, j = spans(a, y0, y1), spans(b, y0, y1), 0, 0
+        while i < len(sa) and j < len(sb):
+            (la, ra), (lb, rb) = sa[i], sb[j]
+            left, right = max(la, lb, key=sum), min(ra, rb, key=sum)
+            if sum(left) < sum(right):
+                area += (right[0] - left[0] + right[1] - left[1]) / 2 * (y1 - y0)
+            if sum(ra) <= sum(rb):
+                i += 1
+            else:
+                j += 1
+    return float(area), touch
+
+
+def _strips(a: pa.Array, b: pa.Array, lo: pa.Array, hi: pa.Array) -> pa.Array:
+    def edges(lists):  # flat arrays, one view per row
+        flat = np.stack([lists.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1")], axis=1) if len(lists.flatten()) else np.zeros((0, 4))
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        return [flat[s:e] for s, e in zip(ends[:-1], ends[1:])]
+
+    found = [strip_overlap(x, y, u, v) for x, y, u, v in zip(edges(a), edges(b), lo.to_pylist(), hi.to_pylist())]
+    return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.bool_())], names=["area", "intersects"])
+
+
+_strips_udf = F.arrow_udf(_strips, PAIR_SCHEMA).asNondeterministic()
+
+
+def _heavy_pairs(geometry: DataFrame) -> DataFrame:
+    """``_lk, _rk, _x`` of pairs with many vertices: their edges are dealt over horizontal strips, and every strip
+    of every pair is a row that any task may take."""
+    def edges(geom: str, side: str):
+        ring = lambda r: F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: F.struct(
+            F.get(r, i - 1)["x"].alias("x0"), F.get(r, i - 1)["y"].alias("y0"), F.get(r, i)["x"].alias("x1"), F.get(r, i)["y"].alias("y1")))
+        return geometry.select("_lk", "_rk", F.lit(side).alias("side"), F.inline(F.flatten(F.transform(F.filter(geom, lambda r: F.size(r) > 1), ring))))
+
+    every = edges("_ga", "a").unionByName(edges("_gb", "b"))
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    bound = lambda f, v, side: f(F.when(F.col("side") == side, v))
+    spans = every.groupBy("_lk", "_rk").agg(
+        F.greatest(bound(F.min, low, "a"), bound(F.min, low, "b")).alias("lo"), F.least(bound(F.max, high, "a"), bound(F.max, high, "b")).alias("hi"),
+        F.ceil(F.count(F.lit(1)) / STRIP).cast("int").alias("k")).where("lo <= hi").withColumn("h", (F.col("hi") - F.col("lo")) / F.col("k"))
+    level = lambda y: F.when(F.col("h") > 0, F.floor((y - F.col("lo")) / F.col("h"))).otherwise(0).cast("int")
+    near = every.join(spans, ["_lk", "_rk"]).where((high >= F.col("lo")) & (low <= F.col("hi")))
+    # an edge belongs to all strips that it reaches, ends included
+    first, last = F.greatest(level(low) - 1, F.lit(0)), F.least(level(high), F.col("k") - 1)
+    dealt = near.select("_lk", "_rk", "lo", "h", "k", "hi", "side", F.struct("x0", "y0", "x1", "y1").alias("e"), F.explode(F.sequence(F.least(first, last), last)).alias("strip"))
+    of = lambda side: F.collect_list(F.when(F.col("side") == side, F.col("e")))
+    strips = dealt.groupBy("_lk", "_rk", "strip", "lo", "h", "k", "hi").agg(of("a").alias("ea"), of("b").alias("eb"))
+    y0 = F.col("lo") + F.col("strip") * F.col("h")
+    y1 = F.when(F.col("strip") == F.col("k") - 1, F.col("hi")).otherwise(F.col("lo") + (F.col("strip") + 1) * F.col("h"))
+    done = strips.select("_lk", "_rk", _strips_udf("ea", "eb", y0, y1).alias("_s"))
+    area = F.sum("_s.area")
+    return done.groupBy("_lk", "_rk").agg(F.struct(F.when(F.abs(area) < 1e-9, 0.0).otherwise(area).alias("area"),
+                                                   (F.max("_s.intersects") | (area >= 1e-9)).alias("intersects")).alias("_x"))
+
+
 def intersection_area_and_intersects(a_rings: pd.Series, b_rings: pd.Series) -> pd.DataFrame:
     """Exact overlap area and closed intersects flag of aligned polygon pairs."""
     return pd.DataFrame([_overlap(a, b) for a, b in zip(a_rings, b_rings)], columns=["area", "intersects"])
@@ -314,7 +423,11 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
                  & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
     pairs = j.where(overlap & reference).select("_lk", "_rk")
     geometry = (pairs.join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk").join(right.drop("_rs"), "_rk"))
-    exact = geometry.withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
+    vertices = sum(F.aggregate(g, F.lit(0), lambda n, r: n + F.size(r)) for g in ("_ga", "_gb"))
+    small = geometry.where(vertices <= HEAVY).withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
+    heavy = geometry.where(vertices > HEAVY)
+    heavy = heavy.join(_heavy_pairs(heavy).where("_x.intersects"), ["_lk", "_rk"]).select(*small.columns)
+    exact = small.unionByName(heavy)
     shape = [_pieces_udf("_ga", "_gb").alias("geom_intersection")] if with_geometry else []
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"), *shape)

@@ -16,3 +16,25 @@ def test_profile_covers_every_type(spark):
     for exact in (False, True):
         got = {r.column_name: (r.min, r.min_text, r.max_text, r.n_distinct, r["count"]) for r in profile(df, exact_distinct=exact).collect()}
         assert got == {"t": (None, "a", "b", 2, 2), "d": (None, "2019-01-02", "2020-01-02", 2, 2), "f": (None, "true", "true", 1, 2)}
+
+
+def test_sketches_of_increments_merge(spark):
+    from pyspark.sql import functions as F
+    from terrasol.operators import profile as p
+    df = spark.range(30_000).select(F.when(F.col("id") % 10 > 0, (F.col("id") * 7919) % 20_011).alias("x"), F.concat(F.lit("t"), F.col("id") % 300).alias("t"), F.lit(None).cast("double").alias("n"))
+    parts = [p.sketch(df.where(c)) for c in ("x < 3000", "x >= 3000", "x is null", "false")]
+    merged = parts[0]
+    for q in parts[1:]:
+        merged = merged.unionByName(q)
+    got = {r.column_name: r for r in p.read_sketches(p.merge_sketches(merged)).collect()}
+    exact = {r.column_name: r for r in p.profile(df, exact_distinct=True).collect()}
+    for c in ("x", "t", "n"):
+        assert (got[c]["count"], got[c].min, got[c].max, got[c].min_text, got[c].max_text) == tuple(exact[c][k] for k in ("count", "min", "max", "min_text", "max_text"))
+        assert abs(got[c].n_distinct - exact[c].n_distinct) <= p.DISTINCT_ERROR * exact[c].n_distinct
+        assert abs(got[c].null_percentage - exact[c].null_percentage) < 1e-9
+    assert abs(got["x"].avg - exact["x"].avg) < 1e-6 and abs(got["x"].std - exact["x"].std) < 1e-6
+    xs = sorted(r.x for r in df.where("x is not null").collect())
+    for q in (25, 50, 75):
+        v = got["x"][f"q{q}"]
+        assert abs(sum(x <= v for x in xs) / len(xs) - q / 100) <= p.RANK_ERROR
+    assert got["n"].q50 is None and got["n"].n_distinct == 0

@@ -143,3 +143,59 @@ def test_latest_vintage_by_given_columns(spark):
     key = lambda df: sorted((r.id, r.millesime, r.millesime_ocs or 0) for r in df.collect())
     assert key(latest_vintage(link)) == [(2, 2020, 0)]   # two rows share the latest vintage: none is kept
     assert key(latest_vintage(link, ("id", "millesime", "id_1"))) == [(1, 2019, 2018), (1, 2020, 2018), (2, 2020, 0)]
+
+
+def _star(n, cx, cy, r, wave=0.2, teeth=40):
+    t = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    rr = r * (1 + wave * np.sin(teeth * t))
+    return np.stack([cx + rr * np.cos(t), cy + rr * np.sin(t)], axis=1)
+
+
+def _as_ring(pts):
+    pts = [*pts.tolist(), pts[0].tolist()]
+    return [{"x": x, "y": y} for x, y in pts]
+
+
+def test_strips_equal_triangle_clipping():
+    from terrasol.operators import spatial
+    pairs = [([_as_ring(_star(600, 0, 0, 10))], [_as_ring(_star(500, 6, 1, 9, teeth=23))]), (HOLED, L_SHAPE), (HOLED, IN_HOLE), (L_SHAPE, TOUCH),
+             ([_as_ring(_star(300, 0, 0, 10)), _as_ring(_star(200, 0, 0, 4)[::-1])], [_as_ring(_star(300, 1, 0, 3))])]
+    for a, b in pairs:
+        ea, eb = (spatial._segments(g).reshape(-1, 4) for g in (a, b))
+        lo, hi = max(ea[:, [1, 3]].min(), eb[:, [1, 3]].min()), min(ea[:, [1, 3]].max(), eb[:, [1, 3]].max())
+        cuts = np.linspace(lo, hi, 8)
+        parts = [spatial.strip_overlap(ea, eb, u, v) for u, v in zip(cuts[:-1], cuts[1:])]
+        area, meets = spatial._overlap(a, b)
+        got = sum(p[0] for p in parts)
+        assert abs(got - area) < 1e-6 * max(1, area)
+        assert (got > 1e-9 or any(p[1] for p in parts)) == meets
+
+
+def test_large_polygons_are_cut_into_strips(spark):
+    from terrasol.operators import spatial
+    shape = "srid int, {} array<array<struct<x:double,y:double>>>"
+    big, other = _star(20_000, 0, 0, 1000, 0.0), _star(20_000, 1000, 0, 1000, 0.0)
+    left = spark.createDataFrame([(1, 2154, [_as_ring(big)]), (2, 2154, L_SHAPE), (3, 2154, [_as_ring(_star(9000, 5000, 0, 10, 0.0))])], "id long, " + shape.format("geom"))
+    right = spark.createDataFrame([("a", 2154, [_as_ring(other)]), ("b", 2154, HOLED), ("c", 2154, [_as_ring(_star(5000, 0, 0, 100, 0.0))])], "cid string, " + shape.format("rgeom"))
+    out = {(r.id, r.cid): r.geom_intersection_area for r in spatial_left_join(left, right, "geom", "rgeom", cell=100.0).collect()}
+    lens = 1000 ** 2 * (2 * np.pi / 3 - np.sqrt(3) / 2)
+    assert abs(out[1, "a"] - lens) < lens * 1e-6 and abs(out[1, "c"] - np.pi * 1e4) < 1
+    assert abs(out[1, "b"] - 108) < 1e-6 and out[3, None] is None
+    assert abs(out[2, "a"] - _overlap_of(L_SHAPE, other)) < 1e-6
+    assert spatial.HEAVY < 20_000
+
+
+def _overlap_of(a, pts):
+    from terrasol.operators import spatial
+    return spatial._overlap(a, [_as_ring(pts)])[0]
+
+
+def test_touching_in_bounded_memory():
+    import tracemalloc
+    from terrasol.operators import spatial
+    a, b = (spatial._segments([_as_ring(_star(20_000, x, 0, 1000, 0.0))]) for x in (0, 2500))
+    inner = spatial._segments([_as_ring(_star(20_000, 0, 0, 900, 0.0))])
+    tracemalloc.start()
+    assert not spatial._touch_flat(a, b) and not spatial._touch_flat(a, inner)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
