@@ -8,17 +8,22 @@ every query grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasol.functions import measure, text as tx, title
 from terrasol.functions import harvest as hv
 from terrasol.functions import geo
-from terrasol.operators import annotate, cluster, combine, cover, html_blocks, ml, evaluate, harvest, parks, profile, sampling, scoring
+from terrasol.operators import scorers
+from terrasol.operators import annotate, cluster, combine, cover, crawl, harvest_sites, html_blocks, ml, evaluate, harvest, locks, page_tree, parks, profile, sampling, scoring
 from terrasol.plans import synth
 from terrasol.sources import io
+from terrasol.sources.snapshots import RejectTable
 from terrasol.sources.tables import spread, table
-from terrasol.streaming import claims as claims_stream, ingest
+from terrasol.streaming import claims as claims_stream, ingest, locks as lock_stream
 
 
 def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -195,17 +200,16 @@ def _annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = {k: F.expr(f"CASE WHEN quality IS NULL THEN NULL ELSE {v} END") for k, v in synth.TRUTH.items()}
     score = {k: F.expr(synth.SCORE[k].replace("quality", "coalesce(quality, 0)").replace("toxic", "coalesce(toxic, 0)"))
              for k in evaluate.LABELS}
-    orig = []
     val = []
     for k in evaluate.LABELS:
-        orig += [F.lit(k), F.struct(score[k].alias("score"), evaluate.binarise(score[k], 0.5).cast("boolean").alias("pred"))]
+        j = j.withColumn(k + "_score", score[k]).withColumn(k + "_pred", evaluate.binarise(score[k], 0.5))
         val += [F.lit(k), truth[k].cast("boolean")]
     validated = F.col("quality").isNotNull()
     return j.select(
         F.expr(synth.PDF_NAME).alias("pdf_name"), "doc_id",
         validated.alias("is_validated"),
         F.when(validated, F.expr(synth.VALIDATOR)).alias("validated_by"),
-        F.create_map(*orig).alias("original_predictions"),
+        annotate.pack_predictions().alias("original_predictions"),
         F.when(validated, F.create_map(*val)).alias("validated_predictions"))
 
 
@@ -236,7 +240,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return ev.select((F.col("user_id") % 40).alias("doc_id"), F.col("user_id"), "ts")
+    return ev.selectExpr(f"{synth.CLAIM_DOC} AS doc_id", "user_id", "ts")
 
 
 def claim_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,10 +560,52 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claim_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 streaming: claim sessions with a 2-hour watermark, open ones closed at the end of the input."""
     return claims_stream.run_claims(spark, sf_dir, "events.parquet",
-                                    ["user_id % 40 AS doc_id", "user_id", "ts"]).select(
+                                    [f"{synth.CLAIM_DOC} AS doc_id", "user_id", "ts"]).select(
         "doc_id", "user_id", "claim_start", "last_refresh", "n_events")
 
 
+LOCK_EVENTS = [f"{synth.CLAIM_DOC} AS doc_id", "user_id", "ts", "event_id", f"{synth.CLAIM_ACTION} AS action"]
+
+
+def lock_life_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: claims of competing users granted, refreshed, refused, released, validated and expired (ordered fold)."""
+    return locks.lock_life_cycle(table(spark, sf_dir, "events").selectExpr(*LOCK_EVENTS))
+
+
+def lock_life_cycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the same life-cycle as a stream with keyed state and event-time timers, run to the end of the input."""
+    return lock_stream.run_locks(spark, sf_dir, "events.parquet", LOCK_EVENTS)
+
+
+def refused_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: per document and user, what became of the claims."""
+    return locks.claims_of(lock_life_cycle(spark, sf_dir))
+
+
+def ordered_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of every document arrive in either order; the newer version is stored, whichever comes last."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(synth.MEASURE_BODY).alias("new"), F.col("text").alias("old"))
+    src, target, ckpt = (ingest.work_dir(spark, n) for n in ("ordered-src", "ordered-target", "ordered-ckpt"))
+    late = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0   # these documents' older version arrives last
+    for k in range(2):
+        version = F.when(late, F.lit(1 - k)).otherwise(F.lit(k))
+        part = docs.select("doc_id", version.alias("version"), F.when(version == 1, F.col("new")).otherwise(F.col("old")).alias("text"))
+        part.write.parquet(f"{src}/arrival{k}")
+        out = ingest.ingest_documents(spark, f"{src}/*", "*.parquet", target=target, checkpoint=ckpt, order=("version",))
+    return out
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with rows that cannot be taken; what was stored and what went to the side table with its reason."""
+    docs = table(spark, sf_dir, "documents")
+    src, bad = (ingest.work_dir(spark, n) for n in ("reject-src", "rejects"))
+    docs.selectExpr(f"{synth.REJECT_KEY} AS doc_id", f"{synth.REJECT_TEXT} AS text").write.parquet(f"{src}/arrival")
+    stored = ingest.ingest_documents(spark, f"{src}/*", "*.parquet", rejects=bad)
+    rejected = RejectTable(spark, bad).read()
+    return (stored.select("doc_id", F.lit("stored").alias("outcome")).unionByName(rejected.select("doc_id", F.col("_reason").alias("outcome")))
+            .groupBy("doc_id", "outcome").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def resumed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the ingest with one target and checkpoint; the second reads only the files that arrived since."""
     docs = table(spark, sf_dir, "documents")
@@ -737,12 +783,17 @@ def _measured(result: DataFrame) -> DataFrame:
     return result.select(F.col("n_train").cast("long").alias("n_train"), "n_test", F.col("accuracy").between(0.0, 1.0).alias("measured"))
 
 
-def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunk-level text classifier of document quality."""
+def _quality_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of the labelled documents with their split."""
     lab = _labelled(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
     split = sampling.stratified_split(lab, "doc_id", "label", 0.2, "42")
     ch = split.select("doc_id", "label", "split", F.explode(tx.chunks("text", 256, 10)).alias("toks"))
-    return _measured(ml.text_classifier(ch.withColumn("chunk_text", F.array_join("toks", " "))))
+    return ch.withColumn("chunk_text", F.array_join("toks", " "))
+
+
+def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk-level text classifier of document quality."""
+    return _measured(ml.text_classifier(_quality_chunks(spark, sf_dir)))
 
 
 def embedding_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -800,6 +851,213 @@ def download_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                         hv.is_download_link("href", "https://data.example.org/ocs/").alias("is_download"))
 
 
+def packed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide score and prediction columns packed into one map, and read back label by label."""
+    wide = _predictions(spark, sf_dir).select("doc_id", *[c for k in evaluate.LABELS for c in (
+        F.col(k + "_score"), evaluate.binarise(F.col(k + "_score"), 0.5).alias(k + "_pred"))])
+    packed = wide.select("doc_id", F.explode(annotate.pack_predictions()).alias("label", "p"))
+    return packed.select("doc_id", "label", F.round("p.score", 9).alias("score"), "p.pred")
+
+
+def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: true and false positives and negatives of each label."""
+    return evaluate.label_counts(_predictions(spark, sf_dir))
+
+
+def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """links of all pages without index entries and without missing targets."""
+    links = harvest.extract_links(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    listed = links.select("page_id", "link_pos", F.when(F.col("link_pos") % 5 == 1, "Avis publiés").otherwise(F.col("anchor_text")).alias("title"),
+                          F.when(F.col("link_pos") % 7 != 3, F.col("href")).alias("href"))
+    return hv.keep_document_links(listed)
+
+
+def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE, CREATE IF NOT EXISTS and CREATE OR REPLACE TABLE AS; the rows stored after each, and whether it was refused."""
+    from pyspark.errors import AnalysisException
+    name = f"terrasol_modes_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    some = orders.where("o_orderstatus = 'F'")
+    out = []
+    for step, rows in (("error", orders), ("error again", some), ("ignore", some), ("overwrite", some)):
+        refused = False
+        try:
+            io.save_table(rows, name, step.split()[0])
+        except AnalysisException:   # the table exists
+            refused = True
+        out.append(io.staged(spark.table(name).agg(F.lit(step).alias("mode"), F.count("*").alias("n"), F.lit(refused).alias("refused")), "modes"))
+    spark.sql(f"DROP TABLE {name}")
+    return reduce(DataFrame.unionByName, out)
+
+
+def binary_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and sizes of a folder's files of one suffix, in either case, by the binary file source (contents are not read)."""
+    path = ingest.work_dir(spark, "inventory")
+    docs = table(spark, sf_dir, "documents").select("lang", F.col("doc_id").cast("string").alias("value"))
+    docs.repartition("lang").write.partitionBy("lang").text(path)
+    files = io.file_inventory(spark, f"{path}/*", "*.{txt,TXT}").where("size > 0")
+    return files.agg(F.count("*").alias("n_files"), F.sum("size").alias("size"), F.max("size").alias("largest"))
+
+
+def years_ascending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The harvested years in ascending order, each with its place (one row a year)."""
+    years = table(spark, sf_dir, "documents").groupBy(F.expr(synth.YEAR).alias("year")).agg(F.count("*").alias("n_documents"))
+    return harvest.in_year_order(years)
+
+
+def span_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context spans written to one table, those not found to a side table with the reason; both read back."""
+    spans = dataset_build(spark, sf_dir).select("pdf_name", "ctx_pos", "start", "length").withColumn("_reason", F.when(F.col("start") < 0, "span not found"))
+    good, bad = io.split_rejects(spans, ingest.work_dir(spark, "spans"))
+    return good.withColumn("outcome", F.lit("located")).unionByName(
+        bad.withColumnRenamed("_reason", "outcome").withColumn("start", F.lit(None).cast("int"))).select("pdf_name", "ctx_pos", "outcome", "start", "length")
+
+
+def crs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points projected to the CRS of their territory and back."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr(synth.POINT_LON).alias("lon"), F.expr(synth.POINT_LAT).alias("lat"), F.expr(synth.POINT_SRID).alias("srid"))
+    there = io.staged(cust.select("c_custkey", "srid", geo.project("lon", "lat", "srid").alias("p")), "projected")
+    back = geo.unproject(F.col("p.x"), F.col("p.y"), "srid")
+    return there.select("c_custkey", F.round(back["lon"], 6).alias("lon"), F.round(back["lat"], 6).alias("lat"))
+
+
+def site_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: site polygons in metres → centroid in degrees → clusters of sites within 1 km; the input with ``centroid`` and ``labels``."""
+    xy = io.staged(_sites(spark, sf_dir).select("id", geo.lcc_2154("longitude", "latitude").alias("p")), "sites")
+    x, y, d = F.col("p.x"), F.col("p.y"), F.lit(40.0)
+    sites = xy.select("id", F.lit(2154).alias("srid"), F.array(_ring((x - d, y - d), (x + d, y - d), (x + d, y + d), (x - d, y + d), (x - d, y - d))).alias("geom"))
+    out = cluster.cluster_polygons(sites, metric="haversine")
+    return out.select("id", F.format_string("POINT (%.5f %.5f)", "centroid.lon", "centroid.lat").alias("centroid"), "labels")
+
+
+def profile_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: line items profiled in two increments whose sketches are stored and merged; the read-out against exact ranks and counts."""
+    cols = ["l_extendedprice", "l_quantity", "l_orderkey", "l_returnflag"]
+    items, store = table(spark, sf_dir, "lineitem").select(*cols), ingest.work_dir(spark, "sketches")
+    early = F.pmod(F.xxhash64("l_orderkey"), F.lit(3)) > 0
+    for part in (items.where(early), items.where(~early)):   # the second reads nothing of the first
+        profile.sketch(part).write.mode("append").parquet(store)
+    found = profile.read_sketches(profile.merge_sketches(spark.read.parquet(store)))
+    quartiles = found.select("column_name", F.explode(F.array(*(F.struct(F.lit(q).alias("q"), F.col(f"q{int(q * 100)}").alias("v")) for q in (0.25, 0.5, 0.75)))).alias("s")).select("column_name", "s.*")
+    exact = []
+    for c in cols:
+        # the exact share of rows below and up to each quartile, and the exact distinct count
+        value = F.col(c).cast("double") if c != "l_returnflag" else F.lit(None).cast("double")
+        exact.append(items.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("t"), value.alias("x")))
+    rows = reduce(DataFrame.unionByName, exact)
+    counted = rows.groupBy("column_name").agg(F.countDistinct("t").alias("nd"))
+    ranks = rows.join(F.broadcast(quartiles.where("v is not null")), "column_name").groupBy("column_name", "q").agg(
+        F.avg((F.col("x") < F.col("v")).cast("double")).alias("below"), F.avg((F.col("x") <= F.col("v")).cast("double")).alias("up_to"))
+    e = profile.RANK_ERROR
+    ok = ranks.groupBy("column_name").agg(F.min((F.col("below") - e <= F.col("q")) & (F.col("q") <= F.col("up_to") + e)).alias("quartiles_within"))
+    out = found.join(counted, "column_name").join(ok, "column_name", "left")
+    near = F.abs(F.col("n_distinct") - F.col("nd")) <= F.greatest(F.lit(1.0), profile.DISTINCT_ERROR * F.col("nd"))
+    return out.select("column_name", "count", "min", "max", near.alias("distinct_within"), "quartiles_within")
+
+
+def plugin_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as a plug-in scorer in Python workers, texts cut to a budget, rows without text reported."""
+    docs = _docs(spark, sf_dir, "doc_id", "text").select("doc_id", F.expr(f"CASE WHEN doc_id % 50 = 7 THEN NULL ELSE {synth.ARENA_TEXT} END").alias("pdf_text"))
+    return scorers.score_documents(docs, scorers.RuleScorer(2), context=1400).drop("pdf_text")
+
+
+def scorer_arena(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2/M3/M5: a report per scorer, the rules and classifiers trained on the split's larger part, through one interface on the other part."""
+    lab = _labelled(spark, sf_dir)
+    base = lab.select("doc_id", F.expr(synth.ARENA_TEXT).alias("pdf_text"), *[F.expr(synth.TRUTH[k]).cast("int").alias(k) for k in evaluate.LABELS])
+    split = io.staged(sampling.stratified_split(base.withColumn("label", F.col("surfaces_artificialisees")), "doc_id", "label", 0.2, "42"), "arena")
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    models = {k: ml.linear_weights(train, "pdf_text", k) for k in evaluate.LABELS}
+    parts = []
+    for name, scorer in (("rules", scorers.RuleScorer(2)), ("trained", scorers.LinearScorer(models))):
+        parts.append(scorers.score_documents(test.select("doc_id", "pdf_text", *evaluate.LABELS), scorer).drop("pdf_text").withColumn("model_id", F.lit(name)))
+    return _round_report(evaluate.classification_report(reduce(DataFrame.unionByName, parts), by=("model_id",)), "model_id")
+
+
+def text_classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: measured accuracy of the text classifier on held-out chunks."""
+    return ml.text_classifier(_quality_chunks(spark, sf_dir))
+
+
+def embedding_classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: measured accuracy of the embedding classifier on held-out vectors."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return ml.embedding_classifier(sampling.stratified_split(emb, "vec_id", "label", 0.2, "42"))
+
+
+def _site(spark: SparkSession, sf_dir: str, folder: str, html: str, where: str = "true") -> DataFrame:
+    """Page trees of one site, a page per document at ``<site>/<folder>/<doc_id>``, staged."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars")).where(where)
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.expr(f"{synth.SITE} || '{folder}/' || {synth.K}").alias("url"), F.expr(html).alias("html"))
+    return io.staged(page_tree.page_tree(pages), f"tree-{folder}")
+
+
+def _starts(spark: SparkSession, sf_dir: str, folder: str, every: int) -> DataFrame:
+    """The first page of every chain of listing pages."""
+    docs = table(spark, sf_dir, "documents").where(F.col("doc_id") % every == 0)
+    return docs.select(F.expr(f"{synth.SITE} || '{folder}/' || {synth.K}").alias("url"))
+
+
+def framed_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: framed listing blocks with nested titles and links, relevance, default title, first download link."""
+    return harvest_sites.framed_projects(_site(spark, sf_dir, "mrae", synth.FRAMED_HTML))
+
+
+def nested_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5: PDF links anywhere inside relevant table rows, nested tables included."""
+    return harvest_sites.keyword_rows(_site(spark, sf_dir, "guadeloupe", synth.NESTED_TABLE_HTML)).drop("pos")
+
+
+def year_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: year links under card titles, over chains of region pages (some end in a cycle)."""
+    return harvest_sites.year_pages(_site(spark, sf_dir, "region", synth.YEAR_HTML), _starts(spark, sf_dir, "region", 4))
+
+
+def crawl_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page that a chain of listing pages reaches, cycles ended."""
+    tree = _site(spark, sf_dir, "liste", synth.CARD_HTML)
+    return crawl.follow(_starts(spark, sf_dir, "liste", 3), crawl.next_links(tree, page_tree.has_class(harvest_sites.NEXT)))
+
+
+def card_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4: relevant cards of paged listings with date, file name and link of their detail pages (some not fetched)."""
+    details = _site(spark, sf_dir, "fiche", synth.CARD_DETAIL_HTML, "doc_id % 5 <> 0")
+    return harvest_sites.card_documents(_site(spark, sf_dir, "liste", synth.CARD_HTML), _starts(spark, sf_dir, "liste", 3), details, "973")
+
+
+def hop_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: dated paragraphs whose link is a document or, one hop away, a page with one."""
+    details = _site(spark, sf_dir, "somme/page", synth.HOP_PAGE_HTML, "n_chars % 3 <> 0")
+    return harvest_sites.dated_paragraphs(_site(spark, sf_dir, "somme", synth.HOP_HTML), details).drop("pos")
+
+
+def result_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H7: search results with communes and date."""
+    found = harvest_sites.result_blocks(_site(spark, sf_dir, "npdc", synth.RESULT_HTML)).drop("pos")
+    return found.withColumn("communes_names_scraped", F.array_join("communes_names_scraped", "|"))
+
+
+def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8: notices with author, publisher, date and collection id."""
+    return harvest_sites.notices(_site(spark, sf_dir, "side", synth.NOTICE_HTML))
+
+
+def headed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: documents under their commune's heading and the page's year."""
+    return harvest_sites.headed_documents(_site(spark, sf_dir, "bretagne", synth.HEADED_HTML))
+
+
+def harvest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven sources harvested from their pages and united under common columns."""
+    side = notices(spark, sf_dir).select("project_name", "publish_date_scraped", F.expr("'/' || document_id || '.pdf'").alias("pdf_url"))
+    parts = {
+        "MRAE": framed_projects(spark, sf_dir), "Bretagne": headed_documents(spark, sf_dir), "Guyane": card_documents(spark, sf_dir).drop("origin"),
+        "Guadeloupe": nested_table_rows(spark, sf_dir), "Somme": hop_paragraphs(spark, sf_dir).where("ok").drop("ok"),
+        "Nord-Pas-de-Calais": result_blocks(spark, sf_dir), "SIDE": side}
+    return harvest.union_sources(*(df.drop("page_id").withColumn("site", F.lit(site)) for site, df in parts.items()))
+
+
 QUERY_NAMES = [
     "doc_measures", "title_parse", "combined_projects", "dept_codes", "clean_documents", "dataset_build",
     "chunks", "chunk_pool", "fit_budget", "multi_hot", "isin_flag", "report", "threshold_best", "timing",
@@ -815,4 +1073,9 @@ QUERY_NAMES = [
     "typed_projection", "multi_hot_array", "labelled_texts", "validated_facet", "attempt_outcomes", "layers_round_trip",
     "scored_runs", "listing_blocks", "next_pages", "heading_blocks", "card_details", "table_rows", "dated_paragraphs", "offset_pages",
     "detail_records", "harvest_projects",
+    "lock_life_cycle", "lock_life_cycle_stream", "refused_claims", "ordered_ingest", "ingest_rejects",
+    "framed_projects", "nested_table_rows", "year_pages", "crawl_chains", "card_documents", "hop_paragraphs", "result_blocks", "notices",
+    "headed_documents", "harvest_sources",
+    "packed_predictions", "label_counts", "document_links", "table_modes", "binary_inventory", "years_ascending", "span_rejects", "crs_round_trip",
+    "site_clusters", "profile_increments", "plugin_scores", "scorer_arena", "text_classifier_accuracy", "embedding_classifier_accuracy",
 ]

@@ -348,8 +348,8 @@ FROM {_ann_cte()}"""
 
 
 def claim_sessions() -> str:
-    return """
-WITH c AS (SELECT user_id % 40 AS doc_id, user_id, ts FROM events),
+    return f"""
+WITH c AS (SELECT {synth.CLAIM_DOC} AS doc_id, user_id, ts FROM events),
 g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 60 MINUTE THEN 1 ELSE 0 END AS brk
       FROM c WINDOW w AS (PARTITION BY doc_id, user_id ORDER BY ts)),
 s AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id, user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
@@ -357,6 +357,59 @@ SELECT doc_id, user_id, min(ts) AS claim_start, max(ts) AS last_refresh, count(*
 FROM s GROUP BY doc_id, user_id, sid"""
 
 
+def lock_life_cycle() -> str:
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts, event_id) AS rn
+  FROM (SELECT {synth.CLAIM_DOC} AS doc_id, user_id, ts, event_id, {synth.CLAIM_ACTION} AS action FROM events)),
+s AS (
+  SELECT DISTINCT doc_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS holder, CAST(NULL AS TIMESTAMP) AS since, false AS closed,
+    CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS outcome
+  FROM e
+  UNION ALL
+  SELECT doc_id, rn,
+    CASE outcome WHEN 'granted' THEN user_id WHEN 'refreshed' THEN user_id WHEN 'refused' THEN held END,
+    CASE outcome WHEN 'granted' THEN ts WHEN 'refreshed' THEN ts WHEN 'refused' THEN since END,
+    closed OR outcome = 'validated', user_id, ts, event_id, action, outcome
+  FROM (
+    SELECT *, CASE WHEN closed THEN 'refused'
+                   WHEN action = 'claim' THEN CASE WHEN held IS NULL THEN 'granted' WHEN held = user_id THEN 'refreshed' ELSE 'refused' END
+                   WHEN held IS NULL OR held <> user_id THEN 'refused'
+                   WHEN action = 'release' THEN 'released' ELSE 'validated' END AS outcome
+    FROM (SELECT e.*, s.since, s.closed, CASE WHEN e.ts - s.since < INTERVAL 60 MINUTE THEN s.holder END AS held
+          FROM s JOIN e ON e.doc_id = s.doc_id AND e.rn = s.rn + 1))),
+n AS (SELECT *, lead(ts) OVER (PARTITION BY doc_id ORDER BY rn) AS next_ts FROM s)
+SELECT doc_id, user_id, ts, event_id, action, outcome FROM s WHERE rn > 0
+UNION ALL
+SELECT doc_id, holder, since + INTERVAL 60 MINUTE, NULL, 'timeout', 'expired' FROM n
+WHERE holder IS NOT NULL AND (next_ts IS NULL OR next_ts - since >= INTERVAL 60 MINUTE)"""
+
+
+def lock_life_cycle_stream() -> str:
+    return lock_life_cycle()
+
+
+def refused_claims() -> str:
+    outcomes = ("granted", "refreshed", "refused", "released", "validated", "expired")
+    return f"""
+SELECT doc_id, user_id, {', '.join(f"count(*) FILTER (WHERE outcome = '{o}') AS n_{o}" for o in outcomes)},
+  min(ts) FILTER (WHERE outcome = 'granted') AS first_granted
+FROM ({lock_life_cycle()}) GROUP BY doc_id, user_id"""
+
+
+def ordered_ingest() -> str:
+    return f"SELECT doc_id, 1 AS version, n_chars_clean, land_surface_ha, power_mwc FROM ({incremental_ingest()})"
+
+
+def ingest_rejects() -> str:
+    text = _clean_text(synth.REJECT_TEXT)
+    return f"""
+SELECT doc_id, outcome, count(*) AS n_rows FROM (
+  SELECT doc_id, CASE WHEN doc_id IS NULL THEN 'no key' WHEN trim(coalesce(t, '')) = '' THEN 'no text' ELSE 'stored' END AS outcome
+  FROM (SELECT {synth.REJECT_KEY} AS doc_id, {text} AS t FROM documents))
+GROUP BY doc_id, outcome"""
+
+
 _AS_OF = "TIMESTAMP '2024-01-30 23:00:00'"
 
 
@@ -590,12 +643,12 @@ def _link_sql() -> str:
     s = synth
     return f"""(
 WITH pk AS (SELECT s_suppkey AS id, {s.PARK_MILLESIME} AS millesime, {s.PARK_SURF} AS surf_parc, {s.PARK_X0} AS x0,
-                   {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier),
+                   {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l, {s.PARK_SRID} AS srid FROM supplier),
 pieces AS (
-  SELECT id, x0 AS px0, y0 AS py0, x0 + w AS px1, CASE WHEN is_l THEN y0 + h / 2 ELSE y0 + h END AS py1 FROM pk
-  UNION ALL SELECT id, x0, y0 + h / 2, x0 + w / 2, y0 + h FROM pk WHERE is_l),
+  SELECT id, srid, x0 AS px0, y0 AS py0, x0 + w AS px1, CASE WHEN is_l THEN y0 + h / 2 ELSE y0 + h END AS py1 FROM pk
+  UNION ALL SELECT id, srid, x0, y0 + h / 2, x0 + w / 2, y0 + h FROM pk WHERE is_l),
 cv AS (SELECT p_partkey AS ck, {s.COVER_ID} AS id_1, {s.COVER_MILLESIME} AS millesime_ocs, {s.CODE_US} AS code_us,
-              {s.COVER_X0} AS ox0, {s.COVER_Y0} AS oy0, {s.COVER_W} AS w, {s.COVER_H} AS h, {s.COVER_HOLE} AS hole FROM part),
+              {s.COVER_X0} AS ox0, {s.COVER_Y0} AS oy0, {s.COVER_W} AS w, {s.COVER_H} AS h, {s.COVER_HOLE} AS hole, {s.COVER_SRID} AS srid FROM part),
 cv2 AS (SELECT *, ox0 + w AS ox1, oy0 + h AS oy1, ox0 + w / 4 AS hx0, oy0 + h / 4 AS hy0, ox0 + w - w / 4 AS hx1,
                oy0 + h - h / 4 AS hy1, w * h - CASE WHEN hole THEN (w / 2) * (h / 2) ELSE 0 END AS ocs_geom_area FROM cv),
 pp AS (
@@ -604,7 +657,7 @@ pp AS (
     - CASE WHEN c.hole THEN greatest(0, least(q.px1, c.hx1) - greatest(q.px0, c.hx0)) * greatest(0, least(q.py1, c.hy1) - greatest(q.py0, c.hy0)) ELSE 0 END AS a,
     (q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1)
       AND NOT (c.hole AND c.hx0 < q.px0 AND q.px1 < c.hx1 AND c.hy0 < q.py0 AND q.py1 < c.hy1) AS hit
-  FROM pieces q JOIN cv2 c ON q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1),
+  FROM pieces q JOIN cv2 c ON q.srid = c.srid AND q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1),
 m AS (SELECT id, ck, sum(a) AS geom_intersection_area FROM pp GROUP BY id, ck HAVING bool_or(hit))
 SELECT pk.id, c.id_1, pk.millesime, c.millesime_ocs, c.code_us, pk.surf_parc,
   pk.w * pk.h - CASE WHEN pk.is_l THEN (pk.w / 2) * (pk.h / 2) ELSE 0 END AS project_geom_area,
@@ -991,3 +1044,175 @@ SELECT c_custkey,
   CASE WHEN regexp_matches(label, {pat}) THEN regexp_extract(label, {pat}, 3) END AS year,
   starts_with(href, 'https://data.example.org/ocs/') AND NOT contains(href, 'DIFF') AS is_download
 FROM (SELECT c_custkey, {synth.DOWNLOAD_LINK_LABEL} AS label, {synth.DOWNLOAD_LINK_HREF} AS href FROM customer)"""
+
+
+_K = "CAST(doc_id AS VARCHAR)"
+_SITE = "'https://www.example.org/'"
+_SOLAR = "n_chars % 3 <> 2"
+_WORD_OF = "CASE n_chars % 3 WHEN 0 THEN 'photovoltaïque' WHEN 1 THEN 'SOLAIRE' ELSE 'éolien' END"
+
+
+def framed_projects() -> str:
+    return f"""
+SELECT doc_id AS page_id, 'Parcno' AS project_name,
+  'parc no ' || CASE n_chars % 3 WHEN 0 THEN 'photovoltaique' ELSE 'solaire' END || ' de ' || {_K} || ' avis pdf' AS description,
+  {_SITE} || 'mrae/pdf/avis-' || {_K} || '.pdf' AS pdf_url, 'avis-' || {_K} || '.pdf' AS pdf_filename
+FROM documents WHERE {_SOLAR} AND n_chars % 5 <> 0
+UNION ALL
+SELECT doc_id, 'Sans titre', 'centrale solaire & ombrières ' || {_K} || ' pdf', {_SITE} || 'f/' || {_K} || '.pdf?v=1', {_K} || '.pdf?v=1' FROM documents"""
+
+
+def nested_table_rows() -> str:
+    date = f"CAST(strptime({synth.SLASH_DATE}, '%d/%m/%Y') AS DATE)"
+    return f"""
+WITH l AS (
+  SELECT doc_id, n_chars, {date} AS d, 't' || {_K} || '.PDF' AS f, {_SITE} || 'guadeloupe/docs/t' || {_K} || '.PDF' AS u FROM documents
+  UNION ALL SELECT doc_id, n_chars, NULL, {_K} || '.pdf', {_SITE} || 'annexe/' || {_K} || '.pdf' FROM documents)
+SELECT doc_id AS page_id, 'Parc de ' || {_K} AS project_name, d AS publish_date_scraped, f AS pdf_filename, u AS pdf_url FROM l WHERE {_SOLAR}
+UNION ALL SELECT doc_id, 'Rien', d, f, u FROM l WHERE n_chars % 4 = 0"""
+
+
+def year_pages() -> str:
+    return f"""
+WITH p AS (SELECT doc_id, doc_id - doc_id % 4 AS o FROM documents WHERE doc_id - doc_id % 4 IN (SELECT doc_id FROM documents))
+SELECT {_SITE} || 'region/' || CAST(o AS VARCHAR) AS origin, CAST(doc_id - o AS INTEGER) AS hop, CAST(2010 + doc_id % 9 AS VARCHAR) AS year,
+  {_SITE} || 'an/' || {_K} AS year_url FROM p
+UNION ALL SELECT {_SITE} || 'region/' || CAST(o AS VARCHAR), CAST(doc_id - o AS INTEGER), NULL, {_SITE} || 'region/' || {_K} || '?p=' || {_K} FROM p"""
+
+
+def crawl_chains() -> str:
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT doc_id AS a, CASE WHEN doc_id % 3 < 2 THEN doc_id + 1 WHEN n_chars % 2 = 0 THEN doc_id - 2 END AS b FROM documents),
+r AS (
+  SELECT doc_id AS o, doc_id AS x, 0 AS hop FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT o, b, hop + 1 FROM r JOIN e ON e.a = r.x WHERE b IS NOT NULL AND hop < 5)
+SELECT {_SITE} || 'liste/' || CAST(o AS VARCHAR) AS origin, {_SITE} || 'liste/' || CAST(x AS VARCHAR) AS url, min(hop) AS hop FROM r GROUP BY o, x"""
+
+
+def card_documents() -> str:
+    day = "make_date(2012 + doc_id % 9, doc_id % 12 + 1, doc_id % 28 + 1)"
+    return f"""
+SELECT {_SITE} || 'liste/' || CAST(doc_id - doc_id % 3 AS VARCHAR) AS origin, 'Projet ' || {_WORD_OF} || ' ' || {_K} AS project_name, '973' AS departement_code,
+  CASE WHEN doc_id % 5 <> 0 THEN {day} END AS publish_date_scraped,
+  CASE WHEN doc_id % 5 <> 0 AND n_chars % 7 <> 0 THEN 'Avis_no_' || {_K} || '.pdf' END AS pdf_filename,
+  CASE WHEN doc_id % 5 <> 0 AND n_chars % 7 <> 0 THEN {_SITE} || 'fiche/files/' || {_K} || '.pdf' END AS pdf_url
+FROM documents WHERE {_SOLAR} AND doc_id - doc_id % 3 IN (SELECT doc_id FROM documents)"""
+
+
+def hop_paragraphs() -> str:
+    return f"""
+SELECT doc_id AS page_id, true AS ok, 'Parc solaire de Lieu ' || {_K} AS project_name, {_french_date(synth.FRENCH_DATE)} AS publish_date_scraped,
+  'parc_solaire_de_lieu_' || {_K} || '.pdf' AS pdf_filename,
+  CASE WHEN n_chars % 2 = 0 THEN {_SITE} || 'direct/' || {_K} || '.pdf'
+       WHEN n_chars % 3 <> 0 THEN {_SITE} || 'somme/doc/h' || {_K} || '.pdf' END AS pdf_url FROM documents
+UNION ALL SELECT doc_id, false, NULL, NULL, NULL, NULL FROM documents"""
+
+
+def result_blocks() -> str:
+    return f"""
+SELECT doc_id AS page_id, CASE n_chars % 3 WHEN 0 THEN 'Avis' ELSE 'Décision cas par CAS' END || {_K} AS project_name,
+  CASE WHEN n_chars % 5 <> 0 THEN {_french_date(synth.FRENCH_DATE)} END AS publish_date_scraped,
+  'Lille|Lens ' || {_K} AS communes_names_scraped, {_K} || '.pdf' AS pdf_filename, {_SITE} || 'r/' || {_K} || '.pdf' AS pdf_url
+FROM documents WHERE {_SOLAR}"""
+
+
+def notices() -> str:
+    return f"""
+SELECT doc_id AS page_id, 'Avis  ' || {_K} AS project_name, CASE WHEN n_chars % 3 <> 0 THEN 'DREAL ' || {_K} END AS author, 'MRAe' AS publisher,
+  CAST(strptime({synth.SLASH_DATE}, '%d/%m/%Y') AS DATE) AS publish_date_scraped, CAST(doc_id * 7 AS VARCHAR) AS document_id
+FROM documents WHERE n_chars % 4 <> 0"""
+
+
+def headed_documents() -> str:
+    return f"""
+SELECT doc_id AS page_id, 'Parc ' || {_WORD_OF} || ' ' || {_K} AS project_name, 'Commune ' || {_K} AS commune_name_scraped, CAST(2010 + doc_id % 9 AS VARCHAR) AS year_scraped,
+  {_SITE} || 'b/' || {_K} || '.pdf' AS pdf_url, {_K} || '.pdf' AS pdf_filename FROM documents WHERE {_SOLAR}
+UNION ALL SELECT doc_id, 'Centrale solaire', 'Autre', CAST(2010 + doc_id % 9 AS VARCHAR), {_SITE} || 'bretagne/c/' || {_K} || '.pdf?x=1.pdf', {_K} || '.pdf?x=1.pdf' FROM documents"""
+
+
+def harvest_sources() -> str:
+    cols = ("communes_names_scraped", "commune_name_scraped", "departement_code", "description", "pdf_filename", "pdf_url", "project_name",
+            "publish_date_scraped", "year_scraped")
+    side = f"SELECT project_name, publish_date_scraped, '/' || document_id || '.pdf' AS pdf_url FROM ({notices()})"
+    parts = {"MRAE": framed_projects(), "Bretagne": headed_documents(), "Guyane": card_documents(), "Guadeloupe": nested_table_rows(),
+             "Somme": f"SELECT * FROM ({hop_paragraphs()}) WHERE ok", "Nord-Pas-de-Calais": result_blocks(), "SIDE": side}
+    given = {"MRAE": (3, 4, 5, 6), "Bretagne": (1, 4, 5, 6, 8), "Guyane": (2, 4, 5, 6, 7), "Guadeloupe": (4, 5, 6, 7), "Somme": (4, 5, 6, 7),
+             "Nord-Pas-de-Calais": (0, 4, 5, 6, 7), "SIDE": (5, 6, 7)}
+    kind = lambda c: "DATE" if c == "publish_date_scraped" else "VARCHAR"
+    return " UNION ALL ".join(
+        "SELECT " + ", ".join(c if k in given[site] else f"CAST(NULL AS {kind(c)}) AS {c}" for k, c in enumerate(cols)) + f", '{site}' AS site FROM ({sql})"
+        for site, sql in parts.items())
+
+
+def packed_predictions() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT doc_id, '{k}' AS label, {synth.SCORE[k]} AS score, coalesce({synth.SCORE[k]} > 0.5, false) AS pred FROM {_LABELLED}" for k in synth.TRUTH)
+    return f"SELECT doc_id, label, round(score, 9) AS score, pred FROM ({rows})"
+
+
+def label_counts() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{k}' AS label, CAST({synth.TRUTH[k]} AS INTEGER) AS y, CASE WHEN {synth.SCORE[k]} > 0.5 THEN 1 ELSE 0 END AS p FROM {_LABELLED}" for k in synth.TRUTH)
+    cell = lambda y, p, n: f"count(*) FILTER (WHERE y = {y} AND p = {p}) AS {n}"
+    return f"SELECT label, {cell(1, 1, 'tp')}, {cell(0, 1, 'fp')}, {cell(1, 0, 'fn')}, {cell(0, 0, 'tn')} FROM ({rows}) GROUP BY label"
+
+
+def document_links() -> str:
+    return f"""SELECT page_id, link_pos, title, href FROM (
+  SELECT page_id, link_pos, CASE WHEN link_pos % 5 = 1 THEN 'Avis publiés' ELSE anchor_text END AS title, CASE WHEN link_pos % 7 = 3 THEN NULL ELSE href END AS href
+  FROM {_links_cte()}) WHERE href IS NOT NULL AND (title IS NULL OR title <> 'Avis publiés')"""
+
+
+def table_modes() -> str:
+    n = "SELECT count(*) FROM orders"
+    return f"""
+SELECT 'error' AS mode, ({n}) AS n, false AS refused UNION ALL SELECT 'error again', ({n}), true
+UNION ALL SELECT 'ignore', ({n}), false UNION ALL SELECT 'overwrite', (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'), false"""
+
+
+def binary_inventory() -> str:
+    return """
+SELECT count(*) AS n_files, CAST(sum(size) AS BIGINT) AS size, CAST(max(size) AS BIGINT) AS largest
+FROM (SELECT lang, sum(length(CAST(doc_id AS VARCHAR)) + 1) AS size FROM documents GROUP BY lang)"""
+
+
+def years_ascending() -> str:
+    return f"SELECT row_number() OVER (ORDER BY year) AS place, year, n_documents FROM (SELECT {synth.YEAR} AS year, count(*) AS n_documents FROM documents GROUP BY 1)"
+
+
+def span_rejects() -> str:
+    return f"""
+SELECT pdf_name, ctx_pos, CASE WHEN start < 0 THEN 'span not found' ELSE 'located' END AS outcome, CASE WHEN start >= 0 THEN start END AS start, length
+FROM ({dataset_build()})"""
+
+
+def crs_round_trip() -> str:
+    return f"SELECT c_custkey, round({synth.POINT_LON}, 6) AS lon, round({synth.POINT_LAT}, 6) AS lat FROM customer"
+
+
+def site_clusters() -> str:
+    point = "'POINT (' || printf('%.5f', lon) || ' ' || printf('%.5f', lat) || ')'"
+    return f"""
+SELECT s.id, {point} AS centroid, d.labels FROM ({_dbscan_sql(2)}) d
+JOIN (SELECT c_custkey AS id, {synth.SITE_LAT} AS lat, {synth.SITE_LON} AS lon FROM customer) s ON s.id = d.id"""
+
+
+def profile_increments() -> str:
+    return """
+SELECT 'l_extendedprice' AS column_name, count(l_extendedprice) AS count, CAST(min(l_extendedprice) AS DOUBLE) AS min, CAST(max(l_extendedprice) AS DOUBLE) AS max,
+  true AS distinct_within, true AS quartiles_within FROM lineitem
+UNION ALL SELECT 'l_quantity', count(l_quantity), CAST(min(l_quantity) AS DOUBLE), CAST(max(l_quantity) AS DOUBLE), true, true FROM lineitem
+UNION ALL SELECT 'l_orderkey', count(l_orderkey), CAST(min(l_orderkey) AS DOUBLE), CAST(max(l_orderkey) AS DOUBLE), true, true FROM lineitem
+UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, true, NULL FROM lineitem"""
+
+
+def plugin_scores() -> str:
+    cols = ", ".join(f"CASE WHEN fits THEN least(1.0, ({_rule_hits(k)}) / 2.0) END AS {k}_score" for k in _RULES)
+    n = "floor(length(t) / pow(2.0, k))::INTEGER"
+    return f"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN NULL ELSE {synth.ARENA_TEXT} END AS t FROM documents),
+c AS (SELECT doc_id, t, list_filter(list_transform(range(0, 41), lambda k: {{'n': {n}, 'tokens': len({_tokens(f'substring(t, 1, {n})')})}}), lambda s: s.tokens + 1000 <= 1400)[1].n AS n FROM d),
+f AS (SELECT doc_id, t IS NOT NULL AS fits, substring(t, 1, n) AS kept, n FROM c),
+m AS (SELECT *, {_rule_matches('kept')} AS _m FROM f)
+SELECT doc_id, {cols}, CASE WHEN fits THEN n END AS scored_chars, CASE WHEN NOT fits THEN 'no text within the budget' END AS error FROM m"""

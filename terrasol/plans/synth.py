@@ -96,7 +96,8 @@ CASE quality * 2 + toxic
   ELSE 'Surfaces agricoles'
 END"""
 CONTEXT = """
-substring(text, 1 + doc_id % 50, 40) || '[SEP]' || ' ' || substring(text, 200 + doc_id % 7, 30) ||
+substring(text, 1 + doc_id % 50, 40) || '[SEP]' || ' ' || substring(text, 1 + cast(floor(n_chars * (doc_id % 10) / 10) AS int), 30) || '[SEP]' ||
+substring(text, 1 + cast(floor(n_chars * 0.6) AS int), 200) ||
 CASE WHEN doc_id % 9 = 0 THEN '[SEP]absent context ' || cast(doc_id AS string) ELSE '' END"""
 
 # Predictions with truth (labels ⋈ documents).
@@ -129,7 +130,7 @@ CASE WHEN doc_id % 10 = 0 THEN 'date inconnue' ELSE
 END"""
 
 # Parks derived from customer rows.
-PARK_ID = "c_custkey % 1000"
+PARK_ID = "CAST(floor(c_custkey / 3) AS BIGINT)"
 INSEE_LIST = "cast(c_custkey % 30 AS string) || ', ' || cast(c_nationkey AS string)"
 TERRITORY_CODES = """
 CASE c_custkey % 8 WHEN 0 THEN '97105' WHEN 1 THEN '97209' WHEN 2 THEN '97302' WHEN 3 THEN '97411'
@@ -156,11 +157,12 @@ STOP_REASON = "CASE WHEN doc_id % 5 = 2 THEN 'maxPredictedTokensReached' ELSE 'e
 # Park rectangles / L-shapes (supplier) and land-cover rectangles with holes (part), metres in EPSG:2154.
 PARK_X0 = "cast(s_suppkey AS double) * 1000.0 + 100.0 + cast(s_suppkey % 3 AS double) * 50.0"
 PARK_Y0 = "6600000.0 + cast(s_suppkey % 5 AS double) * 40.0"
-PARK_W = "cast(2 * (50 + s_suppkey % 7 * 15) AS double)"
+# every 25th park is 40 km wide and lies over its neighbours' covers
+PARK_W = "CASE WHEN s_suppkey % 25 = 0 THEN 40000.0 ELSE cast(2 * (50 + s_suppkey % 7 * 15) AS double) END"
 PARK_H = "cast(2 * (40 + s_suppkey % 5 * 20) AS double)"
 PARK_L = "s_suppkey % 4 = 0"
 PARK_MILLESIME = "cast(2018 + s_suppkey % 5 AS int)"
-PARK_SURF = "cast(2 * (50 + s_suppkey % 7 * 15) AS double) * cast(2 * (40 + s_suppkey % 5 * 20) AS double) + cast(s_suppkey % 3 AS double) * 10.0"
+PARK_SURF = "CASE WHEN s_suppkey % 25 = 0 THEN 40000.0 ELSE cast(2 * (50 + s_suppkey % 7 * 15) AS double) END * cast(2 * (40 + s_suppkey % 5 * 20) AS double) + cast(s_suppkey % 3 AS double) * 10.0"
 COVER_X0 = "cast(floor(p_partkey / 20) AS double) * 1000.0 + cast(p_partkey % 20 AS double) * 15.0 + 20.0"
 COVER_Y0 = "6600000.0 + cast(p_partkey % 7 AS double) * 30.0"
 COVER_W = "cast(4 * (15 + p_size) AS double)"
@@ -183,15 +185,15 @@ CASE c_custkey % 8 WHEN 0 THEN -61.5 WHEN 1 THEN -61.0 WHEN 2 THEN -53.0 WHEN 3
 POINT_LAT = """
 CASE c_custkey % 8 WHEN 0 THEN 16.2 WHEN 1 THEN 14.6 WHEN 2 THEN 4.9 WHEN 3 THEN -21.1 WHEN 4 THEN -12.8
   ELSE 46.0 END + cast(c_custkey % 40 AS double) * 0.01"""
-# Projected CRS of the synthetic parks and covers: metropolitan Lambert-93 for every
-# row, written as data-dependent expressions (keys are never negative).
-PARK_SRID = "CASE WHEN s_suppkey >= 0 THEN 2154 ELSE 5490 END"
-COVER_SRID = "CASE WHEN p_partkey >= 0 THEN 2154 ELSE 5490 END"
+POINT_SRID = "CASE c_custkey % 8 WHEN 0 THEN 5490 WHEN 1 THEN 5490 WHEN 2 THEN 2972 WHEN 3 THEN 2975 WHEN 4 THEN 4471 ELSE 2154 END"
+# Projected CRS of the parks and covers: some lie in another territory; a few covers beside a park there are in the metropolitan one.
+PARK_SRID = "CASE WHEN s_suppkey % 5 = 2 THEN 2975 ELSE 2154 END"
+COVER_SRID = "CASE WHEN CAST(floor(p_partkey / 20) AS BIGINT) % 5 = 2 AND p_partkey % 10 <> 3 THEN 2975 ELSE 2154 END"
 
-# Site points (customer): 60 groups ~5.5 km apart, chains of 0.4 km steps, a few isolated.
+# Site points (customer): groups ~5.5 km apart, chains of 0.4 km steps, a few isolated; new groups as customers grow.
 SITE_LAT = ("45.0 + cast(c_custkey % 60 AS double) * 0.05 + cast(c_custkey % 3 AS double) * 0.004"
             " + CASE WHEN c_custkey % 97 = 0 THEN 0.02 ELSE 0.0 END")
-SITE_LON = "2.0 + cast(c_custkey % 7 AS double) * 0.005"
+SITE_LON = "2.0 + cast(c_custkey % 7 AS double) * 0.005 + cast(floor(c_custkey / 1260) AS double) * 0.2"
 
 # Document text with one land-type rule phrase appended (documents table).
 ARENA_TEXT = """
@@ -233,3 +235,60 @@ CASE WHEN c_custkey % 9 = 0 THEN 'Notice ' || c_mktsegment
        || ' - ' || c_mktsegment || ' - ' || cast(2015 + c_custkey % 8 AS string) END"""
 DOWNLOAD_LINK_HREF = """
 'https://data.example.org/ocs/' || CASE WHEN c_custkey % 4 = 0 THEN 'DIFF_' ELSE '' END || 'OCS_' || cast(c_custkey AS string) || '.7z'"""
+
+#: Document that an event claims: four users share one, so claims compete and documents grow with the users.
+CLAIM_DOC = "CAST(floor(user_id / 4) AS BIGINT)"
+CLAIM_ACTION = "CASE WHEN event_type = 'purchase' AND value > 60 THEN 'validate' WHEN event_type = 'error' THEN 'release' ELSE 'claim' END"
+
+#: Rows as a faulty feed would send them: some without a key, some without text.
+REJECT_KEY = "CASE WHEN n_chars % 11 = 3 THEN NULL ELSE doc_id END"
+REJECT_TEXT = "CASE WHEN n_chars % 7 = 2 THEN NULL WHEN n_chars % 7 = 5 THEN '  ' ELSE text END"
+
+# Pages of the harvested sites, one or more per document: nested markup, missing parts, several blocks a page.
+K = "cast(doc_id AS string)"
+SITE = "'https://www.example.org/'"
+KEYWORD = "CASE n_chars % 3 WHEN 0 THEN 'photovoltaïque' WHEN 1 THEN 'SOLAIRE' ELSE 'éolien' END"
+FRAMED_HTML = f"""
+'<html><body><div class="texteencadre-spip spip"><p><strong><a href="/a.html">Parc</a> <em>no</em></strong> ' || {KEYWORD} || ' de ' || {K}
+|| '</p><div><span><a class="fr-link" href="/no.pdf">Avis</a>'
+|| CASE WHEN n_chars % 5 = 0 THEN '' ELSE '<b><a class="fr-download__link fr-btn" href="pdf/avis-' || {K} || '.pdf">PDF</a></b>' END
+|| '</span></div></div><div class="autre">solaire<a class="fr-download__link" href="/hors.pdf">x</a></div>'
+|| '<div class="texteencadre-spip"><p>Centrale Solaire &amp; ombrières ' || {K} || '</p><a class="fr-download__link" href="/f/' || {K} || '.pdf?v=1">PDF</a></div></body></html>'"""
+NESTED_TABLE_HTML = f"""
+CASE WHEN n_chars % 4 = 0 THEN '<table><tr><td>Solaire</td><td>' ELSE '' END
+|| '<table><tr><td><p>Dossier <strong>' || {KEYWORD} || '</strong> no ' || {K} || '</p></td><td><div><ul><li><a href="docs/t' || {K}
+|| '.PDF"><span>Avis du </span><em>' || {SLASH_DATE} || '</em></a></li></ul><p><strong><a href="/annexe/' || {K} || '.pdf"></a></strong></p></div></td>'
+|| '<td> <b>Parc <i>de</i> ' || {K} || '</b><br>Commune</td></tr><tr><td>Photovoltaique</td><td><a href="/x.doc">Avis</a></td><td>Rien</td></tr></table>'
+|| CASE WHEN n_chars % 4 = 0 THEN '</td></tr></table>' ELSE '' END"""
+YEAR_HTML = f"""
+'<ul><li><h2 class="fr-card__title"><span><a href="/an/' || {K} || '" title="Avis rendus en ' || cast(2010 + doc_id % 9 AS string) || '">Voir</a></span></h2></li>'
+|| '<li><h3><a href="/autre" title="2001">x</a></h3></li><li><h2 class="fr-card__title"><a href="?p=' || {K} || '" title="Sans date">Voir</a></h2></li></ul>'
+|| CASE WHEN doc_id % 4 < 3 THEN '<a class="fr-pagination__link fr-pagination__link--next" href="/region/' || cast(doc_id + 1 AS string) || '">Suivant</a>'
+        WHEN n_chars % 2 = 0 THEN '<a class="fr-pagination__link--next" href="/region/' || cast(doc_id - 3 AS string) || '">Premier</a>' ELSE '' END"""
+CARD_HTML = f"""
+'<div><h3><a class="fr-card__link article-card-lien" href="/fiche/' || {K} || '"> Projet ' || {KEYWORD} || ' <b>' || {K} || '</b></a></h3></div>'
+|| '<a class="fr-card__link" href="/fiche/0">solaire</a><ul class="fr-pagination__list"><li>'
+|| CASE WHEN doc_id % 3 < 2 THEN '<a class="fr-pagination__link fr-pagination__link--next" href="/liste/' || cast(doc_id + 1 AS string) || '">Suivant</a>'
+        WHEN n_chars % 2 = 0 THEN '<a class="fr-pagination__link--next" href="/liste/' || cast(doc_id - 2 AS string) || '">Retour</a>' ELSE '' END || '</li></ul>'"""
+CARD_DETAIL_HTML = f"""
+'<p><span><time datetime="' || cast(2012 + doc_id % 9 AS string) || '-' || lpad(cast(doc_id % 12 + 1 AS string), 2, '0') || '-' || lpad(cast(doc_id % 28 + 1 AS string), 2, '0')
+|| '">hier</time></span><time datetime="1999-01-01"></time></p><div><div>'
+|| CASE WHEN n_chars % 7 = 0 THEN '' ELSE '<a class="fr-download__link" href="files/' || {K} || '.pdf"> Avis no ' || {K} || ' <span>PDF 2 Mo</span></a>' END || '</div></div>'"""
+HOP_HTML = f"""
+'<p class="text-justify">- • Parc <strong>solaire</strong> de <em>Lieu ' || {K} || '</em> - ' || ({FRENCH_DATE}) || ' <span><a href="'
+|| CASE WHEN n_chars % 2 = 0 THEN '/direct/' || {K} || '.pdf' ELSE 'page/' || {K} END || '"></a></span></p>'
+|| '<p class="text-justify">Centrale photovoltaïque ' || {K} || '</p><p class="text-justify">Éolien - 1 mai 2012<a href="/e.pdf"></a></p><p>solaire - 2 mai 2012</p>'"""
+HOP_PAGE_HTML = f"""'<div><a class="fr-link" href="/non.pdf">x</a><p><b><a class="fr-link fr-link--download" href="../doc/h' || {K} || '.pdf">PDF</a></b></p></div>'"""
+RESULT_HTML = f"""
+'<div class="texte fr-col-md-9"><h3><a href="/r/' || {K} || '.pdf">' || CASE n_chars % 3 WHEN 0 THEN 'Avis ' WHEN 1 THEN 'Décision cas par CAS ' ELSE 'Étude ' END
+|| '<b>' || {K} || '</b></a></h3><section><div class="liste_communes">Lille/Lens ' || {K} || '</div>'
+|| CASE WHEN n_chars % 5 = 0 THEN '' ELSE '<div class="informations"><strong>Publié le</strong><br>' || ({FRENCH_DATE}) || '<i>x</i></div>' END || '</section></div>'
+|| '<div class="texte fr-col-md-9"><p>avis sans lien</p></div><div class="texte">Avis<a href="/z.pdf">Avis</a></div>'"""
+NOTICE_HTML = f"""
+'<div id="notice_longue_description"><section><h2>' || CASE WHEN n_chars % 4 = 0 THEN 'Décision ' ELSE 'Avis \\\\ ' END || {K} || '</h2><h2>Avis 2</h2></section></div>'
+|| CASE WHEN n_chars % 3 = 0 THEN '' ELSE '<p class="item-author">Auteur : <span><a>DREAL\\\\ ' || {K} || '</a></span></p>' END
+|| '<p class="item-publisher"><a>MRAe</a></p><p class="item-datepublication"><b>Date de publication :</b> ' || {SLASH_DATE} || '</p>'
+|| '<div id="dr-viewer"><div><script>var v = {{collectionId:' || chr(39) || cast(doc_id * 7 AS string) || chr(39) || '}};</script></div></div>'"""
+HEADED_HTML = f"""
+'<h1>Avis ' || cast(2010 + doc_id % 9 AS string) || '</h1><div><h2>Commune <b>' || {K} || '</b></h2><ul><li><a href="/b/' || {K} || '.pdf">Parc ' || {KEYWORD} || ' ' || {K}
+|| '</a></li></ul></div><section><h2>Autre</h2><p><a href="c/' || {K} || '.pdf?x=1.pdf">Centrale <i>solaire</i></a><a href="/solaire">solaire</a></p></section>'"""
