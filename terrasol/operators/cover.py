@@ -152,7 +152,8 @@ def geojson_features(link: DataFrame, to_wgs84: bool = True) -> DataFrame:
     park_feature = feature("Polygon", rings(outline), park_popup, F.lit(PARK_COLOR))
     # one pass over the link: every cover row gives a feature, the first row of
     # each park (window over that park's few rows) also gives its outline
-    first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("id_1").asc_nulls_first())) == 1
+    # a park listed in several vintages is outlined once, in the earliest of those without a cover, if any
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("id_1").asc_nulls_first(), "millesime")) == 1
     feats = F.array(F.when(F.col("id_1").isNotNull(), cover_feature), F.when(F.col("_first"), park_feature))
     return (link.withColumn("_first", first).select(F.explode(feats).alias("feature"))
                 .where(F.col("feature").isNotNull()))

@@ -400,13 +400,14 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     """
     checkpoint_dir(left.sparkSession)
     coarse = cell * coarse_factor
-    left = left.withColumn("_lk", F.monotonically_increasing_id()).checkpoint()
+    vertices = lambda g: F.aggregate(g, F.lit(0), lambda n, r: n + F.size(r))
+    left = left.withColumn("_lk", F.monotonically_increasing_id()).withColumn("_ln", vertices(left_geom)).checkpoint()
     r_cols = [c for c in right.columns if c != srid]
     right = right.select(*[F.col(c).alias("_r_" + c) for c in r_cols], F.col(srid).alias("_rs"), F.col(right_geom).alias("_gb")) \
-                 .withColumn("_rk", F.monotonically_increasing_id()).checkpoint()
+                 .withColumn("_rk", F.monotonically_increasing_id()).withColumn("_rn", vertices("_gb")).checkpoint()
     # only keys and boxes are exploded into cells and shuffled; geometry is fetched once per surviving pair
-    L = _with_cells(left.select("_lk", F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga")), "_ga", cell, max_cells, "_l").drop("_ga")
-    R = _with_cells(right.select("_rk", "_rs", "_gb"), "_gb", cell, max_cells, "_r").drop("_gb")
+    L = _with_cells(left.select("_lk", "_ln", F.col(srid).alias("_ls"), F.col(left_geom).alias("_ga")), "_ga", cell, max_cells, "_l").drop("_ga")
+    R = _with_cells(right.select("_rk", "_rn", "_rs", "_gb"), "_gb", cell, max_cells, "_r").drop("_gb")
 
     # Each pair is produced by exactly one tag: 0 = both small (fine cells),
     # 1 = right polygon big (coarse cells), 2 = left big and right small (coarse).
@@ -421,15 +422,17 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
                & (F.col("_lminy") <= F.col("_rmaxy")) & (F.col("_rminy") <= F.col("_lmaxy")))
     reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
                  & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
-    pairs = j.where(overlap & reference).select("_lk", "_rk")
-    geometry = (pairs.join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk").join(right.drop("_rs"), "_rk"))
-    vertices = sum(F.aggregate(g, F.lit(0), lambda n, r: n + F.size(r)) for g in ("_ga", "_gb"))
-    small = geometry.where(vertices <= HEAVY).withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
-    heavy = geometry.where(vertices > HEAVY)
-    heavy = heavy.join(_heavy_pairs(heavy).where("_x.intersects"), ["_lk", "_rk"]).select(*small.columns)
-    exact = small.unionByName(heavy)
+    pairs = j.where(overlap & reference)
+    fetch = lambda p: (p.select("_lk", "_rk").join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk")
+                       .join(right.drop("_rs", "_rn"), "_rk"))
+    large = F.col("_ln") + F.col("_rn") > HEAVY
+    exact = fetch(pairs.where(~large)).withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
+    # two numbers tell whether any pair can be large: without one its branch is not planned at all
+    if sum(df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "_ln"), (right, "_rn"))) > HEAVY:
+        heavy = fetch(pairs.where(large))
+        exact = exact.unionByName(heavy.join(_heavy_pairs(heavy).where("_x.intersects"), ["_lk", "_rk"]).select(*exact.columns))
     shape = [_pieces_udf("_ga", "_gb").alias("geom_intersection")] if with_geometry else []
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"), *shape)
     # left outer: every left row, partners when any.
-    return left.join(matched, "_lk", "left").drop("_lk")
+    return left.join(matched, "_lk", "left").drop("_lk", "_ln")

@@ -437,7 +437,7 @@ def _ring(*pts) -> F.Column:
 
 def _park_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.expr(synth.PARK_X0).alias("x0"), F.expr(synth.PARK_Y0).alias("y0"),
+        F.expr(synth.PARK_KEY).alias("id"), F.expr(synth.PARK_X0).alias("x0"), F.expr(synth.PARK_Y0).alias("y0"),
         F.expr(synth.PARK_W).alias("w"), F.expr(synth.PARK_H).alias("h"), F.expr(synth.PARK_L).alias("is_l"),
         F.expr(synth.PARK_MILLESIME).alias("millesime"), F.expr(synth.PARK_SURF).alias("surf_parc"),
         F.expr(synth.PARK_SRID).alias("srid"))

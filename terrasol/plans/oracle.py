@@ -642,27 +642,27 @@ FROM o FULL OUTER JOIN n ON o.pdf_name = n.pdf_name"""
 def _link_sql() -> str:
     s = synth
     return f"""(
-WITH pk AS (SELECT s_suppkey AS id, {s.PARK_MILLESIME} AS millesime, {s.PARK_SURF} AS surf_parc, {s.PARK_X0} AS x0,
+WITH pk AS (SELECT s_suppkey AS pkey, {s.PARK_KEY} AS id, {s.PARK_MILLESIME} AS millesime, {s.PARK_SURF} AS surf_parc, {s.PARK_X0} AS x0,
                    {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l, {s.PARK_SRID} AS srid FROM supplier),
 pieces AS (
-  SELECT id, srid, x0 AS px0, y0 AS py0, x0 + w AS px1, CASE WHEN is_l THEN y0 + h / 2 ELSE y0 + h END AS py1 FROM pk
-  UNION ALL SELECT id, srid, x0, y0 + h / 2, x0 + w / 2, y0 + h FROM pk WHERE is_l),
+  SELECT pkey, srid, x0 AS px0, y0 AS py0, x0 + w AS px1, CASE WHEN is_l THEN y0 + h / 2 ELSE y0 + h END AS py1 FROM pk
+  UNION ALL SELECT pkey, srid, x0, y0 + h / 2, x0 + w / 2, y0 + h FROM pk WHERE is_l),
 cv AS (SELECT p_partkey AS ck, {s.COVER_ID} AS id_1, {s.COVER_MILLESIME} AS millesime_ocs, {s.CODE_US} AS code_us,
               {s.COVER_X0} AS ox0, {s.COVER_Y0} AS oy0, {s.COVER_W} AS w, {s.COVER_H} AS h, {s.COVER_HOLE} AS hole, {s.COVER_SRID} AS srid FROM part),
 cv2 AS (SELECT *, ox0 + w AS ox1, oy0 + h AS oy1, ox0 + w / 4 AS hx0, oy0 + h / 4 AS hy0, ox0 + w - w / 4 AS hx1,
                oy0 + h - h / 4 AS hy1, w * h - CASE WHEN hole THEN (w / 2) * (h / 2) ELSE 0 END AS ocs_geom_area FROM cv),
 pp AS (
-  SELECT q.id, c.ck,
+  SELECT q.pkey, c.ck,
     greatest(0, least(q.px1, c.ox1) - greatest(q.px0, c.ox0)) * greatest(0, least(q.py1, c.oy1) - greatest(q.py0, c.oy0))
     - CASE WHEN c.hole THEN greatest(0, least(q.px1, c.hx1) - greatest(q.px0, c.hx0)) * greatest(0, least(q.py1, c.hy1) - greatest(q.py0, c.hy0)) ELSE 0 END AS a,
     (q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1)
       AND NOT (c.hole AND c.hx0 < q.px0 AND q.px1 < c.hx1 AND c.hy0 < q.py0 AND q.py1 < c.hy1) AS hit
   FROM pieces q JOIN cv2 c ON q.srid = c.srid AND q.px0 <= c.ox1 AND c.ox0 <= q.px1 AND q.py0 <= c.oy1 AND c.oy0 <= q.py1),
-m AS (SELECT id, ck, sum(a) AS geom_intersection_area FROM pp GROUP BY id, ck HAVING bool_or(hit))
+m AS (SELECT pkey, ck, sum(a) AS geom_intersection_area FROM pp GROUP BY pkey, ck HAVING bool_or(hit))
 SELECT pk.id, c.id_1, pk.millesime, c.millesime_ocs, c.code_us, pk.surf_parc,
   pk.w * pk.h - CASE WHEN pk.is_l THEN (pk.w / 2) * (pk.h / 2) ELSE 0 END AS project_geom_area,
   c.ocs_geom_area, m.geom_intersection_area
-FROM pk LEFT JOIN m ON pk.id = m.id LEFT JOIN cv2 c ON m.ck = c.ck)"""
+FROM pk LEFT JOIN m ON pk.pkey = m.pkey LEFT JOIN cv2 c ON m.ck = c.ck)"""
 
 
 def park_cover_link() -> str:
@@ -715,7 +715,7 @@ def geojson_export() -> str:
     case = lambda d, other: "CASE code_us " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in d.items()) + f" ELSE {_q(other)} END"
     shared = "'Surface partagée : ' || CAST(round(geom_intersection_area, 2) AS VARCHAR) || 'm^2'"
     return f"""
-WITH l AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY id_1 NULLS FIRST) AS _rn FROM {_latest_sql()})
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY id_1 NULLS FIRST, millesime) AS _rn FROM {_latest_sql()})
 SELECT 'MultiPolygon' AS kind, id_1 || ' | ' || {case(CODES_US_MAPPING, 'Inconnu')} || ' - ' || {shared} AS popup,
        {case(CODES_US_COLORS, '#b15928')} AS color, round(geom_intersection_area, 4) AS area FROM l WHERE id_1 IS NOT NULL
 UNION ALL
@@ -726,7 +726,7 @@ SELECT 'Polygon', CAST(id AS VARCHAR) || ' | Surface totale : ' || CAST(round(su
 def polygon_area_centroid() -> str:
     s = synth
     return f"""
-WITH pk AS (SELECT s_suppkey AS id, {s.PARK_X0} AS x0, {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier)
+WITH pk AS (SELECT {s.PARK_KEY} AS id, {s.PARK_X0} AS x0, {s.PARK_Y0} AS y0, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier)
 SELECT id,
   round(CASE WHEN is_l THEN w * (h / 2) + (w / 2) * (h / 2) ELSE w * h END, 6) AS area,
   round(CASE WHEN is_l THEN (w * (h / 2) * (x0 + w / 2) + (w / 2) * (h / 2) * (x0 + w / 4)) / (w * (h / 2) + (w / 2) * (h / 2))
@@ -882,7 +882,7 @@ def wkb_round_trip() -> str:
     s = synth
     return f"""
 SELECT cell, CAST(count(*) AS INTEGER) AS n_polygons, round(sum(a), 6) AS area FROM (
-  SELECT s_suppkey AS cell, w * h - CASE WHEN is_l THEN (w / 2) * (h / 2) ELSE 0 END AS a
+  SELECT {s.PARK_KEY} AS cell, w * h - CASE WHEN is_l THEN (w / 2) * (h / 2) ELSE 0 END AS a
   FROM (SELECT s_suppkey, {s.PARK_W} AS w, {s.PARK_H} AS h, {s.PARK_L} AS is_l FROM supplier)
   UNION ALL
   SELECT CAST(floor(floor(p_partkey / 2) / 10) AS BIGINT), w * h - CASE WHEN hole THEN (w / 2) * (h / 2) ELSE 0 END

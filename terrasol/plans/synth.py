@@ -155,6 +155,8 @@ END"""
 STOP_REASON = "CASE WHEN doc_id % 5 = 2 THEN 'maxPredictedTokensReached' ELSE 'eosFound' END"
 
 # Park rectangles / L-shapes (supplier) and land-cover rectangles with holes (part), metres in EPSG:2154.
+# some parks are listed twice, in two vintages and shapes under one id
+PARK_KEY = "CASE WHEN s_suppkey % 10 = 7 THEN s_suppkey - 1 ELSE s_suppkey END"
 PARK_X0 = "cast(s_suppkey AS double) * 1000.0 + 100.0 + cast(s_suppkey % 3 AS double) * 50.0"
 PARK_Y0 = "6600000.0 + cast(s_suppkey % 5 AS double) * 40.0"
 # every 25th park is 40 km wide and lies over its neighbours' covers
