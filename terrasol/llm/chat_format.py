@@ -9,6 +9,7 @@ count are recorded in order.  Everything is Column code.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,10 +51,22 @@ class Template:
 
     def escape(self, text) -> Column:
         """Put one more backslash after the first character of a control string (however many stand there already)."""
-        return F.regexp_replace(text, F.lit(rf"({self._heads()})(\\*)(?={self._tails()})"), F.lit(r"$1\\$2"))
+        text = F.col(text) if isinstance(text, str) else text
+        done = F.regexp_replace(text, F.lit(rf"({self._heads()})(\\*)(?={self._tails()})"), F.lit(r"$1\\$2"))
+        return F.when(self._any(text, {c[0] for c in self.controls}), done).otherwise(text)
 
     def unescape(self, text) -> Column:
-        return F.regexp_replace(text, F.lit(rf"({self._heads()})\\(\\*)(?={self._tails()})"), F.lit("$1$2"))
+        text = F.col(text) if isinstance(text, str) else text
+        done = F.regexp_replace(text, F.lit(rf"({self._heads()})\\(\\*)(?={self._tails()})"), F.lit("$1$2"))
+        return F.when(text.contains("\\"), done).otherwise(text)
+
+    @staticmethod
+    def _any(text: Column, characters) -> Column:
+        """A cheap test that most texts fail, before the pattern is tried."""
+        out = F.lit(False)
+        for c in sorted(characters):
+            out = out | text.contains(c)
+        return out
 
 
 def expanded_tokens(part: Column, t: Template) -> Column:
@@ -65,12 +78,24 @@ def expanded_tokens(part: Column, t: Template) -> Column:
             .otherwise(0).cast("long"))
 
 
-def visit(part: Column, t: Template) -> Column:
-    """One part as text: a text (or a part of unknown type) escaped, an attachment as its placeholder."""
-    out = t.escape(F.coalesce(part["text"], F.lit("")))
-    for kind in ("image", "audio", "document"):
-        out = F.when(part["type"] == kind, F.lit(t.placeholder(kind))).otherwise(out)
-    return out
+def visited(parts: Column, t: Template) -> Column:
+    """The parts of a message as one text: texts (and parts of unknown type) escaped, attachments as placeholders.
+
+    Texts that stand side by side are escaped as the one text they become, so no control
+    string arises where two of them meet; a placeholder parts them.
+    """
+    kinds = ("image", "audio", "document")
+    mark = lambda p: reduce(lambda out, k: F.when(p["type"] == k, F.lit(t.placeholder(k))).otherwise(out), kinds, F.lit(None).cast("string"))
+    text = lambda p: F.coalesce(p["text"], F.lit(""))
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("run"))
+
+    def step(acc, p):
+        put = F.struct(F.concat(acc["out"], t.escape(acc["run"]), mark(p)).alias("out"), F.lit("").alias("run"))
+        return F.when(mark(p).isNotNull(), put).otherwise(F.struct(acc["out"].alias("out"), F.concat(acc["run"], text(p)).alias("run")))
+
+    mixed = F.aggregate(parts, start, step, lambda acc: F.concat(acc["out"], t.escape(acc["run"])))
+    plain = t.escape(F.array_join(F.transform(parts, text), ""))
+    return F.when(F.exists(parts, lambda p: F.coalesce(p["type"].isin(*kinds), F.lit(False))), mixed).otherwise(plain)
 
 
 def format_turns(messages: DataFrame, t: Template = Template()) -> DataFrame:
@@ -82,7 +107,7 @@ def format_turns(messages: DataFrame, t: Template = Template()) -> DataFrame:
     for roles that are not trained on.  Turns go by turn (null first), then role
     and text; a null role is the empty role; repeated rows are turns of their own.
     """
-    body = F.array_join(F.transform(F.coalesce("parts", F.array().cast(PARTS)), lambda p: visit(p, t)), "")
+    body = visited(F.coalesce("parts", F.array().cast(PARTS)), t)
     role = F.coalesce("role", F.lit(""))
     kept = F.filter("parts", lambda p: p["type"].isin("image", "audio", "document"))
     rows = (messages.withColumn("_body", body).withColumn("_role", role)
@@ -122,7 +147,7 @@ def read_back(df: DataFrame, t: Template = Template()) -> DataFrame:
     head = lambda p: mark(p) - 1 + len(t.text)
     body = lambda p: F.length(p) - head(p) - len(t.end)
     # text before the first turn mark is empty; every other piece is a turn without its mark
-    df = df.withColumn("_pieces", F.slice(F.split("formatted", quote(t.turn)), F.lit(2), F.size(F.split("formatted", quote(t.turn)))))
+    df = df.withColumn("_pieces", F.split("formatted", quote(t.turn))).withColumn("_pieces", F.slice("_pieces", F.lit(2), F.size("_pieces")))
     df = df.withColumn("_before", running(F.transform("_pieces", lambda p: F.length(p) + len(t.turn))))
     first = lambda p, i: (F.get("_before", i) + len(t.turn) + head(p)).cast("long")
     return df.withColumn("turns", F.transform("_pieces", lambda p, i: F.struct(
