@@ -24,12 +24,13 @@ KINDS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,
 #: Cheap tests that every text with a match passes.
 HINT = {"assign": r"(?i:pass|secret|token|key)[a-zA-Z]*[\"']?\x20*[:=]", "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 ASSIGN_LEAST = 6
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Runs of key characters that are scored.  Shorter ones cannot be told from words: of so few pairs the ratio's spread is as large as the threshold.
+RUN = r"[A-Za-z0-9+/_=-]{12,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Log-likelihood ratio from which a run counts as random: odds of 10,000 to 1.
 THRESHOLD = math.log(10_000)
 #: Characters a stretch inside a run has at least; separators that it is widened to.
-LEAST = 12
+LEAST = 10
 SEPARATORS = "/_=-"
 #: Bound of the documents that training samples are taken from.
 MAX_DOCS = 2000
@@ -61,9 +62,10 @@ def base_spans(df: DataFrame) -> DataFrame:
 def samples(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """Labelled training strings ``s, random`` from at most about ``max_docs`` documents chosen by a hash."""
     n = docs.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30))  # by the text as well: ids may be missing
     some = docs.where(draw < int(min(1.0, max_docs / max(1, n)) * (1 << 30))).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+        F.concat_ws(" ", F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.xxhash64("text").cast("string"))).alias("id"),
+        F.coalesce("text", F.lit("")).alias("text"))
     digest = F.sha2(F.concat(F.lit("sample"), "id"), 256)
     digests = F.array(digest, F.upper(F.md5("id")), F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(F.sha1("id"))), "+/", "-_"))
     values = F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda s: F.length(s) >= 16)
@@ -141,9 +143,10 @@ def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> D
     """All columns of docs and ``base`` and ``spans``: arrays of (start, rank, end, kind), by start, then kind.
 
     ``base`` holds the pattern matches; ``spans`` adds what looks random in runs of
-    20 characters or more (kind ``markov``): the whole run, or its part outside the
+    12 characters or more (kind ``markov``): the whole run, or its part outside the
     base spans, or else the stretches in it that do.  Offsets are code points, the
-    end exclusive.  Null text is the empty text (no spans).
+    end exclusive.  Null text is the empty text (no spans); repeated rows have the same
+    spans; an empty table stays empty.
     """
     own = [c for c in docs.columns if c not in ("base", "spans")]
     df = docs.select(F.struct(*own).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
