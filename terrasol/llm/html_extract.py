@@ -24,13 +24,14 @@ from terrasol.llm.common import batches
 
 #: Bound of the labelled pages that are counted.
 MAX_LABELLED = 5000
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>"
-    # only raw text reaches to the page's end when its end tag is missing; the other elements are then plain tags
-    r"|<(script|style|iframe|textarea|title)\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(?:noscript|template|svg|object|canvas|math)\b[^>]*/>|<(noscript|template|svg|object|canvas|math)\b[^>]*>.*?</\2\s*>"
-    r"|<(?:select|button)\b[^>]*/>|<(select|button)\b[^>]*>(?:(?!<\3\b).)*?</\3\s*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+#: Elements whose text runs to their end tag, or to the page's end without one; elements skipped whole where their end
+#: tag is ahead; those that also end at the next one of their name.
+RAW = frozenset("script style iframe textarea title".split())
+SKIPPED = frozenset("noscript template svg object canvas math".split())
+CONTROLS = frozenset("select button".split())
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+END = re.compile(r"""[>"']""")
+LOWER = {c: c + 32 for c in range(65, 91)}
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,6 +83,85 @@ def group(name: str) -> str:
     return "h" if name in HEADING else "td" if name in ("td", "th") else name if name in ("p", "li", "div") else "other"
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of the tags of a page in one forward pass; the name is "" for comments and skipped elements.
+
+    What is not ahead is looked for once: the quotes from which no tag end was found, the
+    last place of every character, the names without an end tag.  So a page of broken
+    markup takes time in proportion to its length.
+    """
+    low = page.translate(LOWER)
+    last = {c: page.rfind(c) for c in ">\"'"}
+    dead: set[int] = set()
+    unclosed: set[str] = set()
+    comment_end = cdata_end = 0  # -1: none ahead
+
+    def tag_end(at: int) -> int:
+        """Place of the first > outside quotes; without one the first > of all; -1: none."""
+        k, seen = at, []
+        while True:
+            m = END.search(page, k)
+            if m is None or m.start() in dead:
+                break
+            k = m.start()
+            if page[k] == ">":
+                return k
+            seen.append(k)
+            if last[page[k]] == k:
+                break
+            k = page.find(page[k], k + 1) + 1
+        dead.update(seen)
+        return page.find(">", at)
+
+    at = 0
+    while True:
+        i = page.find("<", at)
+        if i < 0 or i > last[">"]:
+            if i >= 0 and page.startswith("<!--", i):
+                yield i, len(page), "", False, ""
+            return
+        at = i + 1
+        if page.startswith("<!", i) or page.startswith("<?", i):
+            if page.startswith("<!--", i):
+                comment_end = page.find("-->", i + 4) if comment_end >= 0 else -1
+                at = comment_end + 3 if comment_end >= 0 else len(page)
+            elif low.startswith("<![cdata[", i) and cdata_end >= 0 and (cdata_end := page.find("]]>", i)) >= 0:
+                at = cdata_end + 3
+            else:
+                at = page.find(">", i) + 1
+            yield i, at, "", False, ""
+            continue
+        m = NAME.match(page, i)
+        if m is None:
+            continue
+        closing, name = page[i + 1] == "/", low[m.start(1):m.end(1)]
+        end = tag_end(m.end())
+        if end < 0:
+            continue
+        attributes, at = page[m.end():end], end + 1
+        if closing or not (name in RAW or name in SKIPPED or name in CONTROLS):
+            yield i, at, name, closing, attributes
+            continue
+        if attributes.endswith("/"):
+            yield i, at, "", False, ""
+            continue
+        stop = None
+        if name not in unclosed:
+            # a control ends before the next one of its name, so no more than that is searched
+            nxt = low.find("<" + name, at) if name in CONTROLS else -1
+            stop = re.compile(f"</{name}\\s*>").search(low, at, nxt if nxt >= 0 else len(low))
+            if stop is None and nxt < 0:
+                unclosed.add(name)
+        if stop is not None:
+            at = stop.end()
+            yield i, at, "", False, ""
+        elif name in RAW:
+            yield i, len(page), "", False, ""
+            return
+        else:
+            yield i, at, name, False, attributes
+
+
 def follow(page: str) -> Iterator[tuple[str, str, list, tuple | None, str]]:
     """(text before the tag, tag, elements it closes, element it opens, block after it); the tag is "" for comments and at the end.
 
@@ -92,24 +172,27 @@ def follow(page: str) -> Iterator[tuple[str, str, list, tuple | None, str]]:
     stack: list[tuple[str, str, int]] = []
     article = at = 0
     block = "body"
-    for m in TOKEN.finditer(page):
-        raw, at = page[at:m.start()], m.end()
-        name = (m[5] or "").lower()
+    open_names: Counter = Counter()
+    for start, end, name, closing, attributes in tags(page):
+        raw, at = page[at:start], end
         popped, pushed = [], None
-        if name and m[4]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
+        if name and closing:
+            if open_names[name]:  # an end tag without its element is not searched for in the stack
+                depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
                 popped = stack[depth:]
                 del stack[depth:]
-        elif name and name not in VOID and not m[6].endswith("/"):
-            kind = noise_kind(name, m[6], bool(article))
+        elif name and name not in VOID and not attributes.endswith("/"):
+            kind = noise_kind(name, attributes, bool(article))
             if name not in INLINE or name == "a" or kind:  # formatting is no element of its own
                 if name == "p" and stack and stack[-1][0] == "p":
                     popped = [stack.pop()]
-                pushed = (name, kind, m.start())
+                pushed = (name, kind, start)
                 stack.append(pushed)
+                open_names[name] += 1
                 article += name in CONTENT
-        article -= sum(n in CONTENT for n, _, _ in popped)
+        for n, _, _ in popped:
+            open_names[n] -= 1
+            article -= n in CONTENT
         if name and name not in INLINE:
             block = next((group(n) for n, _, _ in reversed(stack) if n != "a"), "body")
         yield raw, name, popped, pushed, block
@@ -258,10 +341,14 @@ def main_text(page: str, w: dict[tuple[str, str], float]) -> str:
 
 
 def learn(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[tuple[str, str], float]:
-    """Weights from pages that hold exactly one article element (at most about ``max_labelled``, chosen by a hash)."""
+    """Weights from pages that hold exactly one article element (at most about ``max_labelled``, chosen by a hash).
+
+    Null html takes no part, repeated rows count each; without any such page (an empty
+    table as well) the weights are those of the prior counts.
+    """
     labelled = pages.where(F.regexp_count("html", F.lit("(?i)<article[\\s>]")) == 1)
     n = labelled.count()
-    draw = F.pmod(F.xxhash64("page_id", F.lit(6)), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64("page_id", "html", F.lit(6)), F.lit(1 << 30))  # by the page as well: ids may be missing
     chosen = labelled.where(draw < int(min(1.0, max_labelled / max(1, n)) * (1 << 30))).select("html")
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,7 +365,11 @@ def learn(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[tuple[str,
 
 
 def extract(pages: DataFrame, w: dict[tuple[str, str], float]) -> DataFrame:
-    """``page_id, url, text, n_chars``; null or empty html and pages without content have the empty text."""
+    """``page_id, url, text, n_chars`` of every row.
+
+    Null or empty html and pages without content have the empty text; repeated rows are
+    rows of their own; an empty table gives an empty result; other columns are not read.
+    """
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 500):
             texts = [main_text(p or "", w) for p in b.column("html").to_pylist()]

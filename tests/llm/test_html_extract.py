@@ -84,3 +84,29 @@ def test_unclosed_elements_do_not_swallow_the_page(spark):
         assert hx.main_text(f"<div><{tag}><p>the words of a text</p></div>", w) == "the words of a text", tag
     assert hx.main_text("<button>one<p>the words of a text</p><button>two</button>", w).endswith("the words of a text")
     assert hx.main_text("<p class=ad>Buy<p>the words of a text</p>", w) == "the words of a text"
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    w = hx.weights({})
+    for piece in ("<a 'x ", "<![CDATA[", "<svg>", "<button>", "<!--", "<a '>' ", "<script", "</div>", "<", "<p title='", "<select><b>", "<a \"'\">", "<x='\""):
+        start = time.process_time()
+        hx.main_text(f"<p>{'the words of a text ' * 20}</p>" + piece * (1_000_000 // len(piece)), w)
+        assert time.process_time() - start < 6, piece  # seconds for 1 MB; it was minutes where time grew with the square
+
+
+def test_tags_of_broken_markup():
+    names = lambda page: [(n, c) for _, _, n, c, _ in hx.tags(page)]
+    assert names("<a href='x>y'>b</a><br/><!-- <p> --><p") == [("a", False), ("a", True), ("br", False), ("", False)]
+    assert names("<a 'x>y<b>z</b>") == [("a", False), ("b", False), ("b", True)]   # the quote has no end: the tag ends at the first >
+    assert names("<script>var a = '<p>';</script><p>x") == [("", False), ("p", False)] and names("<script><p>x") == [("", False)]
+    assert names("<svg><p>x</svg><svg><p>") == [("", False), ("svg", False), ("p", False)]
+    assert names("<button>a<button>b</button>") == [("button", False), ("", False)] and names("a < b <> c </ d") == []
+
+
+def test_empty_table_and_rows_without_ids(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert hx.extract(none, hx.learn(none)).collect() == []
+    rows = [(None, None, f"<nav>menu {k}</nav><article><p>{'words of the text ' * 9}</p></article>") for k in range(200)]
+    pages = spark.createDataFrame(rows, none.schema)
+    assert hx.learn(pages, 100) != hx.learn(none) and hx.extract(pages, hx.learn(pages, 100)).where("n_chars > 0").count() == 200
