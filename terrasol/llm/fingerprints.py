@@ -4,8 +4,8 @@ Leaves are paragraphs (lines); runs of paragraphs that end at a paragraph whose
 digest has three zero bits form a section, so that an edit moves few section
 bounds; the root is the digest of the sections.  Equal roots mean equal texts;
 where roots differ, only differing sections and then differing paragraphs are
-looked at, which locates edits.  Below the paragraphs a fixed-size sketch of word
-runs (the least hashes) tells how alike two texts with different roots are.
+looked at, which locates edits and weighs them.  Below the paragraphs a fixed-size
+sketch of word runs (the least hashes) tells how much of the differing ones is alike.
 """
 
 from __future__ import annotations
@@ -104,16 +104,18 @@ class Sketcher:
         return runs[:self.size]
 
 
-def fingerprint(text: bytes, sketch: Sketcher) -> str:
+def weigh(t: Tree) -> int:
+    """Bytes of a text and one per paragraph."""
+    return sum(p[1] - p[0] + 1 for _, ps in t.sections for p in ps)
+
+
+def fingerprint(t: Tree, runs: np.ndarray) -> str:
     """Root digest and sketch as text."""
-    return f"{tree(text).root.hex()}:{base64.b64encode(sketch(text).astype('<u4').tobytes()).decode()}"
+    return f"{t.root.hex()}:{base64.b64encode(runs.astype('<u4').tobytes()).decode()}"
 
 
-def likeness(a: str, b: str, size: int = SKETCH) -> float:
-    """0 to 1 from two fingerprints alone: 1 for equal roots, else the estimated share of common word runs (Dice)."""
-    if a[:32] == b[:32]:
-        return 1.0
-    x, y = (np.frombuffer(base64.b64decode(s[33:]), "<u4") for s in (a, b))
+def run_share(x: np.ndarray, y: np.ndarray, size: int = SKETCH) -> float:
+    """Estimated share of common word runs (Dice) from two sketches."""
     both = np.union1d(x, y)[:size]
     if not len(both):
         return 0.0
@@ -121,6 +123,26 @@ def likeness(a: str, b: str, size: int = SKETCH) -> float:
     return 2 * share / (1 + share)
 
 
+def likeness(a: tuple[Tree, np.ndarray], b: tuple[Tree, np.ndarray]) -> float:
+    """0 to 1 from the trees and sketches of two texts; 1 for equal roots only.
+
+    The trees' differing branches tell which share of the texts, by bytes, stands in
+    paragraphs that both have; where paragraphs differ in part only, the sketches'
+    share of word runs is the higher one and counts.  Common paragraphs that stand in
+    differing sections (moved or beside an edit) cost a quarter of the cost of others.
+    """
+    (s, x), (t, y) = a, b
+    if s.root == t.root:
+        return 1.0
+    total = weigh(s) + weigh(t)
+    changed = sum(hi - lo + 1 for lo, hi in (*edits(s, t), *edits(t, s)))
+    ours, theirs = ({d for d, _ in u.sections} for u in (s, t))
+    branches = sum(p[1] - p[0] + 1 for u, other in ((s, theirs), (t, ours)) for d, ps in u.sections if d not in other for p in ps)
+    near = max(1 - changed / total, run_share(x, y) if changed else 1.0)
+    near -= (branches - changed) / total * (1 - near if changed else 1.0) / 4
+    return float(min(max(near, 0.0), 1 - 1 / (1 + total)))  # different roots: below 1 however little differs
+
+
 def merkle_trees(docs: DataFrame) -> DataFrame:
     """``doc_id, root, sections`` (digest and paragraphs with byte spans) of every text; null text is the empty text."""
     schema = "doc_id long, root string, sections array<struct<digest:string,paragraphs:array<struct<first:long,end:long,digest:string>>>>"
@@ -185,22 +207,25 @@ def fingerprint_edits(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFram
     The edited text replaces the last floor(n_chars / 4) code points by the first
     as many (or all) of the next document by doc_id (after the last: the first).
     Null text is the empty text; a single row is its own next document; repeated
-    rows follow each other; an empty table gives an empty result.
+    rows follow each other; an empty table gives an empty result.  ``edited_spans`` are
+    the byte spans of the edited text's paragraphs that the text lacks.
     """
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-              "near_edited double, near_next double")
-    names = [x.split()[0] for x in schema.split(", ")]
+              "near_edited double, near_next double, edited_spans array<struct<first:long,end:long>>")
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edited_spans"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher()
-        last = None  # (part, guest, doc_id, text, fingerprint) of the row before
+        last = None  # (part, guest, doc_id, text, tree and sketch) of the row before
 
-        def result(row, text: str, mark: str) -> tuple:
-            """Of a row, by the text and the fingerprint of the row after it."""
+        def result(row, text: str, mark: tuple) -> tuple:
+            """Of a row, by the text, tree and sketch of the row after it."""
             cut = len(row[3]) // 4
             edited = (row[3][:len(row[3]) - cut] + text[:cut]).encode()
-            own = fingerprint(edited, sketch) if cut else row[4]
-            return row[2], len(row[3]), hashlib.sha256(edited).hexdigest(), row[4], own, likeness(row[4], own), likeness(row[4], mark)
+            own = (tree(edited), sketch(edited)) if cut else row[4]
+            spans = [{"first": lo, "end": hi} for lo, hi in edits(own[0], row[4][0])]
+            return (row[2], len(row[3]), hashlib.sha256(edited).hexdigest(), fingerprint(*row[4]), fingerprint(*own),
+                    likeness(row[4], own), likeness(row[4], mark), spans)
 
         for b in batches(it, 1000):
             out = []
@@ -208,12 +233,13 @@ def fingerprint_edits(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFram
                 follows = last is not None and last[0] == part and not last[1]
                 if guest and not follows:
                     continue  # one guest ends a part
-                mark = fingerprint(text.encode(), sketch)
+                raw = text.encode()
+                mark = tree(raw), sketch(raw)
                 if follows:
                     out.append(result(last, text, mark))
                 last = (part, guest, doc, text, mark)
             cols = list(zip(*out)) or [()] * len(names)
-            types = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+            types = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     return with_next(docs, part_chars).mapInArrow(run, schema)

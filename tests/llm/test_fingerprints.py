@@ -64,12 +64,41 @@ def test_edits_are_located(spark):
     assert r[0].root == ta.root.hex() and sum(len(s.paragraphs) for s in r[0].sections) == 300 and r[1].root == fp.tree(b"").root.hex()
 
 
+def marks(text, s=fp.Sketcher()):
+    raw = text.encode()
+    return fp.tree(raw), s(raw)
+
+
 def test_likeness_follows_edits():
-    s = fp.Sketcher()
     words = [f"w{i * 7919 % 1000}" for i in range(600)]
-    full = fp.fingerprint(" ".join(words).encode(), s)
-    shares = []
-    for kept in (600, 540, 450, 300, 0):
-        other = words[:kept] + [f"x{i}" for i in range(600 - kept)]
-        shares.append(fp.likeness(full, fp.fingerprint(" ".join(other).encode(), s)))
-    assert shares[0] == 1 and shares == sorted(shares, reverse=True) and shares[-1] < 0.05 and abs(shares[2] - 0.75) < 0.12
+    for glue in (" ", "\n"):
+        full, shares = marks(glue.join(words)), []
+        for kept in (600, 540, 450, 300, 0):
+            shares.append(fp.likeness(full, marks(glue.join(words[:kept] + [f"x{i}" for i in range(600 - kept)]))))
+        assert shares[0] == 1 and shares == sorted(shares, reverse=True) and shares[-1] < 0.05 and abs(shares[2] - 0.75) < 0.12
+
+
+def test_likeness_is_one_for_equal_roots_only():
+    import random
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(3000)}" for _ in range(5000)]
+    for _ in range(50):  # one changed word in a long text: the sketches alone are often equal
+        at = rng.randrange(5000)
+        near = fp.likeness(marks(" ".join(words)), marks(" ".join([*words[:at], "changed", *words[at + 1:]])))
+        assert 0.97 < near < 1
+    lines = [f"paragraph {i} has its own words {i * 7}" for i in range(200)]
+    moved = lines[:]
+    rng.shuffle(moved)
+    assert 0.7 < fp.likeness(marks("\n".join(lines)), marks("\n".join(moved))) < 1
+    swapped = fp.likeness(marks("\n".join(lines)), marks("\n".join(lines[100:] + lines[:100])))
+    assert 0.7 < swapped < 1 and fp.likeness(marks(""), marks("a")) < 1 and fp.likeness(marks(""), marks("")) == 1
+
+
+def test_query_locates_the_edits(spark):
+    rows = [(1, "\n".join(f"first line {i}" for i in range(40))), (2, "another text\nof two lines"), (3, None)]
+    got = {r.doc_id: r for r in fp.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    cut = len(rows[0][1]) // 4
+    edited = (rows[0][1][:len(rows[0][1]) - cut] + rows[1][1][:cut]).encode()
+    lines = rows[0][1].encode().split(b"\n")
+    assert [edited[s.first:s.end] for s in got[1].edited_spans] == [x for x in edited.split(b"\n") if x not in lines]
+    assert got[3].edited_spans == [] and got[3].near_edited == 1
