@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from terrasol.llm.common import Scratch, WordIds, mix, text_bytes, utf8
 
-ORDER = 2
+ORDER = 3
 #: Weight of the shorter context in the smoothed estimate: a constant, and a share of the context's count.
 K, A = 3.0, 6.0
 #: The same with an exponent below 1, so that the share falls as a context is seen more often (fitted on training rows of sf0.1).
@@ -43,7 +43,7 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def pack_blocks(docs: DataFrame, blocks: int, train: Column) -> DataFrame:
     """``block, ids, train, blob``: texts of a scan batch by block, compressed, so that the shuffle moves few bytes."""
-    block = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")  # rows without an id are dealt by their texts
     rows = docs.select("doc_id", "text", train.alias("_train"), block.alias("_block"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,18 +266,16 @@ def score_block(pdf: pd.DataFrame, told: pd.DataFrame, tokens: int, types: int,
     real[g.first] = False
     c, doc = count[1][g.of[1][real]], g.doc[real]
     base = np.bincount(doc, np.log10((c + 1) / (tokens + types + 1)), minlength=len(ids))
-    # every bigram of the block has an arc here, so its scores need no traversal
-    pairs = Automaton(g, count, tokens, types, 2).arc[2][g.of[2][real]] if order > 1 else np.full(len(doc), np.nan)
     return pd.DataFrame({
         "doc_id": pd.array(ids, "Int64"), "train": train, "n_tokens": g.n + 1, "n_known": np.bincount(doc, c > 0, minlength=len(ids)).astype(np.int64),
-        "train_tokens": tokens, "base_score": base, "bigram_score": np.bincount(doc, pairs, minlength=len(ids)), "score": Automaton(g, count, tokens, types, order, weights).scores(g)})
+        "train_tokens": tokens, "base_score": base, "score": Automaton(g, count, tokens, types, order, weights).scores(g)})
 
 
-def score_texts(docs: DataFrame, train: Column, order: int = ORDER, weights: tuple[float, ...] = (K, A), block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, bigram_score, score`` for every row of docs.
+def score_texts(docs: DataFrame, train: Column, order: int = 2, weights: tuple[float, ...] = (K, A), block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` for every row of docs.
 
-    ``score`` has the given order and weights (K, A and, if not 1, the exponent E),
-    ``bigram_score`` order 2 with the linear weight (NaN for order 1).
+    ``score`` is what the traversal of the automaton of the given order adds up
+    (weights: K, A and, if not 1, the exponent E); ``base_score`` that of single words.
 
     The model learns from the rows where ``train`` holds.  Null and empty texts
     consist of the end token; rows without an id and repeated rows are scored (and
@@ -295,6 +293,6 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, weights: tup
         answers, "block int, bucket int, k int, counts binary, tokens long, types long"), "totals")
     r = told.where("block = -1").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = r.n or 0, r.v or 0
-    schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, bigram_score double, score double"
+    schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return packed.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInPandas(
         lambda a, b: score_block(a, b, tokens, types, order, weights), schema)

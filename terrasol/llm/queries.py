@@ -18,18 +18,18 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log10 probabilities of all documents under the trigram model of the training rows (``score``: its bigrams, linear weight)."""
+    """Log10 probabilities of all documents under the trigram automaton of the training rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_crc() % 7 == 2
-    scored = lm_score.score_texts(docs, ~held_out, order=3, weights=lm_score.FALLING)
+    scored = lm_score.score_texts(docs, ~held_out, lm_score.ORDER, lm_score.FALLING)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
-                         F.col("bigram_score").alias("score"), F.col("score").alias("trigram_score"))
+                         "score")
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     vectors = topk_search.integer_vectors(table(spark, sf_dir, "embeddings"))
-    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+    return topk_search.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
 
 
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,15 +117,15 @@ QUERIES = {f.__name__: f for f in (op1_lm_score, op2_topk, op3_mix, op4_chat_for
 ORACLES = {
     "op2_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+            SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id,
                    CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.n <> c.n),
+        r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS k FROM s)
         SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20""",
     "op4_chat_format": r"""
         WITH t AS (
