@@ -48,3 +48,38 @@ def test_features_are_shares_of_hashed_ngrams():
     assert len(f("")) == 0 and len(f("one")) == 2 and len(f("a b c")) == 3 + 2 + 3 + 2 + 1
     assert sorted(f("Der der")) != sorted(f("Der die"))
     assert (f("a b a b") == quality.Features()("a b a b")).all()
+
+
+def test_scores_equal_a_direct_computation(spark, docs):  # noqa: F811
+    import math
+    import re
+    import xxhash
+    import numpy as np
+    from terrasol.llm import quality
+    rng = np.random.default_rng(1)
+    weights = rng.normal(0, 1, (1 << 10) + 1)
+
+    def mixed(x):
+        m = (1 << 64) - 1
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & m
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & m
+        return x ^ x >> 31
+
+    def direct(text):
+        m, h = (1 << 64) - 1, xxhash.xxh3_64_intdigest
+        words, shapes = [], []
+        for w in re.findall(r"\w+|[^\w\s]+", text):
+            shape = w[:2] if not w[0].isalnum() else "9" if w.isdigit() else "u" if len(w) > 1 and w.isupper() else "t" if w[0].isupper() else "l"
+            words.append(h(w.lower().encode()))
+            shapes.append(h(b"\0" + shape.encode()) ^ (0x5555 if len(words) > 1 and words[-1] == words[-2] else 0))
+        grams = [*words, *(a * 3 + b & m for a, b in zip(words, words[1:])), *shapes, *(a * 5 + b & m for a, b in zip(shapes, shapes[1:])),
+                 *(a * 7 + b * 11 + c & m for a, b, c in zip(shapes, shapes[1:], shapes[2:]))]
+        values = [float(np.float32(weights[mixed(g) & 1023])) for g in grams]
+        z = float(np.float32(weights[-1])) + (sum(values) * quality.SCALE / len(grams) if grams else 0.0)
+        return 1 / (1 + math.exp(-min(max(z, -35.0), 35.0)))
+
+    got = {r.doc_id: r.score for r in quality.score(docs, weights, 10).collect()}
+    for r in docs.collect():
+        assert math.isclose(got[r.doc_id], direct(r.text or ""), rel_tol=1e-9, abs_tol=1e-12)

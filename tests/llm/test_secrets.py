@@ -85,3 +85,72 @@ def test_random_keys_inside_longer_runs(spark, docs):
     assert sum(second) >= 0.9 * len(rows)
     plain = spark.createDataFrame([(i, f"see {sep.join(rng.sample(vocabulary, 12))} end") for i, sep in enumerate("/_-" * 40)], "doc_id long, text string")
     assert sum(bool(r.spans) for r in secrets.scan(plain, table).collect()) <= 6
+
+
+def test_short_random_keys_are_found_and_words_are_not(spark, docs):
+    rng = random.Random(11)
+    table = secrets.train(docs)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(n, "".join(rng.choice(alphabet) for _ in range(n))) for n in (12, 14, 16, 18, 19) for _ in range(100)]
+    df = spark.createDataFrame([(i, f"see {k} end") for i, (_, k) in enumerate(keys)], "doc_id long, text string")
+    found = {r.doc_id for r in secrets.scan(df, table).collect() if r.spans}
+    for n in (12, 14, 16, 18, 19):
+        assert sum(i in found for i, (m, _) in enumerate(keys) if m == n) >= (90 if n == 12 else 95)
+    long_words = sorted({w for r in docs.collect() for w in re.findall("[A-Za-z]{12,}", r.text or "")})
+    plain = spark.createDataFrame([(i, f"the {w} end") for i, w in enumerate(long_words)], "doc_id long, text string")
+    assert len(long_words) > 100 and secrets.scan(plain, table).where("size(spans) > 0").count() <= 0.05 * len(long_words)
+
+
+def markov(text, table):
+    """The spans that look random, step by step."""
+    n, out = len(secrets.ALPHABET), []
+    for run in re.finditer("[A-Za-z0-9+/_=-]{12,}", text):
+        at, parts = run.start(), []
+        for s, _, e, _ in base(text):
+            if s < run.end() and e > run.start():
+                if s > at:
+                    parts.append((at, s))
+                at = max(at, e)
+        if at < run.end():
+            parts.append((at, run.end()))
+        for lo, hi in parts:
+            if hi - lo < secrets.LEAST:
+                continue
+            code = [secrets.ALPHABET.index(c) for c in text[lo:hi]]
+            ratio = [table[a * n + b] for a, b in zip(code, code[1:])]
+            if sum(ratio) >= secrets.THRESHOLD:
+                out.append((lo, hi))
+                continue
+            total = best = 0.0
+            first = end = 0
+            found = []
+            for k, x in enumerate([*ratio, None]):
+                if x is None or total + x <= 0 or total + x < best - secrets.THRESHOLD:
+                    if best >= secrets.THRESHOLD and end - first >= secrets.LEAST:
+                        found.append((first, end))
+                    total = best = 0.0
+                    first = end = k + 1
+                else:
+                    total += x
+                    if total > best:
+                        best, end = total, k + 2
+            part = text[lo:hi]
+            for a, b in found:
+                while a and part[a - 1] not in secrets.SEPARATORS:
+                    a -= 1
+                while b < len(part) and part[b] not in secrets.SEPARATORS:
+                    b += 1
+                if (lo + a, lo + b) not in out:
+                    out.append((lo + a, lo + b))
+    return out
+
+
+def test_markov_spans_equal_a_direct_scan(spark, docs):
+    rng = random.Random(12)
+    table = secrets.train(docs)
+    key = lambda n: "".join(rng.choice(secrets.ALPHABET) for _ in range(n))
+    words = ["horizon", "of", "the-long", "parser_state", "AKIA" + "B1" * 9, "0123456789abcdef" * 2, "token=abcdefgh12", "a/b/c", "configuration"]
+    texts = [rng.choice(["", " ", "/", "_", "="]).join(rng.choice([*words, key(rng.randrange(3, 30))]) for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted((s.start, s.end) for s in r.spans if s.kind == "markov") for r in secrets.scan(df, table).collect()}
+    assert got == {i: sorted(markov(t, table)) for i, t in enumerate(texts)} and sum(map(bool, got.values())) > 100
