@@ -15,7 +15,6 @@ import base64
 import os
 import zlib
 from array import array
-from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -127,46 +126,95 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     return docs.select("doc_id", "text").mapInArrow(released(run), schema)
 
 
+class SumIndex:
+    """Which available lengths make up a sum: single lengths, pairs and triples, looked up by their sum.
+
+    Counts only fall, so for every sum the index remembers where its next pair and its
+    next triple may begin and never goes back over lengths that were used up: all
+    lookups of a plan together cost about ``capacity`` squared steps.
+    """
+
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY):
+        self.left = {n: c for n, c in histogram.items() if c}
+        top = max(capacity, *self.left) if self.left else capacity
+        #: For each sum, the largest smaller part of a pair, and the largest part of a triple, not ruled out yet.
+        self.pair_at = [s // 2 for s in range(top + 1)]
+        self.triple_at = list(range(top + 1))
+
+    def has(self, *lengths: int) -> bool:
+        return all(self.left.get(n, 0) >= lengths.count(n) for n in lengths)
+
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """The most even available pair of a sum."""
+        a = self.pair_at[total]
+        while a > 0 and not self.has(a, total - a):
+            a -= 1
+        self.pair_at[total] = a
+        return (total - a, a) if a > 0 else None
+
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        """The available triple of a sum with the largest greatest part."""
+        a = self.triple_at[total]
+        while a > 0:
+            rest = self.pair(total - a) if a in self.left and a < total else None
+            if rest is not None:
+                if self.has(a, *rest):
+                    self.triple_at[total] = a
+                    return (a, *rest)
+                # a itself is in the pair and too rare for both: pairs further apart may do
+                b = next((b for b in range(rest[1] - 1, 0, -1) if self.has(a, b, total - a - b)), None)
+                if b is not None:
+                    self.triple_at[total] = a
+                    return a, total - a - b, b
+            a -= 1
+        self.triple_at[total] = 0
+        return None
+
+    def exact(self, gap: int) -> tuple[int, ...] | None:
+        """A single, pair or triple of available lengths that sums to the gap."""
+        return (gap,) if gap in self.left else self.pair(gap) or self.triple(gap)
+
+    def take(self, lengths: tuple[int, ...], times: int) -> None:
+        for n in lengths:
+            self.left[n] -= times
+            if not self.left[n]:
+                del self.left[n]
+
+
+def complement(index: SumIndex, gap: int, n: int) -> tuple[int, ...] | None:
+    """An exact complement of a length n that must stay available besides it."""
+    options = [(gap,)] + [(gap - a, a) for a in range(gap // 2, 0, -1)]
+    found = next((f for f in options if index.has(n, *f)), None)
+    if found is None:
+        for a in range(gap - 2, 0, -1):
+            if a in index.left:
+                found = next(((a, gap - a - b, b) for b in range((gap - a) // 2, 0, -1) if index.has(n, a, b, gap - a - b)), None)
+                if found:
+                    break
+    return found
+
+
 def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns ``(lengths, times)`` that use every length exactly as often as the histogram says."""
-    left = {n: c for n, c in sorted(histogram.items()) if c}
+    index = SumIndex(dict(sorted(histogram.items())), capacity)
+    left = index.left
     plan: list[tuple[tuple[int, ...], int]] = []
 
     def take(lengths: tuple[int, ...]) -> None:
-        need = {n: lengths.count(n) for n in lengths}
-        times = min(left[n] // k for n, k in need.items())
+        times = min(left[n] // lengths.count(n) for n in lengths)
         plan.append((lengths, times))
-        for n, k in need.items():
-            left[n] -= k * times
-            if not left[n]:
-                del left[n]
-
-    def there(*lengths: int) -> bool:
-        return all(left.get(n, 0) >= lengths.count(n) for n in lengths)
-
-    def exact(gap: int) -> tuple[int, ...] | None:
-        """A single, pair or triple of available lengths that sums to the gap: the most even pair of lookups first."""
-        if gap in left:
-            return (gap,)
-        keys = sorted(left)
-        for a in reversed(keys[:bisect_right(keys, gap // 2)]):
-            if there(a, gap - a):
-                return (gap - a, a)
-        for a in reversed(keys[:bisect_right(keys, gap)]):
-            rest = gap - a
-            for b in reversed(keys[:bisect_right(keys, rest // 2)]):
-                if rest - b <= a and there(a, b, rest - b):
-                    return (a, rest - b, b)
-        return None
+        index.take(lengths, times)
 
     # longest lengths first: each exact complement is consumed under the counts
     for n in sorted(left, reverse=True):
         while n in left:
-            left[n] -= 1
-            if not left[n]:
-                del left[n]
-            found = () if n == capacity else exact(capacity - n)
-            left[n] = left.get(n, 0) + 1
+            if n == capacity:
+                take((n,))
+                continue
+            found = index.exact(capacity - n)
+            # the complement may hold n itself
+            if found is None or not index.has(n, *found):
+                found = None if found is None else complement(index, capacity - n, n)
             if found is None:
                 break
             take((n, *found))
@@ -214,7 +262,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         raise ValueError(f"piece lengths must lie in 1..{capacity}")
     table = places(packing_plan(histogram, capacity))
     salts = max(1, sum(histogram.values()) // 50_000)
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
+    # a stored row number deals even pieces that are alike in everything; else their identity does
+    key = F.pmod(F.xxhash64(*(["_row"] if "_row" in pieces.columns else ["doc_id", "piece"])), F.lit(salts)).cast("int")
     salted = pieces.withColumn("_salt", key)
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(
@@ -224,7 +273,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
               .join(before.select("length", "_salt", F.coalesce("_before", F.lit(0)).alias("_before")), ["length", "_salt"])
               .withColumn("_rank", F.col("_before") + F.col("_at")).drop("_salt", "_before", "_at"))
 
-    names = [c for c in pieces.columns]
+    names = [c for c in pieces.columns if c != "_row"]
     schema = ranked.select(*names).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
 
     def assign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,4 +297,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ranks: str | None = None) -> DataFrame:
     """Tokenize, cut and pack a documents table (see :func:`token_pieces`, :func:`pack`)."""
     scratch = Scratch(docs.sparkSession, "packing")
-    return pack(scratch.save(token_pieces(docs, tokenizer, capacity, ranks=ranks), "pieces"), capacity)
+    pieces = token_pieces(docs, tokenizer, capacity, ranks=ranks).withColumn("_row", F.monotonically_increasing_id())
+    return pack(scratch.save(pieces, "pieces"), capacity)

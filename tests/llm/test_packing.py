@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -73,3 +74,23 @@ def test_plans_use_every_piece_once():
             assert sum(times for _, times in plan) <= 2 * best + 1
     exact = {600: 10, 424: 4, 200: 12, 224: 6, 24: 6}
     assert sum(t for _, t in packing.packing_plan(exact)) == -(-sum(n * c for n, c in exact.items()) // 1024)
+
+
+def test_sum_index_finds_what_exists():
+    rng = random.Random(6)
+    for _ in range(60):
+        top = rng.choice([12, 30, 64])
+        index = packing.SumIndex({rng.randrange(1, top + 1): rng.randrange(1, 4) for _ in range(rng.randrange(1, 14))}, top)
+        while index.left:  # counts fall, lookups must keep up with them
+            pool = [n for n, c in index.left.items() for _ in range(min(c, 3))]
+            for total in range(1, top + 1):
+                exists = any(sum(c) == total for k in (1, 2, 3) for c in itertools.combinations(pool, k))
+                found = index.exact(total)
+                assert (found is not None) == exists and (found is None or sum(found) == total and index.has(*found))
+            index.take((rng.choice(sorted(index.left)),), 1)
+
+
+def test_pieces_alike_in_everything_are_dealt(spark):
+    same = spark.createDataFrame([(None, "a b c d e")] * 3000, "doc_id long, text string")
+    got = packing.pack_documents(same, TOKENIZER, 64).collect()
+    check(got, [(None, "a b c d e")] * 3000, 64)
