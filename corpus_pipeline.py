@@ -74,17 +74,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole part, and the rest goes to the first of them by text.  Null texts have no
     words and are not taken; an empty table stays empty.
     """
+    scratch = Scratch(spark, "mix-stage")
     taken = mixing.mix(docs.select("doc_id", "source", "text")).groupBy("doc_id", "source", "size").agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    taken = taken.select(F.struct("doc_id", "source", "size").alias("_key"), "_copies", "_rows")
+    taken = scratch.save(taken.select(F.struct("doc_id", "source", "size").alias("_key"), "_copies", "_rows"), "taken")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), mixing.word_count("text").alias("_size"))
     rows = rows.select("_row", F.struct(F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").alias("source"), F.col("_size").alias("size")).alias("_key"))
-    joined = rows.join(taken, "_key")  # nulls inside the key are equal
+    uneven = F.col("_copies") % F.col("_rows") > 0
     whole = F.floor(F.col("_copies") / F.col("_rows")).cast("int")
-    alone = joined.where("_rows = 1 or _copies % _rows = 0").select("_row", whole.alias("_n"))
+    # nulls inside the key are equal
+    alone = rows.join(taken.where(~uneven), "_key").select("_row", whole.alias("_n"))
     # the rest of a group's copies goes to exactly so many of its rows, ranked in salted parts
-    shared = joined.where("_rows > 1 and _copies % _rows > 0").withColumn("_draw", F.xxhash64(F.to_json("_row")))
-    shared = Scratch(spark, "mix-stage").save(shared, "shared")
+    split = taken.where(uneven)
+    shared = marked(rows, bitmap(split, "_key"), "_key").where("_maybe").drop("_maybe").join(split, "_key")
+    shared = scratch.save(shared.withColumn("_draw", F.xxhash64(F.to_json("_row"))), "shared")
     shared = shared.withColumns({"_file": F.xxhash64(F.col("_metadata.file_path")), "_at": F.col("_metadata.row_index")})
     parts = shared.groupBy("_key", "_file").agg(F.count(F.lit(1)).alias("_n"))
     ahead = F.sum("_n").over(Window.partitionBy("_key").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
