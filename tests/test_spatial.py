@@ -199,3 +199,20 @@ def test_touching_in_bounded_memory():
     assert not spatial._touch_flat(a, b) and not spatial._touch_flat(a, inner)
     assert tracemalloc.get_traced_memory()[1] < 300e6
     tracemalloc.stop()
+
+
+def test_batched_pairs_equal_single_pairs():
+    import pyarrow as pa
+    from terrasol.operators import spatial
+    rng = np.random.default_rng(8)
+    shapes = [L_SHAPE, HOLED, CW_SQUARE, TOUCH, FAR, IN_HOLE, [], None, [ring((0, 0), (1, 1))], [ring((0, 0), (4, 0), (8, 0))]]
+    shapes += [[_as_ring(_star(int(rng.integers(3, 60)), *rng.uniform(0, 12, 2), rng.uniform(1, 9), teeth=5))] for _ in range(30)]
+    shapes += [[_as_ring(_star(40, 6e5, 6.6e6, 500))], [_as_ring(_star(40, 6e5 + 300, 6.6e6, 500, 0.0)[::-1]), _as_ring(_star(9, 6e5 + 300, 6.6e6, 50))]]
+    pairs = [(a, b) for a in shapes for b in shapes]
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    a, b = (pa.array([p[k] for p in pairs], kind) for k in (0, 1))
+    for lo, n in ((0, len(pairs)), (7, 100)):   # a slice of a column as well
+        got = spatial._pair(a.slice(lo, n), b.slice(lo, n))
+        for (x, y), g in zip(pairs[lo:lo + n], got.to_pylist()):
+            area, meets = spatial._overlap(x, y)
+            assert abs(g["area"] - area) <= 1e-9 * max(1.0, area) and g["intersects"] == meets
