@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import Scratch, WordIds, mix, text_bytes, utf8
+from terrasol.llm.common import Scratch, WordIds, mix, release, text_bytes, utf8
 
 ORDER = 3
 #: Weight of the shorter context in the smoothed estimate: a constant, and a share of the context's count.
@@ -98,7 +98,7 @@ class Grams:
                     gram = np.concatenate([gram[:1], mix(gram[:-1] * ODD + self.seq[1:])])
                 fits = np.flatnonzero(place >= k - 1)  # n-grams lie within one text
                 key, at, of = np.unique(gram[fits], return_index=True, return_inverse=True)
-                self.key[k], self.at[k] = key, fits[at]
+                self.key[k], self.at[k] = key, fits[at].astype(np.int32)  # a block has far fewer positions
                 self.of[k] = np.full(len(self.seq), -1, np.int32)
                 self.of[k][fits] = of
 
@@ -271,6 +271,24 @@ def score_block(pdf: pd.DataFrame, told: pd.DataFrame, tokens: int, types: int,
         "train_tokens": tokens, "base_score": base, "score": Automaton(g, count, tokens, types, order, weights).scores(g)})
 
 
+def _one(run):
+    """A group's function that gives its memory back when it ends: a worker handles one group after the other."""
+    def wrapped(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = run(pdf)
+        release()
+        return out
+    return wrapped
+
+
+def _two(run):
+    """The same for a function of two groups."""
+    def wrapped(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = run(a, b)
+        release()
+        return out
+    return wrapped
+
+
 def score_texts(docs: DataFrame, train: Column, order: int = 2, weights: tuple[float, ...] = (K, A), block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` for every row of docs.
 
@@ -288,11 +306,11 @@ def score_texts(docs: DataFrame, train: Column, order: int = 2, weights: tuple[f
     blocks = max(1, -(-chars // block_chars))
     packed = pack_blocks(docs, blocks, F.coalesce(train, F.lit(False)))
     asked = packed.groupBy("block").applyInPandas(
-        lambda pdf: requests(pdf, blocks, order), "bucket int, block int, k int, keys binary, counts binary")
+        _one(lambda pdf: requests(pdf, blocks, order)), "bucket int, block int, k int, keys binary, counts binary")
     told = scratch.save(asked.groupBy("bucket").applyInPandas(
-        answers, "block int, bucket int, k int, counts binary, tokens long, types long"), "totals")
+        _one(answers), "block int, bucket int, k int, counts binary, tokens long, types long"), "totals")
     r = told.where("block = -1").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = r.n or 0, r.v or 0
     schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return packed.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInPandas(
-        lambda a, b: score_block(a, b, tokens, types, order, weights), schema)
+        _two(lambda a, b: score_block(a, b, tokens, types, order, weights)), schema)
