@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from terrasol.operators.closest import witness_links
 from terrasol.session import checkpoint_dir

@@ -16,12 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_all(spark: SparkSession, sf_dir: str) -> None:
-    """Register every driver table as a temp view (for SQL-expressed plans)."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread CPU-heavy row-local work over the cluster.
 
