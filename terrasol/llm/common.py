@@ -19,6 +19,17 @@ from terrasol.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that travel to Python at a time: texts are long, and the default of 10,000 rows fills a worker and the buffers before it.
+ARROW_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches of this session to at most ``ARROW_ROWS`` rows (results do not depend on it)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 class Scratch:
     """Tables written once under the shared checkpoint folder.
 
@@ -29,6 +40,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        small_batches(spark)
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._end)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasol.llm.common import id_crc, mix, release
+from terrasol.llm.common import id_crc, mix, release, small_batches
 
 BITS = 18
 #: Bound of the training sample (labelled rows) and the shards it is dealt over.
@@ -124,6 +124,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, text: Column |
     Null and empty texts get the bias alone; rows that repeat one another get one
     score; an empty table stays empty.  Only the texts travel to Python.
     """
+    small_batches(docs.sparkSession)
     weights = weights.astype(np.float32)
 
     def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
