@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrasol.operators.joins import by_shuffle
 from terrasol.session import checkpoint_dir
 
 
@@ -36,8 +37,8 @@ def follow(start: DataFrame, links: DataFrame, hops: int | None = None) -> DataF
         if frontier.isEmpty() or k == hops:
             return seen
         k += 1
-        found = frontier.join(edges, "url").select("origin", F.col("next_url").alias("url")).distinct()
-        new = found.join(seen.select("origin", "url"), ["origin", "url"], "left_anti").select("origin", "url", F.lit(k).alias("hop"))
+        found = frontier.join(by_shuffle(edges), "url").select("origin", F.col("next_url").alias("url")).distinct()
+        new = found.join(by_shuffle(seen.select("origin", "url")), ["origin", "url"], "left_anti").select("origin", "url", F.lit(k).alias("hop"))
 
 
 def next_links(tree: DataFrame, condition, base: str = "url") -> DataFrame:

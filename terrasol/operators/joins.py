@@ -36,3 +36,13 @@ def null_safe_left_join(left: DataFrame, right: DataFrame, keys: list[tuple[str,
     same = reduce(lambda a, b: a & b, [null_left[a].eqNullSafe(null_right[b]) for a, b in keys], null_left[salt] == null_right[salt])
     nulls = null_left.join(null_right, same, "left").drop(null_left[salt]).drop(null_right[salt])
     return known.unionByName(nulls)
+
+
+def by_shuffle(side: DataFrame) -> DataFrame:
+    """A join side that is shuffled, never broadcast.
+
+    Catalyst takes the size of a side from the (compressed, pruned) files it is read from and
+    knows nothing of rows that an explode multiplies, so a side of many hundred MB looks
+    like a small one; broadcast, all of it would pass through the driver.
+    """
+    return side.hint("merge")

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrasol.operators.joins import by_shuffle
+
 SCHEMA = ("page_id long, url string, pos int, last int, tag string, parent int, id string, css array<string>, href string, title string, "
           "datetime string, pieces array<struct<at:int,text:string>>")
 #: Elements without content, and elements whose text is not shown.
@@ -130,7 +132,7 @@ def inside(containers: DataFrame, members: DataFrame, at: str = "pos") -> DataFr
     c = containers.select("page_id", F.struct("*").alias("c"), F.inline(covering("pos", "last")))
     levels = F.expr(f"transform(sequence(0, CAST(floor(log2({at})) AS INT)), k -> named_struct('level', k, 'block', shiftright({at}, k)))")
     m = members.where(F.col(at) > 0).select("page_id", F.struct("*").alias("m"), F.inline(levels))
-    return c.join(m, ["page_id", "level", "block"]).select("page_id", "c", "m")
+    return c.join(by_shuffle(m), ["page_id", "level", "block"]).select("page_id", "c", "m")
 
 
 def subtree_text(tree: DataFrame, containers: DataFrame, sep: str = " ", strip: bool = True, name: str = "text") -> DataFrame:
@@ -145,7 +147,7 @@ def subtree_text(tree: DataFrame, containers: DataFrame, sep: str = " ", strip:
     parts = F.transform("_p", lambda p: F.trim(p["text"]) if strip else p["text"])
     text = F.array_join(F.filter(parts, lambda t: t != "") if strip else parts, sep)
     got = got.select("page_id", "pos", F.trim(F.regexp_replace(text, " +", " ")).alias(name))
-    return spans.select("page_id", "pos").join(got, ["page_id", "pos"], "left").select("page_id", "pos", F.coalesce(name, F.lit("")).alias(name))
+    return spans.select("page_id", "pos").join(by_shuffle(got), ["page_id", "pos"], "left").select("page_id", "pos", F.coalesce(name, F.lit("")).alias(name))
 
 
 def first_inside(containers: DataFrame, members: DataFrame, name: str, last: bool = False) -> DataFrame:
@@ -172,7 +174,7 @@ def with_text(tree: DataFrame, found: DataFrame, name: str, text: str, **how) ->
     """Rows with the text of the element in struct column ``name`` as column ``text`` (null without one)."""
     texts = subtree_text(tree, spans_of(found, name).where("pos is not null"), name=text, **how)
     texts = texts.select(F.col("page_id").alias("_page"), F.col("pos").alias("_pos"), text)
-    return found.join(texts, (F.col("page_id") == F.col("_page")) & (F.col(f"{name}.pos") == F.col("_pos")), "left").drop("_page", "_pos")
+    return found.join(by_shuffle(texts), (F.col("page_id") == F.col("_page")) & (F.col(f"{name}.pos") == F.col("_pos")), "left").drop("_page", "_pos")
 
 
 def contents(tree: DataFrame, containers: DataFrame) -> DataFrame:
@@ -181,7 +183,7 @@ def contents(tree: DataFrame, containers: DataFrame) -> DataFrame:
     ``text`` is null for an element, ``child`` its span; null for a text node.
     """
     spans = containers.select("page_id", "pos").distinct()
-    own = tree.join(spans, ["page_id", "pos"], "left_semi").select("page_id", "pos", F.inline("pieces"), F.lit(None).cast("struct<pos:int,last:int>").alias("child"))
+    own = tree.join(by_shuffle(spans), ["page_id", "pos"], "left_semi").select("page_id", "pos", F.inline("pieces"), F.lit(None).cast("struct<pos:int,last:int>").alias("child"))
     kids = tree.select("page_id", F.col("parent"), F.struct("pos", "last").alias("child")).join(
-        spans.withColumnRenamed("pos", "parent"), ["page_id", "parent"], "left_semi")
+        by_shuffle(spans.withColumnRenamed("pos", "parent")), ["page_id", "parent"], "left_semi")
     return own.unionByName(kids.select("page_id", F.col("parent").alias("pos"), F.col("child.pos").alias("at"), F.lit(None).cast("string").alias("text"), "child"))

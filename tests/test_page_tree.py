@@ -62,6 +62,30 @@ def test_deep_nesting_and_odd_pages(spark):
         assert f(pt.page_tree(empty)).count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_page_table_goes_through_the_driver(spark):
+    tree = tree_of(spark, "<div class='texteencadre-spip'>solaire<a class='fr-download__link' href='x.pdf'>x</a></div>")
+    for f in (harvest_sites.framed_projects, harvest_sites.keyword_rows, harvest_sites.result_blocks, harvest_sites.notices, harvest_sites.headed_documents):
+        plan = plan_of(f(tree))
+        assert "Join" in plan and "Broadcast" not in plan, f.__name__
+    assert harvest_sites.framed_projects(tree).count() == 1
+
+
+def test_each_source_is_computed_on_its_own(spark, monkeypatch):
+    from terrasol.plans import driver
+    a, b = (spark.createDataFrame([(1, 2)], f"page_id long, {c} long") for c in ("x", "y"))
+    names = ("framed_projects", "headed_documents", "card_documents", "nested_table_rows", "hop_paragraphs", "result_blocks", "notices")
+    for name in names:
+        extra = {"card_documents": ["1 AS origin"], "hop_paragraphs": ["true AS ok"], "notices": ["current_date() AS publish_date_scraped", "'7' AS document_id"]}
+        found = a.join(b, "page_id").selectExpr("page_id", "'p' AS project_name", *extra.get(name, []))
+        monkeypatch.setattr(driver, name, lambda spark, sf_dir, found=found: found)
+    got = driver.harvest_sources(spark, "")
+    assert "Join" not in plan_of(got) and got.count() == 7
+
+
 def test_crawl_follows_chains_and_ends_cycles(spark):
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("y", None), ("b", "c"), ("p", "p")], "url string, next_url string")
     start = spark.createDataFrame([("a",), ("x",), ("p",), (None,), ("a",)], "url string")
