@@ -1055,7 +1055,8 @@ def harvest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "MRAE": framed_projects(spark, sf_dir), "Bretagne": headed_documents(spark, sf_dir), "Guyane": card_documents(spark, sf_dir).drop("origin"),
         "Guadeloupe": nested_table_rows(spark, sf_dir), "Somme": hop_paragraphs(spark, sf_dir).where("ok").drop("ok"),
         "Nord-Pas-de-Calais": result_blocks(spark, sf_dir), "SIDE": side}
-    return harvest.union_sources(*(df.drop("page_id").withColumn("site", F.lit(site)) for site, df in parts.items()))
+    # a source is computed on its own: in one plan, every stage that ends has all of its hundreds of joins planned anew
+    return harvest.union_sources(*(io.staged(df.drop("page_id"), f"harvest-{site}").withColumn("site", F.lit(site)) for site, df in parts.items()))
 
 
 QUERY_NAMES = [
