@@ -55,9 +55,10 @@ def chunk_starts(n_tokens, max_tokens: int, stride: int) -> Column:
 
 def chunks(c, max_tokens: int = 256, stride: int = 10) -> Column:
     """Token windows of ``max_tokens`` starting every ``max_tokens - stride`` tokens."""
-    toks = tokens(c)
-    return F.transform(chunk_starts(F.size(toks), max_tokens, stride),
-                       lambda s: F.slice(toks, s + 1, max_tokens))
+    # the tokens as a variable of an outer lambda: written into the inner one, every window would split the text anew
+    cut = lambda toks: F.transform(chunk_starts(F.size(toks), max_tokens, stride),
+                                   lambda s: F.slice(toks, s + 1, max_tokens))
+    return F.get(F.transform(F.array(tokens(c)), cut), 0)
 
 
 def fit_budget(c, context: int, reserve: int = 1000, max_halvings: int = 40) -> Column:

@@ -28,6 +28,12 @@ def test_chunks_cover_all_tokens(spark):
     assert got[0][1][0] == "w246" and got[1] == []
 
 
+def test_chunks_split_a_text_once(spark):
+    df = spark.createDataFrame([("a b c",), (None,)], "t string").select(tx.chunks("t", 2, 1).alias("c"))
+    assert [r.c for r in df.collect()] == [[["a", "b"], ["b", "c"], ["c"]], []]
+    assert df._jdf.queryExecution().analyzed().toString().count("split(") == 1
+
+
 def test_fit_budget_halves(spark):
     words = " ".join(["mot"] * 3000)
     df = spark.createDataFrame([(words,)], "t string")
