@@ -29,3 +29,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or sc.defaultParallelism
     n = df.rdd.getNumPartitions()
     return df.repartition(target) if n < target else df
+
+
+def stream_source(spark: SparkSession, source_dir: str, glob: str) -> tuple[str, dict[str, str]]:
+    """Path and reader options of the files ``glob`` under ``source_dir``.
+
+    A table may be one file or a folder of files: ``pathGlobFilter`` is matched against
+    the files' own names and would leave out all files of a folder, so a folder that
+    matches is read as such.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{source_dir.rstrip('/')}/{glob}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    if any(s.isDirectory() for s in found or ()):
+        return path.toString(), {}
+    return source_dir, {"pathGlobFilter": glob}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasol.operators.annotate import CLAIM_GAP
+from terrasol.sources.tables import stream_source
 from terrasol.streaming.ingest import work_dir
 
 
@@ -42,13 +43,14 @@ def run_claims(spark: SparkSession, source_dir: str, glob: str, select_expr: lis
     ``flush`` ends the input: a last event long after all others moves the
     watermark past every open session, so those are emitted too; the event itself
     opens a session that no watermark reaches."""
-    given = spark.read.option("pathGlobFilter", glob).parquet(source_dir)
+    path, options = stream_source(spark, source_dir, glob)
+    given = spark.read.options(**options).parquet(path)
     tail, out, ckpt = (work_dir(spark, n) for n in ("claims-tail", "claims-out", "claims-ckpt"))
     given.limit(0).write.parquet(tail)
 
     def run() -> None:
-        read = lambda path, pattern: spark.readStream.schema(given.schema).option("pathGlobFilter", pattern).parquet(path)
-        events = read(source_dir, glob).unionByName(read(tail, "*.parquet")).selectExpr(*select_expr)
+        read = lambda path, options: spark.readStream.schema(given.schema).options(**options).parquet(path)
+        events = read(path, options).unionByName(read(tail, {"pathGlobFilter": "*.parquet"})).selectExpr(*select_expr)
         q = (claim_sessions_stream(events, watermark=watermark).drop("w")
              .writeStream.format("parquet").outputMode("append").option("path", out)
              .option("checkpointLocation", ckpt)

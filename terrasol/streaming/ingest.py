@@ -20,6 +20,7 @@ from terrasol.functions.measure import document_measures
 from terrasol.functions.text import clean_text
 from terrasol.session import checkpoint_dir
 from terrasol.sources.snapshots import RejectTable, SnapshotTable
+from terrasol.sources.tables import stream_source
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -62,7 +63,7 @@ def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr:
                      key: str = "doc_id", max_files_per_trigger: int | None = None, partitions: int | None = None,
                      buckets: int = 64, target: str | None = None, checkpoint: str | None = None,
                      order: tuple[str, ...] = (), rejects: str | None = None) -> DataFrame:
-    """Stream the documents under ``source_dir`` (files matching ``glob``) to a
+    """Stream the documents under ``source_dir`` (files, or folders of files, matching ``glob``) to a
     measured table, available-now trigger; returns the target table.
 
     ``order`` names columns of the documents that tell which row of a key is newer; they
@@ -70,11 +71,12 @@ def ingest_documents(spark: SparkSession, source_dir: str, glob: str, body_expr:
     resumes: the next call with the same two folders reads only files that arrived
     since.  With ``rejects``, rows without a key or without any text after cleaning are
     written to that side table (``RejectTable``) instead of the target."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    path, options = stream_source(spark, source_dir, glob)
+    schema = spark.read.options(**options).parquet(path).schema
+    reader = spark.readStream.schema(schema).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    stream = reader.parquet(path)
     body = F.expr(body_expr) if body_expr else F.col("text")
     # hash-partition each micro-batch by key: spreads the regex work of a few
     # large files over the cluster and co-locates the upsert keys

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from terrasol.operators.locks import TIMEOUT, TIMEOUT_US, Lock, advance, expire, from_micros, micros
+from terrasol.sources.tables import stream_source
 from terrasol.streaming.claims import event_time
 from terrasol.streaming.ingest import work_dir
 
@@ -84,18 +85,19 @@ def run_locks(spark: SparkSession, source_dir: str, glob: str, select_expr: list
     The end of the input is an event without document long after all others: it moves
     the watermark past every event and every lock.
     """
-    given = spark.read.option("pathGlobFilter", glob).parquet(source_dir)
+    path, options = stream_source(spark, source_dir, glob)
+    given = spark.read.options(**options).parquet(path)
     dtype = dict(given.dtypes)[ts]
     tail, out, ckpt = (work_dir(spark, n) for n in ("locks-tail", "locks-out", "locks-ckpt"))
     given.limit(0).write.parquet(tail)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
 
     def run() -> None:
-        def read(path, pattern):
-            reader = spark.readStream.schema(given.schema).option("pathGlobFilter", pattern)
+        def read(path, options):
+            reader = spark.readStream.schema(given.schema).options(**options)
             return (reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader).parquet(path)
 
-        events = read(source_dir, glob).unionByName(read(tail, "*.parquet")).selectExpr(*select_expr)
+        events = read(path, options).unionByName(read(tail, {"pathGlobFilter": "*.parquet"})).selectExpr(*select_expr)
         (lock_stream(events, watermark=watermark).writeStream.format("parquet").outputMode("append").option("path", out)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
 

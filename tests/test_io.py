@@ -53,6 +53,22 @@ def stored(spark, target):
     return sorted((r.k, r.v) for r in ingest.stored_rows(spark, target, "k").collect())
 
 
+def test_streams_read_a_table_that_is_a_folder_of_files(spark):
+    import datetime as dt
+    from terrasol.streaming import claims, ingest, locks
+    base = work_dir(spark, "folder-tables")
+    docs = spark.createDataFrame([(i, f"parc de {i + 1} ha") for i in range(4)], "doc_id long, text string")
+    docs.repartition(2).write.parquet(f"{base}/documents.parquet")
+    got = ingest.ingest_documents(spark, base, "documents.parquet", buckets=2, partitions=2)
+    assert sorted((r.doc_id, r.land_surface_ha) for r in got.collect()) == [(i, i + 1.0) for i in range(4)]
+    again = ingest.ingest_documents(spark, f"{base}/documents.parquet", "*.parquet", buckets=2, partitions=2)   # the same files, named one by one
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
+    events = spark.createDataFrame([(k, 1, 1, dt.datetime(2024, 1, 1, 10, k), "claim") for k in range(2)], "event_id long, doc_id long, user_id long, ts timestamp, action string")
+    events.repartition(2).write.parquet(f"{base}/events.parquet")
+    assert claims.run_claims(spark, base, "events.parquet", ["doc_id", "user_id", "ts"]).agg(F.sum("n_events")).first()[0] == 2
+    assert locks.run_locks(spark, base, "events.parquet", ["doc_id", "user_id", "ts", "event_id", "action"]).count() > 0
+
+
 def test_ingest_read_error_keeps_stored_rows(spark, monkeypatch):
     import pytest
     from terrasol.streaming import ingest
