@@ -42,14 +42,14 @@ def upsert_batch(target: str, key: str, buckets: int = 64, order: tuple[str, ...
     ``rejects``, rows with a ``_reason`` go to that table instead.  A replayed batch id
     changes nothing, and a failure at any point leaves the table as it was."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark, good = batch.sparkSession, batch
-        if rejects:
-            batch = batch.persist()   # read twice: once per sink
-            RejectTable(spark, rejects).put(batch.where(F.col(REASON).isNotNull()), batch_id)
-            good = batch.where(F.col(REASON).isNull()).drop(REASON)
-        stored = SnapshotTable(spark, target, key, buckets, (*order, ARRIVAL))
-        stored.merge(good.withColumn(ARRIVAL, F.lit(batch_id).cast("long")), batch_id)
-        if rejects:
+        spark, good = batch.sparkSession, batch.persist()   # read several times (sinks, touched buckets, merge), measured once
+        try:
+            if rejects:
+                RejectTable(spark, rejects).put(batch.where(F.col(REASON).isNotNull()), batch_id)
+                good = batch.where(F.col(REASON).isNull()).drop(REASON)
+            stored = SnapshotTable(spark, target, key, buckets, (*order, ARRIVAL))
+            stored.merge(good.withColumn(ARRIVAL, F.lit(batch_id).cast("long")), batch_id)
+        finally:
             batch.unpersist()
     return run
 

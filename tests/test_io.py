@@ -69,6 +69,22 @@ def test_streams_read_a_table_that_is_a_folder_of_files(spark):
     assert locks.run_locks(spark, base, "events.parquet", ["doc_id", "user_id", "ts", "event_id", "action"]).count() > 0
 
 
+def test_ingest_measures_a_batch_once(spark):
+    from terrasol.streaming import ingest
+    seen = spark.sparkContext.accumulator(0)
+
+    def measured(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    batch = spark.range(20).selectExpr("id AS k", "1 AS v").mapInArrow(measured, "k long, v int")
+    target = work_dir(spark, "ingest-once")
+    ingest.upsert_batch(target, "k", buckets=4)(batch, 0)
+    assert seen.value == 20 and stored(spark, target) == [(k, 1) for k in range(20)]
+    assert not batch.is_cached
+
+
 def test_ingest_read_error_keeps_stored_rows(spark, monkeypatch):
     import pytest
     from terrasol.streaming import ingest
