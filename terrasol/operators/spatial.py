@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from terrasol.functions import geo
+from terrasol.operators.joins import by_shuffle
 from terrasol.session import checkpoint_dir
 
 PAIR_SCHEMA = StructType([StructField("area", DoubleType()), StructField("intersects", BooleanType())])
@@ -316,7 +317,7 @@ def _heavy_pairs(geometry: DataFrame) -> DataFrame:
         F.greatest(bound(F.min, low, "a"), bound(F.min, low, "b")).alias("lo"), F.least(bound(F.max, high, "a"), bound(F.max, high, "b")).alias("hi"),
         F.ceil(F.count(F.lit(1)) / STRIP).cast("int").alias("k")).where("lo <= hi").withColumn("h", (F.col("hi") - F.col("lo")) / F.col("k"))
     level = lambda y: F.when(F.col("h") > 0, F.floor((y - F.col("lo")) / F.col("h"))).otherwise(0).cast("int")
-    near = every.join(spans, ["_lk", "_rk"]).where((high >= F.col("lo")) & (low <= F.col("hi")))
+    near = every.join(by_shuffle(spans), ["_lk", "_rk"]).where((high >= F.col("lo")) & (low <= F.col("hi")))
     # an edge belongs to all strips that it reaches, ends included
     first, last = F.greatest(level(low) - 1, F.lit(0)), F.least(level(high), F.col("k") - 1)
     dealt = near.select("_lk", "_rk", "lo", "h", "k", "hi", "side", F.struct("x0", "y0", "x1", "y1").alias("e"), F.explode(F.sequence(F.least(first, last), last)).alias("strip"))
@@ -480,7 +481,7 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     small_r, big_r = F.col("_rlevel") == 0, F.col("_rlevel") == 1
     lx = _tagged(L, "_l", cell, coarse, [(0, small_l, cell), (1, F.lit(True), coarse), (2, big_l, coarse)])
     rx = _tagged(R, "_r", cell, coarse, [(0, small_r, cell), (1, big_r, coarse), (2, small_r, coarse)])
-    j = lx.join(rx, (F.col("_ls") == F.col("_rs")) & (F.col("_ltag") == F.col("_rtag"))
+    j = lx.join(by_shuffle(rx), (F.col("_ls") == F.col("_rs")) & (F.col("_ltag") == F.col("_rtag"))
                 & (F.col("_lcx") == F.col("_rcx")) & (F.col("_lcy") == F.col("_rcy")))
     size = F.when(F.col("_ltag") == 0, F.lit(cell)).otherwise(F.lit(coarse))
     overlap = ((F.col("_lminx") <= F.col("_rmaxx")) & (F.col("_rminx") <= F.col("_lmaxx"))
@@ -488,16 +489,16 @@ def spatial_left_join(left: DataFrame, right: DataFrame, left_geom: str = "geom"
     reference = ((F.floor(F.greatest("_lminx", "_rminx") / size) == F.col("_lcx"))
                  & (F.floor(F.greatest("_lminy", "_rminy") / size) == F.col("_lcy")))
     pairs = j.where(overlap & reference)
-    fetch = lambda p: (p.select("_lk", "_rk").join(left.select("_lk", F.col(left_geom).alias("_ga")), "_lk")
-                       .join(right.drop("_rs", "_rn"), "_rk"))
+    fetch = lambda p: (p.select("_lk", "_rk").join(by_shuffle(left.select("_lk", F.col(left_geom).alias("_ga"))), "_lk")
+                       .join(by_shuffle(right.drop("_rs", "_rn")), "_rk"))
     large = F.col("_ln") + F.col("_rn") > HEAVY
     exact = fetch(pairs.where(~large)).withColumn("_x", _pair_udf("_ga", "_gb")).where(F.col("_x.intersects"))
     # two numbers tell whether any pair can be large: without one its branch is not planned at all
     if sum(df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "_ln"), (right, "_rn"))) > HEAVY:
         heavy = fetch(pairs.where(large))
-        exact = exact.unionByName(heavy.join(_heavy_pairs(heavy).where("_x.intersects"), ["_lk", "_rk"]).select(*exact.columns))
+        exact = exact.unionByName(heavy.join(by_shuffle(_heavy_pairs(heavy).where("_x.intersects")), ["_lk", "_rk"]).select(*exact.columns))
     shape = [_pieces_udf("_ga", "_gb").alias("geom_intersection")] if with_geometry else []
     matched = exact.select("_lk", *[F.col("_r_" + c).alias(c) for c in r_cols],
                            F.col("_x.area").alias("geom_intersection_area"), *shape)
     # left outer: every left row, partners when any.
-    return left.join(matched, "_lk", "left").drop("_lk", "_ln")
+    return left.join(by_shuffle(matched), "_lk", "left").drop("_lk", "_ln")

@@ -216,3 +216,14 @@ def test_batched_pairs_equal_single_pairs():
         for (x, y), g in zip(pairs[lo:lo + n], got.to_pylist()):
             area, meets = spatial._overlap(x, y)
             assert abs(g["area"] - area) <= 1e-9 * max(1.0, area) and g["intersects"] == meets
+
+
+def test_no_side_of_the_spatial_join_is_broadcast(spark):
+    square = "array(array(struct({0} AS x, 0D AS y), struct({0} + 1 AS x, 0D AS y), struct({0} + 1 AS x, 1D AS y), struct({0} AS x, 1D AS y), struct({0} AS x, 0D AS y)))"
+    left = spark.range(20).selectExpr("id", "2154 AS srid", square.format("CAST(id AS double)") + " AS geom")
+    right = spark.range(20).selectExpr("id AS id_1", "2154 AS srid", square.format("(id + 0.5D)") + " AS geom_1")
+    link = spatial_left_join(left, right, "geom", "geom_1", cell=4.0)
+    plan = link._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    got = {(r.id, r.id_1): r.geom_intersection_area for r in link.collect()}
+    assert got[3, 3] == got[3, 2] == 0.5 and len(got) == 39
